@@ -139,15 +139,15 @@ def general_stats(
 
 
 def aggregate_frames(
-    df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia"
+    df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia", weight: str | None = None
 ) -> dict[str, DataFrame]:
-    """The named aggregates, all computed from one base aggregate.
+    """The named aggregates, each a sum over small counts.
 
-    Hand in a base aggregate written to a table (``base_aggregate``) or raw
-    rows; every frame sums the same small counts.
+    Several writes follow, so hand in a base aggregate that was written to a
+    table (``base_aggregate``) with its ``weight``: the rows are then read once.
     """
     keys = ["ano", "mes", "estacao", "dia_semana_nome", "hora", area, kind]
-    base = agg.count_by(df, *keys, keep_null=True)
+    base = agg.count_by(df, *keys, weight=weight, keep_null=True)
     return {
         "por_ano": agg.by_year(base, TOTAL),
         "por_bairro": agg.by_area(base, area, TOTAL),

@@ -66,10 +66,10 @@ def match_resource(resources: DataFrame, years: DataFrame) -> DataFrame:
     may go on after the year ("atendimentos 2024 v2", "atendimentos 20245").
     """
     lower = F.lower(F.col("name"))
-    mentioned = F.explode(F.array_distinct(
-        F.regexp_extract_all(lower, F.lit(r"atendimentos[ -](\d{4})"), 1)
-    ))
-    hits = resources.select("posicao", "name", "url", mentioned.cast("int").alias("ano"))
+    mentioned = F.array_distinct(
+        F.regexp_extract_all(lower, F.lit(r"atendimentos[ -](\d{4})"), 1).cast("array<int>")
+    )
+    hits = resources.select("posicao", "name", "url", F.explode(mentioned).alias("ano"))
     first = Window.partitionBy("ano").orderBy("posicao")
     return (
         hits.join(years, "ano", "left_semi")

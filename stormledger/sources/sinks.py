@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, functions as F
 
 COMPRESS_ABOVE = 100_000
-SINGLE_FILE_ROWS = 1_000_000
+SINGLE_FILE_ROWS = 100_000
+
+
+def rows_up_to(df: DataFrame, limit: int) -> int:
+    """Row count, but no higher than ``limit``.
+
+    ``take`` reads partitions step by step and stops early, where
+    ``limit(n).count()`` would send up to n rows of every partition to one task.
+    """
+    return len(df.select(F.lit(1)).take(limit))
 
 
 def write_parquet_by_year(df: DataFrame, path: str, year: str = "ano") -> str:
@@ -18,32 +29,44 @@ def write_parquet_by_year(df: DataFrame, path: str, year: str = "ano") -> str:
     return path
 
 
-def write_csv_auto(df: DataFrame, path: str, threshold: int = COMPRESS_ABOVE) -> str:
-    """CSV, gzip-compressed above the row threshold; the check counts no further than that."""
-    big = df.limit(threshold + 1).count() > threshold
+def write_csv_auto(
+    df: DataFrame, path: str, threshold: int = COMPRESS_ABOVE, rows: int | None = None
+) -> str:
+    """CSV, gzip-compressed above the row threshold; pass ``rows`` where the count is known."""
+    big = (rows_up_to(df, threshold + 1) if rows is None else rows) > threshold
     writer = df.write.mode("overwrite").option("header", True)
     (writer.option("compression", "gzip") if big else writer).csv(path)
     return path
 
 
 def write_csv_export(
-    df: DataFrame, path: str, sep: str = ",", single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame, path: str, sep: str = ",", single_file_rows: int = SINGLE_FILE_ROWS,
+    rows: int | None = None,
 ) -> str:
     """Header CSV for a dashboard: one part file while the result is small, else as it comes."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    out = df.coalesce(1) if small else df
+    rows = rows_up_to(df, single_file_rows + 1) if rows is None else rows
+    out = df.coalesce(1) if rows <= single_file_rows else df
     out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
     return path
 
 
-def write_many(frames: dict[str, DataFrame], folder: str, sep: str = ",") -> list[str]:
-    """Write each non-empty aggregate to its own folder; returns the names written."""
-    written = []
-    for name, df in frames.items():
-        if not df.isEmpty():
-            write_csv_export(df, f"{folder}/{name}", sep)
-            written.append(name)
-    return written
+def write_many(
+    frames: dict[str, DataFrame], folder: str, sep: str = ",", parallel: int = 4
+) -> list[str]:
+    """Write each non-empty aggregate to its own folder; returns the names written.
+
+    The writes are independent jobs, so a few of them run side by side.
+    """
+    def write(item: tuple[str, DataFrame]) -> str | None:
+        name, df = item
+        rows = rows_up_to(df, SINGLE_FILE_ROWS + 1)
+        if rows == 0:
+            return None
+        write_csv_export(df, f"{folder}/{name}", sep, rows=rows)
+        return name
+
+    with ThreadPoolExecutor(parallel) as pool:
+        return [name for name in pool.map(write, frames.items()) if name]
 
 
 def write_json(df: DataFrame, path: str) -> str:
