@@ -73,9 +73,8 @@ KNOWN_KINDS = ["click", "view", "signup"]
 @query("catalog_membership", f"""{CALLS} SELECT CASE WHEN tipo_ocorrencia IN ('click', 'view', 'signup')
   THEN tipo_ocorrencia ELSE 'outro' END AS tipo_catalogado, count(*) AS n FROM calls GROUP BY 1""")
 def catalog_membership(spark, sf):
-    kinds = spark.createDataFrame([(k,) for k in KNOWN_KINDS], "tipo string")
-    tagged = joins.tag_members(
-        b.calls(spark, sf), "tipo_ocorrencia", kinds, "tipo", "tipo_catalogado", "outro"
+    tagged = joins.tag_listed(
+        b.calls(spark, sf), "tipo_ocorrencia", KNOWN_KINDS, "tipo_catalogado", "outro"
     )
     return tagged.groupBy("tipo_catalogado").agg(F.count(F.lit(1)).alias("n"))
 
@@ -116,9 +115,8 @@ def dq_required(spark, sf):
     from stormledger.operators.cleaning import parse_date_columns
 
     parsed = parse_date_columns(b.dirty(spark, sf))
-    accepted, rejected = quality.split_required(parsed, ["data_atendimento", "tipo_ocorrencia"])
-    both = accepted.select(F.lit(True).alias("aceito")).unionAll(rejected.select(F.lit(False)))
-    return both.groupBy("aceito").agg(F.count(F.lit(1)).alias("n"))
+    marked = quality.mark_accepted(parsed, ["data_atendimento", "tipo_ocorrencia"])
+    return marked.groupBy("aceito").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("dq_fill_unknown", f"""{DIRTY} SELECT id_atendimento, coalesce(bairro, 'desconhecido') AS bairro FROM dirty""")

@@ -8,6 +8,7 @@ from stormledger import bindings as b
 from stormledger.catalog.core import query
 from stormledger.operators import aggregates as agg, cleaning, profiling, quantiles
 from stormledger.plans import stages
+from stormledger.session import materialize
 
 DIRTY = f"WITH {b.DIRTY_SQL}"
 CALLS = f"WITH {b.CALLS_SQL}"
@@ -131,7 +132,8 @@ def series_outliers(spark, sf):
         b.calls(spark, sf).withColumn("dia", F.to_date("data_atendimento")),
         "chuva_mm", "posto", "dia", out="total_dia",
     )
-    return quantiles.outlier_rows(daily, "total_dia").select("posto", "dia", "total_dia")
+    # Several jobs follow, so the small aggregate becomes a table first.
+    return quantiles.outlier_rows(materialize(daily, "daily"), "total_dia")
 
 
 @query("null_totals", f"""{DIRTY}, c AS (SELECT

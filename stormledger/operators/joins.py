@@ -52,6 +52,12 @@ def correlation(df: DataFrame, x: str, y: str, *keys: str, threshold: float = 0.
     )
 
 
+def tag_listed(df: DataFrame, key: str, known: list, out: str, unknown: str) -> DataFrame:
+    """As ``tag_members`` for a short literal catalogue: a membership test, no join."""
+    c = F.col(key)
+    return df.withColumn(out, F.when(c.isin(known), c.cast("string")).otherwise(F.lit(unknown)))
+
+
 def tag_members(
     df: DataFrame, key: str, catalog: DataFrame, catalog_key: str, out: str, unknown: str
 ) -> DataFrame:

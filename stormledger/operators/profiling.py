@@ -114,6 +114,7 @@ def top_values(
 ) -> DataFrame:
     """The k most frequent values of each column; ties by value (as numbers where ``numeric``)."""
     present = census.where(F.col("valor").isNotNull())
+    # Numbers tie by size, texts by letter.
     number = F.when(F.col("coluna").isin(numeric), F.col("valor").try_cast("double"))
     order = [F.desc("n"), number, F.col("valor")]
     return top_per_group(present, [*keys, "coluna"], order, k, "posicao")
@@ -131,11 +132,10 @@ def categorical_profile(
 ) -> DataFrame:
     """Distinct count and top k values of each categorical field present."""
     fields = [c for c in (fields or schema.CATEGORICAL_FIELDS) if c in df.columns]
-    census = value_census(df, fields, keys)
-    unique = summarize_census(census, keys).select(
-        *keys, "coluna", F.col("valores_unicos").alias("total_unicos")
-    )
-    return top_values(census, k, keys).join(unique, [*keys, "coluna"])
+    # Both sides start from the same filtered census, so its shuffle is shared.
+    present = value_census(df, fields, keys).where(F.col("valor").isNotNull())
+    unique = present.groupBy(*keys, "coluna").agg(F.count(F.lit(1)).alias("total_unicos"))
+    return top_values(present, k, keys).join(unique, [*keys, "coluna"])
 
 
 def column_classes(df: DataFrame) -> DataFrame:

@@ -59,10 +59,15 @@ def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn("regras_violadas", F.array_compact(broken))
 
 
+def mark_accepted(df: DataFrame, required: list[str], out: str = "aceito") -> DataFrame:
+    """Whether all required fields of a row are present."""
+    return df.withColumn(out, reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
+
+
 def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows by all required fields being present."""
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
-    return df.where(complete), df.where(~complete)
+    marked = mark_accepted(df, required, "_ok")
+    return marked.where("_ok").drop("_ok"), marked.where("NOT _ok").drop("_ok")
 
 
 def required_rules(required: list[str]) -> list[Rule]:

@@ -1,151 +1,170 @@
 """Quartiles and outliers of numeric columns.
 
 ``percentile`` keeps one counter per distinct value in a single task, which
-does not hold for large columns. The exact path below narrows each quantile to
-a small value range with two rounds of histograms (bounded, combined map-side)
-and sorts only what is left in that range.
+does not hold for large columns. ``exact_quantiles`` instead narrows the value
+range that holds each wanted rank, by one histogram per round, until the range
+is a single value. A round is one scan with a bounded, map-side combined
+aggregate; the driver keeps one range per wanted rank. Like Spark's
+``approxQuantile``, both functions run jobs and return plain numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+from dataclasses import dataclass
 
-BUCKETS = 4096
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+BUCKETS = 8192
 
-def numeric_cells(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(coluna, valor) rows of the non-null numbers."""
-    return (
-        df.select([F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], columns, "coluna", "valor")
-        .where(F.col("valor").isNotNull())
-    )
+Quantiles = dict[str, list[float | None]]
 
 
-def _narrow(cells: DataFrame, brackets: DataFrame, targets: DataFrame) -> DataFrame:
-    """Replace the value range [lo, hi] of each target rank by the bucket that holds it.
-
-    ``brackets``: distinct (coluna, lo, hi) ranges; ``targets``: (coluna, lo,
-    hi, posicao, prob, antes), where ``antes`` counts the rows below lo.
-    Bucket bounds are the values really seen, so a range always shrinks and
-    stays exact.
-    """
-    lo, hi, v = F.col("lo"), F.col("hi"), F.col("valor")
-    # (v / w - lo / w) keeps the quotient finite for extreme ranges.
-    width = (hi / BUCKETS) - (lo / BUCKETS)
-    bucket = F.when(
-        width > 0, F.least(F.floor(v / width - lo / width), F.lit(BUCKETS - 1).cast("bigint"))
-    ).otherwise(F.lit(0).cast("bigint"))
-    histogram = (
-        cells.join(F.broadcast(brackets), "coluna")
-        .where(v.between(lo, hi))
-        .groupBy("coluna", "lo", "hi", bucket.alias("_b"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("valor").alias("_min"), F.max("valor").alias("_max"))
-    )
-    upto = Window.partitionBy("coluna", "lo", "hi").orderBy("_b")
-    cumulative = histogram.withColumn("_upto", F.sum("_n").over(upto))
-    position = F.col("posicao") - F.col("antes")
-    return (
-        cumulative.join(F.broadcast(targets), ["coluna", "lo", "hi"])
-        .where((position < F.col("_upto")) & (position >= F.col("_upto") - F.col("_n")))
-        .select(
-            "coluna", F.col("_min").alias("lo"), F.col("_max").alias("hi"), "posicao", "prob",
-            "fracao", (F.col("antes") + F.col("_upto") - F.col("_n")).alias("antes"),
-        )
-    )
+@dataclass(frozen=True)
+class _Range:
+    """Values lo..hi of a column, with the number of smaller values."""
 
+    column: str
+    lo: float
+    hi: float
+    below: int
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """(coluna, prob, quantil) with linear interpolation between neighbouring ranks.
+    def bucket(self) -> Column:
+        """Bucket 0..BUCKETS-1 of a value inside the range, null outside; grows with the value."""
+        v = _number(self.column)
+        # Halves keep the width finite for ranges wider than the largest double.
+        half = 0.5 if math.isinf(self.hi - self.lo) else 1.0
+        width = F.lit(self.hi * half - self.lo * half)
+        step = F.floor((v * half - F.lit(self.lo * half)) / width * BUCKETS)
+        return F.when(v.between(self.lo, self.hi), F.least(step, F.lit(BUCKETS - 1)).cast("int"))
 
-    The broadcast frames hold at most columns x probs x 2 rows.
-    """
-    cells = numeric_cells(df, columns)
-    extent = cells.groupBy("coluna").agg(
-        F.count(F.lit(1)).alias("n"), F.min("valor").alias("lo"), F.max("valor").alias("hi")
-    )
-    place = (F.col("n") - 1) * F.col("prob")
-    ranks = (
-        extent.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("fracao", place - F.floor(place))
-        .withColumn("posicao", F.explode(F.array(F.floor(place), F.ceil(place))))
-        .select("coluna", "lo", "hi", "posicao", "prob", "fracao", F.lit(0).cast("bigint").alias("antes"))
-        .distinct()
-    )
-    targets = ranks
-    for _ in range(2):
-        brackets = targets.select("coluna", "lo", "hi").distinct()
-        targets = _narrow(cells, brackets, targets)
-    brackets = targets.select("coluna", "lo", "hi").distinct()
-    left = (
-        cells.join(F.broadcast(brackets), "coluna")
-        .where(F.col("valor").between(F.col("lo"), F.col("hi")))
-        .groupBy("coluna", "lo", "hi", "valor")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_upto",
-            F.sum("_n").over(Window.partitionBy("coluna", "lo", "hi").orderBy("valor")),
-        )
-    )
-    position = F.col("posicao") - F.col("antes")
-    found = (
-        left.join(F.broadcast(targets), ["coluna", "lo", "hi"])
-        .where((position < F.col("_upto")) & (position >= F.col("_upto") - F.col("_n")))
-        .groupBy("coluna", "prob", "fracao")
-        .agg(F.min("valor").alias("_a"), F.max("valor").alias("_b"))
-    )
-    return found.select(
-        "coluna", "prob", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("fracao")).alias("quantil")
-    )
 
+def _number(column: str) -> Column:
+    """A column as double; NaN counts as missing."""
+    v = F.col(column).cast("double")
+    return F.when(~F.isnan(v), v)
 
-def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10000):
-    """(coluna, prob, quantil) from one pass of ``approx_percentile``."""
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    sketch = numeric_cells(df, columns).groupBy("coluna").agg(
-        F.percentile_approx("valor", wanted, accuracy).alias("q")
+
+def _extent(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
+    """(count, min, max) per column in one pass."""
+    measures = [
+        F.struct(F.count(_number(c)), F.min(_number(c)), F.max(_number(c))).alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ]
+    row = df.agg(*measures).first()
+    return {c: tuple(row[i]) for i, c in enumerate(columns)}
+
+
+def _narrow(df: DataFrame, ranges: list[_Range], ranks: dict[_Range, set[int]]):
+    """One scan: for each range and each rank in it, the smaller range that holds the rank."""
+    marks = F.array(*[
+        F.struct(F.lit(i).alias("i"), r.bucket().alias("b"), _number(r.column).alias("v"))
+        for i, r in enumerate(ranges)
+    ])
+    cells = df.select(F.inline(F.filter(marks, lambda m: m["b"].isNotNull())))
+    histogram = cells.groupBy("i", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
-    zipped = F.explode(F.arrays_zip(wanted.alias("prob"), F.col("q").alias("quantil")))
-    return sketch.select("coluna", zipped.alias("z")).select("coluna", "z.prob", "z.quantil")
-
-
-def fences(df: DataFrame, columns: list[str], approx: bool = False, factor: float = 1.5) -> DataFrame:
-    """coluna, q1, q3, minimo, maximo: one row per numeric column."""
-    quantiles = (approx_quantiles if approx else exact_quantiles)(df, columns, [0.25, 0.75])
-    q1 = F.max(F.when(F.col("prob") == 0.25, F.col("quantil")))
-    q3 = F.max(F.when(F.col("prob") == 0.75, F.col("quantil")))
-    iqr = F.col("q3") - F.col("q1")
-    return quantiles.groupBy("coluna").agg(q1.alias("q1"), q3.alias("q3")).withColumns({
-        "minimo": F.col("q1") - factor * iqr, "maximo": F.col("q3") + factor * iqr,
-    })
+    upto = Window.partitionBy("i").orderBy("b")
+    cumulative = histogram.withColumn("upto", F.sum("n").over(upto))
+    wanted = F.array(*[
+        F.array(*[F.lit(k - r.below).cast("bigint") for k in sorted(ranks[r])]) for r in ranges
+    ])
+    holds = F.exists(
+        F.get(wanted, F.col("i")), lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n"))
+    )
+    return [
+        (ranges[row["i"]], row["upto"] - row["n"], row["n"], row["lo"], row["hi"])
+        for row in cumulative.where(holds).collect()
+    ]
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Quantiles:
+    """Quantiles per column with linear interpolation between neighbouring ranks."""
+    extent = _extent(df, columns)
+    value: dict[tuple[str, int], float] = {}
+    open_ranks: dict[_Range, set[int]] = {}
+
+    def place(r: _Range, ranks: set[int]) -> None:
+        if r.lo == r.hi:
+            value.update({(r.column, k): r.lo for k in ranks})
+        elif ranks:
+            open_ranks[r] = ranks
+
+    for c, (n, lo, hi) in extent.items():
+        if n:
+            if math.isinf(lo) or math.isinf(hi):
+                raise ValueError(f"column {c} holds infinite values")
+            places = [(n - 1) * p for p in probs]
+            place(_Range(c, lo, hi, 0), {f(x) for x in places for f in (math.floor, math.ceil)})
+    while open_ranks:
+        ranges, ranks = list(open_ranks), dict(open_ranks)
+        open_ranks.clear()
+        for parent, before, n, lo, hi in _narrow(df, ranges, ranks):
+            first = parent.below + before
+            place(
+                _Range(parent.column, lo, hi, first),
+                {k for k in ranks[parent] if first <= k < first + n},
+            )
+
+    def interpolate(c: str, n: int, p: float) -> float | None:
+        if not n:
+            return None
+        at = (n - 1) * p
+        a, b = value[c, math.floor(at)], value[c, math.ceil(at)]
+        return a + (b - a) * (at - math.floor(at))
+
+    return {c: [interpolate(c, extent[c][0], p) for p in probs] for c in columns}
+
+
+def approx_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float], error: float = 0.001
+) -> Quantiles:
+    """Sketched quantiles within a rank error, in one pass."""
+    found = df.select([_number(c).alias(c) for c in columns]).approxQuantile(columns, probs, error)
+    return {c: q or [None] * len(probs) for c, q in zip(columns, found)}
+
+
+def fences(
+    df: DataFrame, columns: list[str], approx: bool = False, factor: float = 1.5
+) -> dict[str, tuple[float | None, ...]]:
+    """(q1, q3, lowest, highest accepted value) per column."""
+    quartiles = (approx_quantiles if approx else exact_quantiles)(df, columns, [0.25, 0.75])
+
+    def bounds(q1, q3):
+        if q1 is None:
+            return None, None, None, None
+        return q1, q3, q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+
+    return {c: bounds(*q) for c, q in quartiles.items()}
+
+
+def _outside(column: str, low: float | None, high: float | None) -> Column:
+    v = F.col(column).cast("double")
+    return (v < F.lit(low).cast("double")) | (v > F.lit(high).cast("double"))
 
 
 def outliers(
     df: DataFrame, columns: list[str], approx: bool = False, limit_pct: float = 5, factor: float = 1.5
 ) -> DataFrame:
     """Per numeric column: quartiles, rows outside the IQR fences and a "> 5 %" flag."""
-    # The ratio is over all rows, so the cells keep their nulls here.
-    cells = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "coluna", "valor"
-    )
-    share = F.lit(100.0) * F.col("fora") / F.col("linhas")
-    # One fence row per column: a bounded broadcast.
-    return (
-        cells.join(F.broadcast(fences(df, columns, approx, factor)), "coluna")
-        .groupBy("coluna", "q1", "q3")
-        .agg(
-            F.count(F.lit(1)).alias("linhas"),
-            F.count_if(~F.col("valor").between(F.col("minimo"), F.col("maximo"))).alias("fora"),
+    measures = [
+        F.struct(
+            F.lit(c).alias("coluna"), F.lit(q1).cast("double").alias("q1"),
+            F.lit(q3).cast("double").alias("q3"), F.count(F.lit(1)).alias("linhas"),
+            F.count_if(_outside(c, low, high)).alias("fora"),
         )
-        .withColumns({"pct_fora": F.round(share, 2), "problema": share > limit_pct})
-    )
+        for c, (q1, q3, low, high) in fences(df, columns, approx, factor).items()
+    ]
+    share = F.try_divide(F.lit(100.0) * F.col("fora"), F.col("linhas"))
+    return df.agg(F.array(*measures).alias("m")).select(F.inline("m")).withColumns({
+        "pct_fora": F.round(share, 2), "problema": share > limit_pct,
+    })
 
 
-def outlier_rows(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
+def outlier_rows(
+    df: DataFrame, column: str, approx: bool = False, factor: float = 1.5
+) -> DataFrame:
     """The rows of a frame whose value lies outside the fences of its column."""
-    bounds = fences(df, [column], factor=factor).select("minimo", "maximo")
-    value = F.col(column).cast("double")
-    # One-row broadcast with a range condition.
-    return df.join(
-        F.broadcast(bounds), (value < F.col("minimo")) | (value > F.col("maximo"))
-    )
+    _, _, low, high = fences(df, [column], approx, factor)[column]
+    return df.where(_outside(column, low, high))

@@ -87,55 +87,61 @@ def rain_correlation(
     )
 
 
-def _labelled(rows: DataFrame, label: str, position, value, n) -> DataFrame:
-    return rows.select(
-        F.lit(label).alias("indicador"), position.cast("int").alias("posicao"),
-        value.cast("string").alias("valor"), n.cast("bigint").alias("n"),
-    )
-
-
 def general_stats(
     df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia", k: int = 5
 ) -> DataFrame:
     """(indicador, posicao, valor, n) rows: total, covered years, top k areas and kinds, modes.
 
-    All rows come from one (year, month, season, area, kind) aggregate.
+    All rows come from one (year, month, season, area, kind) aggregate. Nothing
+    filters on its keys, so its shuffle is shared by all branches.
     """
-    base = agg.count_by(df, "ano", "mes", "estacao", area, kind, keep_null=True)
-    columns = ["mes", "estacao", area, kind]
+    columns = ["ano", "mes", "estacao", area, kind]
+    base = agg.count_by(df, *columns, keep_null=True)
     census = (
         base.select(TOTAL, *[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([TOTAL], columns, "coluna", "valor")
         .where(F.col("valor").isNotNull())
         .groupBy("coluna", "valor").agg(F.sum(TOTAL).alias("n"))
     )
-    # Ties: months by number, names by letter.
-    number = F.coalesce(F.col("valor").try_cast("int"), F.lit(0))
-    top = top_per_group(census, ["coluna"], [F.desc("n"), number, F.col("valor")], k, "posicao")
-    label = F.create_map(
-        F.lit("mes"), F.lit("mes_mais_ocorrencias"),
-        F.lit("estacao"), F.lit("estacao_mais_ocorrencias"),
-        F.lit(area), F.lit("top_bairros"), F.lit(kind), F.lit("top_tipos"),
+    value, n, column = F.col("valor"), F.col("n"), F.col("coluna")
+    number = F.when(column.isin("ano", "mes"), value.try_cast("int"))
+
+    years = census.where(column == "ano")
+    by_year = Window.orderBy(value)
+
+    def row(label: str, position: Column, count: Column) -> Column:
+        return F.struct(
+            F.lit(label).alias("indicador"), position.cast("int").alias("posicao"),
+            value.alias("valor"), count.cast("bigint").alias("n"),
+        )
+
+    # One row per year: a bounded window. The first and last year give a row of their own.
+    is_first, is_last = F.col("_p") == 1, F.col("_next").isNull()
+    numbered = years.select(
+        "valor", "n", F.row_number().over(by_year).alias("_p"), F.lead(value).over(by_year).alias("_next")
     )
-    shown = F.when(F.col("coluna") == "mes", dates.month_name(number)).otherwise(F.col("valor"))
-    tops = top.where(F.col("coluna").isin(area, kind) | (F.col("posicao") == 1)).select(
-        F.element_at(label, F.col("coluna")).alias("indicador"), "posicao", shown.alias("valor"), "n"
+    listed = numbered.select(F.inline(F.array_compact(F.array(
+        row("anos_disponiveis", F.col("_p"), n),
+        F.when(is_first, row("ano_inicio", F.lit(1), F.lit(None))),
+        F.when(is_last, row("ano_fim", F.lit(1), F.lit(None))),
+    ))))
+    label = F.create_map(*[F.lit(x) for x in (
+        "mes", "mes_mais_ocorrencias", "estacao", "estacao_mais_ocorrencias",
+        area, "top_bairros", kind, "top_tipos",
+    )])
+    # Months tie by number, names by letter.
+    top = top_per_group(
+        census.where(column != "ano"), ["coluna"], [n.desc(), number, value], k, "posicao"
     )
-    years = agg.count_by(base, "ano", weight=TOTAL)
-    by_year = Window.orderBy("ano")
-    listed = _labelled(
-        years.withColumn("p", F.row_number().over(by_year)),
-        "anos_disponiveis", F.col("p"), F.col("ano"), F.col(TOTAL),
+    tops = top.where(column.isin(area, kind) | (F.col("posicao") == 1)).select(
+        F.element_at(label, column).alias("indicador"), "posicao",
+        F.when(column == "mes", dates.month_name(number)).otherwise(value).alias("valor"), "n",
     )
-    bounds = years.agg(F.min("ano").alias("a"), F.max("ano").alias("b"))
-    one, none = F.lit(1), F.lit(None)
-    return (
-        _labelled(base.agg(F.sum(TOTAL).alias("n")), "total_registros", one, none, F.col("n"))
-        .unionByName(_labelled(bounds, "ano_inicio", one, F.col("a"), none))
-        .unionByName(_labelled(bounds, "ano_fim", one, F.col("b"), none))
-        .unionByName(listed)
-        .unionByName(tops)
+    total = base.agg(F.sum(TOTAL).alias("n")).select(
+        F.lit("total_registros").alias("indicador"), F.lit(1).alias("posicao"),
+        F.lit(None).cast("string").alias("valor"), "n",
     )
+    return total.unionByName(listed).unionByName(tops)
 
 
 def aggregate_frames(

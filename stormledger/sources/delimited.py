@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stormledger import schema
+from stormledger.session import materialize
 
 DAMAGED = "_linha_danificada"
 FILE_YEAR = "_ano_origem"
@@ -50,6 +52,8 @@ def read_delimited(
         .option("quote", '"').option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
+        # A pruned parse counts only the wanted fields and would miss long lines.
+        .option("columnPruning", False)
         .csv(path)
     )
     damaged, first = F.col(DAMAGED), F.col(f"`{columns[0]}`")
@@ -64,47 +68,54 @@ def read_delimited(
 def probe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file: encoding, separator, header line and number of lines.
 
-    One scan of the raw bytes; only one row per (task, file) is shuffled. A
-    file is UTF-8 if every line is valid UTF-8, else ISO-8859-1.
+    One scan of the raw bytes finds the encoding (UTF-8 if every line is valid
+    UTF-8, else ISO-8859-1) and a hash of the first line of each file; all
+    aggregation buffers have a fixed width, so nothing is sorted. The header
+    text is then read from one file per distinct hash.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+    lines = _raw_lines(spark, path).select(
         F.col("_metadata.file_path").alias("caminho"),
         F.col("_metadata.file_name").alias("arquivo"),
-        F.col("_metadata.file_block_start").alias("_bloco"),
+        (F.col("_metadata.file_block_start") == 0).alias("_inicio"),
+        # Lines keep their order inside a block, and the header leads block 0.
         F.monotonically_increasing_id().alias("_posicao"),
         "value",
     )
-    # Lines keep their order inside a block, and the header is the first line of block 0.
-    first_line = F.min_by(
-        F.when(F.col("_bloco") == 0, F.col("value").cast("binary")),
-        F.when(F.col("_bloco") == 0, F.col("_posicao")),
-    )
+    hashed = F.when(F.col("_inicio"), F.xxhash64("value"))
     files = lines.groupBy("caminho", "arquivo").agg(
         F.every(F.is_valid_utf8("value")).alias("_utf8"),
-        first_line.alias("_cabecalho"),
+        F.min_by(hashed, F.when(F.col("_inicio"), F.col("_posicao"))).alias("_hash"),
         F.count(F.lit(1)).alias("linhas"),
     )
-    encoding = F.when(F.col("_utf8"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
-    header = F.when(F.col("_utf8"), F.decode("_cabecalho", "UTF-8")).otherwise(
-        F.decode("_cabecalho", "ISO-8859-1")
+    files = materialize(files, "probe")
+    layouts = files.groupBy("_utf8", "_hash").agg(F.min("caminho").alias("exemplo")).collect()
+    rows = []
+    for layout in layouts:
+        encoding = "UTF-8" if layout["_utf8"] else "ISO-8859-1"
+        first = _raw_lines(spark, layout["exemplo"]).select(
+            F.decode(F.col("value").cast("binary"), encoding).alias("h")
+        ).first()
+        header = first["h"].removeprefix("\ufeff").rstrip("\r")
+        rows.append((layout["_utf8"], layout["_hash"], encoding, header, separator_of(header)))
+    known = spark.createDataFrame(
+        rows, "_utf8 boolean, _hash bigint, encoding string, cabecalho string, separador string"
     )
-    probed = files.select("caminho", "arquivo", encoding.alias("encoding"), header.alias("cabecalho"), "linhas")
-    return probed.withColumn("separador", separator_of(F.col("cabecalho")))
+    # One row per distinct layout: a bounded broadcast.
+    return files.join(F.broadcast(known), ["_utf8", "_hash"]).drop("_utf8", "_hash")
 
 
-def separator_of(header: Column) -> Column:
-    """The candidate that splits a header line into most fields; ";" wins ties."""
-    first, *rest = SEPARATORS
-    fields = {s: _field_count(header, s) for s in SEPARATORS}
-    most = F.greatest(*fields.values())
-    return reduce(
-        lambda acc, s: acc.when(fields[s] == most, F.lit(s)),
-        rest, F.when(fields[first] == most, F.lit(first)),
-    )
+def _raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(path)
 
 
 def header_columns(header: str, sep: str) -> list[str]:
-    return [h.strip().strip('"') for h in header.split(sep)]
+    """Column names of a header line."""
+    return [name.strip() for name in next(csv.reader([header], delimiter=sep))]
+
+
+def separator_of(header: str) -> str:
+    """The candidate that splits a header line into most columns; ";" wins ties."""
+    return max(SEPARATORS, key=lambda sep: len(header_columns(header, sep)))
 
 
 def read_corpus(spark: SparkSession, path: str | list[str], canonical: bool = True) -> DataFrame:
@@ -156,14 +167,10 @@ def corpus_summary(df: DataFrame, file_column: str = "_arquivo") -> DataFrame:
 
 
 def layout_difference(probed: DataFrame) -> DataFrame:
-    """(coluna, arquivo) rows of the columns that some file of a probe lacks."""
-    names = F.transform(
-        F.split(F.col("cabecalho"), F.concat(F.lit("["), F.col("separador"), F.lit("]"))),
-        lambda h: F.trim(F.replace(h, F.lit('"'), F.lit(""))),
-    )
-    present = probed.select("caminho", "arquivo", F.explode(names).alias("coluna")).distinct()
+    """(coluna, caminho) rows of the columns that some file of a probe lacks."""
+    quoted = F.split(F.col("cabecalho"), F.concat(F.lit("["), F.col("separador"), F.lit("]")))
+    names = F.transform(quoted, lambda h: F.trim(F.replace(h, F.lit('"'), F.lit(""))))
+    present = probed.select("caminho", F.explode(names).alias("coluna")).distinct()
     files = probed.select(F.count(F.lit(1)).alias("_f")).scalar()
-    partial = (
-        present.groupBy("coluna").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < files)
-    )
-    return present.join(partial, "coluna", "left_semi").select("coluna", "arquivo", "caminho")
+    partial = present.groupBy("coluna").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") < files)
+    return present.join(partial, "coluna", "left_semi").select("coluna", "caminho")
