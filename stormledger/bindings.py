@@ -7,8 +7,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stormledger.functions import dates
 
 
+# Column types of the tables in use; a given schema saves the job that infers one.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,18 +43,27 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents with area and region."""
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # Nations (25) and regions (5) are fixed tables at every scale factor.
-    nation = F.broadcast(table(spark, sf_dir, "nation"))
-    region = F.broadcast(table(spark, sf_dir, "region"))
-    places = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
-        region, F.col("n_regionkey") == F.col("r_regionkey")
-    ).select(
-        F.col("c_custkey").alias("id_solicitante"),
-        F.col("n_name").alias("bairro"), F.col("r_name").alias("regional"),
+    """Incidents with area and region.
+
+    Spark broadcasts the customers only where their size allows it. Nations
+    (25) and regions (5) are fixed tables at every scale factor.
+    """
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id_solicitante"), "c_nationkey"
+    )
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("bairro"), "n_regionkey"
+    )
+    region = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("regional")
+    )
+    return (
+        orders(spark, sf_dir)
+        .join(customer, "id_solicitante")
+        .join(F.broadcast(nation), "c_nationkey")
+        .join(F.broadcast(region), "n_regionkey")
+        .drop("c_nationkey", "n_regionkey")
     )
-    return orders(spark, sf_dir).join(places, "id_solicitante")
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,14 +29,16 @@ class _Range:
     hi: float
     below: int
 
-    def bucket(self) -> Column:
-        """Bucket 0..BUCKETS-1 of a value inside the range, null outside; grows with the value."""
-        v = _number(self.column)
+    def holds(self, v: Column) -> Column:
+        return v.between(self.lo, self.hi)
+
+    def bucket(self, v: Column) -> Column:
+        """Bucket 0..BUCKETS-1 of a value of the range; grows with the value."""
         # Halves keep the width finite for ranges wider than the largest double.
         half = 0.5 if math.isinf(self.hi - self.lo) else 1.0
         width = F.lit(self.hi * half - self.lo * half)
         step = F.floor((v * half - F.lit(self.lo * half)) / width * BUCKETS)
-        return F.when(v.between(self.lo, self.hi), F.least(step, F.lit(BUCKETS - 1)).cast("int"))
+        return F.least(step, F.lit(BUCKETS - 1)).cast("int")
 
 
 def _number(column: str) -> Column:
@@ -57,11 +59,17 @@ def _extent(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, fl
 
 def _narrow(df: DataFrame, ranges: list[_Range], ranks: dict[_Range, set[int]]):
     """One scan: for each range and each rank in it, the smaller range that holds the rank."""
-    marks = F.array(*[
-        F.struct(F.lit(i).alias("i"), r.bucket().alias("b"), _number(r.column).alias("v"))
-        for i, r in enumerate(ranges)
-    ])
-    cells = df.select(F.inline(F.filter(marks, lambda m: m["b"].isNotNull())))
+    def mark(column: str) -> Column:
+        # The ranges of one column do not overlap: a value falls into one at most.
+        v, i, b = _number(column), F.lit(None).cast("int"), F.lit(None).cast("int")
+        for at, r in enumerate(ranges):
+            if r.column == column:
+                i = F.when(r.holds(v), F.lit(at)).otherwise(i)
+                b = F.when(r.holds(v), r.bucket(v)).otherwise(b)
+        return F.struct(i.alias("i"), b.alias("b"), v.alias("v"))
+
+    columns = dict.fromkeys(r.column for r in ranges)
+    cells = df.select(F.inline(F.array(*map(mark, columns)))).where(F.col("i").isNotNull())
     histogram = cells.groupBy("i", "b").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )

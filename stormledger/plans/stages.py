@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stormledger import schema
 from stormledger.operators import cleaning, profiling, quantiles
+from stormledger.session import materialize
 
 
 def clean_and_unify(
@@ -28,11 +29,14 @@ def clean_and_unify(
     return cleaning.derive_calendar(out)
 
 
-def diagnose(df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50) -> DataFrame:
+def diagnose(
+    df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50, approx: bool = False
+) -> DataFrame:
     """Column profiles and problems per ``keys`` (such as the source file), in tidy rows.
 
-    One census of the table feeds the column profile; the numeric fences take
-    the quantile scans on top.
+    One census of the table feeds the column profile; without ``keys`` the
+    numeric columns also get their outlier share, from exact or approximate
+    quartiles.
     """
     columns = [c for c in df.columns if c not in keys]
     classes = {f.name: schema.column_class(f) for f in df.schema if f.name in columns}
@@ -48,5 +52,10 @@ def diagnose(df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50) -
     numeric = [c for c in schema.numeric_columns(df) if c in columns]
     if keys or not numeric:
         return out
-    fences = quantiles.outliers(df, numeric).select("coluna", "pct_fora", F.col("problema").alias("outliers"))
-    return out.join(F.broadcast(fences), "coluna", "left")
+    # Several scans follow, so the numbers alone become a table first.
+    numbers = materialize(df.select(numeric), "numbers")
+    outside = quantiles.outliers(numbers, numeric, approx).select(
+        "coluna", "pct_fora", F.col("problema").alias("outliers")
+    )
+    # One row per numeric column: a bounded broadcast.
+    return out.join(F.broadcast(outside), "coluna", "left")

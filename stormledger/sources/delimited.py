@@ -121,29 +121,26 @@ def separator_of(header: str) -> str:
 def read_corpus(spark: SparkSession, path: str | list[str], canonical: bool = True) -> DataFrame:
     """Read and unite files of any mix of encodings, separators and layouts.
 
-    The probe runs first; the driver then holds one path per file. Each
-    distinct layout becomes one multi-file scan, and the scans unite by column
+    The probe runs first; the driver then holds one path per file, as Spark's
+    own file index does. Each distinct layout becomes one multi-file scan, and the scans unite by column
     name with nulls for absent columns. ``_arquivo`` and ``_ano_origem`` keep
     the provenance.
     """
-    layouts = (
-        probe_files(spark, path)
-        .groupBy("encoding", "separador", "cabecalho")
-        .agg(F.sort_array(F.collect_list("caminho")).alias("caminhos"))
-        .orderBy("encoding", "separador", "cabecalho")
-        .collect()
-    )
+    layouts: dict[tuple[str, str, str], list[str]] = {}
+    for *layout, file in probe_files(spark, path).select(
+        "encoding", "separador", "cabecalho", "caminho"
+    ).toLocalIterator():
+        layouts.setdefault(tuple(layout), []).append(file)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_read_layout(spark, row, canonical) for row in layouts],
+        [_read_layout(spark, *key, sorted(layouts[key]), canonical) for key in sorted(layouts)],
     )
 
 
-def _read_layout(spark: SparkSession, layout, canonical: bool) -> DataFrame:
-    names = header_columns(layout["cabecalho"], layout["separador"])
-    rows = read_delimited(
-        spark, list(layout["caminhos"]), names, layout["separador"], layout["encoding"]
-    )
+def _read_layout(
+    spark: SparkSession, encoding: str, sep: str, header: str, files: list[str], canonical: bool
+) -> DataFrame:
+    rows = read_delimited(spark, files, header_columns(header, sep), sep, encoding)
     rows = rows.select(
         "*", F.col("_metadata.file_name").alias("_arquivo"),
         file_year(F.col("_metadata.file_path")).alias(FILE_YEAR),

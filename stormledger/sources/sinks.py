@@ -19,12 +19,18 @@ def rows_up_to(df: DataFrame, limit: int) -> int:
     return len(df.select(F.lit(1)).take(limit))
 
 
-def write_parquet_by_year(df: DataFrame, path: str, year: str = "ano") -> str:
+def write_parquet_by_year(
+    df: DataFrame, path: str, year: str = "ano", rebalance: bool = False
+) -> str:
     """Parquet partitioned by year, so that year filters read only their folders.
 
-    Rows stay in the tasks that hold them: no shuffle, and a year with most of
-    the rows is written by many tasks.
+    Without ``rebalance`` rows stay in the tasks that hold them, which suits
+    input that is already one file per year. With it, rows of a year come
+    together in well-sized files; adaptive execution splits a year with most
+    of the rows over many tasks.
     """
+    if rebalance:
+        df = df.hint("rebalance", year)
     df.write.mode("overwrite").partitionBy(year).parquet(path)
     return path
 

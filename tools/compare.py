@@ -49,6 +49,21 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Type names of the two engines that mean the same.
+SAME_TYPE = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(out, con, sql: str) -> str | None:
+    """Columns whose types differ between both engines."""
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    have = {n: SAME_TYPE.get(t, t) for n, t in out.dtypes}
+    bad = {n: (have[n], want.get(n)) for n in have if have[n] != want.get(n)}
+    return f"types differ: {bad}" if bad else None
+
+
 def difference(spark, con, sf_dir: str, name: str) -> str | None:
     """None when the query agrees with its SQL, else what differs."""
     out = catalog.QUERIES[name](spark, sf_dir)
@@ -60,6 +75,8 @@ def difference(spark, con, sf_dir: str, name: str) -> str | None:
     want = rows_of(columns, cur.fetchall())
     if sorted(columns) != sorted(out.columns):
         return f"columns {sorted(out.columns)} != {sorted(columns)}"
+    if problem := type_difference(out, con, catalog.SQL[name]):
+        return problem
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}; {got[:2]} / {want[:2]}"
     bad = [(g, w) for g, w in zip(got, want) if g != w]
