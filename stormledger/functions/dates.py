@@ -19,20 +19,32 @@ def date_shape(c: Column) -> Column:
     ).otherwise(F.lit("outro"))
 
 
+# The accepted shapes as two patterns: the year first, or the day first with an optional time.
+YEAR_FIRST = r"^\d{4}([-/])\d{1,2}\1\d{1,2}$"
+DAY_FIRST = (
+    r"^(\d{1,2})/(\d{1,2})/(\d{4})( \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
+    r"|^(\d{1,2})-(\d{1,2})-(\d{4})( \d{1,2}:\d{1,2}:\d{1,2})?$"
+)
+
+
 def parse_date(c: Column) -> Column:
     """Timestamp without zone from any accepted format; null where none fits.
 
-    The shape picks the one format to try, so a row is parsed at most once and
-    a text of no known shape never reaches a parser.
+    Day-first texts are turned into ISO order, and one cast reads both. Unlike
+    a parser with a pattern, the cast neither depends on the session time zone
+    nor raises an exception inside for each text that does not fit.
     """
     s = text.strip(c)
-    first, *rest = vocab.DATE_SHAPES
-    parsed = reduce(
-        lambda acc, shape: acc.when(s.rlike(shape[1]), F.try_to_timestamp(s, F.lit(shape[2]))),
-        rest,
-        F.when(s.rlike(first[1]), F.try_to_timestamp(s, F.lit(first[2]))),
-    )
-    return parsed.cast("timestamp_ntz")
+    iso = F.regexp_replace(s, DAY_FIRST, "$3$7-$2$6-$1$5$4$8")
+    return F.when(
+        s.rlike(YEAR_FIRST), F.replace(s, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")
+    ).when(s.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
+
+
+def wall_seconds(c: Column) -> Column:
+    """Seconds of a timestamp without zone since 1970, whatever the session time zone."""
+    day = F.unix_date(c.cast("date")).cast("bigint")
+    return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def season(month: Column, labels: list[str] = vocab.SEASONS) -> Column:

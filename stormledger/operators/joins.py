@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stormledger import vocab
+from stormledger.functions.dates import wall_seconds
 from stormledger.operators.aggregates import TOTAL
 
 
@@ -117,16 +118,15 @@ def mean_response_hours(
     Answers shrink to (count, sum of end times) per request before the join, so
     a request with very many answers is one row.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     answered = (
         answers.where(F.col(end).isNotNull())
         .groupBy(F.col(answer_key).alias("_k"))
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum(F.timestamp_diff("SECOND", epoch, F.col(end))).alias("_end"),
+            F.sum(wall_seconds(F.col(end))).alias("_end"),
         )
     )
-    waited = F.col("_end") - F.col("_n") * F.timestamp_diff("SECOND", epoch, F.col(start))
+    waited = F.col("_end") - F.col("_n") * wall_seconds(F.col(start))
     return (
         requests.join(answered, F.col(key) == F.col("_k"))
         .groupBy(*period)

@@ -90,15 +90,15 @@ NATIONAL_HOLIDAYS = [
     (12, 25, "Natal"),
 ]
 
-# Accepted date spellings as (label, shape, Spark pattern).
+# Accepted date spellings as (label, shape).
 DATE_SHAPES = [
-    ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    ("dd/MM/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    ("dd/MM/yyyy HH:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
-    ("dd/MM/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "d/M/yyyy H:m"),
-    ("yyyy/MM/dd", r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    ("dd-MM-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    ("dd-MM-yyyy HH:mm:ss", r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d-M-yyyy H:m:s"),
+    ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("dd/MM/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("dd/MM/yyyy HH:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("dd/MM/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
+    ("yyyy/MM/dd", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("dd-MM-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$"),
+    ("dd-MM-yyyy HH:mm:ss", r"^\d{1,2}-\d{1,2}-\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
 ]
 
 
