@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from stormledger import bindings as b
 from stormledger.catalog.core import query
 from stormledger.catalog.counting import MONTHLY, RAIN_CASE
+from stormledger.functions.dates import wall_seconds
 from stormledger.operators import aggregates as agg, joins, quality
+from stormledger.operators.cleaning import parse_date_columns
 from stormledger.plans import datasets
 
 DIRTY, ORD = f"WITH {b.DIRTY_SQL}", f"WITH {b.ORDERS_SQL}"
@@ -112,8 +114,6 @@ def orphans(spark, sf):
 @query("dq_required", f"""{DIRTY}, p AS (SELECT *, {PARSED} AS d FROM dirty)
   SELECT d IS NOT NULL AND tipo_ocorrencia IS NOT NULL AS aceito, count(*) AS n FROM p GROUP BY 1""")
 def dq_required(spark, sf):
-    from stormledger.operators.cleaning import parse_date_columns
-
     parsed = parse_date_columns(b.dirty(spark, sf))
     marked = quality.mark_accepted(parsed, ["data_atendimento", "tipo_ocorrencia"])
     return marked.groupBy("aceito").agg(F.count(F.lit(1)).alias("n"))
@@ -145,6 +145,21 @@ def dq_range(spark, sf):
     ])
 
 
+@query("dq_response_range", _rule_sql(
+    "minutos_no_intervalo", "alta", "NOT (epoch(l_shipdate - o_orderdate) / 60 BETWEEN 0 AND 2880)",
+    "orders JOIN lineitem ON o_orderkey = l_orderkey", 0.05,
+))
+def dq_response_range(spark, sf):
+    """Response times of 0 to 2880 minutes."""
+    answered = b.orders(spark, sf).join(
+        b.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id_atendimento"), "l_shipdate"),
+        "id_atendimento",
+    )
+    waited = wall_seconds(F.col("l_shipdate")) - wall_seconds(F.col("data_atendimento"))
+    rule = quality.Rule("minutos_no_intervalo", quality.HIGH, (waited / 60).between(0, 2880), 0.05)
+    return quality.check(answered, [rule])
+
+
 @query("dq_daily_range", f"""{CALLS} SELECT posto, CAST(data_atendimento AS DATE) AS dia,
   round(sum(chuva_mm), 2) AS total_dia FROM calls GROUP BY 1, 2 HAVING round(sum(chuva_mm), 2) NOT BETWEEN 0 AND 300""")
 def dq_daily_range(spark, sf):
@@ -261,8 +276,6 @@ def dq_rules_rain(spark, sf):
       OR data_atendimento > TIMESTAMP '2001-08-01'""", "p"),
 ]))
 def dq_rules_incidents(spark, sf):
-    from stormledger.operators.cleaning import parse_date_columns
-
     reference = F.lit("2001-08-01 00:00:00").cast("timestamp_ntz")
     parsed = parse_date_columns(b.dirty(spark, sf))
     return quality.check(

@@ -58,8 +58,8 @@ def time_series(df: DataFrame, weight: str | None = None) -> DataFrame:
 
 def area_ranking(df: DataFrame, area: str = "bairro", weight: str | None = None) -> DataFrame:
     """Areas by total with rank and percent."""
-    counted = agg.count_by(df, area, weight=weight)
-    return agg.with_share(agg.with_ranking(counted, area)).orderBy("ranking")
+    shares = agg.with_share(agg.count_by(df, area, weight=weight))
+    return agg.with_ranking(shares, area).orderBy("ranking")
 
 
 def seasonality(df: DataFrame, weight: str | None = None) -> DataFrame:

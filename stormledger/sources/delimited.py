@@ -7,12 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stormledger import schema
+from stormledger import schema, vocab
 from stormledger.session import materialize
 
 DAMAGED = "_linha_danificada"
 FILE_YEAR = "_ano_origem"
 SEPARATORS = [";", ",", "\t"]
+# File names a corpus consists of.
+CSV_FILES = "*.[cC][sS][vV]"
 # A year is a four-digit part of a name between "_", "=", start, end or ".".
 YEAR_PATTERN = r"(?:^|[_=])(\d{4})(?:_|\.|$)"
 
@@ -38,19 +40,21 @@ def _field_count(line: Column, sep: str) -> Column:
 def read_delimited(
     spark: SparkSession, path: str | list[str], columns: list[str],
     sep: str = ";", encoding: str = "UTF-8", header: bool = True,
+    nulls: list[str] = vocab.NULL_TEXTS, multi_line: bool = False,
 ) -> DataFrame:
     """Scan files of one layout as text columns.
 
     Lines with too many fields are dropped; short lines are padded with nulls
     (DROPMALFORMED would drop both). Only lines the parser marks as damaged
-    are looked at again.
+    are looked at again. Texts in ``nulls`` become null. ``multi_line`` accepts
+    line breaks inside quotes, at the price of one task per file.
     """
     fields = ", ".join(f"`{c}` string" for c in [*columns, DAMAGED])
     rows = (
         spark.read.schema(fields)
         .option("sep", sep).option("header", header).option("encoding", encoding)
         .option("quote", '"').option("escape", '"')
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", True).option("multiLine", multi_line)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
         # A pruned parse counts only the wanted fields and would miss long lines.
         .option("columnPruning", False)
@@ -62,10 +66,13 @@ def read_delimited(
     short = (_field_count(damaged, sep) <= len(columns)) & (
         F.char_length(F.coalesce(first, F.lit(""))) >= 0
     )
-    return rows.where(damaged.isNull() | short).drop(DAMAGED)
+    values = [F.col(f"`{c}`") for c in columns]
+    return rows.where(damaged.isNull() | short).select(
+        [F.when(~v.isin(nulls), v).alias(c) for c, v in zip(columns, values)]
+    )
 
 
-def probe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def probe_files(spark: SparkSession, path: str | list[str], names: str = CSV_FILES) -> DataFrame:
     """One row per file: encoding, separator, header line and number of lines.
 
     One scan of the raw bytes finds the encoding (UTF-8 if every line is valid
@@ -73,7 +80,7 @@ def probe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     aggregation buffers have a fixed width, so nothing is sorted. The header
     text is then read from one file per distinct hash.
     """
-    lines = _raw_lines(spark, path).select(
+    lines = _raw_lines(spark, path, names).select(
         F.col("_metadata.file_path").alias("caminho"),
         F.col("_metadata.file_name").alias("arquivo"),
         (F.col("_metadata.file_block_start") == 0).alias("_inicio"),
@@ -92,7 +99,7 @@ def probe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     rows = []
     for layout in layouts:
         encoding = "UTF-8" if layout["_utf8"] else "ISO-8859-1"
-        first = _raw_lines(spark, layout["exemplo"]).select(
+        first = _raw_lines(spark, layout["exemplo"], names).select(
             F.decode(F.col("value").cast("binary"), encoding).alias("h")
         ).first()
         header = first["h"].removeprefix("\ufeff").rstrip("\r")
@@ -104,8 +111,8 @@ def probe_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return files.join(F.broadcast(known), ["_utf8", "_hash"]).drop("_utf8", "_hash")
 
 
-def _raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.option("recursiveFileLookup", True).text(path)
+def _raw_lines(spark: SparkSession, path: str | list[str], names: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path)
 
 
 def header_columns(header: str, sep: str) -> list[str]:

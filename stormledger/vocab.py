@@ -41,6 +41,12 @@ KIND_SPELLINGS = {
 # Lower-case region spellings the region filter keeps.
 REGION_SPELLINGS = ["recife", "recife/pe", "recife - pe", "r mr", "metropolitana"]
 
+# Texts of a raw file that mean "no value".
+NULL_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 # Fixed value: text sentinel for missing values.
 NOT_INFORMED = "não informado"
 

@@ -33,6 +33,21 @@ def test_bad_lines(spark, tmp_path):
     assert [r[0] for r in rows.select("b").collect()] == ["2", None, "z", "c"]
 
 
+def test_null_texts_and_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text('a;b\n"";N/A\nnull;x\n"duas\nlinhas";NaN\n')
+    rows = delimited.read_delimited(spark, str(path), ["a", "b"], multi_line=True)
+    assert [tuple(r) for r in rows.collect()] == [(None, None), (None, "x"), ("duas\nlinhas", None)]
+
+
+def test_corpus_ignores_other_files(spark, corpus):
+    Path(corpus, "leia.txt").write_text("x;y\n")
+    Path(corpus, "mais.CSV").write_text("Bairro;Status\nIbura;aberto\n")
+    assert {r["arquivo"] for r in delimited.probe_files(spark, corpus).collect()} == {
+        "atendimentos_2023.csv", "atendimentos_2024.csv", "outros.csv", "mais.CSV"}
+    assert delimited.read_corpus(spark, corpus).where("bairro = 'Ibura'").count() == 1
+
+
 def test_probe(spark, corpus):
     got = {r["arquivo"]: (r["encoding"], r["separador"], r["linhas"], r["cabecalho"])
            for r in delimited.probe_files(spark, corpus).collect()}
