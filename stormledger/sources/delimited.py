@@ -66,9 +66,10 @@ def read_delimited(
     short = (_field_count(damaged, sep) <= len(columns)) & (
         F.char_length(F.coalesce(first, F.lit(""))) >= 0
     )
-    values = [F.col(f"`{c}`") for c in columns]
-    return rows.where(damaged.isNull() | short).select(
-        [F.when(~v.isin(nulls), v).alias(c) for c, v in zip(columns, values)]
+    absent = ", ".join("'" + text.replace("'", "\\'") + "'" for text in nulls)
+    return rows.where(damaged.isNull() | short).selectExpr(
+        [f"CASE WHEN `{c}` NOT IN ({absent}) THEN `{c}` END AS `{c}`" for c in columns]
+        if nulls else [f"`{c}`" for c in columns]
     )
 
 
