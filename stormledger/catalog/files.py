@@ -8,7 +8,7 @@ from stormledger import bindings as b
 from stormledger.catalog.core import query
 from stormledger.functions import dates
 from stormledger.operators import aggregates as agg, profiling
-from stormledger.plans import datasets
+from stormledger.plans import datasets, stages
 from stormledger.session import scratch_path
 from stormledger.sources import delimited, records, sinks
 
@@ -149,6 +149,21 @@ def src_gzip_roundtrip(spark, sf):
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
+@query("src_cleaned_table", f"""WITH {b.DIRTY_SQL}, d AS (SELECT *, {b.PARSE_SQL.format(c='data_atendimento')} AS t FROM dirty)
+  SELECT CAST(year(t) AS INTEGER) AS ano, CAST(month(t) AS INTEGER) AS mes, count(*) AS total_ocorrencias,
+  CAST(min(t) AS TIMESTAMP) AS primeira, round(sum(coalesce(quantidade, 0)), 2) AS quantidade
+  FROM d WHERE t IS NOT NULL GROUP BY 1, 2""")
+def src_cleaned_table(spark, sf):
+    """The cleaned table goes to gzip CSV and comes back typed."""
+    clean = stages.clean_and_unify(b.dirty(spark, sf))
+    path = sinks.write_csv_auto(clean, scratch_path(spark, "cleaned"), threshold=100)
+    rows = delimited.read_cleaned(spark, path)
+    return rows.where("ano IS NOT NULL").groupBy("ano", "mes").agg(
+        F.count(F.lit(1)).alias("total_ocorrencias"), F.min("data_atendimento").alias("primeira"),
+        F.round(F.sum("quantidade"), 2).alias("quantidade"),
+    )
+
+
 @query("sink_csv_compressed", """SELECT count(*) AS linhas, round(sum(l_extendedprice), 2) AS soma,
   true AS comprimido FROM lineitem""")
 def sink_csv_compressed(spark, sf):

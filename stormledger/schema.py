@@ -36,6 +36,9 @@ HEADER_ALIASES = {
 # Raw columns that hold numbers.
 NUMERIC_COLUMNS = ["quantidade", "altura", "largura", "area_m"]
 
+# Derived columns that hold integers.
+INTEGER_COLUMNS = ["ano", "mes", "dia", "hora", "dia_semana", "_ano_origem"]
+
 # Fields profiled as categories, and key fields that should not
 # be null.
 CATEGORICAL_FIELDS = [
@@ -52,10 +55,25 @@ def canonical_name(header: str) -> str:
     return HEADER_ALIASES.get(plain, plain)
 
 
-def canonical_columns(df: DataFrame) -> DataFrame:
-    """Rename raw headers to canonical columns (case- and accent-insensitive)."""
-    renames = {c: canonical_name(c) for c in df.columns if not c.startswith("_")}
-    return df.withColumnsRenamed(renames)
+def unique_names(names: Iterable[str]) -> list[str]:
+    """Names made distinct without regard to case: a repeated one gets its position."""
+    out: list[str] = []
+    for at, name in enumerate(names):
+        taken = {n.lower() for n in out}
+        out.append(f"{name}_{at}" if name.lower() in taken else name)
+    return out
+
+
+def canonical_names(headers: Iterable[str], cleaned: bool = False) -> list[str]:
+    """Canonical columns of a header line.
+
+    A ``cleaned`` table holds derived columns next to the raw ones: there "ano"
+    is the derived year and "Ano" the raw one.
+    """
+    return unique_names(
+        h if cleaned and h in INTEGER_COLUMNS else canonical_name(h)
+        for h in (header.strip() for header in headers)
+    )
 
 
 def find_column(df: DataFrame, *candidates: str) -> str | None:

@@ -11,10 +11,13 @@ from stormledger import schema, vocab
 from stormledger.session import materialize
 
 DAMAGED = "_linha_danificada"
+FILE_NAME = "_arquivo"
 FILE_YEAR = "_ano_origem"
 SEPARATORS = [";", ",", "\t"]
 # File names a corpus consists of.
 CSV_FILES = "*.[cC][sS][vV]"
+# The same, plain or gzip-compressed.
+CSV_OR_GZIP_FILES = "*.[cC][sS][vV]{,.gz}"
 # A year is a four-digit part of a name between "_", "=", start, end or ".".
 YEAR_PATTERN = r"(?:^|[_=])(\d{4})(?:_|\.|$)"
 
@@ -126,7 +129,10 @@ def separator_of(header: str) -> str:
     return max(SEPARATORS, key=lambda sep: len(header_columns(header, sep)))
 
 
-def read_corpus(spark: SparkSession, path: str | list[str], canonical: bool = True) -> DataFrame:
+def read_corpus(
+    spark: SparkSession, path: str | list[str], canonical: bool = True, cleaned: bool = False,
+    names: str = CSV_FILES,
+) -> DataFrame:
     """Read and unite files of any mix of encodings, separators and layouts.
 
     The probe runs first; the driver then holds one path per file, as Spark's
@@ -135,25 +141,36 @@ def read_corpus(spark: SparkSession, path: str | list[str], canonical: bool = Tr
     the provenance.
     """
     layouts: dict[tuple[str, str, str], list[str]] = {}
-    for *layout, file in probe_files(spark, path).select(
+    for *layout, file in probe_files(spark, path, names).select(
         "encoding", "separador", "cabecalho", "caminho"
     ).toLocalIterator():
         layouts.setdefault(tuple(layout), []).append(file)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_read_layout(spark, *key, sorted(layouts[key]), canonical) for key in sorted(layouts)],
+        [
+            _read_layout(spark, *key, sorted(layouts[key]), canonical, cleaned)
+            for key in sorted(layouts)
+        ],
     )
 
 
 def _read_layout(
-    spark: SparkSession, encoding: str, sep: str, header: str, files: list[str], canonical: bool
+    spark: SparkSession, encoding: str, sep: str, header: str, files: list[str],
+    canonical: bool, cleaned: bool,
 ) -> DataFrame:
-    rows = read_delimited(spark, files, header_columns(header, sep), sep, encoding)
-    rows = rows.select(
-        "*", F.col("_metadata.file_name").alias("_arquivo"),
-        file_year(F.col("_metadata.file_path")).alias(FILE_YEAR),
+    headers = header_columns(header, sep)
+    if canonical:
+        columns = schema.canonical_names(headers, cleaned)
+    else:
+        columns = schema.unique_names(headers)
+    # A file may already hold a provenance column from an earlier stage.
+    kept = [c for c in columns if c not in (FILE_NAME, FILE_YEAR)]
+    rows = read_delimited(spark, files, columns, sep, encoding)
+    return rows.select(
+        *kept, F.col("_metadata.file_name").alias(FILE_NAME),
+        F.col(FILE_YEAR).cast("int").alias(FILE_YEAR) if FILE_YEAR in columns
+        else file_year(F.col("_metadata.file_path")).alias(FILE_YEAR),
     )
-    return schema.canonical_columns(rows) if canonical else rows
 
 
 def cast_measures(df: DataFrame) -> DataFrame:
@@ -163,7 +180,19 @@ def cast_measures(df: DataFrame) -> DataFrame:
     })
 
 
-def corpus_summary(df: DataFrame, file_column: str = "_arquivo") -> DataFrame:
+def read_cleaned(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Read back a cleaned table from plain or gzip CSV, with typed columns."""
+    df = read_corpus(spark, path, cleaned=True, names=CSV_OR_GZIP_FILES)
+    # "2024.0" is a number another tool may have written for 2024.
+    whole = {
+        c: F.col(c).try_cast("double").cast("int") for c in schema.INTEGER_COLUMNS if c in df.columns
+    }
+    # Cleaned dates are ISO text, with or without a time.
+    dates = {c: F.col(c).try_cast("timestamp_ntz") for c in schema.date_columns(df)}
+    return cast_measures(df).withColumns(whole | dates)
+
+
+def corpus_summary(df: DataFrame, file_column: str = FILE_NAME) -> DataFrame:
     """Rows per file and, with a null file, files and rows overall."""
     per_file = df.groupBy(file_column).agg(F.count(F.lit(1)).alias("registros"))
     return per_file.rollup(file_column).agg(

@@ -83,6 +83,20 @@ def test_corpus_through_all_stages(spark, corpus):
     assert row["muitos_nulos"] and row["campo_chave_nulo"]
 
 
+def test_cleaned_table_of_another_tool(spark, tmp_path):
+    """Raw and derived columns whose names differ only in case stay apart."""
+    path = tmp_path / "atendimentos_unificado.csv.gz"
+    with gzip.open(path, "wt", encoding="utf-8") as f:
+        f.write("Regional,Ano,Mês,Data,Bairro,_ano_origem,ano,mes,estacao\n"
+                "Norte,2025,Dezembro,2024-12-06,Dois Unidos,2025,2024.0,12.0,verao\n"
+                "Norte,2025,Dezembro,,Ibura,2025,,,\n")
+    rows = delimited.read_cleaned(spark, str(path)).orderBy("bairro").collect()
+    assert [(r["ano_registro"], r["mes_registro"], r["ano"], r["mes"], r["_ano_origem"]) for r in rows] == [
+        ("2025", "Dezembro", 2024, 12, 2025), ("2025", "Dezembro", None, None, 2025)]
+    assert rows[0]["data_atendimento"].date().isoformat() == "2024-12-06"
+    assert [tuple(r) for r in agg.by_year(delimited.read_cleaned(spark, str(path))).collect()] == [(2024, 1)]
+
+
 def test_layout_difference(spark, corpus):
     lacking = delimited.layout_difference(delimited.probe_files(spark, corpus))
     got = {(r["coluna"], r["caminho"].rsplit("/", 1)[1]) for r in lacking.collect()}
