@@ -132,9 +132,10 @@ def categorical_profile(
 ) -> DataFrame:
     """Distinct count and top k values of each categorical field present."""
     fields = [c for c in (fields or schema.CATEGORICAL_FIELDS) if c in df.columns]
-    # Both sides start from the same filtered census, so its shuffle is shared.
+    # Both sides need the same columns of the same filtered census (hence the
+    # look at n), so its shuffle is shared and the table is read once.
     present = value_census(df, fields, keys).where(F.col("valor").isNotNull())
-    unique = present.groupBy(*keys, "coluna").agg(F.count(F.lit(1)).alias("total_unicos"))
+    unique = present.groupBy(*keys, "coluna").agg(F.count_if(F.col("n") > 0).alias("total_unicos"))
     return top_values(present, k, keys).join(unique, [*keys, "coluna"])
 
 

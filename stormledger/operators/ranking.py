@@ -12,7 +12,9 @@ def with_global_rank(df: DataFrame, total: str, key: str, out: str) -> DataFrame
     total and equal key prefix) and shifted by the number of rows in earlier
     pieces. Only the piece sizes pass through one task, not the rows.
     """
-    piece = F.substring(F.col(key).cast("string"), 1, 3)
+    # Never null, so the join below adds no filter that would keep Spark from
+    # sharing the shuffle behind both of its sides.
+    piece = F.coalesce(F.substring(F.col(key).cast("string"), 1, 3), F.lit(""))
     pieced = df.withColumn("_p", piece)
     sizes = pieced.groupBy(total, "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(F.desc(total), "_p").rowsBetween(Window.unboundedPreceding, -1)

@@ -80,10 +80,11 @@ def volume_check(
 
 def year_over_year(df: DataFrame, value: str = TOTAL) -> DataFrame:
     """Each year next to the calendar year before; null and not comparable on gaps."""
-    before = df.select((F.col("ano") + 1).alias("ano"), F.col(value).alias("anterior"))
+    w = Window.orderBy("ano")
+    adjacent = F.col("ano") - F.lag("ano").over(w) == 1
     return (
         df.select("ano", value)
-        .join(before, "ano", "left")
+        .withColumn("anterior", F.when(adjacent, F.lag(value).over(w)))
         .withColumn("variacao_pct", _change(F.col(value), F.col("anterior")))
         .withColumn("comparavel", F.col("anterior").isNotNull())
     )

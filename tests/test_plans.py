@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormledger import bindings, catalog
-from stormledger.operators import aggregates as agg, profiling, quality, ranking, series
-from stormledger.plans import datasets
+from stormledger.operators import aggregates as agg, profiling, quality, quantiles, ranking, series
 
 from conftest import SMALL
 
@@ -50,15 +49,6 @@ def test_groups_are_limited_before_the_shuffle(spark, make):
     assert "Partial" in "".join(re.findall(r"WindowGroupLimit.*", plan))
 
 
-def test_base_aggregate_is_shared(spark):
-    """The rows are aggregated once, whatever number of branches follows."""
-    for make in (datasets.general_stats, datasets.area_ranking, datasets.kpis):
-        df = make(bindings.incidents(spark, SMALL))
-        df.collect()
-        final = plan_of(df).split("== Initial Plan ==")[0]
-        assert final.count("FileScan parquet [o_") <= 1, make.__name__
-
-
 def hot(spark, rows: int = 30_000):
     """A third of all rows share one station; the others are spread."""
     i = F.col("id")
@@ -88,3 +78,49 @@ def test_hot_key_gaps_and_volumes(spark):
     assert series.gaps(df, "quando", ("posto",), max_days=0).where("posto = 0").count() == 20
     daily = series.volume_check(df, "quando", ("posto",)).where("posto = 0").orderBy("dia").collect()
     assert sum(r["total_ocorrencias"] for r in daily) == 10_000
+
+
+def records_read(spark, run) -> int:
+    """Input records of all stages that ``run`` starts."""
+    def stages():
+        sc = spark.sparkContext
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        no_quantiles = sc._gateway.new_array(sc._jvm.double, 0)
+        found = sc._jsc.sc().statusStore().stageList(
+            None, False, False, no_quantiles, sc._jvm.java.util.ArrayList()
+        )
+        return [found.apply(i) for i in range(found.size())]
+
+    last = max((s.stageId() for s in stages()), default=-1)
+    run()
+    return sum(s.inputRecords() for s in stages() if s.stageId() > last)
+
+
+# Rows of the incident tables: orders, customers, nations, regions.
+INCIDENT_ROWS = 1500 + 150 + 25 + 5
+
+
+@pytest.mark.parametrize("name", [
+    "agg_area", "stats_area", "share_of_total", "rank_area", "bi_area_ranking", "general_stats",
+    "kpis", "all_aggregates", "hotspots", "clean_and_unify", "profile_columns",
+    "profile_examples", "profile_categorical", "dq_null_ratio", "dq_schema",
+])
+def test_incidents_are_read_once(spark, name):
+    read = records_read(spark, lambda: catalog.QUERIES[name](spark, SMALL).collect())
+    assert 1500 < read <= INCIDENT_ROWS
+
+
+@pytest.mark.parametrize("name, rows", [
+    ("yoy", 1500), ("mode_values", 1500), ("bi_seasonality", 1500), ("orphans", 7500),
+    ("mean_response", 7500), ("join_daily_rain", 7500), ("dq_dup_ratio", 6000),
+    ("dedup_latest", 6000), ("hour_weekday", 1000), ("dq_rules_rain", 1000),
+])
+def test_tables_are_read_once(spark, name, rows):
+    assert records_read(spark, lambda: catalog.QUERIES[name](spark, SMALL).collect()) == rows
+
+
+def test_exact_quantiles_need_few_scans(spark):
+    items = bindings.table(spark, SMALL, "lineitem")
+    columns = ["l_extendedprice", "l_quantity"]
+    read = records_read(spark, lambda: quantiles.exact_quantiles(items, columns, [0.25, 0.75]))
+    assert read <= 4 * 6000
