@@ -14,6 +14,8 @@ DAMAGED = "_linha_danificada"
 FILE_NAME = "_arquivo"
 FILE_YEAR = "_ano_origem"
 SEPARATORS = [";", ",", "\t"]
+# Encoding, separator and header line of a file.
+Layout = tuple[str, str, str]
 # File names a corpus consists of.
 CSV_FILES = "*.[cC][sS][vV]"
 # The same, plain or gzip-compressed.
@@ -43,7 +45,7 @@ def _field_count(line: Column, sep: str) -> Column:
 def read_delimited(
     spark: SparkSession, path: str | list[str], columns: list[str],
     sep: str = ";", encoding: str = "UTF-8", header: bool = True,
-    nulls: list[str] = vocab.NULL_TEXTS, multi_line: bool = False,
+    nulls: list[str] = vocab.NULL_TEXTS, multi_line: bool = False, names: str = "*",
 ) -> DataFrame:
     """Scan files of one layout as text columns.
 
@@ -57,7 +59,8 @@ def read_delimited(
         spark.read.schema(fields)
         .option("sep", sep).option("header", header).option("encoding", encoding)
         .option("quote", '"').option("escape", '"')
-        .option("recursiveFileLookup", True).option("multiLine", multi_line)
+        .option("recursiveFileLookup", True).option("pathGlobFilter", names)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", DAMAGED)
         # A pruned parse counts only the wanted fields and would miss long lines.
         .option("columnPruning", False)
@@ -136,28 +139,43 @@ def read_corpus(
     """Read and unite files of any mix of encodings, separators and layouts.
 
     The probe runs first; the driver then holds one path per file, as Spark's
-    own file index does. Each distinct layout becomes one multi-file scan, and the scans unite by column
-    name with nulls for absent columns. ``_arquivo`` and ``_ano_origem`` keep
-    the provenance.
+    own file index does. Each distinct layout becomes one multi-file scan
+    (whole folders where a folder has a single layout), and the scans unite by
+    column name with nulls for absent columns. ``_arquivo`` and ``_ano_origem``
+    keep the provenance.
     """
-    layouts: dict[tuple[str, str, str], list[str]] = {}
+    layout_of: dict[str, Layout] = {}
     for *layout, file in probe_files(spark, path, names).select(
         "encoding", "separador", "cabecalho", "caminho"
     ).toLocalIterator():
-        layouts.setdefault(tuple(layout), []).append(file)
+        layout_of[file] = tuple(layout)
+    paths = scan_paths(layout_of)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [
-            _read_layout(spark, *key, sorted(layouts[key]), canonical, cleaned)
-            for key in sorted(layouts)
-        ],
+        [_read_layout(spark, k, paths[k], canonical, cleaned, names) for k in sorted(paths)],
     )
 
 
+def scan_paths(layout_of: dict[str, Layout]) -> dict[Layout, list[str]]:
+    """Paths to scan per layout: a folder where all its files agree, else single files."""
+    folders: dict[str, set[Layout]] = {}
+    for file, layout in layout_of.items():
+        folders.setdefault(file.rpartition("/")[0], set()).add(layout)
+    ordered = sorted(folder + "/" for folder in folders)
+    # A folder that holds other folders sorts right before the first of them.
+    nested = {a for a, b in zip(ordered, ordered[1:]) if b.startswith(a)}
+    paths: dict[Layout, set[str]] = {}
+    for file, layout in layout_of.items():
+        folder = file.rpartition("/")[0]
+        whole = len(folders[folder]) == 1 and folder + "/" not in nested
+        paths.setdefault(layout, set()).add(folder if whole else file)
+    return {layout: sorted(found) for layout, found in paths.items()}
+
+
 def _read_layout(
-    spark: SparkSession, encoding: str, sep: str, header: str, files: list[str],
-    canonical: bool, cleaned: bool,
+    spark: SparkSession, layout: Layout, paths: list[str], canonical: bool, cleaned: bool, names: str
 ) -> DataFrame:
+    encoding, sep, header = layout
     headers = header_columns(header, sep)
     if canonical:
         columns = schema.canonical_names(headers, cleaned)
@@ -165,7 +183,7 @@ def _read_layout(
         columns = schema.unique_names(headers)
     # A file may already hold a provenance column from an earlier stage.
     kept = [c for c in columns if c not in (FILE_NAME, FILE_YEAR)]
-    rows = read_delimited(spark, files, columns, sep, encoding)
+    rows = read_delimited(spark, paths, columns, sep, encoding, names=names)
     return rows.select(
         *kept, F.col("_metadata.file_name").alias(FILE_NAME),
         F.col(FILE_YEAR).cast("int").alias(FILE_YEAR) if FILE_YEAR in columns

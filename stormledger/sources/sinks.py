@@ -49,7 +49,12 @@ def write_csv_export(
     df: DataFrame, path: str, sep: str = ",", single_file_rows: int = SINGLE_FILE_ROWS,
     rows: int | None = None,
 ) -> str:
-    """Header CSV for a dashboard: one part file while the result is small, else as it comes."""
+    """Header CSV for a dashboard: one part file while the result is small, else as it comes.
+
+    Meant for sorted results: the sort has a shuffle of its own, so the work
+    before it stays parallel. Counting runs the frame once more; pass ``rows``
+    or hand in a frame read from a small table.
+    """
     rows = rows_up_to(df, single_file_rows + 1) if rows is None else rows
     out = df.coalesce(1) if rows <= single_file_rows else df
     out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)

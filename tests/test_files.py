@@ -83,6 +83,13 @@ def test_corpus_through_all_stages(spark, corpus):
     assert row["muitos_nulos"] and row["campo_chave_nulo"]
 
 
+def test_scan_paths_take_whole_folders_where_they_can():
+    a, b = ("UTF-8", ";", "x"), ("UTF-8", ",", "x")
+    assert delimited.scan_paths({
+        "/r/2019/1.csv": a, "/r/2019/2.csv": a, "/r/2020/1.csv": a, "/r/2020/2.csv": b, "/r/top.csv": b,
+    }) == {a: ["/r/2019", "/r/2020/1.csv"], b: ["/r/2020/2.csv", "/r/top.csv"]}
+
+
 def test_cleaned_table_of_another_tool(spark, tmp_path):
     """Raw and derived columns whose names differ only in case stay apart."""
     path = tmp_path / "atendimentos_unificado.csv.gz"
