@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -106,7 +108,7 @@ def probe_files(spark: SparkSession, path: str | list[str], names: str = CSV_FIL
     rows = []
     for layout in layouts:
         encoding = "UTF-8" if layout["_utf8"] else "ISO-8859-1"
-        first = _raw_lines(spark, layout["exemplo"], names).select(
+        first = _raw_lines(spark, readable_path(layout["exemplo"]), names).select(
             F.decode(F.col("value").cast("binary"), encoding).alias("h")
         ).first()
         header = first["h"].removeprefix("\ufeff").rstrip("\r")
@@ -132,6 +134,11 @@ def separator_of(header: str) -> str:
     return max(SEPARATORS, key=lambda sep: len(header_columns(header, sep)))
 
 
+def readable_path(file_path: str) -> str:
+    """A ``_metadata.file_path`` (URL-encoded) as a path to read, with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
+
+
 def read_corpus(
     spark: SparkSession, path: str | list[str], canonical: bool = True, cleaned: bool = False,
     names: str = CSV_FILES,
@@ -148,7 +155,7 @@ def read_corpus(
     for *layout, file in probe_files(spark, path, names).select(
         "encoding", "separador", "cabecalho", "caminho"
     ).toLocalIterator():
-        layout_of[file] = tuple(layout)
+        layout_of[readable_path(file)] = tuple(layout)
     paths = scan_paths(layout_of)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),

@@ -83,6 +83,14 @@ def test_corpus_through_all_stages(spark, corpus):
     assert row["muitos_nulos"] and row["campo_chave_nulo"]
 
 
+def test_odd_file_names(spark, tmp_path):
+    names = ["Atendimentos 2024.csv", "são [1] 100%.csv", "a+b.csv"]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text(f"Bairro;C{i}\nx{i};y\n", encoding="utf-8")
+    df = delimited.read_corpus(spark, str(tmp_path))
+    assert sorted(r["bairro"] for r in df.collect()) == ["x0", "x1", "x2"]
+
+
 def test_scan_paths_take_whole_folders_where_they_can():
     a, b = ("UTF-8", ";", "x"), ("UTF-8", ",", "x")
     assert delimited.scan_paths({
