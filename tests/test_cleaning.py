@@ -206,3 +206,32 @@ def test_weights_equal_rows(spark, weight):
     base = rows.groupBy("bairro", "ano").agg(F.count(F.lit(1)).alias("n"))
     got = agg.area_stats(base if weight else rows, weight=weight).collect()
     assert [tuple(r) for r in got] == [("a", 2, 2, 1, 1, 1), ("b", 1, 1, 1, 2, 2)]
+
+
+def test_parse_agrees_with_strptime(spark):
+    """Many spellings, right and wrong, against the standard library's parser."""
+    import itertools
+
+    formats = [
+        "%Y-%m-%d", "%d/%m/%Y", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%Y/%m/%d", "%d-%m-%Y",
+        "%d-%m-%Y %H:%M:%S",
+    ]
+    dates_ = [
+        sep.join(parts)
+        for y, m, d in itertools.product(["2024", "2023", "24"], ["2", "02", "12", "13", "0"], ["1", "09", "29", "31", "32"])
+        for parts in ((y, m, d), (d, m, y)) for sep in "-/."
+    ]
+    texts = [t + time for t in dates_ for time in ("", " 10:11", " 10:11:12", " 25:00:00", " 1:2:3", "T10:11")]
+
+    def parsed(t):
+        for f in formats:
+            try:
+                return datetime.strptime(t, f)
+            except ValueError:
+                continue
+        return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    got = {r[0]: r[1] for r in df.select("c", dates.parse_date(F.col("c"))).collect()}
+    wrong = {t: (got[t], parsed(t)) for t in texts if got[t] != parsed(t)}
+    assert not wrong
