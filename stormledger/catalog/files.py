@@ -9,7 +9,7 @@ from stormledger.catalog.core import query
 from stormledger.functions import dates
 from stormledger.operators import aggregates as agg, profiling
 from stormledger.plans import datasets, stages
-from stormledger.session import scratch_path
+from stormledger.session import materialize, scratch_path
 from stormledger.sources import delimited, records, sinks
 
 INC, ORD = f"WITH {b.INCIDENTS_SQL}", f"WITH {b.ORDERS_SQL}"
@@ -204,9 +204,7 @@ def sink_csv_single(spark, sf):
 def sink_many(spark, sf):
     """One base aggregate goes to a table; nine exports and an empty one read it."""
     folder = scratch_path(spark, "many")
-    keys = ["ano", "mes", "estacao", "dia_semana_nome", "hora", "bairro", "tipo_ocorrencia"]
-    datasets.base_aggregate(b.incidents(spark, sf), keys).write.parquet(f"{folder}/base")
-    base = spark.read.parquet(f"{folder}/base")
+    base = materialize(datasets.base_aggregate(b.incidents(spark, sf)), "base")
     frames = datasets.aggregate_frames(base, weight=datasets.TOTAL)
     frames["vazio"] = frames["por_ano"].where("ano IS NULL")
     written = sinks.write_many(frames, folder)

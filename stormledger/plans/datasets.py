@@ -11,7 +11,7 @@ from stormledger.operators.ranking import top_per_group
 
 TOTAL = agg.TOTAL
 # Keys of the base aggregate: every dashboard number is a sum over it.
-BASE_KEYS = ["ano", "mes", "dia_semana_nome", "hora", "bairro", "tipo_ocorrencia"]
+BASE_KEYS = ["ano", "mes", "estacao", "dia_semana_nome", "hora", "bairro", "tipo_ocorrencia"]
 
 
 def base_aggregate(df: DataFrame, keys: list[str] = BASE_KEYS) -> DataFrame:
@@ -88,7 +88,8 @@ def rain_correlation(
 
 
 def general_stats(
-    df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia", k: int = 5
+    df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia", k: int = 5,
+    weight: str | None = None,
 ) -> DataFrame:
     """(indicador, posicao, valor, n) rows: total, covered years, top k areas and kinds, modes.
 
@@ -96,7 +97,7 @@ def general_stats(
     filters on its keys, so its shuffle is shared by all branches.
     """
     columns = ["ano", "mes", "estacao", area, kind]
-    base = agg.count_by(df, *columns, keep_null=True)
+    base = agg.count_by(df, *columns, weight=weight, keep_null=True)
     census = (
         base.select(TOTAL, *[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([TOTAL], columns, "coluna", "valor")
@@ -167,7 +168,9 @@ def aggregate_frames(
     }
 
 
-def all_aggregates(df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia") -> DataFrame:
+def all_aggregates(
+    df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorrencia", weight: str | None = None
+) -> DataFrame:
     """All count aggregates as (agregacao, chave, chave2, total_ocorrencias) rows.
 
     Rows shrink to the base aggregate first, so the grouping sets expand
@@ -179,7 +182,7 @@ def all_aggregates(df: DataFrame, area: str = "bairro", kind: str = "tipo_ocorre
         "por_estacao": ["estacao"], "por_dia_semana": ["dia_semana_nome"], "por_hora": ["hora"],
         "por_bairro_ano": [area, "ano"], "por_tipo_ano": [kind, "ano"],
     }
-    base = agg.count_by(df, *keys, keep_null=True)
+    base = agg.count_by(df, *keys, weight=weight, keep_null=True)
     counted = base.groupingSets(list(sets.values()), *keys).agg(
         F.sum(TOTAL).alias(TOTAL), F.grouping_id(*keys).alias("_g")
     )

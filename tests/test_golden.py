@@ -114,6 +114,21 @@ def test_year_over_year_leaves_gaps_open(monthly):
     assert rows[2021]["anterior"] is None and not rows[2021]["comparavel"]
 
 
+@pytest.mark.parametrize("make", [
+    datasets.time_series, datasets.area_ranking, datasets.seasonality, datasets.rain_correlation,
+    datasets.kpis, datasets.general_stats, datasets.all_aggregates,
+])
+def test_base_aggregate_serves_all_datasets(spark, make):
+    from conftest import SMALL
+
+    from stormledger import bindings
+
+    rows = bindings.incidents(spark, SMALL)
+    base = datasets.base_aggregate(rows)
+    want = sorted(map(repr, make(rows).collect()))
+    assert sorted(map(repr, make(base, weight=TOTAL).collect())) == want
+
+
 def test_area_ranking_published_head(spark):
     # Largest areas and the sum of the others.
     head = [("Cohab", 155684, 17.57), ("Nova Descoberta", 91999, 10.38), ("Dois Unidos", 77326, 8.72),
