@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, pstable, texts, url_gbt
+from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, maxent_lm, order_join, pstable, range_coder, texts, url_gbt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +36,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.score(table(spark, sf_dir, "documents"))
 
 
+@query("op2_range_coder")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written to compressed files and read back."""
+    return range_coder.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("op3_cube_mix")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced mixing of sources."""
@@ -58,6 +64,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dawg_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op6_order_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies."""
+    return order_join.components(table(spark, sf_dir, "documents"))
+
+
 @query("op7_lang_rank")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text; a third of the documents is held out."""
@@ -67,6 +79,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (texts.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query("op8_maxent_lm")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language model scores; a tenth of the documents is held out."""
+    scored = maxent_lm.fit_and_score(table(spark, sf_dir, "documents"), texts.fold("doc_id", 10) != 0)
+    return scored.select(
+        "doc_id", (texts.fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op9_multiprobe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest neighbours of every 50th vector."""

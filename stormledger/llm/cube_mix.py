@@ -6,8 +6,8 @@ inclusion probability. The flight phase moves the vector of probabilities along
 directions that keep two sums, documents and words, until an entry reaches 0 or
 1. It runs on pools of a few thousand documents at once, whatever the size of a
 source; what each pool leaves undecided, two documents at most, is pooled again,
-with a few documents of various sizes that the pool holds back. The last dozen is
-landed by the choice whose word total is nearest.
+with some documents of all sizes that the pool holds back. The last ones are landed
+so that the word total is nearest.
 
 Direction and step come from a hash of the document id, the seed and the round,
 so reruns and retried tasks agree.
@@ -40,7 +40,9 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 #: Documents of one pool, and those it holds back for the next or for landing.
 POOL = 2048
-RESERVE = 10
+RESERVE = 64
+#: Documents of a source whose landing is the best of all choices.
+LAST = 12
 SEED = 20
 
 
@@ -115,15 +117,24 @@ def flight(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return np.array(p)
 
 
-def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Of all choices of the few undecided units, the one whose words and then documents are nearest."""
+def land(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """Decide the few units left, so that their words come as near as can be to what is expected.
+
+    The largest first, each with the share of the words still wanted among the words
+    still there; the `LAST` smallest by the best of all choices.
+    """
     out = pi.copy()
     undecided = np.flatnonzero((pi > 0) & (pi < 1))
-    n = len(undecided)
-    choices = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
-    words = np.abs(choices @ size[undecided] - (pi[undecided] * size[undecided]).sum())
-    units = np.abs(choices.sum(axis=1) - pi[undecided].sum())
-    out[undecided] = choices[np.lexsort((units, np.round(words, 6)))[0]]
+    undecided = undecided[np.argsort(-size[undecided], kind="stable")]
+    wanted, rest = float((pi[undecided] * size[undecided]).sum()), float(size[undecided].sum())
+    first, last = undecided[:max(0, len(undecided) - LAST)], undecided[max(0, len(undecided) - LAST):]
+    for k, unit in enumerate(first.tolist()):
+        out[unit] = float(draws[k] * rest < wanted)
+        wanted, rest = wanted - out[unit] * size[unit], rest - size[unit]
+    choices = (np.arange(1 << len(last))[:, None] >> np.arange(len(last))) & 1
+    words = np.abs(choices @ size[last] - wanted)
+    units = np.abs(choices.sum(axis=1) - pi[last].sum())
+    out[last] = choices[np.lexsort((units, np.round(words, 6)))[0]]
     return out
 
 
@@ -133,7 +144,7 @@ def _pool(seed: int, last: bool):
         pdf = pdf.assign(order=-pdf["size"]).sort_values(["order", "mixed", "row"], kind="stable").drop(columns="order")
         pi = flight(pdf["pi"].to_numpy(), pdf["size"].to_numpy(), _random(pdf["doc_id"].to_numpy(), seed))
         if last:
-            pi = land(pi, pdf["size"].to_numpy())
+            pi = land(pi, pdf["size"].to_numpy(), _random(pdf["row"].to_numpy(), seed + 1))
         return pdf.assign(pi=pi)
 
     return work

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import json
 import mmap
 import tempfile
@@ -36,13 +37,16 @@ from pyspark.sql import functions as F
 from stormledger.llm import texts
 
 #: Words of the lexicon, and the longest word in it, in bytes.
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 1 << 16
 LEXICON_BYTES = 64
 #: Words that a task remembers, or counts before it hands its counts on.
-HELD = 150_000
+HELD = 400_000
 CHUNK_BYTES = 4 << 20
 #: Special tokens begin so; words that hold it stay out of the lexicon.
 MARK = b"<|"
+#: Pieces up to so many bytes are merged side by side; longer ones alone.
+SIDE_BYTES = 64
+_NONE = 1 << 30
 
 
 class Vocabulary:
@@ -54,45 +58,121 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
         self.suffix: str = model["end_of_word_suffix"] or ""
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): rank for rank, m in enumerate(model["merges"])}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         longest = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.marked = regex.compile("(" + "|".join(longest) + ")") if longest else None
-        self.letters = byte_letters()
-        self.piece = functools.lru_cache(maxsize=HELD)(self._piece)
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        """Merge one piece: the pair of lowest rank first, the leftmost of equals."""
-        parts = [self.letters[b] for b in piece.encode()]
-        parts[-1] += self.suffix
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            found = [ranks.get(pair, none) for pair in zip(parts, parts[1:])]
-            best = min(found)
-            if best == none:
-                break
-            at = found.index(best)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(self.ids[p] for p in parts if p in self.ids)
-
-    def word(self, word: bytes) -> list[int]:
-        """Ids of a word without blanks."""
-        text = word.decode()
-        if self.marked is None or "<|" not in text:
-            return self._plain(text)
-        out: list[int] = []
-        for k, part in enumerate(self.marked.split(text)):
-            out += [self.special[part]] if k % 2 else self._plain(part)
+        letters = byte_letters()
+        self.bytes = np.array([self.ids.get(c, -1) for c in letters], dtype=np.int64)
+        self.last_bytes = np.array([self.ids.get(c + self.suffix, -1) for c in letters], dtype=np.int64)
+        # merges as sorted keys of pairs of ids, each with its rank and the id it makes
+        pairs = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        keys = np.array([self.ids[a] << 20 | self.ids[b] for a, b in pairs], dtype=np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.pairs, self.ranks = keys[order], order
+        self.made = np.array([self.ids[a + b] for a, b in pairs], dtype=np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; `_NONE` for pairs that do not merge."""
+        keys = np.where((left < 0) | (right < 0), -1, left << 20 | right)
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.ranks[at], _NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pieces: in each, the pair of lowest rank merges first, the leftmost of equals.
+
+        Pieces of like length merge side by side, one pair of each at a time.
+        """
+        out: list[list[int]] = [[]] * len(pieces)
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        for low, high in ((0, 8), (8, 16), (16, 32), (32, SIDE_BYTES)):
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            if len(rows):
+                joined = np.frombuffer(b"".join(pieces[k] for k in rows), dtype=np.uint8)
+                for k, found in zip(rows.tolist(), self._side(joined, sizes[rows], high), strict=True):
+                    out[k] = found
+        for k in np.flatnonzero(sizes > SIDE_BYTES).tolist():
+            out[k] = self._alone(pieces[k])
         return out
 
-    def _plain(self, text: str) -> list[int]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
+    def _side(self, joined: np.ndarray, sizes: np.ndarray, width: int) -> list[list[int]]:
+        n, ends = len(sizes), np.cumsum(sizes)
+        flat = self.bytes[joined]
+        flat[ends - 1] = self.last_bytes[joined[ends - 1]]
+        ids = np.full((n, width + 1), -1, dtype=np.int64)
+        ids[np.arange(width + 1)[None, :] < sizes[:, None]] = flat
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        done, rows, place = ids.copy(), np.arange(n), np.arange(width + 1)
+        while True:
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(at)), at]
+            live = best < _NONE
+            if not live.all():
+                done[rows[~live]] = ids[~live]
+                rows, ids, ranks, at, best = rows[live], ids[live], ranks[live], at[live], best[live]
+            if not len(rows):
+                return [row[row >= 0].tolist() for row in done]
+            every = np.arange(len(rows))
+            # everything after the merged pair moves up by one place
+            after = np.minimum(place[None, :] + (place[None, :] > at[:, None]), width)
+            ids = np.take_along_axis(ids, after, axis=1)
+            ids[:, -1] = -1
+            ids[every, at] = self.made[best]
+            ranks = np.take_along_axis(ranks, np.minimum(after[:, :-1], width - 1), axis=1)
+            ranks[:, -1] = _NONE
+            ranks[every, at] = self.rank(ids[every, at], ids[every, at + 1])
+            left = np.maximum(at - 1, 0)
+            ranks[every, left] = np.where(at > 0, self.rank(ids[every, left], ids[every, at]), ranks[every, left])
+
+    def _alone(self, piece: bytes) -> list[int]:
+        """A long piece: a heap of pairs over a chain of symbols, so that work stays in proportion."""
+        ids = [int(self.bytes[b]) for b in piece]
+        ids[-1] = int(self.last_bytes[piece[-1]])
+        before, after = list(range(-1, len(ids) - 1)), list(range(1, len(ids) + 1))
+        table = self._table()
+        heap = [(table[pair], k) for k, pair in enumerate(zip(ids, ids[1:])) if pair in table]
+        heapq.heapify(heap)
+        while heap:
+            rank, k = heapq.heappop(heap)
+            j = after[k] if ids[k] >= 0 else len(ids)
+            if j >= len(ids) or table.get((ids[k], ids[j])) != rank:
+                continue  # an older pair
+            ids[k], ids[j] = int(self.made[rank]), -1
+            after[k] = after[j]
+            if after[j] < len(ids):
+                before[after[j]] = k
+            for x in (before[k], k):
+                if x >= 0 and after[x] < len(ids) and (ids[x], ids[after[x]]) in table:
+                    heapq.heappush(heap, (table[ids[x], ids[after[x]]], x))
+        return [i for i in ids if i >= 0]
+
+    @functools.cache
+    def _table(self) -> dict[tuple[int, int], int]:
+        return {(k >> 20, k & 0xFFFFF): r for k, r in zip(self.pairs.tolist(), self.ranks.tolist(), strict=True)}
+
+    def words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words without blanks; each distinct piece is merged once."""
+        pieces: dict[str, int] = {}
+        plan: list[list[int]] = []  # of each word: numbers of pieces, or less than 0: special ids
+        for word in words:
+            text, own = word.decode(), []
+            parts = [text] if self.marked is None or MARK not in word else self.marked.split(text)
+            for k, part in enumerate(parts):
+                if k % 2:
+                    own.append(-1 - self.special[part])
+                else:
+                    own += [pieces.setdefault(p, len(pieces)) for p in self._split(part)]
+            plan.append(own)
+        merged = self.merge([p.encode() for p in pieces])
+        return [merged[own[0]] if len(own) == 1 and own[0] >= 0 else [i for k in own for i in (merged[k] if k >= 0 else [-1 - k])] for own in plan]
+
+    def _split(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.split.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
         # a final capital sigma stays an ordinary one, as lower-casing goes character by character
-        text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-        return [i for piece in self.split.findall(text) for i in self.piece(piece)]
+        return self.split.findall("".join(c.lower() for c in text) if "Σ" in text else text.lower())
 
 
 def byte_letters() -> list[str]:
@@ -109,37 +189,44 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Lexicon:
-    """The automaton in its file form: six arrays after a header of their lengths."""
+    """The automaton in its file form: six arrays after a header of their lengths.
+
+    first: of each node, where its edges begin, doubled, plus one if a word ends there;
+    edge: number of the node times 256 plus the byte, ascending; target: the node an
+    edge leads to; before: words that sort before those behind the edge.
+    """
 
-    KINDS = (("first", np.int32), ("label", np.uint8), ("target", np.int32), ("before", np.int32), ("ends", np.int32), ("ids", np.int32))
+    KINDS = (("first", np.int32), ("edge", np.int64), ("target", np.int32), ("before", np.int32), ("ends", np.int32), ("ids", np.int32))
 
     def __init__(self, buffer: bytes | mmap.mmap):
         lengths, at = np.frombuffer(buffer, dtype=np.int64, count=len(self.KINDS)), 8 * len(self.KINDS)
-        arrays = {}
         for (name, kind), n in zip(self.KINDS, lengths.tolist(), strict=True):
-            arrays[name] = np.frombuffer(buffer, dtype=kind, count=n, offset=at)
+            setattr(self, name, np.frombuffer(buffer, dtype=kind, count=n, offset=at))
             at += -(-n * np.dtype(kind).itemsize // 8) * 8
-        self.first, self.target, self.before = (memoryview(arrays[k]) for k in ("first", "target", "before"))
-        self.label, self.ends, self.ids = arrays["label"].data, memoryview(arrays["ends"]), arrays["ids"]
         self.buffer = buffer
 
-    def number(self, word: bytes) -> int:
-        """Position of a word among the sorted words; -1 if it is not there."""
-        node, number = 0, 0
-        for byte in word:
-            low, high = self.first[node] >> 1, self.first[node + 1] >> 1
-            while low < high and self.label[low] != byte:
-                low += 1
-            if low == high:
-                return -1
-            number += self.before[low]
-            node = self.target[low]
-        return number if self.first[node] & 1 else -1
-
-    def lookup(self, word: bytes) -> list[int] | None:
-        """Ids of a word of the lexicon."""
-        number = self.number(word)
-        return None if number < 0 else self.ids[self.ends[number]:self.ends[number + 1]].tolist()
+    def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Positions of words among the sorted words; -1 for others. All words take one edge per step."""
+        out = np.full(len(starts), -1, dtype=np.int64)
+        rows = np.flatnonzero(ends - starts <= LEXICON_BYTES)
+        node, number, at = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64), starts[rows]
+        while len(rows):
+            over = at >= ends[rows]
+            here = over & (self.first[node] & 1).astype(bool)
+            out[rows[here]] = number[here]
+            rows, node, number, at = rows[~over], node[~over], number[~over], at[~over]
+            if not len(rows) or not len(self.edge):
+                break
+            keys = node * 256 + data[at]
+            edge = np.minimum(np.searchsorted(self.edge, keys), len(self.edge) - 1)
+            found = self.edge[edge] == keys
+            rows, edge = rows[found], edge[found]
+            node, number, at = self.target[edge].astype(np.int64), number[found] + self.before[edge], at[found] + 1
+        return out
+
+    def lookup(self, number: int) -> list[int]:
+        """Ids of a word of the lexicon, by its number."""
+        return self.ids[self.ends[number]:self.ends[number + 1]].tolist()
 
 
 def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
@@ -177,17 +264,17 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     finish(0)
     # the root comes first, the others in any fixed order
     nodes = [(path[0][0], tuple(path[0][1])), *contents]
-    first, label, target, before = [0], [], [], []
-    for terminal, edges in nodes:
+    first, edge, target, before = [0], [], [], []
+    for number, (terminal, edges) in enumerate(nodes):
         first[-1] |= int(terminal)
         passed = int(terminal)
         for byte, node in edges:
-            label.append(byte)
+            edge.append(number * 256 + byte)
             target.append(node + 1)
             before.append(passed)
             passed += below[node]
-        first.append(len(label) << 1)
-    arrays = [np.array(x, dtype=kind) for x, (_, kind) in zip((first, label, target, before, ends, ids), Lexicon.KINDS, strict=True)]
+        first.append(len(edge) << 1)
+    arrays = [np.array(x, dtype=kind) for x, (_, kind) in zip((first, edge, target, before, ends, ids), Lexicon.KINDS, strict=True)]
     out = [np.array([len(a) for a in arrays], dtype=np.int64).tobytes()]
     for a in arrays:
         body = a.tobytes()
@@ -210,15 +297,14 @@ def mapped(digest: str, shared: Broadcast) -> Lexicon:
     return _mapped[digest]
 
 
-def _distinct(column: pa.Array) -> tuple[texts.Spans, np.ndarray, np.ndarray]:
-    """Words with A-Z lower-cased, one place of each distinct word, and which word stands where.
+def _distinct(column: pa.Array) -> tuple[texts.Spans, np.ndarray, np.ndarray, np.ndarray]:
+    """Words with A-Z lower-cased; of the distinct ones hash and one place each; which one stands where.
 
     Strings of special tokens count only in their own case: where one may stand, nothing is lower-cased.
     """
     data, offsets = texts.raw(column)
     words = texts.words(data if MARK in data.tobytes() else texts.LOWER[data], offsets)
-    _, where, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    return words, where, which
+    return words, *np.unique(words.hashes(), return_index=True, return_inverse=True)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +314,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
     for part in texts.chunks(batches, limit=CHUNK_BYTES):
-        words, where, which = _distinct(part.column("text"))
+        words, _, where, which = _distinct(part.column("text"))
         body, n = words.data.tobytes(), np.bincount(which, minlength=len(where))
         sizes = words.ends[where] - words.starts[where]
         for start, end, count in zip(words.starts[where].tolist(), words.ends[where].tolist(), np.where(sizes <= LEXICON_BYTES, n, 0).tolist(), strict=True):
@@ -251,43 +337,54 @@ def build(docs: DataFrame, path: str, size: int = LEXICON_WORDS, text: str = "te
     """Compile the lexicon of a corpus; at most `size` words reach the driver."""
     merge = vocabulary(path)
     words = sorted(bytes(row["word"]) for row in frequent_words(docs, size, text).collect())
-    return compile_lexicon((w, merge.word(w)) for w in words)
+    return compile_lexicon(zip(words, merge.words(words), strict=True))
 
 
 class Encoder:
-    """Ids of words by lexicon or merging, remembered as text."""
+    """Ids of words by lexicon or merging, remembered as decimal text and as tokens."""
 
     def __init__(self, path: str, lexicon: Lexicon):
-        self.path, self.lexicon, self.held = path, lexicon, {}
-
-    def entry(self, word: bytes) -> tuple[str, str, int]:
-        """Decimal ids, tokens, and their number."""
-        found = self.held.get(word)
-        if found is None:
-            merge = vocabulary(self.path)
-            ids = self.lexicon.lookup(word)
-            if ids is None:
-                ids = merge.word(word)
-            if len(self.held) >= HELD:
-                self.held.clear()
-            found = self.held[word] = (" ".join(map(str, ids)), " ".join([merge.tokens[i] for i in ids]), len(ids))
-        return found
+        self.vocabulary, self.lexicon, self.known = vocabulary(path), lexicon, texts.Memory(HELD)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known.clear()
+        self.ids, self.tokens, self.sizes = np.empty(0, dtype=object), np.empty(0, dtype=object), np.empty(0, dtype=np.int64)
+
+    def _learn(self, words: texts.Spans, where: np.ndarray) -> None:
+        """Entries of new words, given by a place of each."""
+        starts, ends = words.starts[where], words.ends[where]
+        numbers = self.lexicon.numbers(words.data, starts, ends).tolist()
+        body, unseen = words.data.tobytes(), [k for k, n in enumerate(numbers) if n < 0]
+        merged = dict(zip(unseen, self.vocabulary.words([body[starts[k]:ends[k]] for k in unseen]), strict=True))
+        found = [merged[k] if n < 0 else self.lexicon.lookup(n) for k, n in enumerate(numbers)]
+        entries, tokens = np.empty((2, len(found)), dtype=object), self.vocabulary.tokens
+        entries[0] = [" ".join(map(str, ids)) for ids in found]
+        entries[1] = [" ".join([tokens[i] for i in ids]) for ids in found]
+        self.ids, self.tokens = np.concatenate((self.ids, entries[0])), np.concatenate((self.tokens, entries[1]))
+        self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, found), dtype=np.int64, count=len(found))))
 
     def encode(self, column: pa.Array) -> tuple[list[str], list[str], np.ndarray]:
         """Of each text: ids joined by spaces, decoded text, number of ids."""
-        words, where, which = _distinct(column)
-        body = words.data.tobytes()
-        found = [self.entry(body[a:b]) for a, b in zip(words.starts[where].tolist(), words.ends[where].tolist(), strict=True)]
-        sizes = np.array([n for _, _, n in found], dtype=np.int64)
-        rows, each = words.rows, sizes[which] if len(which) else np.empty(0, dtype=np.int64)
+        words, keys, where, which = _distinct(column)
+        numbers = self.known.find(keys)
+        new = np.flatnonzero(numbers < 0)
+        if self.known.full(len(new)):
+            self._forget()
+            new = np.arange(len(keys))
+        if len(new):
+            first = len(self.ids)
+            self._learn(words, where[new])
+            self.known.add(keys[new], first + np.arange(len(new)))
+            numbers = self.known.find(keys)
+        rows, numbers = words.rows, numbers[which]
+        each = self.sizes[numbers]
         totals = np.bincount(rows, weights=each, minlength=words.n_rows).astype(np.int64)
-        if len(sizes) and not sizes.all():  # words of which nothing is left
-            rows, which = rows[each > 0], which[each > 0]
+        rows, numbers = rows[each > 0], numbers[each > 0]  # of some words nothing is left
         edges = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=words.n_rows)))).tolist()
-        which = which.tolist()
-        ids, tokens = [x[0] for x in found], [x[1] for x in found]
+        ids, tokens = self.ids[numbers].tolist(), self.tokens[numbers].tolist()
         spans = list(zip(edges, edges[1:]))
-        return [" ".join([ids[k] for k in which[a:b]]) for a, b in spans], [" ".join([tokens[k] for k in which[a:b]]) for a, b in spans], totals
+        return [" ".join(ids[a:b]) for a, b in spans], [" ".join(tokens[a:b]) for a, b in spans], totals
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", size: int = LEXICON_WORDS, whole: bool = False) -> DataFrame:

@@ -44,7 +44,7 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
 SEPARATORS = " .-_*~"
-COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_MARK, COST_END, COST_ODD = 1.0, 0.7, 0.3, 4.0, 6.0
+COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_MARK, COST_END, COST_CLOSE = 1.0, 0.7, 0.3, 8.0, 0.3
 #: The longest token that is decoded; a longer run of characters is not a written word.
 TOKEN_BYTES = 80
 
@@ -73,7 +73,7 @@ class CharModel:
 def trigram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of three character classes in a row, each text between word ends."""
     codes = _class_of[data]
-    padded = np.insert(codes, np.repeat(offsets, 2), _END)
+    padded = np.insert(codes, np.concatenate((offsets[:-1], offsets[1:])), _END)
     triples = (padded[:-2] * CLASSES + padded[1:-1]) * CLASSES + padded[2:]
     return np.bincount(triples, minlength=CLASSES ** 3)
 
@@ -109,7 +109,8 @@ def _options(token: str) -> list[list[tuple[str | None, float]]]:
                 found.append((None, COST_DROP_REPEAT))
             if c in SEPARATORS and 0 < at < len(token) - 1:
                 found.append((None, COST_DROP_MARK))
-            found.append((" ", COST_END if c in LOOKALIKES and c != "*" else COST_END / 2))
+            closing = c not in "0123456789@$€£" and not any(x.isalnum() for x in token[at:])
+            found.append((" ", COST_CLOSE if closing else COST_END if c in LOOKALIKES and c != "*" else COST_END / 2))
         out.append(found)
     return out
 

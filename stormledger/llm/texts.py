@@ -195,3 +195,30 @@ def keep_texts(df: DataFrame, verdict: Callable[[pa.RecordBatch], np.ndarray], t
                 ["text" if c == at else f"_{c}" for c in part.schema.names]))))
 
     return plain.mapInArrow(work, plain.schema).toDF(*names)
+
+
+class Memory:
+    """Numbers of distinct spans that were met before, by hash; forgets all when full."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.numbers = np.empty(0, dtype=U64), np.empty(0, dtype=np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash; -1 for new ones."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.numbers[at], -1)
+
+    def full(self, more: int) -> bool:
+        return len(self.keys) + more > self.limit
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """Remember new hashes, given in ascending order."""
+        keys = np.concatenate((self.keys, hashes))
+        order = np.argsort(keys, kind="stable")  # two runs in order: a merge
+        self.keys, self.numbers = keys[order], np.concatenate((self.numbers, numbers))[order]
