@@ -59,9 +59,10 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         orders(spark, sf_dir)
-        .join(customer, "id_solicitante")
-        .join(F.broadcast(nation), "c_nationkey")
-        .join(F.broadcast(region), "n_regionkey")
+        # an incident of an unknown customer stays, without an area
+        .join(customer, "id_solicitante", "left")
+        .join(F.broadcast(nation), "c_nationkey", "left")
+        .join(F.broadcast(region), "n_regionkey", "left")
         .drop("c_nationkey", "n_regionkey")
     )
 
@@ -78,6 +79,18 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.withColumns(dates.calendar(F.col("data_atendimento")))
 
 
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rain readings with null, NaN and infinite values among them."""
+    key, value = F.col("event_id"), F.col("value")
+    reading = (
+        F.when(key % 10 == 3, F.lit(float("nan"))).when(key % 10 == 5, F.lit(None))
+        .when(key % 100 == 7, F.lit(float("inf"))).when(key % 100 == 17, F.lit(float("-inf"))).otherwise(value)
+    )
+    return table(spark, sf_dir, "events").select(
+        key.alias("id"), F.col("ts").alias("quando"), reading.alias("chuva_mm")
+    )
+
+
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents as damaged raw text: mixed case, padding, nulls and date formats."""
     i = incidents(spark, sf_dir)
@@ -118,23 +131,31 @@ def raw_date(date, key):
         F.date_format(date, "yyyy/MM/dd"),
         F.date_format(date, "dd-MM-yyyy"),
         F.concat(F.date_format(date, "dd-MM-yyyy"), F.lit(" 10:11:12")),
-        F.lit("lixo"),
+        F.lit("lixo"), F.lit(None),
+        F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" 10:11:12")),
+        F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("T10:11:12.500000")),
+        F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" 25:99")),
+        F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("T10:11")),
     ]
-    out = F.when(key % 9 == 0, spelled[0])
+    out = F.when(key % 13 == 0, spelled[0])
     for i, text in enumerate(spelled[1:], start=1):
-        out = out.when(key % 9 == i, text)
+        out = out.when(key % 13 == i, text)
     return out
 
 
 def oracle_raw_date() -> str:
     """The same text dates in SQL."""
     d = "o_orderdate"
-    return f"""CASE o_orderkey % 9
+    return f"""CASE o_orderkey % 13
         WHEN 0 THEN strftime({d}, '%Y-%m-%d') WHEN 1 THEN strftime({d}, '%d/%m/%Y')
         WHEN 2 THEN strftime({d}, '%d/%m/%Y') || ' 10:11:12'
         WHEN 3 THEN strftime({d}, '%d/%m/%Y') || ' 10:11'
         WHEN 4 THEN strftime({d}, '%Y/%m/%d') WHEN 5 THEN strftime({d}, '%d-%m-%Y')
-        WHEN 6 THEN strftime({d}, '%d-%m-%Y') || ' 10:11:12' WHEN 7 THEN 'lixo' END"""
+        WHEN 6 THEN strftime({d}, '%d-%m-%Y') || ' 10:11:12' WHEN 7 THEN 'lixo'
+        WHEN 9 THEN strftime({d}, '%Y-%m-%d') || ' 10:11:12'
+        WHEN 10 THEN strftime({d}, '%Y-%m-%d') || 'T10:11:12.500000'
+        WHEN 11 THEN strftime({d}, '%Y-%m-%d') || ' 25:99'
+        WHEN 12 THEN strftime({d}, '%Y-%m-%d') || 'T10:11' END"""
 
 
 CALENDAR_SQL = """
@@ -152,13 +173,19 @@ ORDERS_SQL = f"""ord AS (
 
 INCIDENTS_SQL = f"""{ORDERS_SQL}, inc AS (
   SELECT ord.*, n_name AS bairro, r_name AS regional FROM ord
-  JOIN customer ON id_solicitante = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey)"""
+  LEFT JOIN customer ON id_solicitante = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 CALLS_SQL = f"""calls AS (
   SELECT event_id AS id_atendimento, ts AS data_atendimento, user_id AS posto,
   event_type AS tipo_ocorrencia, value AS chuva_mm, {CALENDAR_SQL.format(d='ts')} FROM events)"""
 
+MEASURED_SQL = """measured AS (SELECT event_id AS id, ts AS quando, CASE WHEN event_id % 10 = 3 THEN 'NaN'::DOUBLE
+  WHEN event_id % 10 = 5 THEN NULL WHEN event_id % 100 = 7 THEN 'Infinity'::DOUBLE
+  WHEN event_id % 100 = 17 THEN '-Infinity'::DOUBLE ELSE value END AS chuva_mm FROM events),
+  seen AS (SELECT id, quando, CASE WHEN NOT isnan(chuva_mm) THEN chuva_mm END AS chuva_mm FROM measured),
+  finite AS (SELECT chuva_mm FROM seen WHERE isfinite(chuva_mm))"""
+
 DIRTY_SQL = f"""dirty AS (
   SELECT o_orderkey AS id_atendimento,
   CASE o_orderkey % 6 WHEN 0 THEN 'Recife' WHEN 1 THEN 'RECIFE/PE' WHEN 2 THEN NULL ELSE r_name END
@@ -169,8 +196,9 @@ DIRTY_SQL = f"""dirty AS (
     ELSE o_orderpriority END AS tipo_ocorrencia,
   {oracle_raw_date()} AS data_atendimento,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS quantidade
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 PARSE_SQL = """try_strptime({c}, ['%Y-%m-%d', '%d/%m/%Y', '%d/%m/%Y %H:%M:%S', '%d/%m/%Y %H:%M',
-  '%Y/%m/%d', '%d-%m-%Y', '%d-%m-%Y %H:%M:%S'])"""
+  '%Y/%m/%d', '%d-%m-%Y', '%d-%m-%Y %H:%M:%S', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S.%f',
+  '%Y-%m-%dT%H:%M'])"""

@@ -124,7 +124,7 @@ def dq_fill_unknown(spark, sf):
     return quality.fill_unknown(b.dirty(spark, sf), "bairro").select("id_atendimento", "bairro")
 
 
-@query("dq_date_format", f"""{DIRTY} SELECT CASE WHEN id_atendimento % 9 = 0 THEN 'ok'
+@query("dq_date_format", f"""{DIRTY} SELECT CASE WHEN id_atendimento % 13 IN (0, 9, 10, 12) THEN 'ok'
   WHEN {PARSED} IS NOT NULL THEN 'convertido' ELSE 'invalido' END AS situacao, count(*) AS n,
   strftime(min({PARSED}), '%Y-%m-%d') AS primeira FROM dirty GROUP BY 1""")
 def dq_date_format(spark, sf):
@@ -161,7 +161,7 @@ def dq_response_range(spark, sf):
 
 
 @query("dq_daily_range", f"""{CALLS} SELECT posto, CAST(data_atendimento AS DATE) AS dia,
-  round(sum(chuva_mm), 2) AS total_dia FROM calls GROUP BY 1, 2 HAVING round(sum(chuva_mm), 2) NOT BETWEEN 0 AND 300""")
+  round(sum(chuva_mm), 2) AS total_dia FROM calls GROUP BY 1, 2 HAVING sum(chuva_mm) NOT BETWEEN 0 AND 300""")
 def dq_daily_range(spark, sf):
     return quality.daily_range(
         b.calls(spark, sf), "data_atendimento", F.col("chuva_mm"), 0, 300, "posto"
@@ -176,6 +176,13 @@ def dq_alerts_per_day(spark, sf):
     )
 
 
+@query("dq_alerts_limit", f"""{CALLS} SELECT CAST(data_atendimento AS DATE) AS dia,
+  CAST(count(*) AS DOUBLE) AS total_dia FROM calls GROUP BY 1 HAVING count(*) > 1000""")
+def dq_alerts_limit(spark, sf):
+    """At most 1000 alerts a day."""
+    return quality.daily_range(b.calls(spark, sf), "data_atendimento", F.lit(1.0), 0, 1000)
+
+
 FRESH_SQL = "ts IS NULL OR ts < TIMESTAMP '2024-01-31' - INTERVAL {n} DAY OR ts > TIMESTAMP '2024-01-31'"
 
 
@@ -227,6 +234,23 @@ def dq_null_ratio(spark, sf):
     return quality.null_ratio(b.dirty(spark, sf))
 
 
+@query("dq_null_ratio_nan", f"WITH {b.MEASURED_SQL} " + " UNION ALL ".join(
+    _rule_sql(c, "alta", f"{c} IS NULL", "seen", 0.15) for c in ("id", "quando", "chuva_mm")
+))
+def dq_null_ratio_nan(spark, sf):
+    return quality.null_ratio(b.measured(spark, sf))
+
+
+@query("dq_required_nan", f"""WITH {b.MEASURED_SQL} SELECT chuva_mm IS NOT NULL AS aceito, count(*) AS n,
+  (SELECT count(*) - count(chuva_mm) FROM seen) AS falhas FROM seen GROUP BY 1""")
+def dq_required_nan(spark, sf):
+    """NaN is no value, as a field and as a rule."""
+    rows = b.measured(spark, sf)
+    failed = quality.check(rows, quality.required_rules(["chuva_mm"])).select("falhas").scalar()
+    marked = quality.mark_accepted(rows, ["id", "chuva_mm"])
+    return marked.groupBy("aceito").agg(F.count(F.lit(1)).alias("n")).withColumn("falhas", failed)
+
+
 DUP_SQL = """SELECT 'duplicatas' AS regra, 'alta' AS severidade, CAST(sum(n) AS BIGINT) AS verificados,
   CAST(sum(n - 1) AS BIGINT) AS falhas, round(sum(n - 1) / sum(n), 6) AS razao,
   sum(n - 1) / sum(n) <= 0.05 AS aprovado
@@ -241,7 +265,7 @@ def dq_dup_ratio(spark, sf):
 @query("dq_schema", f"""{DIRTY} SELECT 'id_atendimento' AS coluna, 'bigint' AS esperado, 'bigint' AS encontrado,
   'ok' AS situacao, 0 AS invalidos
   UNION ALL SELECT 'data_atendimento', 'date', 'string', 'tipo_diferente',
-    count(*) FILTER (WHERE data_atendimento IS NOT NULL AND id_atendimento % 9 <> 0) FROM dirty
+    count(*) FILTER (WHERE data_atendimento IS NOT NULL AND id_atendimento % 13 NOT IN (0, 9, 10, 11, 12)) FROM dirty
   UNION ALL SELECT 'status', 'string', NULL, 'ausente', 0
   UNION ALL SELECT 'regional', NULL, 'string', 'extra', 0 UNION ALL SELECT 'bairro', NULL, 'string', 'extra', 0
   UNION ALL SELECT 'tipo_ocorrencia', NULL, 'string', 'extra', 0
@@ -297,7 +321,41 @@ def dq_flags(spark, sf):
   SELECT count(*) AS regras, count(*) FILTER (WHERE aprovado) AS aprovadas,
   count(*) FILTER (WHERE severidade = 'critica' AND NOT aprovado) AS falhas_criticas,
   round(1 - sum(falhas) / sum(verificados), 6) AS qualidade,
-  round(1 - sum(falhas) / sum(verificados), 6) >= 0.95
+  1 - sum(falhas) / sum(verificados) >= 0.95
     AND count(*) FILTER (WHERE severidade = 'critica' AND NOT aprovado) = 0 AS aceito FROM r""")
 def dq_scorecard(spark, sf):
     return quality.scorecard([dq_rules_rain(spark, sf), dq_dup_ratio(spark, sf)])
+
+
+def _card_sql(rules: str, name: str) -> str:
+    return f"""SELECT count(*) AS regras, count(*) FILTER (WHERE aprovado) AS aprovadas,
+      count(*) FILTER (WHERE severidade = 'critica' AND NOT aprovado) AS falhas_criticas,
+      round(1 - sum(falhas) / sum(verificados), 6) AS qualidade, 1 - sum(falhas) / sum(verificados) >= 0.95
+      AND count(*) FILTER (WHERE severidade = 'critica' AND NOT aprovado) = 0 AS aceito,
+      '{name}' AS conjunto FROM ({rules})"""
+
+
+@query("dq_scorecards", " UNION ALL ".join([
+    _card_sql(" UNION ALL ".join(RAIN_RULES_SQL), "chuva"), _card_sql(DUP_SQL, "itens"),
+    # 5 of 100 failures are just good enough, 50,001 of a million are not.
+    "SELECT 1, 0, 0, 0.95, true, 'limite'", "SELECT 1, 0, 0, 0.949999, false, 'abaixo'",
+]))
+def dq_scorecards(spark, sf):
+    """One verdict per dataset; the last two are at the limit and just below it."""
+    def edge(falhas: int, verificados: int):
+        rows = [("borda", "alta", verificados, falhas, False)]
+        return [spark.createDataFrame(rows, "regra string, severidade string, verificados bigint, falhas bigint, aprovado boolean")]
+
+    return quality.scorecards({
+        "chuva": [dq_rules_rain(spark, sf)], "itens": [dq_dup_ratio(spark, sf)],
+        "limite": edge(5, 100), "abaixo": edge(50_001, 1_000_000),
+    })
+
+
+@query("dq_stations", f"""{CALLS}, s AS (SELECT posto, CASE WHEN posto % 7 = 0 THEN 0 WHEN posto % 7 = 1 THEN chuva_mm / 1e6
+  ELSE chuva_mm END AS mm FROM calls) SELECT posto, round(sum(mm), 2) AS chuva_mm, coalesce(sum(mm) > 0, false) AS valido
+  FROM s GROUP BY posto""")
+def dq_stations(spark, sf):
+    """Stations without rain fail; hardly any rain is rain."""
+    mm = F.when(F.col("posto") % 7 == 0, 0.0).when(F.col("posto") % 7 == 1, F.col("chuva_mm") / 1e6).otherwise(F.col("chuva_mm"))
+    return agg.positive_check(b.calls(spark, sf).withColumn("chuva_mm", mm), "chuva_mm", "posto", out="chuva_mm")

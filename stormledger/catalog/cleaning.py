@@ -113,7 +113,7 @@ def non_ascii(spark, sf):
     return profiling.non_ascii_counts(b.table(spark, sf, "documents"))
 
 
-@query("month_from_name", f"""{ORD}, r AS (SELECT *, id_atendimento % 9 < 7 AS dated FROM ord)
+@query("month_from_name", f"""{ORD}, r AS (SELECT *, id_atendimento % 13 IN (0, 1, 2, 3, 4, 5, 6, 9, 10, 12) AS dated FROM ord)
   SELECT ano, mes, estacao, count(*) AS n, count(*) FILTER (WHERE NOT dated) AS recuperados
   FROM r GROUP BY 1, 2, 3""")
 def month_from_name(spark, sf):
@@ -130,12 +130,21 @@ def month_from_name(spark, sf):
     )
 
 
-@query("enrich_calendar", f"""{ORD}, h AS (SELECT * FROM (VALUES {', '.join(f"({m}, {d}, '{n}')" for m, d, n in vocab.NATIONAL_HOLIDAYS)})
-  AS t(m, d, feriado))
-  SELECT isodow(data_atendimento) >= 6 AS fim_de_semana, feriado, count(*) AS n FROM ord
-  LEFT JOIN h ON mes = m AND dia = d GROUP BY 1, 2""")
+HOLIDAYS = [*vocab.NATIONAL_HOLIDAYS, *vocab.LOCAL_HOLIDAYS]
+# Easter Sundays of the years the orders cover.
+EASTERS = [
+    "1990-04-15", "1991-03-31", "1992-04-19", "1993-04-11", "1994-04-03", "1995-04-16", "1996-04-07", "1997-03-30",
+    "1998-04-12", "1999-04-04", "2000-04-23", "2001-04-15", "2002-03-31", "2003-04-20", "2004-04-11", "2005-03-27",
+]
+
+
+@query("enrich_calendar", f"""{ORD}, h AS (SELECT * FROM (VALUES {', '.join(f"({m}, {d}, '{n}')" for m, d, n in HOLIDAYS)})
+  AS t(m, d, fixo)), e AS (SELECT CAST(p AS DATE) + f AS quando, movel FROM (VALUES {', '.join(f"('{p}')" for p in EASTERS)}) AS t(p),
+  (VALUES {', '.join(f"({f}, '{n}')" for f, n in vocab.MOVABLE_HOLIDAYS)}) AS u(f, movel))
+  SELECT isodow(data_atendimento) >= 6 AS fim_de_semana, coalesce(fixo, movel) AS feriado, count(*) AS n FROM ord
+  LEFT JOIN h ON mes = m AND dia = d LEFT JOIN e ON CAST(data_atendimento AS DATE) = quando GROUP BY 1, 2""")
 def enrich_calendar(spark, sf):
-    rows = cleaning.enrich_calendar(b.orders(spark, sf).select("data_atendimento"), "data_atendimento")
+    rows = cleaning.enrich_calendar(b.orders(spark, sf).select("data_atendimento"), "data_atendimento", HOLIDAYS)
     return rows.groupBy("fim_de_semana", "feriado").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -145,7 +154,25 @@ def enrich_calendar(spark, sf):
   SELECT f.*, {AREA_SQL} AS bairro_normalizado, {KIND_SQL} AS tipo_ocorrencia_normalizado,
   {b.CALENDAR_SQL.format(d='data_atendimento')} FROM f""")
 def clean_and_unify(spark, sf):
-    return stages.clean_and_unify(b.dirty(spark, sf), regions=vocab.REGION_SPELLINGS)
+    return stages.clean_and_unify(b.dirty(spark, sf), regions=vocab.REGION_SPELLINGS, fill=True)
+
+
+@query("clean_and_unify_nulls", f"""{DIRTY} SELECT id_atendimento, bairro, {AREA_SQL} AS bairro_normalizado,
+  CAST({PARSED} AS TIMESTAMP) AS data_atendimento, quantidade FROM dirty""")
+def clean_and_unify_nulls(spark, sf):
+    """Without filling nulls stay null."""
+    return stages.clean_and_unify(b.dirty(spark, sf)).select(
+        "id_atendimento", "bairro", "bairro_normalizado", "data_atendimento", "quantidade"
+    )
+
+
+@query("normalize_sentinel", """SELECT o_orderkey AS id, 'não informado' AS bairro_normalizado FROM orders""")
+def normalize_sentinel(spark, sf):
+    """The sentinel of filled nulls and its raw spellings are one area."""
+    key = F.col("o_orderkey")
+    area = F.when(key % 3 == 0, F.lit("Nao Informado")).when(key % 3 == 1, F.lit(" NÃO INFORMADO "))
+    rows = b.table(spark, sf, "orders").select(key.alias("id"), area.alias("bairro"))
+    return cleaning.normalize_area(cleaning.fill_text(rows)).select("id", "bairro_normalizado")
 
 
 @query("cleaning_effect", f"""{DIRTY} SELECT count(*) AS linhas, count(*) FILTER (WHERE {REGION_OK}) AS linhas_filtradas,

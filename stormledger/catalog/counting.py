@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stormledger import bindings as b, vocab
 from stormledger.catalog.core import query
 from stormledger.functions import dates
-from stormledger.operators import aggregates as agg, joins, profiling, series
+from stormledger.operators import aggregates as agg, joins, profiling, ranking, series
 from stormledger.plans import datasets
 
 ORD, INC, CALLS = f"WITH {b.ORDERS_SQL}", f"WITH {b.INCIDENTS_SQL}", f"WITH {b.CALLS_SQL}"
@@ -138,11 +138,14 @@ def distinct_counts(spark, sf):
     return profiling.distinct_counts(b.calls(spark, sf), ["posto", "tipo_ocorrencia", "chuva_mm", "hora"])
 
 
-@query("distinct_counts_approx")
+@query("distinct_counts_approx", "SELECT coluna, true AS dentro_do_erro FROM (VALUES ('posto'), ('tipo_ocorrencia'), ('chuva_mm'), ('hora')) AS t(coluna)")
 def distinct_counts_approx(spark, sf):
-    """Sketched counts; the error bound is checked in the tests."""
-    return profiling.distinct_counts_approx(
-        b.calls(spark, sf), ["posto", "tipo_ocorrencia", "chuva_mm", "hora"]
+    """Sketched counts, each within three standard errors of the exact one."""
+    columns = ["posto", "tipo_ocorrencia", "chuva_mm", "hora"]
+    exact = profiling.distinct_counts(b.calls(spark, sf), columns).withColumnRenamed("valores_unicos", "exatos")
+    within = F.abs(F.col("valores_unicos") - F.col("exatos")) <= 0.06 * F.col("exatos")
+    return profiling.distinct_counts_approx(b.calls(spark, sf), columns).join(exact, "coluna").select(
+        "coluna", within.alias("dentro_do_erro")
     )
 
 
@@ -171,6 +174,19 @@ def rank_area(spark, sf):
     return agg.with_ranking(agg.count_by(b.incidents(spark, sf), "bairro"), "bairro")
 
 
+@query("rank_part", """WITH c AS (SELECT 'peca-0000000' || l_partkey AS nome, count(*) // 8 AS total_ocorrencias
+  FROM lineitem GROUP BY 1, l_partkey) SELECT nome, total_ocorrencias,
+  CAST(row_number() OVER (ORDER BY total_ocorrencias DESC, nome) AS INTEGER) AS posicao FROM c""")
+def rank_part(spark, sf):
+    """Many keys with one beginning and equal totals."""
+    counts = agg.count_by(b.table(spark, sf, "lineitem"), "l_partkey")
+    named = counts.select(
+        F.concat(F.lit("peca-0000000"), "l_partkey").alias("nome"),
+        F.floor(F.col("total_ocorrencias") / 8).alias("total_ocorrencias"),
+    )
+    return ranking.with_global_rank(named, "total_ocorrencias", "nome", "posicao")
+
+
 @query("rank_station", f"""{CALLS}, a AS (SELECT posto, count(*) AS total_ocorrencias FROM calls GROUP BY posto)
   SELECT posto, total_ocorrencias,
   CAST(row_number() OVER (ORDER BY total_ocorrencias DESC, CAST(posto AS VARCHAR)) AS INTEGER) AS ranking
@@ -270,17 +286,42 @@ def moving_avg_year(spark, sf):
   LEFT JOIN m a ON m.ano * 12 + m.mes = a.ano * 12 + a.mes + 1)
   SELECT ano, mes, total_ocorrencias, anterior,
   round(100.0 * (total_ocorrencias - anterior) / anterior, 2) AS variacao_pct,
-  abs(round(100.0 * (total_ocorrencias - anterior) / anterior, 2)) <= 30 AS dentro_do_limite FROM p""")
+  abs(100.0 * (total_ocorrencias - anterior) / anterior) <= 30 AS dentro_do_limite FROM p""")
 def mom_variation(spark, sf):
     return series.month_on_month(agg.count_by(b.orders(spark, sf), "ano", "mes"))
 
 
+def _monthly_sum_sql(value: str, limit: float) -> str:
+    return f"""WITH s AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, CAST(month(l_shipdate) AS INTEGER) AS mes,
+      {value} AS total FROM lineitem GROUP BY 1, 2),
+      p AS (SELECT s.*, a.total AS anterior FROM s LEFT JOIN s a ON s.ano * 12 + s.mes = a.ano * 12 + a.mes + 1)
+      SELECT ano, mes, total, anterior, round(100.0 * (total - anterior) / anterior, 2) AS variacao_pct,
+      abs(100.0 * (total - anterior) / anterior) <= {limit} AS dentro_do_limite FROM p"""
+
+
+def _monthly_items(spark, sf, value):
+    items = b.table(spark, sf, "lineitem")
+    return items.groupBy(F.year("l_shipdate").alias("ano"), F.month("l_shipdate").alias("mes")).agg(value.alias("total"))
+
+
+@query("mom_variation_rain", _monthly_sum_sql("sum(l_quantity)", 10))
+def mom_variation_rain(spark, sf):
+    """Rain may change by 10 % from month to month."""
+    return series.month_on_month(_monthly_items(spark, sf, F.sum("l_quantity")), "total", 10)
+
+
+@query("mom_variation_response", _monthly_sum_sql("count(*)", 15))
+def mom_variation_response(spark, sf):
+    """Response figures may change by 15 %."""
+    return series.month_on_month(_monthly_items(spark, sf, F.count(F.lit(1))), "total", 15)
+
+
 @query("deviation_hist", f"""{INC}, y AS (SELECT bairro, ano, count(*) AS total_ocorrencias FROM inc GROUP BY 1, 2),
   h AS (SELECT *, avg(total_ocorrencias) OVER (PARTITION BY bairro ORDER BY ano
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM y)
   SELECT bairro, ano, total_ocorrencias, round(m, 4) AS media_historica,
   round(100.0 * (total_ocorrencias - m) / m, 2) AS desvio_pct,
-  abs(round(100.0 * (total_ocorrencias - m) / m, 2)) <= 20 AS dentro_do_limite FROM h""")
+  abs(100.0 * (total_ocorrencias - m) / m) <= 20 AS dentro_do_limite FROM h""")
 def deviation_hist(spark, sf):
     yearly = agg.count_by(b.incidents(spark, sf), "bairro", "ano")
     return series.deviation_from_history(yearly, "bairro", ["ano"])

@@ -124,12 +124,40 @@ def src_file_year(spark, sf):
     return rows.select(year).groupBy("_ano_origem").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("corpus_summary", f"""{ORD} SELECT ano, count(*) AS registros FROM ord GROUP BY ROLLUP (ano)""")
+@query("corpus_summary", f"""{ORD}, y AS (SELECT 'atendimentos_' || ano || '.csv' AS arquivo, count(*) AS registros,
+  1 AS processados FROM ord GROUP BY ano UNION ALL SELECT 'atendimentos_2100.csv', 0, 0)
+  SELECT arquivo, CAST(sum(registros) AS BIGINT) AS registros, count(*) AS arquivos,
+  CAST(sum(processados) AS BIGINT) AS processados FROM y GROUP BY ROLLUP (arquivo)""")
 def corpus_summary(spark, sf):
-    corpus = delimited.read_corpus(spark, _write_corpus(spark, sf))
-    return delimited.corpus_summary(corpus, "_ano_origem").select(
-        F.col("_ano_origem").alias("ano"), "registros"
-    )
+    """One file per year, and one of a header alone."""
+    path = scratch_path(spark, "summary")
+    raw = _raw(spark, sf)
+    _write_raw(raw.repartition("ano"), path)
+    empty = spark.createDataFrame([("Id;Regional;Data;Ocorrencia;Bairro;Quantidade",)], "value string")
+    empty.coalesce(1).write.option("compression", "none").text(f"{path}/ano=2100")
+    corpus = delimited.read_corpus(spark, path, names="part-*")
+    found = delimited.found_files(spark, path, "part-*")
+    named = F.concat(F.lit("atendimentos_"), delimited.name_year(F.element_at(F.split("caminho", "/"), -2)), F.lit(".csv"))
+    by_year = corpus.withColumn("_arquivo", F.concat(F.lit("atendimentos_"), "_ano_origem", F.lit(".csv")))
+    return delimited.corpus_summary(by_year, found.withColumn("arquivo", named)).withColumnRenamed("_arquivo", "arquivo")
+
+
+MULTI_TEXT = "CASE WHEN o_orderkey % 4 = 0 THEN 'linha um' || chr(10) || 'linha \"dois\"; ' || o_orderpriority ELSE o_orderpriority END"
+
+
+@query("src_csv_multiline", f"""SELECT CAST(o_orderkey AS VARCHAR) AS id,
+  CASE WHEN year(o_orderdate) % 2 = 0 THEN {MULTI_TEXT} ELSE o_orderpriority END AS texto,
+  CAST(year(o_orderdate) AS INTEGER) AS _ano_origem FROM orders""")
+def src_csv_multiline(spark, sf):
+    """Files of even years hold line breaks in quotes; the others are read in splits."""
+    key, kind = F.col("o_orderkey"), F.col("o_orderpriority")
+    year = F.year("o_orderdate")
+    broken = (key % 4 == 0) & (year % 2 == 0)
+    text = F.when(broken, F.concat(F.lit('linha um\nlinha "dois"; '), kind)).otherwise(kind)
+    rows = b.table(spark, sf, "orders").select(key.alias("Id"), text.alias("Texto"), year.alias("ano"))
+    path = scratch_path(spark, "multiline")
+    _write_raw(rows.repartition("ano"), path)
+    return delimited.read_corpus(spark, path).select("id", "texto", "_ano_origem")
 
 
 @query("schema_diff", f"""{ORD}, y AS (SELECT DISTINCT ano FROM ord)
@@ -143,22 +171,21 @@ def schema_diff(spark, sf):
 
 @query("src_gzip_roundtrip", """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem""")
 def src_gzip_roundtrip(spark, sf):
-    """The threshold is low enough for the table to be compressed."""
     rows = b.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    path = sinks.write_csv_auto(rows, scratch_path(spark, "gzip"), threshold=1000)
+    path = sinks.write_csv_table(rows, scratch_path(spark, "gzip"))
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
 @query("src_cleaned_table", f"""WITH {b.DIRTY_SQL}, d AS (SELECT *, {b.PARSE_SQL.format(c='data_atendimento')} AS t FROM dirty)
   SELECT CAST(year(t) AS INTEGER) AS ano, CAST(month(t) AS INTEGER) AS mes, count(*) AS total_ocorrencias,
   CAST(min(t) AS TIMESTAMP) AS primeira, round(sum(coalesce(quantidade, 0)), 2) AS quantidade
-  FROM d WHERE t IS NOT NULL GROUP BY 1, 2""")
+  FROM d GROUP BY 1, 2""")
 def src_cleaned_table(spark, sf):
     """The cleaned table goes to gzip CSV and comes back typed."""
-    clean = stages.clean_and_unify(b.dirty(spark, sf))
-    path = sinks.write_csv_auto(clean, scratch_path(spark, "cleaned"), threshold=100)
+    clean = stages.clean_and_unify(b.dirty(spark, sf), fill=True)
+    path = sinks.write_csv_table(clean, scratch_path(spark, "cleaned"))
     rows = delimited.read_cleaned(spark, path)
-    return rows.where("ano IS NOT NULL").groupBy("ano", "mes").agg(
+    return rows.groupBy("ano", "mes").agg(
         F.count(F.lit(1)).alias("total_ocorrencias"), F.min("data_atendimento").alias("primeira"),
         F.round(F.sum("quantidade"), 2).alias("quantidade"),
     )
@@ -168,7 +195,7 @@ def src_cleaned_table(spark, sf):
   true AS comprimido FROM lineitem""")
 def sink_csv_compressed(spark, sf):
     rows = b.table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
-    path = sinks.write_csv_auto(rows, scratch_path(spark, "compressed"), threshold=1000)
+    path = sinks.write_csv_table(rows, scratch_path(spark, "compressed"))
     back = spark.read.schema(rows.schema).option("header", True).csv(path)
     return back.agg(
         F.count(F.lit(1)).alias("linhas"), F.round(F.sum("l_extendedprice"), 2).alias("soma"),
@@ -176,6 +203,36 @@ def sink_csv_compressed(spark, sf):
     )
 
 
+# Texts that a CSV must carry: quotes, separators, a backslash, a line break, null and empty.
+QUOTE_TEXTS = ['rua "A", casa', "a;b, c", "c:\\temp\\", "duas\nlinhas", '"', "'", "fim\\"]
+QUOTES_SQL = "SELECT event_id AS id, CASE event_id % 9 " + " ".join(
+    "WHEN {} THEN {}".format(i, " || chr(10) || ".join(f"'{part}'" for part in t.replace("'", "''").split("\n")))
+    for i, t in enumerate(QUOTE_TEXTS)
+) + " WHEN 7 THEN '' END AS texto, event_type AS tipo FROM events"
+
+
+def _quotes(spark, sf) -> DataFrame:
+    key = F.col("event_id")
+    text = F.when(key % 9 == 7, F.lit(""))
+    for i, t in enumerate(QUOTE_TEXTS):
+        text = text.when(key % 9 == i, F.lit(t))
+    return b.table(spark, sf, "events").select(key.alias("id"), text.alias("texto"), F.col("event_type").alias("tipo"))
+
+
+@query("sink_csv_quotes", f"""WITH q AS ({QUOTES_SQL}) SELECT CAST(id AS VARCHAR) AS id,
+  CASE WHEN texto <> '' THEN texto END AS texto, tipo, forma FROM q, (VALUES ('tabela'), ('exporta')) AS f(forma)""")
+def sink_csv_quotes(spark, sf):
+    """Both CSV writers, read back as a corpus; null and empty text are one there, as in the raw files."""
+    rows = _quotes(spark, sf)
+    table = sinks.write_csv_table(rows, scratch_path(spark, "quotes"))
+    export = sinks.write_csv_export(rows, scratch_path(spark, "quotes-export"), sep=";")
+    back = [
+        delimited.read_cleaned(spark, path).select("id", "texto", "tipo", F.lit(form).alias("forma"))
+        for path, form in ((table, "tabela"), (export, "exporta"))
+    ]
+    return back[0].unionAll(back[1])
+
+
 @query("sink_csv_semicolon", f"{ORD} SELECT mes, ano, count(*) AS total_ocorrencias FROM ord GROUP BY 1, 2")
 def sink_csv_semicolon(spark, sf):
     rows = agg.by_month_year(b.orders(spark, sf))
@@ -228,13 +285,14 @@ def sink_parquet_partitioned(spark, sf):
     return agg.count_by(spark.read.parquet(path).where(F.col("ano") == 1997), "mes")
 
 
-@query("sink_json_report", f"""WITH {b.DIRTY_SQL} SELECT 'regional' AS nome, count(*) - count(regional) AS nulos,
-  count(DISTINCT regional) AS valores_unicos FROM dirty
-  UNION ALL SELECT 'bairro', count(*) - count(bairro), count(DISTINCT bairro) FROM dirty""")
+@query("sink_json_report", f"""WITH {b.DIRTY_SQL} SELECT 'regional' AS nome, 'string' AS tipo, count(*) - count(regional) AS nulos,
+  round(100.0 * (count(*) - count(regional)) / count(*), 2) AS pct_nulos, count(DISTINCT regional) AS valores_unicos FROM dirty
+  UNION ALL SELECT 'bairro', 'string', count(*) - count(bairro),
+  round(100.0 * (count(*) - count(bairro)) / count(*), 2), count(DISTINCT bairro) FROM dirty""")
 def sink_json_report(spark, sf):
     profile = profiling.profile_columns(b.dirty(spark, sf), ["regional", "bairro"])
     path = sinks.write_json(profile, scratch_path(spark, "report"))
-    return spark.read.schema(profile.schema).json(path).select("nome", "nulos", "valores_unicos")
+    return spark.read.schema(profile.schema).json(path)
 
 
 @query("src_json_records", """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 3 = 0
@@ -253,12 +311,12 @@ def src_json_records(spark, sf):
 
 
 @query("html_blocks", r"""SELECT page_id, CAST(unnest(range(len(x))) AS INTEGER) AS posicao, unnest(x) AS conteudo FROM (
-  SELECT page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) AS x FROM pages)""")
+  SELECT page_id, regexp_extract_all(html, '(?s)<li(?:\s[^>]*)?>(.*?)</li>', 1) AS x FROM pages)""")
 def html_blocks(spark, sf):
     return records.html_blocks(b.table(spark, sf, "pages"), "html", "li", "page_id")
 
 
-@query("html_block_counts", r"""SELECT page_id, CAST(len(regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1)) AS INTEGER)
+@query("html_block_counts", r"""SELECT page_id, CAST(len(regexp_extract_all(html, '(?s)<li(?:\s[^>]*)?>(.*?)</li>', 1)) AS INTEGER)
   AS blocos FROM pages""")
 def html_block_counts(spark, sf):
     return records.html_block_counts(b.table(spark, sf, "pages"), "html", "li", "page_id")

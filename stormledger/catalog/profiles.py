@@ -33,10 +33,26 @@ def profile_columns(spark, sf):
     return profiling.profile_columns(b.dirty(spark, sf))
 
 
-@query("profile_columns_approx")
+MEASURED = f"WITH {b.MEASURED_SQL}"
+MEASURED_TYPES = {"id": "bigint", "quando": "timestamp_ntz", "chuva_mm": "double"}
+# Three standard errors of a sketch of distinct values.
+SKETCH_ERROR = 0.06
+
+
+@query("profile_columns_nan", f"{MEASURED} {_profile_sql(MEASURED_TYPES, 'seen')}")
+def profile_columns_nan(spark, sf):
+    return profiling.profile_columns(b.measured(spark, sf))
+
+
+@query("profile_columns_approx", f"{DIRTY}, p AS ({_profile_sql(DIRTY_TYPES, 'dirty')}) SELECT nome, tipo, nulos, pct_nulos, true AS dentro_do_erro FROM p")
 def profile_columns_approx(spark, sf):
-    """Sketched distinct counts; the error bound is checked in the tests."""
-    return profiling.profile_columns_approx(b.dirty(spark, sf))
+    """One pass with sketched distinct counts, each held against the exact count."""
+    dirty = b.dirty(spark, sf)
+    exact = profiling.profile_columns(dirty).select("nome", F.col("valores_unicos").alias("exatos"))
+    error = F.abs(F.col("valores_unicos") - F.col("exatos")) <= SKETCH_ERROR * F.col("exatos")
+    return profiling.profile_columns_approx(dirty).join(exact, "nome").select(
+        "nome", "tipo", "nulos", "pct_nulos", error.alias("dentro_do_erro")
+    )
 
 
 @query("profile_examples", f"{DIRTY} " + " UNION ALL ".join(
@@ -116,10 +132,41 @@ def outliers_iqr_rain(spark, sf):
     return out.withColumns({"q1": F.round("q1", 6), "q3": F.round("q3", 6)})
 
 
-@query("outliers_iqr_approx")
+@query("outliers_iqr_approx", " UNION ALL ".join(
+    f"SELECT '{c}' AS coluna, count(*) AS linhas, true AS q1_dentro, true AS q3_dentro FROM lineitem" for c in PRICE_COLUMNS))
 def outliers_iqr_approx(spark, sf):
-    """Sketched quartiles; the error bound is checked in the tests."""
-    return quantiles.outliers(b.table(spark, sf, "lineitem"), PRICE_COLUMNS, approx=True)
+    """Sketched quartiles, each held against the ranks its error allows."""
+    items = b.table(spark, sf, "lineitem")
+    quartiles = {r["coluna"]: (r["q1"], r["q3"]) for r in quantiles.outliers(items, PRICE_COLUMNS, approx=True).collect()}
+
+    def within(column: str, q: float, p: float):
+        below, upto = F.avg((F.col(column) < q).cast("int")), F.avg((F.col(column) <= q).cast("int"))
+        return (below <= p + 0.002) & (upto >= p - 0.002)
+
+    return items.agg(F.array(*[
+        F.struct(
+            F.lit(c).alias("coluna"), F.count(F.lit(1)).alias("linhas"),
+            within(c, q1, 0.25).alias("q1_dentro"), within(c, q3, 0.75).alias("q3_dentro"),
+        )
+        for c, (q1, q3) in quartiles.items()
+    ]).alias("m")).select(F.inline("m"))
+
+
+@query("outliers_nan", f"""{MEASURED}, q AS (SELECT quantile_cont(chuva_mm, 0.25) AS q1, quantile_cont(chuva_mm, 0.75) AS q3 FROM finite),
+  f AS (SELECT count(*) AS linhas, count(*) FILTER (WHERE chuva_mm < q1 - 1.5 * (q3 - q1) OR chuva_mm > q3 + 1.5 * (q3 - q1)) AS fora FROM seen, q)
+  SELECT 'chuva_mm' AS coluna, round(q1, 6) AS q1, round(q3, 6) AS q3, linhas, fora, round(100.0 * fora / linhas, 2) AS pct_fora,
+  100.0 * fora / linhas > 5 AS problema FROM f, q""")
+def outliers_nan(spark, sf):
+    """NaN is no outlier; an infinite reading is one, and moves no quartile."""
+    out = quantiles.outliers(b.measured(spark, sf), ["chuva_mm"])
+    return out.withColumns({"q1": F.round("q1", 6), "q3": F.round("q3", 6)})
+
+
+@query("null_totals_nan", f"""{MEASURED} SELECT 'antes' AS momento, count(*) - count(chuva_mm) AS nulos FROM seen
+  UNION ALL SELECT 'depois', 0""")
+def null_totals_nan(spark, sf):
+    raw = b.measured(spark, sf)
+    return profiling.null_totals(raw, cleaning.fill_numeric(raw, ["chuva_mm"]))
 
 
 @query("series_outliers", f"""{CALLS}, d AS (SELECT posto, CAST(data_atendimento AS DATE) AS dia,
@@ -147,14 +194,21 @@ def null_totals(spark, sf):
     return profiling.null_totals(raw, filled)
 
 
-@query("date_format_census", f"""{DIRTY} SELECT CASE id_atendimento % 9 WHEN 0 THEN 'yyyy-MM-dd' WHEN 1 THEN 'dd/MM/yyyy'
+@query("date_format_census", f"""{DIRTY} SELECT CASE id_atendimento % 13 WHEN 0 THEN 'yyyy-MM-dd' WHEN 1 THEN 'dd/MM/yyyy'
   WHEN 2 THEN 'dd/MM/yyyy HH:mm:ss' WHEN 3 THEN 'dd/MM/yyyy HH:mm' WHEN 4 THEN 'yyyy/MM/dd'
-  WHEN 5 THEN 'dd-MM-yyyy' WHEN 6 THEN 'dd-MM-yyyy HH:mm:ss' WHEN 7 THEN 'outro' ELSE 'vazio' END AS formato,
+  WHEN 5 THEN 'dd-MM-yyyy' WHEN 6 THEN 'dd-MM-yyyy HH:mm:ss' WHEN 7 THEN 'outro'
+  WHEN 8 THEN 'vazio' WHEN 9 THEN 'yyyy-MM-dd HH:mm:ss' WHEN 10 THEN 'yyyy-MM-dd HH:mm:ss' ELSE 'yyyy-MM-dd HH:mm' END AS formato,
   count(*) AS n FROM dirty GROUP BY 1""")
 def date_format_census(spark, sf):
     return profiling.date_shape_census(b.dirty(spark, sf), "data_atendimento")
 
 
+DIAGNOSED = [
+    "coluna", "linhas", "nulos", "valores_unicos", "pct_nulos", "classe", "muitos_nulos", "campo_chave_nulo",
+    "pct_fora", "outliers",
+]
+
+
 @query("diagnosis", f"""{DIRTY}, p AS ({_profile_sql(DIRTY_TYPES, 'dirty')}),
   o AS ({_outlier_sql(['id_atendimento', 'quantidade'], 'dirty')})
   SELECT nome AS coluna, (SELECT count(*) FROM dirty) AS linhas, nulos, valores_unicos, pct_nulos,
@@ -163,7 +217,39 @@ def date_format_census(spark, sf):
   nome IN ('bairro', 'tipo_ocorrencia', 'regional') AND nulos > 0 AS campo_chave_nulo,
   pct_fora, problema AS outliers FROM p LEFT JOIN o ON nome = coluna""")
 def diagnosis(spark, sf):
-    return stages.diagnose(b.dirty(spark, sf))
+    return stages.diagnose(b.dirty(spark, sf)).select(*DIAGNOSED)
+
+
+def _per_file_sql(column: str, kind: str, key_field: bool) -> str:
+    text = kind == "texto" or column == "data_atendimento"
+    odd = f"count(*) FILTER (WHERE regexp_matches({column}, '[^\\x00-\\x7F]'))" if text else "NULL"
+    first = f"""(SELECT valor FROM (SELECT {column} AS valor, count(*) AS n FROM f g WHERE g.arquivo = f.arquivo
+      AND {column} IS NOT NULL GROUP BY 1) ORDER BY n DESC, valor LIMIT 1)""" if key_field else "NULL"
+    share = f"""100.0 * count(*) FILTER (WHERE {column} < q1 - 1.5 * (q3 - q1) OR {column} > q3 + 1.5 * (q3 - q1)) / count(*)""" if kind == "numerica" else None
+    source = f"(SELECT *, quantile_cont({column}, 0.25) OVER w AS q1, quantile_cont({column}, 0.75) OVER w AS q3 FROM f WINDOW w AS (PARTITION BY arquivo)) f" if share else "f"
+    nulls = f"100.0 * (count(*) - count({column})) / count(*)"
+    return f"""SELECT arquivo, '{column}' AS coluna, count(*) AS linhas, count(*) - count({column}) AS nulos,
+      count(DISTINCT {column}) AS valores_unicos, round({nulls}, 2) AS pct_nulos, '{kind}' AS classe,
+      round({nulls}, 2) > 50 AS muitos_nulos, false AS sem_data, {str(key_field).lower()} AND count(*) > count({column}) AS campo_chave_nulo,
+      CAST({odd} AS BIGINT) AS fora_do_ascii, {first} AS principal,
+      {f"round({share}, 2)" if share else "CAST(NULL AS DOUBLE)"} AS pct_fora, {f"{share} > 5" if share else "CAST(NULL AS BOOLEAN)"} AS outliers
+      FROM {source} GROUP BY arquivo"""
+
+
+@query("diagnosis_per_file", f"""{DIRTY}, f AS (SELECT dirty.*, 'a' || id_atendimento % 4 AS arquivo FROM dirty) """ + " UNION ALL ".join(
+    _per_file_sql(c, k, c in ("regional", "bairro", "tipo_ocorrencia"))
+    for c, k in {
+        "id_atendimento": "numerica", "regional": "texto", "bairro": "texto",
+        "tipo_ocorrencia": "texto", "data_atendimento": "data", "quantidade": "numerica",
+    }.items()
+))
+def diagnosis_per_file(spark, sf):
+    """All problems of each file, and the most frequent value of its categorical columns."""
+    rows = b.dirty(spark, sf).withColumn("arquivo", F.concat(F.lit("a"), F.col("id_atendimento") % 4))
+    found = stages.diagnose(rows, ("arquivo",))
+    return found.withColumn("principal", F.col("principais")[0]["valor"]).select(
+        "arquivo", *DIAGNOSED, "sem_data", "fora_do_ascii", "principal"
+    )
 
 
 @query("sample_head", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice

@@ -19,8 +19,13 @@ def date_shape(c: Column) -> Column:
     ).otherwise(F.lit("outro"))
 
 
-# The accepted shapes as two patterns: the year first, or the day first with an optional time.
-YEAR_FIRST = r"^\d{4}([-/])\d{1,2}\1\d{1,2}$"
+# The accepted shapes as two patterns: the year or the day first, with an optional time.
+YEAR_FIRST = (
+    r"^\d{4}([-/])\d{1,2}\1\d{1,2}"
+    r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+)
+# A zone after a time. Records carry local time, so the clock time stays and the zone goes.
+ZONE = r"(\d:\d.*?)(?:Z|[+-]\d{2}:?\d{2})$"
 DAY_FIRST = (
     r"^(\d{1,2})/(\d{1,2})/(\d{4})( \d{1,2}:\d{1,2}(?::\d{1,2})?)?$"
     r"|^(\d{1,2})-(\d{1,2})-(\d{4})( \d{1,2}:\d{1,2}:\d{1,2})?$"
@@ -37,7 +42,8 @@ def parse_date(c: Column) -> Column:
     s = text.strip(c)
     iso = F.regexp_replace(s, DAY_FIRST, "$3$7-$2$6-$1$5$4$8")
     return F.when(
-        s.rlike(YEAR_FIRST), F.replace(s, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")
+        s.rlike(YEAR_FIRST),
+        F.regexp_replace(F.replace(s, F.lit("/"), F.lit("-")), ZONE, "$1").try_cast("timestamp_ntz"),
     ).when(s.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
 
 
@@ -47,6 +53,17 @@ def wall_seconds(c: Column) -> Column:
     return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
+def easter(year: Column) -> Column:
+    """Easter Sunday of a Gregorian year: the Sunday after the first full moon of spring."""
+    golden, century = year % 19, F.floor(year / 100)
+    # Days from 21 March to the full moon, by the golden number and the century's corrections.
+    corrections = century - F.floor(century / 4) - F.floor((century * 8 + 13) / 25)
+    moon = F.pmod(golden * 19 + corrections + 15, F.lit(30))
+    moon = moon - F.when((moon == 29) | ((moon == 28) & (golden > 10)), 1).otherwise(0)
+    full = F.date_add(F.make_date(year, F.lit(3), F.lit(21)), moon.cast("int"))
+    return F.next_day(full, "Sun")
+
+
 def season(month: Column, labels: list[str] = vocab.SEASONS) -> Column:
     """Southern-hemisphere season of a month number."""
     # Dec, Jan, Feb -> 0; Mar..May -> 1; Jun..Aug -> 2; Sep..Nov -> 3.

@@ -26,9 +26,14 @@ def normalize(c: Column) -> Column:
     return strip(F.lower(c))
 
 
+def fold(c: Column) -> Column:
+    """A lower-case text without accents and combining marks."""
+    return F.translate(c, ACCENTED + COMBINING, PLAIN)
+
+
 def plain(c: Column) -> Column:
     """Lower-case, stripped and accent-free spelling; also drops combining marks."""
-    return F.translate(normalize(c), ACCENTED + COMBINING, PLAIN)
+    return fold(normalize(c))
 
 
 def slug(c: Column) -> Column:

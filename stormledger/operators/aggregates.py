@@ -200,13 +200,18 @@ def risk_share(df: DataFrame, is_risk: Column, *keys: str) -> DataFrame:
     out = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(is_risk).alias("em_risco")
     )
-    pct = F.round(F.lit(100.0) * F.col("em_risco") / F.col("total"), 2)
-    return out.withColumn("percentual", pct).withColumn(
-        "valido", F.col("percentual").between(0, 100)
-    )
+    pct = F.lit(100.0) * F.col("em_risco") / F.col("total")
+    return out.withColumns({"percentual": F.round(pct, 2), "valido": pct.between(0, 100)})
 
 
 def sum_by(df: DataFrame, value: str, *keys: str, out: str, positive_only: bool = False):
-    """Sum of a measure per key; optionally only groups with a positive sum."""
-    summed = df.groupBy(*keys).agg(F.round(F.sum(value), 2).alias(out))
-    return summed.where(F.col(out) > 0) if positive_only else summed
+    """Sum of a measure per key; optionally only groups with a positive sum, however small."""
+    summed = df.groupBy(*keys).agg(F.sum(value).alias(out))
+    kept = summed.where(F.col(out) > 0) if positive_only else summed
+    return kept.withColumn(out, F.round(out, 2))
+
+
+def positive_check(df: DataFrame, value: str, *keys: str, out: str) -> DataFrame:
+    """Sum of a measure per key and whether it is positive: a silent station fails."""
+    summed = df.groupBy(*keys).agg(F.sum(value).alias(out))
+    return summed.withColumns({"valido": F.coalesce(F.col(out) > 0, F.lit(False)), out: F.round(out, 2)})

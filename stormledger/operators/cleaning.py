@@ -39,13 +39,16 @@ def fill_numeric(df: DataFrame, columns: list[str] | None = None, value: float =
 
 
 def _map_spellings(df: DataFrame, column: str, out: str, rows: list[tuple[str, str]]) -> DataFrame:
+    # The sentinel of filled nulls and its spellings in raw files are one name.
+    rows = [*rows, (vocab.NOT_INFORMED_PLAIN, vocab.NOT_INFORMED)]
     # The dimension is a module constant (under 150 rows), so the broadcast is bounded.
     dim = df.sparkSession.createDataFrame(rows, "_grafia string, _nome string")
-    keyed = df.withColumn("_grafia", text.plain(F.col(column)))
+    lowered = df.withColumn("_minusculo", text.normalize(F.col(column)))
+    keyed = lowered.withColumn("_grafia", text.fold(F.col("_minusculo")))
     return (
         keyed.join(F.broadcast(dim), "_grafia", "left")
-        .withColumn(out, F.coalesce("_nome", text.normalize(F.col(column))))
-        .drop("_grafia", "_nome")
+        .withColumn(out, F.coalesce("_nome", "_minusculo"))
+        .drop("_grafia", "_nome", "_minusculo")
     )
 
 
@@ -79,15 +82,27 @@ def recover_period(
     })
 
 
-def enrich_calendar(df: DataFrame, column: str, holidays: list[tuple] = vocab.NATIONAL_HOLIDAYS):
-    """Add a weekend flag and the holiday name of a date."""
+def enrich_calendar(
+    df: DataFrame, column: str, holidays: list[tuple] = vocab.NATIONAL_HOLIDAYS,
+    movable: list[tuple] = vocab.MOVABLE_HOLIDAYS,
+):
+    """Add a weekend flag and the holiday name of a date.
+
+    ``holidays`` are (month, day, name), such as national and local days;
+    ``movable`` are (days from Easter Sunday, name).
+    """
     # One row per holiday of the year: a bounded broadcast.
     dim = df.sparkSession.createDataFrame(holidays, "_m int, _d int, feriado string")
     c = F.col(column)
+    moved = F.lit(None).cast("string")
+    for offset, name in movable:
+        moved = F.when(F.col("_pascoa") == offset, F.lit(name)).otherwise(moved)
     return (
         df.withColumns({
             "fim_de_semana": F.weekday(c) >= 5, "_m": F.month(c), "_d": F.dayofmonth(c),
+            "_pascoa": F.datediff(F.to_date(c), dates.easter(F.year(c))),
         })
         .join(F.broadcast(dim), ["_m", "_d"], "left")
-        .drop("_m", "_d")
+        .withColumn("feriado", F.coalesce("feriado", moved))
+        .drop("_m", "_d", "_pascoa")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger import schema
 from stormledger.functions import dates, text
+from stormledger.functions.values import missing, present
 from stormledger.operators.ranking import top_per_group
 
 
@@ -24,7 +25,8 @@ def value_census(df: DataFrame, columns: list[str] | None = None, keys: tuple[st
     per task.
     """
     columns = [c for c in (columns or df.columns) if c not in keys]
-    cells = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+    texts = [F.when(present(df, c), F.col(c).cast("string")).alias(c) for c in columns]
+    cells = df.select(*keys, *texts).unpivot(
         list(keys), columns, "coluna", "valor"
     )
     return cells.groupBy(*keys, "coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
@@ -75,9 +77,9 @@ def profile_columns_approx(df: DataFrame, columns: list[str] | None = None, rsd:
     types = _types(df, columns)
     measures = [
         F.struct(
-            F.lit(c).alias("nome"), F.lit(t).alias("tipo"), F.count_if(F.col(c).isNull()).alias("nulos"),
+            F.lit(c).alias("nome"), F.lit(t).alias("tipo"), F.count_if(missing(df, c)).alias("nulos"),
             F.count(F.lit(1)).alias("linhas"),
-            F.approx_count_distinct(c, rsd).alias("valores_unicos"),
+            F.approx_count_distinct(F.when(present(df, c), F.col(c)), rsd).alias("valores_unicos"),
         )
         for c, t in types.items()
     ]
@@ -96,7 +98,8 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def distinct_counts_approx(df: DataFrame, columns: list[str], rsd: float = 0.02) -> DataFrame:
     measures = [
         F.struct(
-            F.lit(c).alias("coluna"), F.approx_count_distinct(c, rsd).alias("valores_unicos")
+            F.lit(c).alias("coluna"),
+            F.approx_count_distinct(F.when(present(df, c), F.col(c)), rsd).alias("valores_unicos"),
         )
         for c in columns
     ]
@@ -144,7 +147,7 @@ def column_classes(df: DataFrame) -> DataFrame:
     return _one_row_per_column(df, [
         F.struct(
             F.lit(f.name).alias("coluna"), F.lit(schema.column_class(f)).alias("classe"),
-            F.count(f.name).alias("preenchidos"),
+            F.count_if(present(df, f.name)).alias("preenchidos"),
         )
         for f in df.schema
     ])
@@ -165,7 +168,7 @@ def null_totals(before: DataFrame, after: DataFrame) -> DataFrame:
     """Null cells before and after a step, one pass each."""
     def nulls(df: DataFrame, label: str) -> DataFrame:
         cells = reduce(
-            lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns]
+            lambda a, b: a + b, [F.count_if(missing(df, c)) for c in df.columns]
         )
         return df.agg(F.lit(label).alias("momento"), cells.alias("nulos"))
 
@@ -209,7 +212,7 @@ def key_nulls(df: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Null count of each key field present."""
     fields = [c for c in (fields or schema.KEY_FIELDS) if c in df.columns]
     measures = [
-        F.struct(F.lit(c).alias("campo"), F.count_if(F.col(c).isNull()).alias("nulos"))
+        F.struct(F.lit(c).alias("campo"), F.count_if(missing(df, c)).alias("nulos"))
         for c in fields
     ]
     return _one_row_per_column(df, measures)

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger.functions import dates, text
+from stormledger.functions.values import known, present
 from stormledger.operators.ranking import latest_per_key
 
 CRITICAL, HIGH, MEDIUM = "critica", "alta", "media"
@@ -61,7 +62,7 @@ def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def mark_accepted(df: DataFrame, required: list[str], out: str = "aceito") -> DataFrame:
     """Whether all required fields of a row are present."""
-    return df.withColumn(out, reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required]))
+    return df.withColumn(out, reduce(lambda a, b: a & b, [present(df, c) for c in required]))
 
 
 def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -71,7 +72,7 @@ def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataF
 
 
 def required_rules(required: list[str]) -> list[Rule]:
-    return [Rule(f"{c}_presente", CRITICAL, F.col(c).isNotNull()) for c in required]
+    return [Rule(f"{c}_presente", CRITICAL, known(F.col(c))) for c in required]
 
 
 def fill_unknown(df: DataFrame, column: str, label: str = "desconhecido") -> DataFrame:
@@ -97,10 +98,10 @@ def freshness_rule(column: str, reference: Column, days: int, severity: str = ME
 
 
 def date_format_rule(column: str, severity: str = HIGH) -> Rule:
-    """ISO text: yyyy-MM-dd with an optional time, and a real date."""
+    """ISO text: yyyy-MM-dd with an optional time, all of it readable."""
     c = text.strip(F.col(column))
-    iso = c.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2})?)?$")
-    real = F.substring(c, 1, 10).try_cast("date").isNotNull()
+    iso = c.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$")
+    real = dates.parse_date(F.col(column)).isNotNull()
     return Rule(f"{column}_iso", severity, F.when(iso, real).otherwise(F.lit(False)))
 
 
@@ -117,9 +118,10 @@ def convert_dates(df: DataFrame, column: str) -> DataFrame:
 def daily_range(df: DataFrame, date: str, value: Column, low: float, high: float, *keys: str):
     """Daily totals outside [low, high]."""
     daily = df.where(F.col(date).isNotNull()).groupBy(*keys, F.to_date(date).alias("dia")).agg(
-        F.round(F.sum(value), 2).alias("total_dia")
+        F.sum(value).alias("total_dia")
     )
-    return daily.where(~F.col("total_dia").between(low, high))
+    outside = daily.where(~F.col("total_dia").between(low, high))
+    return outside.withColumn("total_dia", F.round("total_dia", 2))
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -146,7 +148,7 @@ def keep_latest(df: DataFrame, keys: list[str], ts: str, tie: list[Column]) -> D
 def null_ratio(df: DataFrame, limit: float = 0.15, columns: list[str] | None = None) -> DataFrame:
     """One rule per column: share of nulls within the limit."""
     return check(df, [
-        Rule(c, HIGH, F.col(c).isNotNull(), limit) for c in (columns or df.columns)
+        Rule(c, HIGH, present(df, c), limit) for c in (columns or df.columns)
     ])
 
 
@@ -178,8 +180,15 @@ def schema_check(df: DataFrame, expected: dict[str, str]) -> DataFrame:
     return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))
 
 
+def scorecards(results: dict[str, list[DataFrame]], minimum: float = 0.95) -> DataFrame:
+    """One scorecard per dataset, in ``conjunto``."""
+    return reduce(DataFrame.unionByName, [
+        scorecard(found, minimum).withColumn("conjunto", F.lit(name)) for name, found in results.items()
+    ])
+
+
 def scorecard(results: list[DataFrame], minimum: float = 0.95) -> DataFrame:
-    """Overall quality: share of passed checks, critical failures and the verdict."""
+    """Quality of a dataset: share of passed checks, critical failures and the verdict."""
     rules = reduce(DataFrame.unionByName, results)
     score = F.lit(1.0) - F.coalesce(
         F.try_divide(F.sum("falhas"), F.sum("verificados")), F.lit(0.0)
@@ -188,9 +197,10 @@ def scorecard(results: list[DataFrame], minimum: float = 0.95) -> DataFrame:
     return (
         rules.agg(
             F.count(F.lit(1)).alias("regras"), F.count_if("aprovado").alias("aprovadas"),
-            critical.alias("falhas_criticas"), F.round(score, 6).alias("qualidade"),
+            critical.alias("falhas_criticas"), score.alias("qualidade"),
         )
         .withColumn("aceito", (F.col("qualidade") >= minimum) & (F.col("falhas_criticas") == 0))
+        .withColumn("qualidade", F.round("qualidade", 6))
     )
 
 

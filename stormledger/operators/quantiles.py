@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stormledger.session import materialize
+
 BUCKETS = 8192
 
 Quantiles = dict[str, list[float | None]]
@@ -47,10 +50,16 @@ def _number(column: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
+def _finite(column: str) -> Column:
+    """The numbers that have a place on a scale; infinite ones are outside any fence."""
+    v = _number(column)
+    return F.when(F.abs(v) < F.lit(math.inf), v)
+
+
 def _extent(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
     """(count, min, max) per column in one pass."""
     measures = [
-        F.struct(F.count(_number(c)), F.min(_number(c)), F.max(_number(c))).alias(f"_{i}")
+        F.struct(F.count(_finite(c)), F.min(_finite(c)), F.max(_finite(c))).alias(f"_{i}")
         for i, c in enumerate(columns)
     ]
     row = df.agg(*measures).first()
@@ -61,7 +70,7 @@ def _narrow(df: DataFrame, ranges: list[_Range], ranks: dict[_Range, set[int]]):
     """One scan: for each range and each rank in it, the smaller range that holds the rank."""
     def mark(column: str) -> Column:
         # The ranges of one column do not overlap: a value falls into one at most.
-        v, i, b = _number(column), F.lit(None).cast("int"), F.lit(None).cast("int")
+        v, i, b = _finite(column), F.lit(None).cast("int"), F.lit(None).cast("int")
         for at, r in enumerate(ranges):
             if r.column == column:
                 i = F.when(r.holds(v), F.lit(at)).otherwise(i)
@@ -88,7 +97,7 @@ def _narrow(df: DataFrame, ranges: list[_Range], ranks: dict[_Range, set[int]]):
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Quantiles:
-    """Quantiles per column with linear interpolation between neighbouring ranks."""
+    """Quantiles of the finite values per column, interpolated between neighbouring ranks."""
     extent = _extent(df, columns)
     value: dict[tuple[str, int], float] = {}
     open_ranks: dict[_Range, set[int]] = {}
@@ -101,8 +110,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Qu
 
     for c, (n, lo, hi) in extent.items():
         if n:
-            if math.isinf(lo) or math.isinf(hi):
-                raise ValueError(f"column {c} holds infinite values")
             places = [(n - 1) * p for p in probs]
             place(_Range(c, lo, hi, 0), {f(x) for x in places for f in (math.floor, math.ceil)})
     while open_ranks:
@@ -125,11 +132,79 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Qu
     return {c: [interpolate(c, extent[c][0], p) for p in probs] for c in columns}
 
 
+def grouped_quantiles(cells: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """(keys, q) of a frame (keys, v) of numbers: exact quantiles of every group at once.
+
+    As ``exact_quantiles``, with the ranges of all groups in a table: a round is
+    one histogram of all groups, and few rounds serve any number of groups.
+    """
+    cells = cells.select(*keys, "v").where(F.abs("v") < F.lit(math.inf))
+    extent = cells.groupBy(*keys).agg(
+        F.count("v").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    )
+    places = F.array_distinct(F.flatten(F.array(*[
+        F.array(F.floor((F.col("total") - 1) * p), F.ceil((F.col("total") - 1) * p)) for p in probs
+    ])))
+    ranks = extent.withColumn("k", F.explode(places)).withColumn("below", F.lit(0).cast("bigint"))
+    ranks = materialize(ranks, "ranks")
+    shared = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
+    while not ranks.where("lo < hi").isEmpty():
+        ranges = ranks.where("lo < hi").select(*keys, "lo", "hi", "below").distinct()
+        half = F.when((F.col("hi") - F.col("lo")) == F.lit(math.inf), 0.5).otherwise(1.0)
+        width = F.col("hi") * half - F.col("lo") * half
+        step = F.floor((F.col("v") * half - F.col("lo") * half) / width * BUCKETS)
+        histogram = (
+            cells.alias("c").join(ranges.alias("r"), shared & F.col("v").between(F.col("lo"), F.col("hi")))
+            .select(*[F.col(f"r.{k}").alias(k) for k in keys], "lo", "below", "v", F.least(step, F.lit(BUCKETS - 1)).alias("b"))
+            .groupBy(*keys, "lo", "below", "b")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("nlo"), F.max("v").alias("nhi"))
+        )
+        upto = Window.partitionBy(*keys, "lo", "below").orderBy("b")
+        histogram = histogram.withColumn("upto", F.sum("n").over(upto) + F.col("below"))
+        both = reduce(lambda a, b: a & b, [
+            F.col(f"o.{k}").eqNullSafe(F.col(f"h.{k}")) for k in [*keys, "lo", "below"]
+        ])
+        inside = (F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))
+        narrowed = ranks.where("lo < hi").alias("o").join(histogram.alias("h"), both & inside).select(
+            *[F.col(f"o.{k}").alias(k) for k in keys], "total", F.col("nlo").alias("lo"), F.col("nhi").alias("hi"),
+            "k", (F.col("upto") - F.col("n")).alias("below"),
+        )
+        ranks = materialize(ranks.where("lo = hi").unionByName(narrowed), "ranks")
+    values = ranks.groupBy(*keys).agg(
+        F.first("total").alias("total"), F.map_from_entries(F.collect_set(F.struct("k", "lo"))).alias("at")
+    )
+
+    def quantile(p: float) -> Column:
+        place = (F.col("total") - 1) * F.lit(p)
+        a, b = F.element_at("at", F.floor(place)), F.element_at("at", F.ceil(place))
+        return a + (b - a) * (place - F.floor(place))
+
+    return values.select(*keys, F.array(*map(quantile, probs)).alias("q"))
+
+
+def grouped_outliers(
+    df: DataFrame, columns: list[str], keys: list[str], limit_pct: float = 5, factor: float = 1.5
+) -> DataFrame:
+    """Share of rows outside the fences of their own group, per group and numeric column."""
+    values = df.select(*keys, *[_number(c).alias(c) for c in columns]).unpivot(keys, columns, "coluna", "v")
+    group = [*keys, "coluna"]
+    q = grouped_quantiles(values, group, [0.25, 0.75])
+    spread = (F.col("q")[1] - F.col("q")[0]) * factor
+    bounds = q.select(*[F.col(k).alias(f"_{k}") for k in group], (F.col("q")[0] - spread).alias("_lo"), (F.col("q")[1] + spread).alias("_hi"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in group])
+    outside = (F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))
+    share = F.lit(100.0) * F.col("fora") / F.col("linhas")
+    counted = values.join(bounds, same, "left").groupBy(*group).agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_if(outside).alias("fora")
+    )
+    return counted.select(*group, F.round(share, 2).alias("pct_fora"), (share > limit_pct).alias("problema"))
+
+
 def approx_quantiles(
     df: DataFrame, columns: list[str], probs: list[float], error: float = 0.001
 ) -> Quantiles:
     """Sketched quantiles within a rank error, in one pass."""
-    found = df.select([_number(c).alias(c) for c in columns]).approxQuantile(columns, probs, error)
+    found = df.select([_finite(c).alias(c) for c in columns]).approxQuantile(columns, probs, error)
     return {c: q or [None] * len(probs) for c, q in zip(columns, found)}
 
 
@@ -148,7 +223,7 @@ def fences(
 
 
 def _outside(column: str, low: float | None, high: float | None) -> Column:
-    v = F.col(column).cast("double")
+    v = _number(column)
     return (v < F.lit(low).cast("double")) | (v > F.lit(high).cast("double"))
 
 

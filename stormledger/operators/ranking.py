@@ -4,30 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stormledger.session import materialize
+
 
 def with_global_rank(df: DataFrame, total: str, key: str, out: str) -> DataFrame:
     """1..n over the whole frame by ``total`` descending, then ``key`` ascending.
 
-    ``df`` holds one row per key. Rows are numbered inside small pieces (equal
-    total and equal key prefix) and shifted by the number of rows in earlier
-    pieces. Only the piece sizes pass through one task, not the rows.
+    ``df`` holds one row per key. The rows are dealt into sorted ranges and
+    stored with the number of their range. Each row's place inside its range is
+    shifted by the rows of all earlier ranges; equal totals split by key, so a
+    range is bounded whatever the totals. Only one row per range passes through
+    one task.
     """
-    # Never null, so the join below adds no filter that would keep Spark from
-    # sharing the shuffle behind both of its sides.
-    piece = F.coalesce(F.substring(F.col(key).cast("string"), 1, 3), F.lit(""))
-    pieced = df.withColumn("_p", piece)
-    sizes = pieced.groupBy(total, "_p").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(F.desc(total), "_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(total).alias("_t"), F.col("_p").alias("_q"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"),
+    order = [F.desc(total), F.asc(key)]
+    ranged = materialize(
+        df.repartitionByRange(*order).withColumn("_faixa", F.spark_partition_id()), "faixas"
     )
-    inside = F.row_number().over(Window.partitionBy(total, "_p").orderBy(key))
+    sizes = ranged.groupBy("_faixa").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_faixa").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_faixa", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_antes"))
+    inside = F.row_number().over(Window.partitionBy("_faixa").orderBy(*order))
     return (
-        pieced.withColumn("_r", inside)
-        .join(offsets, (F.col(total) == F.col("_t")) & (F.col("_p") == F.col("_q")))
-        .withColumn(out, (F.col("_r") + F.col("_o")).cast("int"))
-        .drop("_p", "_q", "_t", "_o", "_r")
+        ranged.withColumn("_lugar", inside)
+        .join(offsets, "_faixa")
+        .withColumn(out, (F.col("_lugar") + F.col("_antes")).cast("int"))
+        .drop("_faixa", "_lugar", "_antes")
     )
 
 

@@ -21,7 +21,8 @@ def moving_average(
 
 
 def _change(value: Column, base: Column) -> Column:
-    return F.round(F.lit(100.0) * F.try_divide(value - base, base), 2)
+    """Percent, exact: limits are judged on it, and only what is shown is rounded."""
+    return F.lit(100.0) * F.try_divide(value - base, base)
 
 
 def month_on_month(
@@ -38,6 +39,7 @@ def month_on_month(
         df.withColumn("anterior", F.when(adjacent, F.lag(value).over(w)))
         .withColumn("variacao_pct", _change(F.col(value), F.col("anterior")))
         .withColumn("dentro_do_limite", F.abs("variacao_pct") <= limit_pct)
+        .withColumn("variacao_pct", F.round("variacao_pct", 2))
     )
 
 
@@ -50,6 +52,7 @@ def deviation_from_history(
         df.withColumn("media_historica", F.round(F.avg(value).over(past), 4))
         .withColumn("desvio_pct", _change(F.col(value), F.avg(value).over(past)))
         .withColumn("dentro_do_limite", F.abs("desvio_pct") <= limit_pct)
+        .withColumn("desvio_pct", F.round("desvio_pct", 2))
     )
 
 
@@ -85,6 +88,6 @@ def year_over_year(df: DataFrame, value: str = TOTAL) -> DataFrame:
     return (
         df.select("ano", value)
         .withColumn("anterior", F.when(adjacent, F.lag(value).over(w)))
-        .withColumn("variacao_pct", _change(F.col(value), F.col("anterior")))
+        .withColumn("variacao_pct", F.round(_change(F.col(value), F.col("anterior")), 2))
         .withColumn("comparavel", F.col("anterior").isNotNull())
     )

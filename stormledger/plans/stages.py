@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from stormledger import schema
+from stormledger.functions import text
 from stormledger.operators import cleaning, profiling, quantiles
 from stormledger.session import materialize
 
 
 def clean_and_unify(
-    df: DataFrame, regions: list[str] | None = None, fill: bool = True
+    df: DataFrame, regions: list[str] | None = None, fill: bool = False, recover: bool = False
 ) -> DataFrame:
-    """Parse dates, filter the region, fill nulls, normalise names, derive the calendar.
+    """Parse dates, filter the region, normalise names, derive the calendar.
 
     ``df`` is a united corpus with canonical columns. The region filter is
-    opt-in, because raw files may name administrative sectors instead.
+    opt-in, because raw files may name administrative sectors instead. So is
+    filling: a sentinel would count as an area or kind of its own later.
+    ``recover`` takes year and month from their raw columns where the date is
+    missing.
     """
     out = cleaning.parse_date_columns(df)
     if regions is not None and "regional" in out.columns:
@@ -26,36 +32,74 @@ def clean_and_unify(
         out = cleaning.normalize_area(out)
     if "tipo_ocorrencia" in out.columns:
         out = cleaning.normalize_kind(out)
-    return cleaning.derive_calendar(out)
+    out = cleaning.derive_calendar(out)
+    if recover and {"ano_registro", "mes_registro", "ano"} <= set(out.columns):
+        out = cleaning.recover_period(out)
+    return out
 
 
 def diagnose(
-    df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50, approx: bool = False
+    df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50, approx: bool = False, top: int = 10
 ) -> DataFrame:
     """Column profiles and problems per ``keys`` (such as the source file), in tidy rows.
 
-    One census of the table feeds the column profile; without ``keys`` the
-    numeric columns also get their outlier share, from exact or approximate
-    quartiles.
+    Per column: rows, nulls, distinct values, its class, and the five problems:
+    too many nulls, no date column, characters outside ASCII, nulls in a key
+    field, outliers; and the most frequent values of categorical columns. One
+    census feeds all but the outliers, which take the histogram rounds of all
+    files at once. With ``approx`` and without keys there is no census: one
+    pass of sketches, with neither top values nor quartile rounds.
     """
     columns = [c for c in df.columns if c not in keys]
     classes = {f.name: schema.column_class(f) for f in df.schema if f.name in columns}
-    census = profiling.value_census(df, columns, keys)
     pairs = [F.lit(x) for pair in classes.items() for x in pair]
-    profile = profiling.summarize_census(census, keys).withColumn(
-        "classe", F.element_at(F.create_map(*pairs), F.col("coluna"))
-    )
-    key_field = F.col("coluna").isin(schema.KEY_FIELDS) & (F.col("nulos") > 0)
-    out = profile.withColumns({
-        "muitos_nulos": F.col("pct_nulos") > limit_pct, "campo_chave_nulo": key_field,
-    })
+    kind = F.element_at(F.create_map(*pairs), F.col("coluna"))
     numeric = [c for c in schema.numeric_columns(df) if c in columns]
-    if keys or not numeric:
+    texts = [c for c in schema.text_columns(df) if c in columns]
+    no_date = F.lit(not schema.date_columns(df.select(columns)))
+    if approx and not keys:
+        out = _sketched(df, columns)
+    else:
+        census = materialize(profiling.value_census(df, columns, keys), "census")
+        out = profiling.summarize_census(census, keys)
+        odd = census.where(F.col("coluna").isin(texts) & text.has_non_ascii(F.col("valor")))
+        odd = odd.groupBy(*keys, "coluna").agg(F.sum("n").alias("_fora_do_ascii"))
+        fields = [c for c in schema.CATEGORICAL_FIELDS if c in columns]
+        frequent = profiling.top_values(census.where(F.col("coluna").isin(fields)), top, keys)
+        listed = F.sort_array(F.collect_list(F.struct("posicao", "valor", "n")))
+        frequent = frequent.groupBy(*keys, "coluna").agg(listed.alias("principais"))
+        out = _same(out, odd, [*keys, "coluna"])
+        out = out.withColumn("fora_do_ascii", F.when(F.col("coluna").isin(texts), F.coalesce("_fora_do_ascii", F.lit(0))))
+        out = _same(out.drop("_fora_do_ascii"), frequent, [*keys, "coluna"])
+    out = out.withColumns({
+        "classe": kind, "muitos_nulos": F.col("pct_nulos") > limit_pct, "sem_data": no_date,
+        "campo_chave_nulo": F.col("coluna").isin(schema.KEY_FIELDS) & (F.col("nulos") > 0),
+    })
+    if not numeric:
         return out
     # Several scans follow, so the numbers alone become a table first.
-    numbers = materialize(df.select(numeric), "numbers")
-    outside = quantiles.outliers(numbers, numeric, approx).select(
-        "coluna", "pct_fora", F.col("problema").alias("outliers")
-    )
-    # One row per numeric column: a bounded broadcast.
-    return out.join(F.broadcast(outside), "coluna", "left")
+    numbers = materialize(df.select(*keys, *numeric), "numbers")
+    if keys:
+        outside = quantiles.grouped_outliers(numbers, numeric, list(keys))
+    else:
+        outside = quantiles.outliers(numbers, numeric, approx).select("coluna", "pct_fora", "problema")
+    return _same(out, outside.withColumnRenamed("problema", "outliers"), [*keys, "coluna"])
+
+
+def _sketched(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The profile of whole columns in one pass, with sketched distinct counts."""
+    found = profiling.profile_columns_approx(df, columns).withColumnRenamed("nome", "coluna").drop("tipo")
+    rows = df.select(F.count(F.lit(1)).alias("_n")).scalar()
+    texts = [c for c in schema.text_columns(df) if c in columns]
+    out = found.withColumn("linhas", rows)
+    if texts:
+        odd = profiling.non_ascii_counts(df, texts).withColumnRenamed("n", "fora_do_ascii")
+        out = out.join(odd, "coluna", "left")
+    return out
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return left.join(right, same, "left").drop(*[f"_{k}" for k in keys])

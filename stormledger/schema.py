@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from stormledger.functions import text
+
 # Raw header (accent-free, lower case) -> canonical column. The
 # raw year and month get their own names so that they never clash with the
 # derived "ano" and "mes".
@@ -46,7 +48,7 @@ CATEGORICAL_FIELDS = [
 ]
 KEY_FIELDS = ["bairro", "tipo_ocorrencia", "regional"]
 
-_PLAIN = str.maketrans("áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
+_PLAIN = str.maketrans(text.ACCENTED, text.PLAIN)
 
 
 def canonical_name(header: str) -> str:
@@ -111,11 +113,3 @@ def column_class(field: T.StructField) -> str:
 def empty(df: DataFrame, schema: str) -> DataFrame:
     """Empty typed result for a missing input column."""
     return df.sparkSession.createDataFrame([], schema)
-
-
-def unpivot_text(df: DataFrame, columns: Iterable[str], name: str, value: str) -> DataFrame:
-    """One (column, value as text) row per cell of the given columns."""
-    columns = list(columns)
-    return df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], columns, name, value
-    )

@@ -16,8 +16,8 @@ DAMAGED = "_linha_danificada"
 FILE_NAME = "_arquivo"
 FILE_YEAR = "_ano_origem"
 SEPARATORS = [";", ",", "\t"]
-# Encoding, separator and header line of a file.
-Layout = tuple[str, str, str]
+# Encoding, separator, header line of a file, and whether quotes hold line breaks.
+Layout = tuple[str, str, str, bool]
 # File names a corpus consists of.
 CSV_FILES = "*.[cC][sS][vV]"
 # The same, plain or gzip-compressed.
@@ -82,12 +82,14 @@ def read_delimited(
 
 
 def probe_files(spark: SparkSession, path: str | list[str], names: str = CSV_FILES) -> DataFrame:
-    """One row per file: encoding, separator, header line and number of lines.
+    """One row per file: encoding, separator, header line, number of lines, line breaks in quotes.
 
     One scan of the raw bytes finds the encoding (UTF-8 if every line is valid
-    UTF-8, else ISO-8859-1) and a hash of the first line of each file; all
-    aggregation buffers have a fixed width, so nothing is sorted. The header
-    text is then read from one file per distinct hash.
+    UTF-8, else ISO-8859-1), a hash of the first line of each file and whether
+    some line has an odd number of quotes; all aggregation buffers have a fixed
+    width, so nothing is sorted. One more job reads the header texts, from one
+    file per distinct hash. The result can be stored and passed to
+    ``read_corpus``; a daily load then probes its new files only.
     """
     lines = _raw_lines(spark, path, names).select(
         F.col("_metadata.file_path").alias("caminho"),
@@ -100,18 +102,17 @@ def probe_files(spark: SparkSession, path: str | list[str], names: str = CSV_FIL
     hashed = F.when(F.col("_inicio"), F.xxhash64("value"))
     files = lines.groupBy("caminho", "arquivo").agg(
         F.every(F.is_valid_utf8("value")).alias("_utf8"),
+        F.some(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("quebras"),
         F.min_by(hashed, F.when(F.col("_inicio"), F.col("_posicao"))).alias("_hash"),
         F.count(F.lit(1)).alias("linhas"),
     )
     files = materialize(files, "probe")
     layouts = files.groupBy("_utf8", "_hash").agg(F.min("caminho").alias("exemplo")).collect()
+    headers = _headers(spark, [layout["exemplo"] for layout in layouts], names)
     rows = []
     for layout in layouts:
         encoding = "UTF-8" if layout["_utf8"] else "ISO-8859-1"
-        first = _raw_lines(spark, readable_path(layout["exemplo"]), names).select(
-            F.decode(F.col("value").cast("binary"), encoding).alias("h")
-        ).first()
-        header = first["h"].removeprefix("\ufeff").rstrip("\r")
+        header = headers[layout["exemplo"]].decode(encoding).removeprefix("\ufeff").rstrip("\r")
         rows.append((layout["_utf8"], layout["_hash"], encoding, header, separator_of(header)))
     known = spark.createDataFrame(
         rows, "_utf8 boolean, _hash bigint, encoding string, cabecalho string, separador string"
@@ -120,6 +121,29 @@ def probe_files(spark: SparkSession, path: str | list[str], names: str = CSV_FIL
     return files.join(F.broadcast(known), ["_utf8", "_hash"]).drop("_utf8", "_hash")
 
 
+def _headers(spark: SparkSession, files: list[str], names: str) -> dict[str, bytes]:
+    """First line of each of a few files, as bytes."""
+    if not files:
+        return {}
+    lines = _raw_lines(spark, [readable_path(f) for f in files], names).where(F.col("_metadata.file_block_start") == 0)
+    first = lines.select(
+        F.col("_metadata.file_path").alias("caminho"), F.monotonically_increasing_id().alias("_posicao"),
+        F.col("value").cast("binary").alias("h"),
+    ).groupBy("caminho").agg(F.min_by("h", "_posicao").alias("h"))
+    return {row["caminho"]: bytes(row["h"]) for row in first.collect()}
+
+
+def found_files(spark: SparkSession, path: str | list[str], names: str = CSV_FILES) -> DataFrame:
+    """(caminho, arquivo) of every file below a path; no content is read.
+
+    A scan would leave out empty files, so the names come from the list of
+    files that Spark's driver makes for any scan of the path.
+    """
+    listed = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path).inputFiles()
+    files = spark.createDataFrame([(f,) for f in listed], "caminho string")
+    return files.withColumn("arquivo", F.element_at(F.split("caminho", "/"), -1))
+
+
 def _raw_lines(spark: SparkSession, path: str | list[str], names: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names).text(path)
 
@@ -141,48 +165,60 @@ def readable_path(file_path: str) -> str:
 
 def read_corpus(
     spark: SparkSession, path: str | list[str], canonical: bool = True, cleaned: bool = False,
-    names: str = CSV_FILES,
+    names: str = CSV_FILES, probe: DataFrame | None = None,
 ) -> DataFrame:
     """Read and unite files of any mix of encodings, separators and layouts.
 
-    The probe runs first; the driver then holds one path per file, as Spark's
-    own file index does. Each distinct layout becomes one multi-file scan
-    (whole folders where a folder has a single layout), and the scans unite by
-    column name with nulls for absent columns. ``_arquivo`` and ``_ano_origem``
-    keep the provenance.
+    The probe runs first, unless a stored one of these files is given. Each
+    distinct layout becomes one multi-file scan: of whole folders where all
+    files of a folder agree, and of single files only in mixed folders. The
+    scans unite by column name with nulls for absent columns. Only files with
+    line breaks in quotes lose splitting. ``_arquivo`` and ``_ano_origem`` keep
+    the provenance.
     """
-    layout_of: dict[str, Layout] = {}
-    for *layout, file in probe_files(spark, path, names).select(
-        "encoding", "separador", "cabecalho", "caminho"
-    ).toLocalIterator():
-        layout_of[readable_path(file)] = tuple(layout)
-    paths = scan_paths(layout_of)
+    probed = probe_files(spark, path, names) if probe is None else probe
+    paths = scan_paths(*_folder_layouts(probed))
+    if not paths:
+        return schema.empty(probed, f"{FILE_NAME} string, {FILE_YEAR} int")
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True),
         [_read_layout(spark, k, paths[k], canonical, cleaned, names) for k in sorted(paths)],
     )
 
 
-def scan_paths(layout_of: dict[str, Layout]) -> dict[Layout, list[str]]:
-    """Paths to scan per layout: a folder where all its files agree, else single files."""
-    folders: dict[str, set[Layout]] = {}
-    for file, layout in layout_of.items():
-        folders.setdefault(file.rpartition("/")[0], set()).add(layout)
-    ordered = sorted(folder + "/" for folder in folders)
+def _folder_layouts(probed: DataFrame) -> tuple[dict[str, Layout], dict[str, Layout]]:
+    """Layout of each folder whose files agree and that holds no other folder, and of each file elsewhere."""
+    layout = F.struct("encoding", "separador", "cabecalho", "quebras")
+    files = probed.select(
+        F.regexp_extract("caminho", r"^(.*)/[^/]*$", 1).alias("pasta"), "caminho", layout.alias("formato")
+    )
+    folders = files.groupBy("pasta").agg(
+        F.min("formato").alias("formato"), (F.min("formato") == F.max("formato")).alias("igual")
+    ).collect()
+    ordered = sorted(row["pasta"] + "/" for row in folders)
     # A folder that holds other folders sorts right before the first of them.
     nested = {a for a, b in zip(ordered, ordered[1:]) if b.startswith(a)}
-    paths: dict[Layout, set[str]] = {}
-    for file, layout in layout_of.items():
-        folder = file.rpartition("/")[0]
-        whole = len(folders[folder]) == 1 and folder + "/" not in nested
-        paths.setdefault(layout, set()).add(folder if whole else file)
+    whole = {r["pasta"]: tuple(r["formato"]) for r in folders if r["igual"] and r["pasta"] + "/" not in nested}
+    mixed = [(r["pasta"],) for r in folders if r["pasta"] not in whole]
+    if not mixed:
+        return whole, {}
+    spark = probed.sparkSession
+    single = files.join(spark.createDataFrame(mixed, "pasta string"), "pasta").select("caminho", "formato")
+    return whole, {r["caminho"]: tuple(r["formato"]) for r in single.toLocalIterator()}
+
+
+def scan_paths(folders: dict[str, Layout], files: dict[str, Layout]) -> dict[Layout, list[str]]:
+    """Paths to scan per layout."""
+    paths: dict[Layout, list[str]] = {}
+    for path, layout in [*folders.items(), *files.items()]:
+        paths.setdefault(layout, []).append(readable_path(path))
     return {layout: sorted(found) for layout, found in paths.items()}
 
 
 def _read_layout(
     spark: SparkSession, layout: Layout, paths: list[str], canonical: bool, cleaned: bool, names: str
 ) -> DataFrame:
-    encoding, sep, header = layout
+    encoding, sep, header, breaks = layout
     headers = header_columns(header, sep)
     if canonical:
         columns = schema.canonical_names(headers, cleaned)
@@ -190,7 +226,7 @@ def _read_layout(
         columns = schema.unique_names(headers)
     # A file may already hold a provenance column from an earlier stage.
     kept = [c for c in columns if c not in (FILE_NAME, FILE_YEAR)]
-    rows = read_delimited(spark, paths, columns, sep, encoding, names=names)
+    rows = read_delimited(spark, paths, columns, sep, encoding, multi_line=breaks, names=names)
     return rows.select(
         *kept, F.col("_metadata.file_name").alias(FILE_NAME),
         F.col(FILE_YEAR).cast("int").alias(FILE_YEAR) if FILE_YEAR in columns
@@ -198,11 +234,38 @@ def _read_layout(
     )
 
 
+# A number with a decimal comma, its thousands perhaps parted by points.
+COMMA_NUMBER = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+),\d+$"
+
+
+def number(c: Column) -> Column:
+    """Text as a double, with a decimal point or a decimal comma; null if it is neither."""
+    plain = F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+    return F.when(c.rlike(COMMA_NUMBER), plain).otherwise(c).try_cast("double")
+
+
+def _raw_measures(df: DataFrame) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [c for c in schema.NUMERIC_COLUMNS if kinds.get(c) == "string"]
+
+
 def cast_measures(df: DataFrame) -> DataFrame:
-    """Numeric raw columns as doubles; unreadable numbers become null."""
-    return df.withColumns({
-        c: F.col(c).try_cast("double") for c in schema.NUMERIC_COLUMNS if c in df.columns
-    })
+    """Numeric raw columns as doubles; ``unreadable_measures`` tells what becomes null."""
+    return df.withColumns({c: number(F.trim(c)) for c in _raw_measures(df)})
+
+
+def unreadable_measures(df: DataFrame) -> DataFrame:
+    """(coluna, preenchidos, ilegiveis) of the numeric raw columns."""
+    measures = [
+        F.struct(
+            F.lit(c).alias("coluna"), F.count(c).alias("preenchidos"),
+            F.count_if(F.col(c).isNotNull() & number(F.trim(c)).isNull()).alias("ilegiveis"),
+        )
+        for c in _raw_measures(df)
+    ]
+    if not measures:
+        return schema.empty(df, "coluna string, preenchidos bigint, ilegiveis bigint")
+    return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))
 
 
 def read_cleaned(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -217,11 +280,28 @@ def read_cleaned(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return cast_measures(df).withColumns(whole | dates)
 
 
-def corpus_summary(df: DataFrame, file_column: str = FILE_NAME) -> DataFrame:
-    """Rows per file and, with a null file, files and rows overall."""
-    per_file = df.groupBy(file_column).agg(F.count(F.lit(1)).alias("registros"))
-    return per_file.rollup(file_column).agg(
-        F.sum("registros").alias("registros"), F.count(F.lit(1)).alias("arquivos")
+def corpus_summary(
+    df: DataFrame, found: DataFrame | None = None, key: Column | None = None
+) -> DataFrame:
+    """Rows, files found and files that gave rows, per file and, with a null file, overall.
+
+    ``found`` (of ``found_files``) also brings in the files that gave no row;
+    without it only files with rows count. ``key`` sums files up, such as by
+    year, from the name in ``_arquivo``.
+    """
+    per_file = df.groupBy(FILE_NAME).agg(F.count(F.lit(1)).alias("registros"))
+    if found is None:
+        per_file = per_file.withColumns({"arquivos": F.lit(1), "processados": F.lit(1)})
+    else:
+        there = found.groupBy(F.col("arquivo").alias(FILE_NAME)).agg(F.count(F.lit(1)).alias("arquivos"))
+        per_file = there.join(per_file, FILE_NAME, "left").withColumns({
+            "registros": F.coalesce("registros", F.lit(0)),
+            "processados": F.when(F.col("registros") > 0, F.col("arquivos")).otherwise(F.lit(0)),
+        })
+    shown = F.col(FILE_NAME) if key is None else key
+    return per_file.withColumn(FILE_NAME, shown).rollup(FILE_NAME).agg(
+        F.sum("registros").alias("registros"), F.sum("arquivos").alias("arquivos"),
+        F.sum("processados").alias("processados"),
     )
 
 

@@ -20,7 +20,7 @@ def json_records(df: DataFrame, payload: str, record_schema: str, *keep: str) ->
 
 
 def block_pattern(tag: str) -> str:
-    return f"(?s)<{tag}[^>]*>(.*?)</{tag}>"
+    return rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
 
 
 def html_block_counts(df: DataFrame, html: str, tag: str, *keep: str) -> DataFrame:

@@ -4,30 +4,36 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
-COMPRESS_ABOVE = 100_000
-SINGLE_FILE_ROWS = 100_000
+from stormledger.session import materialize
 
+_PLACE = "_lugar"
 
-def rows_up_to(df: DataFrame, limit: int) -> int:
-    """Row count, but no higher than ``limit``.
 
-    ``take`` reads partitions step by step and stops early, where
-    ``limit(n).count()`` would send up to n rows of every partition to one task.
-    """
-    return len(df.select(F.lit(1)).take(limit))
+def _csv(df: DataFrame, sep: str = ",") -> DataFrameWriter:
+    """A header CSV writer that doubles quotes inside quotes, as most readers expect."""
+    return (
+        df.write.mode("overwrite").option("header", True).option("sep", sep)
+        .option("quote", '"').option("escape", '"')
+    )
+
+
+def _one_part(df: DataFrame) -> DataFrame:
+    """All rows in one partition, in their order; the work before it stays parallel."""
+    placed = df if _PLACE in df.columns else df.withColumn(_PLACE, F.monotonically_increasing_id())
+    return placed.repartition(1).sortWithinPartitions(_PLACE).drop(_PLACE)
 
 
 def write_parquet_by_year(
-    df: DataFrame, path: str, year: str = "ano", rebalance: bool = False
+    df: DataFrame, path: str, year: str = "ano", rebalance: bool = True
 ) -> str:
     """Parquet partitioned by year, so that year filters read only their folders.
 
-    Without ``rebalance`` rows stay in the tasks that hold them, which suits
-    input that is already one file per year. With it, rows of a year come
-    together in well-sized files; adaptive execution splits a year with most
-    of the rows over many tasks.
+    Rows of a year come together in well-sized files; adaptive execution splits
+    a year with most of the rows over many tasks. Without ``rebalance`` rows
+    stay in the tasks that hold them, which suits input that is already one
+    file per year.
     """
     if rebalance:
         df = df.hint("rebalance", year)
@@ -35,45 +41,33 @@ def write_parquet_by_year(
     return path
 
 
-def write_csv_auto(
-    df: DataFrame, path: str, threshold: int = COMPRESS_ABOVE, rows: int | None = None
-) -> str:
-    """CSV, gzip-compressed above the row threshold; pass ``rows`` where the count is known."""
-    big = (rows_up_to(df, threshold + 1) if rows is None else rows) > threshold
-    writer = df.write.mode("overwrite").option("header", True)
-    (writer.option("compression", "gzip") if big else writer).csv(path)
+def write_csv_table(df: DataFrame, path: str, compression: str = "gzip") -> str:
+    """CSV part files under the given codec ("none" for plain text)."""
+    _csv(df).option("compression", compression).csv(path)
     return path
 
 
-def write_csv_export(
-    df: DataFrame, path: str, sep: str = ",", single_file_rows: int = SINGLE_FILE_ROWS,
-    rows: int | None = None,
-) -> str:
-    """Header CSV for a dashboard: one part file while the result is small, else as it comes.
-
-    Meant for sorted results: the sort has a shuffle of its own, so the work
-    before it stays parallel. Counting runs the frame once more; pass ``rows``
-    or hand in a frame read from a small table.
-    """
-    rows = rows_up_to(df, single_file_rows + 1) if rows is None else rows
-    out = df.coalesce(1) if rows <= single_file_rows else df
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+def write_csv_export(df: DataFrame, path: str, sep: str = ",", single_file: bool = True) -> str:
+    """Header CSV for a dashboard: one part file in the frame's order, or as it comes."""
+    _csv(_one_part(df) if single_file else df, sep).csv(path)
     return path
 
 
 def write_many(
-    frames: dict[str, DataFrame], folder: str, sep: str = ",", parallel: int = 4
+    frames: dict[str, DataFrame], folder: str, sep: str = ",", parallel: int = 4,
+    single_file: bool = True,
 ) -> list[str]:
     """Write each non-empty aggregate to its own folder; returns the names written.
 
+    Each frame is computed once, into a table that tells whether it is empty.
     The writes are independent jobs, so a few of them run side by side.
     """
     def write(item: tuple[str, DataFrame]) -> str | None:
         name, df = item
-        rows = rows_up_to(df, SINGLE_FILE_ROWS + 1)
-        if rows == 0:
+        stored = materialize(df.withColumn(_PLACE, F.monotonically_increasing_id()), name)
+        if stored.isEmpty():
             return None
-        write_csv_export(df, f"{folder}/{name}", sep, rows=rows)
+        _csv(_one_part(stored) if single_file else stored.drop(_PLACE), sep).csv(f"{folder}/{name}")
         return name
 
     with ThreadPoolExecutor(parallel) as pool:

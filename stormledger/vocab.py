@@ -49,6 +49,7 @@ NULL_TEXTS = [
 
 # Fixed value: text sentinel for missing values.
 NOT_INFORMED = "não informado"
+NOT_INFORMED_PLAIN = "nao informado"
 
 # Portuguese month names, January first.
 MONTH_NAMES = [
@@ -93,12 +94,24 @@ NATIONAL_HOLIDAYS = [
     (10, 12, "Nossa Senhora Aparecida"),
     (11, 2, "Finados"),
     (11, 15, "Proclamação da República"),
+    (11, 20, "Consciência Negra"),
     (12, 25, "Natal"),
 ]
 
+# Movable Brazilian holidays (days from Easter Sunday, name).
+MOVABLE_HOLIDAYS = [(-47, "Carnaval"), (-2, "Sexta-feira Santa"), (60, "Corpus Christi")]
+
+# Local holidays of the city (month, day, name).
+LOCAL_HOLIDAYS = [
+    (3, 6, "Data Magna"), (6, 24, "São João"), (7, 16, "Nossa Senhora do Carmo"),
+    (12, 8, "Nossa Senhora da Conceição"),
+]
+
 # Accepted date spellings as (label, shape).
 DATE_SHAPES = [
     ("yyyy-MM-dd", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"),
+    ("yyyy-MM-dd HH:mm", r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}$"),
     ("dd/MM/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
     ("dd/MM/yyyy HH:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
     ("dd/MM/yyyy HH:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),

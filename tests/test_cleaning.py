@@ -29,8 +29,16 @@ def test_parse_all_formats(spark):
 
 
 def test_parse_invalid_is_null(spark):
-    texts = ["lixo", "", "31/13/2024", "31/02/2024", None, "2024-12-06T10:00", "12/2024"]
-    assert apply(spark, dates.parse_date, texts) == [None] * 7
+    texts = ["lixo", "", "31/13/2024", "31/02/2024", None, "2024-12-06T25:00", "2024-12-06 10", "12/2024"]
+    assert apply(spark, dates.parse_date, texts) == [None] * 8
+
+
+def test_iso_dates_with_a_time(spark):
+    texts = ["2024-12-06 10:11:12", "2024-12-06T10:11:12", "2024-12-06T10:11:12.25", "2024-12-06 10:11",
+             "2024-12-06T10:11:12Z", "2024-12-06T10:11:12-03:00", "2024/12/06 10:11:12"]
+    got = apply(spark, dates.parse_date, texts)
+    at = datetime(2024, 12, 6, 10, 11, 12)
+    assert got == [at, at, at.replace(microsecond=250_000), at.replace(second=0), at, at, at]
 
 
 def test_first_row_does_not_decide_the_format(spark):
@@ -149,7 +157,8 @@ def test_clean_stage_without_region_filter_keeps_sectors(spark):
         "regional string, bairro string, tipo_ocorrencia string, data_atendimento string",
     )
     row = stages.clean_and_unify(df).first()
-    assert row["bairro_normalizado"] == "dois unidos" and row["tipo_ocorrencia"] == "não informado"
+    assert row["bairro_normalizado"] == "dois unidos" and row["tipo_ocorrencia"] is None
+    assert stages.clean_and_unify(df, fill=True).first()["tipo_ocorrencia"] == "não informado"
     assert (row["ano"], row["estacao"]) == (2024, "verao")
     assert stages.clean_and_unify(df, regions=vocab.REGION_SPELLINGS).count() == 0
 
@@ -171,6 +180,17 @@ def test_enrich_calendar(spark):
     assert got == {"2024-12-25": (False, "Natal"), "2024-12-07": (True, None)}
 
 
+def test_easter_and_movable_holidays(spark):
+    known = {1981: "04-19", 1954: "04-18", 2000: "04-23", 2019: "04-21", 2024: "03-31", 2025: "04-20", 2038: "04-25", 2076: "04-19"}
+    got = dict(zip(known, apply(spark, dates.easter, list(known), "int"), strict=True))
+    assert {y: d.strftime("%m-%d") for y, d in got.items()} == known
+    df = spark.createDataFrame([("2024-02-13",), ("2024-03-29",), ("2024-05-30",), ("2024-11-20",), (None,)], "d string")
+    named = cleaning.enrich_calendar(df.select(F.col("d").cast("date").alias("d")), "d").collect()
+    assert {str(r["d"]): r["feriado"] for r in named} == {
+        "2024-02-13": "Carnaval", "2024-03-29": "Sexta-feira Santa", "2024-05-30": "Corpus Christi",
+        "2024-11-20": "Consciência Negra", "None": None}
+
+
 def test_null_keys_are_dropped_by_default(spark):
     df = column(spark, [1, None, 1], "int")
     assert [tuple(r) for r in agg.count_by(df, "c").collect()] == [(1, 2)]
@@ -214,7 +234,8 @@ def test_parse_agrees_with_strptime(spark):
 
     formats = [
         "%Y-%m-%d", "%d/%m/%Y", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%Y/%m/%d", "%d-%m-%Y",
-        "%d-%m-%Y %H:%M:%S",
+        "%d-%m-%Y %H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M",
+        "%Y/%m/%d %H:%M:%S", "%Y/%m/%d %H:%M", "%Y/%m/%dT%H:%M",
     ]
     dates_ = [
         sep.join(parts)
@@ -235,3 +256,29 @@ def test_parse_agrees_with_strptime(spark):
     got = {r[0]: r[1] for r in df.select("c", dates.parse_date(F.col("c"))).collect()}
     wrong = {t: (got[t], parsed(t)) for t in texts if got[t] != parsed(t)}
     assert not wrong
+
+
+def test_incidents_of_unknown_customers_stay(spark, tmp_path):
+    from stormledger import bindings
+    from conftest import SMALL
+
+    for name in ("orders", "nation", "region"):
+        bindings.table(spark, SMALL, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    bindings.table(spark, SMALL, "customer").where("c_custkey % 5 <> 0").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = bindings.incidents(spark, str(tmp_path))
+    assert rows.count() == 1500 and 0 < rows.where("bairro IS NULL").count() < 1500
+
+
+def test_quality_is_judged_before_it_is_rounded(spark):
+    from stormledger.operators import quality
+
+    rows = [("x", "alta", 10_000_000, 500_003, False)]
+    result = spark.createDataFrame(rows, "regra string, severidade string, verificados bigint, falhas bigint, aprovado boolean")
+    card = quality.scorecard([result]).first()
+    assert (card["qualidade"], card["aceito"]) == (0.95, False)
+
+
+def test_recover_is_an_option_of_the_clean_stage(spark):
+    df = spark.createDataFrame([("lixo", "2024", "Março")], "data_atendimento string, ano_registro string, mes_registro string")
+    assert stages.clean_and_unify(df).first()["ano"] is None
+    assert (stages.clean_and_unify(df, recover=True).first()["ano"], stages.clean_and_unify(df, recover=True).first()["mes"]) == (2024, 3)

@@ -78,6 +78,11 @@ def test_corpus_through_all_stages(spark, corpus):
     assert [tuple(r) for r in agg.by_year(clean).collect()] == [(2023, 1), (2024, 1)]
     summary = {r["_arquivo"]: (r["registros"], r["arquivos"]) for r in delimited.corpus_summary(df).collect()}
     assert summary == {"atendimentos_2023.csv": (1, 1), "atendimentos_2024.csv": (2, 1), "outros.csv": (1, 1), None: (4, 3)}
+    Path(corpus, "vazio.csv").write_text("")
+    Path(corpus, "so_cabecalho.csv").write_text("Bairro;Status\n")
+    found = delimited.found_files(spark, corpus)
+    counts = {r["_arquivo"]: tuple(r)[1:] for r in delimited.corpus_summary(delimited.read_corpus(spark, corpus), found).collect()}
+    assert counts[None] == (4, 5, 3) and counts["vazio.csv"] == counts["so_cabecalho.csv"] == (0, 1, 0)
     diagnosis = stages.diagnose(df, ("_arquivo",))
     row = diagnosis.where("_arquivo = 'outros.csv' AND coluna = 'regional'").first()
     assert row["muitos_nulos"] and row["campo_chave_nulo"]
@@ -91,11 +96,31 @@ def test_odd_file_names(spark, tmp_path):
     assert sorted(r["bairro"] for r in df.collect()) == ["x0", "x1", "x2"]
 
 
-def test_scan_paths_take_whole_folders_where_they_can():
-    a, b = ("UTF-8", ";", "x"), ("UTF-8", ",", "x")
-    assert delimited.scan_paths({
-        "/r/2019/1.csv": a, "/r/2019/2.csv": a, "/r/2020/1.csv": a, "/r/2020/2.csv": b, "/r/top.csv": b,
-    }) == {a: ["/r/2019", "/r/2020/1.csv"], b: ["/r/2020/2.csv", "/r/top.csv"]}
+def test_scan_paths_take_whole_folders_where_they_can(spark):
+    a, b = ("UTF-8", ";", "x", False), ("UTF-8", ",", "x", False)
+    rows = [(f, *layout) for f, layout in {
+        "/r/2019/1.csv": a, "/r/2019/2.csv": a, "/r/2020/1.csv": a, "/r/2020/2.csv": b, "/r/top.csv": b}.items()]
+    probed = spark.createDataFrame(rows, "caminho string, encoding string, separador string, cabecalho string, quebras boolean")
+    assert delimited.scan_paths(*delimited._folder_layouts(probed)) == {
+        a: ["/r/2019", "/r/2020/1.csv"], b: ["/r/2020/2.csv", "/r/top.csv"]}
+
+
+def test_line_breaks_in_quotes_of_some_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Id;Texto\nA;"duas\nlinhas ""x"""\nB;"uma"\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("Id;Texto\nC;c\n", encoding="utf-8")
+    probe = delimited.probe_files(spark, str(tmp_path))
+    assert {r["arquivo"]: r["quebras"] for r in probe.collect()} == {"a.csv": True, "b.csv": False}
+    for rows in (delimited.read_corpus(spark, str(tmp_path)), delimited.read_corpus(spark, str(tmp_path), probe=probe)):
+        assert sorted((r["id"], r["texto"]) for r in rows.collect()) == [("A", 'duas\nlinhas "x"'), ("B", "uma"), ("C", "c")]
+
+
+@pytest.mark.parametrize("text, value", [
+    ("1,5", 1.5), ("1.234,56", 1234.56), ("2.5", 2.5), ("-12,5", -12.5), ("1234,5", 1234.5), ("1e3", 1000.0), ("x", None), ("1,2,3", None), (None, None),
+])
+def test_decimal_comma(spark, text, value):
+    df = spark.createDataFrame([(text,)], "quantidade string")
+    assert delimited.cast_measures(df).first()[0] == value
+    assert delimited.unreadable_measures(df).first()["ilegiveis"] == (text is not None and value is None)
 
 
 def test_cleaned_table_of_another_tool(spark, tmp_path):
@@ -128,24 +153,30 @@ def test_file_year(spark, path, year):
     assert df.select(delimited.file_year(F.col("p"))).first()[0] == year
 
 
-def test_csv_auto_compresses_above_the_threshold(spark, tmp_path):
+def test_csv_table_has_the_codec_it_is_given(spark, tmp_path):
     df = spark.range(50)
-    small = Path(sinks.write_csv_auto(df, str(tmp_path / "s"), threshold=50))
-    big = Path(sinks.write_csv_auto(df, str(tmp_path / "b"), threshold=49))
-    assert list(small.glob("*.csv")) and not list(small.glob("*.gz"))
+    plain = Path(sinks.write_csv_table(df, str(tmp_path / "s"), compression="none"))
+    big = Path(sinks.write_csv_table(df, str(tmp_path / "b")))
+    assert list(plain.glob("*.csv")) and not list(plain.glob("*.gz"))
     lines = [line for f in big.glob("*.csv.gz") for line in gzip.open(f, "rt")]
     assert lines.count("id\n") == len(list(big.glob("*.csv.gz"))) and "49\n" in lines
 
 
-def test_export_is_one_ordered_file_while_small(spark, tmp_path):
+def test_export_is_one_ordered_file_or_as_it_comes(spark, tmp_path):
     df = spark.range(100).repartition(5).orderBy(F.desc("id"))
     one = Path(sinks.write_csv_export(df, str(tmp_path / "one"), sep=";"))
     (file,) = one.glob("*.csv")
     assert file.read_text().split()[:3] == ["id", "99", "98"]
-    many = Path(sinks.write_csv_export(spark.range(100, numPartitions=4), str(tmp_path / "many"), single_file_rows=10))
+    many = Path(sinks.write_csv_export(spark.range(100, numPartitions=4), str(tmp_path / "many"), single_file=False))
     assert len(list(many.glob("*.csv"))) == 4
 
 
+def test_quotes_are_doubled(spark, tmp_path):
+    df = spark.createDataFrame([('rua "A", casa',), ("c:\\x",)], "t string")
+    (file,) = Path(sinks.write_csv_export(df, str(tmp_path / "q"))).glob("*.csv")
+    assert file.read_text() == 't\n"rua ""A"", casa"\nc:\\x\n'
+
+
 def test_write_many_skips_empty(spark, tmp_path):
     frames = {"a": spark.range(3), "vazio": spark.range(0), "b": spark.range(2)}
     assert sinks.write_many(frames, str(tmp_path)) == ["a", "b"]

@@ -159,10 +159,11 @@ def test_split_required(spark):
 
 
 def test_iso_dates(spark):
-    df = spark.createDataFrame([("2024-12-06",), ("2024-12-06T10:11:12",), ("06/12/2024",), ("2024-13-01",), (None,)],
-                               "data string")
-    got = [r["situacao"] for r in quality.convert_dates(df, "data").collect()]
-    assert got == ["ok", "ok", "convertido", "invalido", "invalido"]
+    df = spark.createDataFrame([("2024-12-06",), ("2024-12-06T10:11:12",), ("06/12/2024",), ("2024-13-01",), (None,),
+                                ("2024-12-06 25:99",), ("2024-12-06T10:11:12.5",)], "data string")
+    got = [(r["situacao"], r["data_convertida"] is not None) for r in quality.convert_dates(df, "data").collect()]
+    assert got == [("ok", True), ("ok", True), ("convertido", True), ("invalido", False), ("invalido", False),
+                   ("invalido", False), ("ok", True)]
 
 
 def test_freshness_window(spark):
