@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormledger import session
-from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank
+from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, order_join
 
 #: Least score of a language; a text that fits no known language scores near 0.
 MIN_LANGUAGE = 0.2
@@ -31,6 +31,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deobfuscate.clean(docs, scorer, MAX_TOXICITY)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies, that of the smallest id.
+
+    Near copies share 80 % of their five-word shingles, directly or over others.
+    """
+    found = order_join.components(docs, n=5, percent=80)
+    return order_join.one_of_each(docs, found)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return cube_mix.take(docs, cube_mix.mix(docs))
@@ -41,7 +50,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dawg_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("language", language), ("toxicity", toxicity), ("mixture", mixture), ("tokens", tokens)]
+STAGES = [("language", language), ("toxicity", toxicity), ("near_copies", near_copies), ("mixture", mixture), ("tokens", tokens)]
 #: Learnt models and balanced draws are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 

@@ -34,6 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stormledger import session
 from stormledger.llm import texts
 
 #: Words of the lexicon, and the longest word in it, in bytes.
@@ -328,9 +329,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, text: str = "text") -> DataFrame:
-    """The most frequent words of all texts, ties by their bytes."""
-    counts = docs.select(docs[text].alias("text")).mapInArrow(_word_counts, "word binary, n long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    """The most frequent words of all texts; of those about as frequent as the last, all or none."""
+    parts = docs.select(docs[text].alias("text")).mapInArrow(_word_counts, "word binary, n long")
+    counts = session.materialize(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    return texts.top_levels(counts, texts.count_level(F.col("n")), size) if size else counts.limit(0)
 
 
 def build(docs: DataFrame, path: str, size: int = LEXICON_WORDS, text: str = "text") -> bytes:

@@ -7,9 +7,10 @@ end. The cheapest path under a trigram character model of the corpus, plus a
 cost for each kind of edge, is the restored token. Tokens without any sign of
 obfuscation have a single path, their own letters, and stay.
 
-Score: a logistic model over the words of the restored text and their first four
-and five bytes, each as present or absent. It is fitted on a bounded sample of
-labelled rows (`SAMPLE` of either class, in the order of a hash of the id); the
+Score: a logistic model over the words of the restored text and their first four,
+five, seven and nine bytes, each as there once, twice, four times or not. It is
+fitted on a bounded sample of
+labelled rows (at most `SAMPLE` of either class, by a hash of the id); the
 character model counts every text that may be learnt from.
 
 Defined cases: null counts as empty text; a text without any selected feature
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stormledger import session
 from stormledger.llm import texts
 
 SAMPLE = 10_000
@@ -194,10 +196,12 @@ class Restorer:
         return np.frombuffer(b"".join(parts), dtype=np.uint8), offsets + np.cumsum(grown)
 
 
-_PREFIXES = (4, 5)
+_PREFIXES = (4, 5, 7, 9)
+#: Times that a word or beginning occurs in a text; each is a feature of its own once reached.
+LEVELS = (1, 2, 4)
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stems(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and word beginnings of restored texts, with the text of each."""
     words = texts.words(data, offsets, ~_LETTER[data])
     keys, rows = [words.hashes()], [words.rows]
@@ -208,19 +212,37 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate(keys), np.concatenate(rows)
 
 
+def features(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of (text, stem) pairs, with the text and the stem of each."""
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(keys)))
+    reached = [first[times >= n] for n in LEVELS]
+    found = [texts.mix(keys[at] + texts.U64(n)) for n, at in zip(LEVELS, reached, strict=True)]
+    at = np.concatenate(reached)
+    return np.concatenate(found), rows[at], keys[at]
+
+
 class Scorer:
-    """A fitted model: sorted feature hashes, their weights and a bias."""
+    """A fitted model: sorted feature hashes and the stems they are of, weights and a bias."""
 
-    def __init__(self, chars: CharModel, keys: np.ndarray, weights: np.ndarray, bias: float):
-        self.chars, self.keys, self.weights, self.bias = chars, keys, weights, bias
+    def __init__(self, chars: CharModel, keys: np.ndarray, stems: np.ndarray, weights: np.ndarray, bias: float):
+        self.chars, self.keys, self.stems, self.weights, self.bias = chars, keys, stems, weights, bias
 
     def present(self, part: pa.RecordBatch, restorer: Restorer) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of text and selected feature, each once."""
-        keys, rows = features(*restorer.chunk(*texts.raw(part.column("text"))))
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        hit = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), dtype=bool)
-        pairs = np.unique(rows[hit] * np.int64(max(1, len(self.keys))) + at[hit])
-        return pairs // max(1, len(self.keys)), pairs % max(1, len(self.keys))
+        if not len(self.keys):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        keys, rows = stems(*restorer.chunk(*texts.raw(part.column("text"))))
+        near = np.minimum(np.searchsorted(self.stems, keys), len(self.stems) - 1)
+        wanted = self.stems[near] == keys
+        keys, rows, _ = features(keys[wanted], rows[wanted])
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        return rows[hit], at[hit]
 
     def scores(self, part: pa.RecordBatch, restorer: Restorer) -> np.ndarray:
         rows, which = self.present(part, restorer)
@@ -228,68 +250,77 @@ class Scorer:
         return 1.0 / (1.0 + np.exp(-np.clip(total, -60, 60)))
 
 
-def _counted(rows: DataFrame, chars: CharModel, keys: np.ndarray | None) -> DataFrame:
-    """Texts that hold each feature; keys: only these."""
-    shared = rows.sparkSession.sparkContext.broadcast((chars, keys))
+def _counted(rows: DataFrame, chars: CharModel, only: np.ndarray | None) -> DataFrame:
+    """Texts that have each feature, with its stem; only: sorted features to count."""
+    shared = rows.sparkSession.sparkContext.broadcast((chars, only))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chars, keys = shared.value
+        chars, only = shared.value
         restorer = Restorer(chars)
         for part in texts.chunks(batches):
-            found, where = features(*restorer.chunk(*texts.raw(part.column("text"))))
-            if keys is not None:
-                hit = np.isin(found, keys)
-                found, where = found[hit], where[hit]
-            order = np.lexsort((where, found))
-            found, where = found[order], where[order]
-            new = np.ones(len(found), dtype=bool)
-            new[1:] = (found[1:] != found[:-1]) | (where[1:] != where[:-1])
-            values, n = np.unique(found[new], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["feature", "n"])
-
-    return rows.select("text").mapInArrow(work, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-
-
-def _logistic(rows: list[list[int]], labels: np.ndarray, width: int) -> tuple[np.ndarray, float]:
-    """Weights and bias by gradient descent with momentum on a bounded presence matrix, classes weighing alike."""
+            found, _, stem = features(*stems(*restorer.chunk(*texts.raw(part.column("text")))))
+            if only is not None:
+                hit = np.isin(found, only)
+                found, stem = found[hit], stem[hit]
+            values, first, n = np.unique(found, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(stem[first].view(np.int64)), pa.array(n)], ["feature", "stem", "n"])
+
+    counted = rows.select("text").mapInArrow(work, "feature long, stem long, n long")
+    return counted.groupBy("feature").agg(F.first("stem").alias("stem"), F.sum("n").alias("n"))
+
+
+def _logistic(rows: list[list[int]], labels: np.ndarray, width: int, share: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by gradient descent with momentum on a bounded presence matrix.
+
+    share: what the toxic rows weigh of the whole.
+    """
     x = np.zeros((len(rows), width), dtype=np.float32)
     for k, found in enumerate(rows):
         x[k, found] = 1.0
-    share = labels.mean()
-    each = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32) / len(rows)
+    each = np.where(labels > 0, share / labels.sum(), (1 - share) / (1 - labels).sum()).astype(np.float32)
     w, b, vw, vb = np.zeros(width, dtype=np.float32), 0.0, np.zeros(width, dtype=np.float32), 0.0
-    for _ in range(400):
+    for _ in range(600):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w + b, -30, 30)))
         g = (p - labels) * each
-        vw = 0.9 * vw + x.T @ g + 1e-4 * w
+        vw = 0.9 * vw + x.T @ g + 2e-5 * w
         vb = 0.9 * vb + float(g.sum())
-        w, b = w - 1.0 * vw, b - 1.0 * vb
+        w, b = w - 2.0 * vw, b - 2.0 * vb
     return w.astype(np.float64), float(b)
 
 
-def fit(rows: DataFrame, chars: CharModel, sample: int = SAMPLE) -> Scorer:
-    """The model of rows (doc_id, text, toxic); all may be learnt from."""
+def fit(rows: DataFrame, marks: DataFrame, chars: CharModel, sample: int = SAMPLE) -> Scorer:
+    """The model of rows (doc_id, text) and their labels (doc_id, toxic); all may be learnt from."""
     spark = rows.sparkSession
     ids = {}
     for label in (0, 1):
-        own = rows.filter(F.col("toxic") == label).select("doc_id")
-        ids[label] = [r[0] for r in own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+        own = texts.top_levels(marks.filter(F.col("toxic") == label).select("doc_id"), texts.hash_level("doc_id"), sample)
+        ids[label] = [r[0] for r in own.collect()]
     n = {k: len(v) for k, v in ids.items()}
+    whole = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    share = (whole.get(1, 0) + 0.5) / (whole.get(0, 0) + whole.get(1, 0) + 1.0)
+    none = np.empty(0, dtype=texts.U64)
+    unfitted = Scorer(chars, none, none, np.empty(0), float(np.log(share / (1 - share))))
     if not n[0] or not n[1]:
-        share = (n[1] + 0.5) / (n[0] + n[1] + 1.0)
-        return Scorer(chars, np.empty(0, dtype=texts.U64), np.empty(0), float(np.log(share / (1 - share))))
+        return unfitted
+
+    # the sampled ids are few, so the texts need not move
+    chosen = spark.createDataFrame([(i, label) for label in ids for i in set(ids[label])], "doc_id long, toxic int")
+    sampled = session.materialize(rows.join(F.broadcast(chosen), "doc_id"), "sampled").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def drawn(label: int) -> DataFrame:
-        chosen = F.broadcast(spark.createDataFrame([(i,) for i in set(ids[label])], "doc_id long"))
-        return rows.filter(F.col("toxic") == label).join(chosen, "doc_id", "left_semi")
+        return sampled.filter(F.col("toxic") == label)
 
     toxic = _counted(drawn(1), chars, None).filter(F.col("n") >= max(2, MIN_SUPPORT * n[1]))
-    there = {r["feature"]: r["n"] for r in toxic.orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()}
+    top = texts.top_levels(session.materialize(toxic, "features"), texts.count_level(F.col("n")), CANDIDATES).collect()
+    there, stem_of = {r["feature"]: r["n"] for r in top}, {r["feature"]: r["stem"] for r in top}
     keys = np.sort(np.array(list(there), dtype=np.int64).view(texts.U64))
     other = {r["feature"]: r["n"] for r in _counted(drawn(0), chars, keys).collect()}
     rate = {k: (v / n[1]) / ((other.get(k, 0) + 0.5) / n[0]) for k, v in there.items()}
     best = sorted((k for k in rate if rate[k] >= RATIO), key=lambda k: (-rate[k] * there[k], k))[:FEATURES]
-    scorer = Scorer(chars, np.sort(np.array(best, dtype=np.int64).view(texts.U64)), np.empty(0), 0.0)
+    if not best:
+        return unfitted
+    chosen = np.unique(np.array([stem_of[k] for k in best], dtype=np.int64).view(texts.U64))
+    scorer = Scorer(chars, np.sort(np.array(best, dtype=np.int64).view(texts.U64)), chosen, np.empty(0), 0.0)
     shared = spark.sparkContext.broadcast(scorer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,9 +332,8 @@ def fit(rows: DataFrame, chars: CharModel, sample: int = SAMPLE) -> Scorer:
                 found[a].append(b)
             yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
-    drawn_rows = drawn(0).unionByName(drawn(1)).select(F.col("toxic").cast("int").alias("toxic"), "text")
-    held = sorted((r["toxic"], r["found"]) for r in drawn_rows.mapInArrow(work, "toxic int, found array<int>").collect())
-    scorer.weights, scorer.bias = _logistic([x[1] for x in held], np.array([x[0] for x in held], dtype=np.float32), len(best))
+    held = sorted((r["toxic"], r["found"]) for r in sampled.select("toxic", "text").mapInArrow(work, "toxic int, found array<int>").collect())
+    scorer.weights, scorer.bias = _logistic([x[1] for x in held], np.array([x[0] for x in held], dtype=np.float32), len(best), share)
     return scorer
 
 
@@ -312,7 +342,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     rows = docs.filter(learn).select(docs[key].alias("doc_id"), docs[text].alias("text"))
     # of several labels of one document the larger counts
     marks = labels.filter("toxic is not null").groupBy(F.col("doc_id")).agg(F.max("toxic").alias("toxic"))
-    return fit(rows.join(marks, "doc_id"), char_model(rows))
+    ids = docs.filter(learn).select(docs[key].alias("doc_id")).join(marks, "doc_id")
+    return fit(rows, session.materialize(ids, "labelled"), char_model(rows))
 
 
 def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "text") -> DataFrame:

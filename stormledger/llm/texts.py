@@ -175,6 +175,32 @@ def fold_of(key: int, modulus: int) -> int:
     return zlib.crc32(str(key).encode()) % modulus
 
 
+def top_levels(df: DataFrame, level: Column, size: int) -> DataFrame:
+    """Rows of the highest levels that are together at most `size` rows; the highest level stays in any case.
+
+    level: whole numbers of few distinct values, whose counts reach the driver. Unlike
+    a sort with a limit this sends no rows of every partition to one place.
+    """
+    counts = df.groupBy(level.cast("long").alias("level")).count().collect()
+    total, least = 0, None
+    for row in sorted(counts, reverse=True):
+        total += row["count"]
+        if least is not None and total > size:
+            break
+        least = row["level"]
+    return df.filter(level >= least) if least is not None else df
+
+
+def count_level(n: Column) -> Column:
+    """Counts in steps of a 64th of a power of two."""
+    return F.floor(F.log2(n) * 64)
+
+
+def hash_level(*keys: Column | str) -> Column:
+    """One of 65,536 levels by the hash of the keys: a sample in a fixed order."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << 16))
+
+
 def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
     """Apply a function to chunks of rows, text by text whole."""
     return df.mapInArrow(lambda batches: (work(part) for part in chunks(batches, text)), schema)

@@ -7,8 +7,8 @@ and judge the URLs that no rule fits. The features say nothing of the rules:
 lengths, depth, digit and punctuation shares, entropy of host and path,
 parameter counts, and statistics of the host's last labels over all URLs.
 
-Fitting uses at most `SAMPLE` labelled rows of either verdict, in the order of a
-hash of the URL; suffix statistics and verdicts cover all rows.
+Fitting uses at most `SAMPLE` labelled rows of either verdict, by a hash of the
+URL; suffix statistics and verdicts cover all rows.
 
 Defined cases: a null URL or one without `://` has an empty host and path, fits
 no rule, and is judged by the trees like any other; with labels of one verdict
@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormledger import session
+from stormledger.llm import texts
 
 #: Host, beginning of the path, verdict.
 RULES = (
@@ -118,7 +119,8 @@ def fit(rows: DataFrame, rules=RULES, sample: int = SAMPLE, trees: int = TREES,
     labelled = rows.filter(F.col("rule").isNotNull()).withColumn("label", (verdict_of(F.col("rule"), rules) == "block").cast("double"))
     drawn, there = None, []
     for label in (0.0, 1.0):
-        own = labelled.filter(F.col("label") == label).orderBy(F.xxhash64("url"), "url", "page_id").limit(sample)
+        own = labelled.filter(F.col("label") == label)
+        own = texts.top_levels(own, texts.hash_level("url"), sample)
         own = session.materialize(own.select("label", *[F.col(c).cast("double").alias(c) for c in NUMBERS]), "urls")
         if not own.isEmpty():
             there.append(label)
