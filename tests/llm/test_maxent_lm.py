@@ -86,7 +86,7 @@ def test_gradient_step_against_differences():
     counts = maxent_lm.Counts(25_000, 300, texts.mix(np.arange(1, 201, dtype=np.uint64)), np.arange(200, 0, -1))
     weights = [w.astype(np.float64) for w in maxent_lm.fresh(counts)]
     rows, passed = [draw.integers(0, s, 5) for s in maxent_lm.TABLES], draw.integers(0, 65, 5)
-    classes = draw.integers(0, 64, 5)
+    classes = draw.integers(0, maxent_lm.CLASSES, 5)
 
     def loss(w):
         return -maxent_lm.class_logs(w, rows, passed)[np.arange(5), classes].sum()
