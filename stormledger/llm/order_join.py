@@ -20,9 +20,9 @@ coarse count only costs speed, since any fixed order gives the same pairs.
 
 Defined cases: null texts and those without words have an empty set and link to
 nothing; with fewer than `n` words the whole sequence is the one shingle;
-repeated rows give repeated results; rows with a null id get a component of
-their class like any other; an empty table gives an empty result; further columns
-are not read.
+repeated rows give repeated results; a set that only rows with a null id have
+links to nothing; an empty table gives an empty result; further columns are not
+read.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ PERCENT = 85
 ORDERS = 3
 #: Counters of shingle frequencies; they reach the driver as one byte each.
 BUCKETS = 1 << 22
+#: Bits of the set of wanted documents, which goes to all tasks; a full one only lets more texts pass.
+WANTED_BITS = 1 << 26
 _PART = 1 << 16
 U64 = texts.U64
 
@@ -146,6 +148,45 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "own_a", "own_b").mapInArrow(verify, "a long, b long")
 
 
+def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(WANTED_BITS // 8, dtype=np.uint8)
+    for batch in batches:
+        at = texts.mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)) & U64(WANTED_BITS - 1)
+        np.bitwise_or.at(bits, (at >> U64(3)).astype(np.int64), (U64(1) << (at & U64(7))).astype(np.uint8))
+    for part in range(len(bits) // _PART):
+        own = bits[part * _PART:(part + 1) * _PART]
+        if own.any():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], ["part", "bits"])
+
+
+def _or_bits(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(_PART, dtype=np.uint8)
+    for packed in pdf["bits"]:
+        total |= np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "bits": [zlib.compress(total.tobytes(), 1)]})
+
+
+def wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) of about the wanted ids: all of them, and a few that share a bit.
+
+    Keeps most texts from moving in a later join. The driver gets `WANTED_BITS` bits, whatever the input.
+    """
+    parts = wanted.select("doc_id").filter("doc_id is not null").mapInArrow(_bitmap, "part int, bits binary")
+    some = parts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(lambda pdf: _or_bits(pdf.drop(columns="salt")), "part int, bits binary")
+    bits = np.zeros(WANTED_BITS // 8, dtype=np.uint8)
+    for row in some.groupBy("part").applyInPandas(_or_bits, "part int, bits binary").collect():
+        bits[row["part"] * _PART:(row["part"] + 1) * _PART] = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in texts.chunks(batches):
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = texts.mix(ids.view(U64)) & U64(WANTED_BITS - 1)
+            yield batch.filter(pa.array(shared.value[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8) & 1 == 1))
+
+    return rows.mapInArrow(work, "doc_id long, text string")
+
+
 def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (a, b) that pass the size filter and share a prefix shingle under every further order."""
     def side(name: str) -> DataFrame:
@@ -218,28 +259,26 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     # whole sets of the classes that share a prefix shingle, from one document each
     met = groups.select("cls").distinct()
     of_class = nodes.groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(met, "cls", "left_semi")
-    whole = rows.join(of_class, "doc_id").select("cls", "text")
+    of_class = session.materialize(of_class, "wanted")
+    whole = wanted_texts(rows, of_class).join(of_class, "doc_id").select("cls", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()  # rows of one id are in one task
         for batch in texts.chunks(batches):
             sets = shingle_sets(batch.column("text"), n)
-            further = [pa.array([prefix(s, levels.value, k, percent).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in range(1, orders)]
+            # half of each hash is enough for a filter
+            further = [pa.array([prefix(s, levels.value, k, percent).astype(np.uint32).view(np.int32) for s in sets], pa.list_(pa.int32())) for k in range(1, orders)]
             out = pa.RecordBatch.from_arrays(
                 [batch.column("cls"), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([s.tobytes() for s in sets], pa.binary()), *further],
-                ["cls", "again", "n", "own", *[f"p{k}" for k in range(1, orders)]])
-            # an id that stands for several texts may bring another one's text
-            yield out.filter(pa.array([a == b for a, b in zip(out["cls"].to_pylist(), out["again"].to_pylist(), strict=True)], pa.bool_())).drop_columns(["again"])
+                ["cls", "again", "n", "own", *[f"t{k}" for k in range(1, orders)]])
+            # an id that stands for several texts may bring another one's text, or one text twice
+            keep = [a == b and a not in told and not told.add(a) for a, b in zip(out["cls"].to_pylist(), out["again"].to_pylist(), strict=True)]
+            yield out.filter(pa.array(keep, pa.bool_())).drop_columns(["again"])
 
-    schema = "cls long, n long, own binary" + "".join(f", p{k} array<long>" for k in range(1, orders))
+    schema = "cls long, n long, own binary" + "".join(f", t{k} array<int>" for k in range(1, orders))
     sets = session.materialize(whole.mapInArrow(sets_of, schema), "sets")
-
-    # what each class shares with others under the further orders; a class that shares nothing is out
-    marks = sets.select("cls", "n").distinct()
-    for k in range(1, orders):
-        own = sets.select("cls", F.explode(f"p{k}").alias("token")).distinct()
-        marks = marks.join(own.join(_shared(own).select("token"), "token").groupBy("cls").agg(F.collect_set("token").alias(f"t{k}")), "cls")
-    marks = session.materialize(marks, "marks")
+    marks = sets.drop("own")
 
     stars = groups.filter("cls > hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     near = session.materialize(_linked(_filtered(stars, marks, percent, orders), sets, percent), "stars")
@@ -247,15 +286,13 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     hub_of = near.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("linked"))
     members = groups.join(hub_of, "cls", "left").withColumn("at", F.coalesce("linked", "cls")).select("token", "hub", "cls", "at")
     apart = members.groupBy("token").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x < y").select("token")
-    members = session.materialize(members.join(apart, "token", "left_semi").join(marks.select("cls", "n", *[f"t{k}" for k in range(1, orders)]), "cls"), "members")
-    left = members.filter("cls > hub").select("token", *[F.col(c).alias(f"{c}_a") for c in members.columns if c != "token"])
-    right = members.filter("cls > hub").select("token", *[F.col(c).alias(f"{c}_b") for c in members.columns if c != "token"])
-    fits = (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
+    members = members.join(apart, "token", "left_semi").join(marks.select("cls", "n"), "cls")
+    members = session.materialize(members.filter("cls > hub").select("token", "cls", "at", "n"), "members")
+    left, right = (members.select([F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "ab")
+    fits = (F.col("token_a") == F.col("token_b")) & (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
     fits &= (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    for k in range(1, orders):
-        fits &= F.arrays_overlap(f"t{k}_a", f"t{k}_b")
-    left = left.withColumnRenamed("token", "token_a")
-    rest = left.join(right, (F.col("token_a") == F.col("token")) & fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    rest = left.join(right, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    rest = _filtered(rest, marks, percent, orders)
     rest = session.materialize(_linked(rest, sets, percent), "rest")
     return nodes, near.unionByName(rest)
 
