@@ -43,10 +43,10 @@ from stormledger.llm import texts
 
 WORDS = 1 << 14
 HOT = 1 << 17
-CLASSES = 64
+CLASSES = 32
 FREQUENT = 64
 ROUNDS = 2
-BATCH = 4096
+BATCH = 8192
 STEP = 0.4
 #: Prior tokens of the word model for each last frequent word and class.
 PRIOR = 50.0
@@ -76,7 +76,7 @@ class Counts:
         weight = np.sqrt(self.counts[:n].astype(np.float64))
         place = np.cumsum(weight) / weight.sum() if n else weight
         self.class_of = np.append(np.minimum((place * (CLASSES - 1)).astype(np.int64), CLASSES - 2), CLASSES - 1)
-        self.class_tokens = np.bincount(self.class_of[:n], weights=self.counts[:n], minlength=CLASSES)
+        self.class_tokens = np.bincount(self.class_of[:n], weights=self.counts[:n], minlength=CLASSES).astype(np.float64)
         self.rest = self.tokens - int(self.counts[:n].sum())
         # unknown tokens have a share even if training has none of the others
         self.class_tokens[CLASSES - 1] = self.rest + SMOOTH * (self.distinct - n + 1)
@@ -157,25 +157,33 @@ def fresh(counts: Counts) -> list[np.ndarray]:
     return [*(np.zeros((size, CLASSES), dtype=np.float32) for size in TABLES), np.repeat(share[None, :], FREQUENT + 1, axis=0)]
 
 
+def _sums(weights: list[np.ndarray], rows: list[np.ndarray], passed: np.ndarray) -> np.ndarray:
+    """Summed weights of every class; bounded, so that their exponentials are finite."""
+    total = weights[-1].take(passed, axis=0)
+    for table, at in zip(weights, rows):
+        total += table.take(at, axis=0)
+    return np.minimum(total, 60, out=total)
+
+
 def class_logs(weights: list[np.ndarray], rows: list[np.ndarray], passed: np.ndarray) -> np.ndarray:
     """Natural logarithms of all classes' probabilities."""
-    total = weights[-1][passed]
-    for table, at in zip(weights, rows):
-        total += table[at]
-    total -= total.max(axis=1, keepdims=True)
-    total -= np.log(np.exp(total).sum(axis=1, keepdims=True))
-    return total
+    total = _sums(weights, rows, passed)
+    return total - np.log(np.exp(total) @ np.ones(CLASSES, dtype=total.dtype))[:, None]
 
 
 def learn(weights: list[np.ndarray], seen: list[np.ndarray], rows: list[np.ndarray], passed: np.ndarray, classes: np.ndarray) -> None:
     """One gradient step; a row's steps shrink with the root of how often it was seen."""
-    grad = np.exp(class_logs(weights, rows, passed))
+    grad = _sums(weights, rows, passed)
+    np.exp(grad, out=grad)
+    grad /= (grad @ np.ones(CLASSES, dtype=grad.dtype))[:, None]
     grad[np.arange(len(classes)), classes] -= 1.0
     for table, count, at in zip(weights, seen, [*rows, passed], strict=True):
-        order = np.argsort(at, kind="stable")
-        found, first, n = np.unique(at[order], return_index=True, return_counts=True)
-        count[found] += n
-        table[found] -= STEP * np.add.reduceat(grad[order], first, axis=0) / np.sqrt(20.0 + count[found])[:, None]
+        order = np.argsort(at.astype(np.uint16), kind="stable")  # tables have fewer rows than that
+        sorted_ = at[order]
+        first = np.flatnonzero(np.diff(sorted_, prepend=-1))
+        found = sorted_[first]
+        count[found] += np.diff(first, append=len(at))
+        table[found] -= STEP * np.add.reduceat(grad.take(order, axis=0), first, axis=0) / np.sqrt(20.0 + count[found]).astype(table.dtype)[:, None]
 
 
 def _pieces(arrays: list[np.ndarray], weight: float) -> pa.RecordBatch:
@@ -236,7 +244,7 @@ def gather(rows: DataFrame) -> tuple[DataFrame, Counts]:
     """Counts of all tokens as a table, and the most frequent ones for the tasks."""
     table = session.materialize(rows.select("text").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     whole = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = table.orderBy(F.desc("n"), "token").limit(HOT).toPandas()
+    top = texts.top_levels(table, texts.count_level(F.col("n")), HOT).toPandas().sort_values(["n", "token"], ascending=[False, True])
     return table, Counts(int(whole["n"]), int(whole["v"]), top["token"].to_numpy(dtype=np.int64).view(U64), top["n"].to_numpy(dtype=np.int64))
 
 

@@ -107,11 +107,11 @@ def lexical(pages: DataFrame, key: str = "page_id", url: str = "url", rules=RULE
 
 
 def with_suffixes(rows: DataFrame) -> DataFrame:
-    """Statistics of each suffix over all URLs; one row for each suffix, joined as Spark finds best."""
+    """Statistics of each suffix over all URLs; a stored table, which Spark broadcasts if its size allows."""
     by_suffix = rows.groupBy("suffix").agg(
         F.log2(F.count("*") + 1.0).alias("suffix_urls"), F.round(F.avg("url_length"), 6).alias("suffix_length"),
         F.round(F.avg("depth"), 6).alias("suffix_depth"), F.round(F.avg("params"), 6).alias("suffix_params"))
-    return rows.join(by_suffix, "suffix")
+    return rows.join(session.materialize(by_suffix, "suffixes"), "suffix")
 
 
 def fit(rows: DataFrame, rules=RULES, sample: int = SAMPLE, trees: int = TREES, depth: int = DEPTH) -> GBTClassificationModel | str:
