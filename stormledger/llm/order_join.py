@@ -11,9 +11,9 @@ Work stays in proportion to the prefixes:
 - documents with one set are one class; only classes meet;
 - shingles that one class alone has in its prefix are dropped first;
 - every class of a shingle's group is compared with the group's smallest class,
-  its hub; classes that link to one hub need no comparison with each other, as
-  they are in one component anyway. Only classes of a group that no common hub
-  links are compared pair by pair, and only such as pass the filters.
+  its hub; classes that hubs connect, over any groups, need no comparison with
+  each other, as they are in one component anyway. Only classes of a group that
+  are still apart are compared pair by pair, and only such as pass the filters.
 
 Frequencies come from a table of `BUCKETS` counters over all documents; a
 coarse count only costs speed, since any fixed order gives the same pairs.
@@ -281,10 +281,11 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     marks = sets.drop("own")
 
     stars = groups.filter("cls > hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    near = session.materialize(_linked(_filtered(stars, marks, percent, orders), sets, percent), "stars")
-    # classes of a group that have no hub in common yet
-    hub_of = near.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("linked"))
-    members = groups.join(hub_of, "cls", "left").withColumn("at", F.coalesce("linked", "cls")).select("token", "hub", "cls", "at")
+    stars = session.materialize(_filtered(stars, marks, percent, orders), "star-pairs")
+    near = session.materialize(_linked(stars, sets, percent), "stars")
+    # classes of a group that the hubs of all groups have not brought together yet
+    together = connected(near).select(F.col("node").alias("cls"), "root")
+    members = groups.join(together, "cls", "left").withColumn("at", F.coalesce("root", "cls")).select("token", "hub", "cls", "at")
     apart = members.groupBy("token").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x < y").select("token")
     members = members.join(apart, "token", "left_semi").join(marks.select("cls", "n"), "cls")
     members = session.materialize(members.filter("cls > hub").select("token", "cls", "at", "n"), "members")
@@ -292,7 +293,8 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     fits = (F.col("token_a") == F.col("token_b")) & (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
     fits &= (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     rest = left.join(right, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
-    rest = _filtered(rest, marks, percent, orders)
+    # stored, so that Spark knows how few they are when it joins them with the sets
+    rest = session.materialize(_filtered(session.materialize(rest, "rest-pairs"), marks, percent, orders), "rest-pairs")
     rest = session.materialize(_linked(rest, sets, percent), "rest")
     return nodes, near.unionByName(rest)
 
