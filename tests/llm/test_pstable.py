@@ -79,3 +79,28 @@ def test_probes_come_in_order_of_distance():
     moved = cells.copy()
     moved[0, 0, k] += 1 if place[0, 0, k] > 0.5 else -1
     assert probes[1] == tables.buckets(moved)[0, 0]
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_the_index_alone_answers(spark, scale):
+    """Without the exact way for queries that meet too few; nearly all queries have k rows, nearly all right ones."""
+    docs = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    want = brute([(r["vec_id"], r["embedding"]) for r in docs.collect()])
+    found = rows(pstable.search(docs, fallback=False))
+    queries = {x[0] for x in want}
+    full = [q for q in queries if sum(x[0] == q for x in found) == 5]
+    hits = {x[:3:2] for x in want} & {x[:3:2] for x in found}
+    print(scale, "recall of the index alone", len(hits) / len(want), "answered", len(full) / len(queries))
+    assert len(full) >= 0.95 * len(queries) and len(hits) >= 0.9 * len(want)
+
+
+def test_the_index_compares_only_what_it_meets():
+    draw = np.random.default_rng(3)
+    tables = pstable.Tables(64, pstable.Params(hashes=14))
+    rows, queries = draw.normal(size=(2000, 64)), draw.normal(size=(5, 64))
+    visited = tables.visited(*tables.cells(queries))
+    order = np.argsort(visited.ravel(), kind="stable")
+    met = pstable._met(rows, 5, tables, visited.ravel()[order], order // visited.shape[1])
+    own = tables.buckets(tables.cells(rows)[0])
+    assert met.tolist() == [[bool(set(own[r].tolist()) & set(v.tolist())) for r in range(2000)] for v in visited]
+    assert 0 < met.mean() < 0.6
