@@ -47,8 +47,8 @@ LOOKALIKES = {
 }
 SEPARATORS = " .-_*~"
 COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_MARK, COST_END, COST_CLOSE = 1.0, 0.7, 0.3, 8.0, 0.3
-#: The longest token that is decoded; a longer run of characters is not a written word.
-TOKEN_BYTES = 80
+#: Longer tokens are not remembered.
+REMEMBERED = 256
 
 _END, _OTHER = 0, 27
 CLASSES = 28
@@ -99,6 +99,7 @@ def char_model(docs: DataFrame, text: str = "text") -> CharModel:
 def _options(token: str) -> list[list[tuple[str | None, float]]]:
     """The lattice: what each character may stand for, at which cost; None is nothing, a space a word end."""
     out = []
+    last = max((at for at, c in enumerate(token) if c.isalnum()), default=-1)
     for at, c in enumerate(token):
         found: list[tuple[str | None, float]] = []
         if c.isalpha():
@@ -111,7 +112,7 @@ def _options(token: str) -> list[list[tuple[str | None, float]]]:
                 found.append((None, COST_DROP_REPEAT))
             if c in SEPARATORS and 0 < at < len(token) - 1:
                 found.append((None, COST_DROP_MARK))
-            closing = c not in "0123456789@$€£" and not any(x.isalnum() for x in token[at:])
+            closing = c not in "0123456789@$€£" and at > last
             found.append((" ", COST_CLOSE if closing else COST_END if c in LOOKALIKES and c != "*" else COST_END / 2))
         out.append(found)
     return out
@@ -123,20 +124,26 @@ def _class(c: str) -> int:
 
 def decode(token: str, model: CharModel) -> str:
     """The cheapest path through the lattice of a lower-case token; equal costs keep the first found."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(_END, _END): (0.0, "")}
+    # a path is its last character and the path before, shared by all that go on from it
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(_END, _END): (0.0, None)}
     for options in _options(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, path) in states.items():
             for c, price in options:
                 if c is None:
                     key, total, grown = (a, b), cost + price, path
                 else:
                     k = _class(c)
-                    key, total, grown = (b, k), cost + price + model.step(a, b, k), path + c
+                    key, total, grown = (b, k), cost + price + model.step(a, b, k), (c, path)
                 if key not in after or total < after[key][0]:
                     after[key] = (total, grown)
         states = after
-    return min(((cost + model.step(a, b, _END), path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0])[1]
+    path = min(((cost + model.step(a, b, _END), path) for (a, b), (cost, path) in states.items()), key=lambda x: x[0])[1]
+    out = []
+    while path is not None:
+        c, path = path
+        out.append(c)
+    return "".join(reversed(out))
 
 
 _CHAIN = re.compile(r"(?:\S[._*~-]){2,}\S")
@@ -155,7 +162,7 @@ def suspects(words: texts.Spans) -> list[tuple[int, int]]:
     run[2:] = (folded[2:] == folded[1:-1]) & (folded[1:-1] == folded[:-2]) & _LETTER[data[2:]] & (data[2:] < 128)
     drawn = texts.sums_between(run, words.starts, words.ends) > 0
     marks = texts.sums_between(_MARK[data], words.starts, words.ends - (sizes > 1))
-    odd = (sizes <= TOKEN_BYTES) & (letters > 0) & ((alike > 0) & (letters >= 2) | drawn | (marks >= 2))
+    odd = (letters > 0) & ((alike > 0) & (letters >= 2) | drawn | (marks >= 2))
     single = (sizes == 1) & (letters + alike > 0) & (np.isin(data[words.starts], (33, 124, 43)) < 1)
     # chains: at least three single characters, each one space after the one before, of one text
     joined = np.zeros(len(words), dtype=bool)
@@ -174,7 +181,8 @@ class Restorer:
     """Restores chunks of texts; remembers tokens."""
 
     def __init__(self, model: CharModel):
-        self.token = functools.lru_cache(maxsize=100_000)(lambda token: decode(token, model))
+        remembered = functools.lru_cache(maxsize=100_000)(lambda token: decode(token, model))
+        self.token = lambda token: remembered(token) if len(token) <= REMEMBERED else decode(token, model)
 
     def chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes and offsets of the restored, lower-cased texts."""
@@ -184,11 +192,7 @@ class Restorer:
             return np.frombuffer(body, dtype=np.uint8), offsets
         parts, at, grown = [], 0, np.zeros(len(offsets), dtype=np.int64)
         for start, end in found:
-            token = body[start:end].decode()
-            if end - start > 2 * TOKEN_BYTES:  # a very long chain: in pieces, so that work stays in proportion
-                new = "".join(self.token(token[k:k + TOKEN_BYTES]) for k in range(0, len(token), TOKEN_BYTES)).encode()
-            else:
-                new = self.token(token).encode()
+            new = self.token(body[start:end].decode()).encode()
             parts += [body[at:start], new]
             at = end
             grown[np.searchsorted(offsets, start, "right")] += len(new) - (end - start)

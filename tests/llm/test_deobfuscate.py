@@ -119,3 +119,11 @@ def test_labels_of_one_kind(odd, spark):
         scorer = deobfuscate.train(odd, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
         share = (sum(x for _, x in labels) + 0.5) / (len(labels) + 1)
         assert {round(r["score"], 9) for r in deobfuscate.score(odd, scorer).collect()} == {round(share, 9)}
+
+
+def test_long_chains_and_tokens_are_decoded_in_one_piece(chars):
+    """However long: as the lattice has it, and no part is left as it is written."""
+    for text in (" ".join("stupid" * 100), "st" + "u" * 300 + "pid", ".".join("idiot" * 40)):
+        out, _ = deobfuscate.Restorer(chars).chunk(*texts.raw(pa.array([text])))
+        assert out.tobytes().decode() == deobfuscate.decode(text, chars) and len(out) < len(text)
+    assert deobfuscate.decode("st" + "u" * 300 + "pid", chars) == "stupid"
