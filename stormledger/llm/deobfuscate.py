@@ -3,9 +3,13 @@
 Noisy channel: a token in which letters are replaced by look-alikes, drawn out
 or set apart is seen as a lattice. Each observed character offers the letters it
 may stand for, nothing (a drawn-out letter, a mark between letters), or a word
-end. The cheapest path under a trigram character model of the corpus, plus a
-cost for each kind of edge, is the restored token. Tokens without any sign of
-obfuscation have a single path, their own letters, and stay.
+end; a digit or a currency sign may also stay what it is where no letter
+stands, and a separator unlike the usual one of its token is rather a word end. The
+cheapest path under a trigram character model of the corpus, plus a cost for each
+kind of edge, is the restored token; one without letters stays. Every token with a sign of obfuscation goes through the lattice
+whole, whatever its length: one with a look-alike and a letter or with two
+look-alikes, a drawn-out letter or marks between; and every chain of three or more
+single characters with any blanks between them. Others stay.
 
 Score: a logistic model over the words of the restored text and their first four,
 five, seven and nine bytes, each as there once, twice, four times or not. It is
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +52,9 @@ LOOKALIKES = {
 }
 SEPARATORS = " .-_*~"
 COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_MARK, COST_END, COST_CLOSE = 1.0, 0.7, 0.3, 8.0, 0.3
+#: A digit or currency sign as it is, in tokens without letters; a separator unlike the token's usual one, dropped.
+STAYING = "0123456789€£"
+COST_STAY, COST_DROP_UNLIKE = 2.0, 4.0
 #: Longer tokens are not remembered.
 REMEMBERED = 256
 
@@ -57,7 +65,9 @@ _class_of[97:123] = np.arange(1, 27)
 _class_of[65:91] = np.arange(1, 27)
 _class_of[128:] = _OTHER
 _LETTER = _class_of > 0
-_LOOKALIKE = np.isin(np.arange(256), [ord(c) for c in LOOKALIKES if ord(c) < 128 and c not in "(*"])
+_LOOKALIKE = np.isin(np.arange(256), [ord(c) for c in LOOKALIKES if ord(c) < 128])
+#: Look-alikes of several bytes.
+_WIDE = [c.encode() for c in LOOKALIKES if ord(c) >= 128]
 _MARK = np.isin(np.arange(256), [ord(c) for c in ".-_*~"])
 
 
@@ -96,10 +106,20 @@ def char_model(docs: DataFrame, text: str = "text") -> CharModel:
     return CharModel(counts)
 
 
+_GAP = re.compile(r"[ ._~-]+")
+
+
 def _options(token: str) -> list[list[tuple[str | None, float]]]:
     """The lattice: what each character may stand for, at which cost; None is nothing, a space a word end."""
     out = []
-    last = max((at for at, c in enumerate(token) if c.isalnum()), default=-1)
+    alnum = [at for at, c in enumerate(token) if c.isalnum()]
+    plain = any(c.isalpha() for c in token)
+    first, last = (alnum[0], alnum[-1]) if alnum else (len(token), -1)
+    # the separator that is usual in the token; where another stands is rather a word end
+    gaps = [(m.start(), m[0]) for m in _GAP.finditer(token)]
+    times = Counter(gap for _, gap in gaps)
+    usual = max(times.values(), default=0)
+    unlike = {at for at, gap in gaps if usual > max(1, times[gap])}
     for at, c in enumerate(token):
         found: list[tuple[str | None, float]] = []
         if c.isalpha():
@@ -111,15 +131,17 @@ def _options(token: str) -> list[list[tuple[str | None, float]]]:
             if at and token[at - 1] == c and c in LOOKALIKES:
                 found.append((None, COST_DROP_REPEAT))
             if c in SEPARATORS and 0 < at < len(token) - 1:
-                found.append((None, COST_DROP_MARK))
-            closing = c not in "0123456789@$€£" and at > last
-            found.append((" ", COST_CLOSE if closing else COST_END if c in LOOKALIKES and c != "*" else COST_END / 2))
+                found.append((None, COST_DROP_UNLIKE if at in unlike else COST_DROP_MARK))
+            if c in STAYING and not plain:
+                found.append((c, COST_STAY))
+            closing = c not in "0123456789@$€£" and at > last or c in "(*" and at < first
+            found.append((" ", COST_CLOSE if closing or at in unlike else COST_END if c in LOOKALIKES and c != "*" else COST_END / 2))
         out.append(found)
     return out
 
 
 def _class(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else _END if c == " " else _OTHER
+    return ord(c) - 96 if "a" <= c <= "z" else _END if c.isascii() else _OTHER
 
 
 def decode(token: str, model: CharModel) -> str:
@@ -146,7 +168,9 @@ def decode(token: str, model: CharModel) -> str:
     return "".join(reversed(out))
 
 
-_CHAIN = re.compile(r"(?:\S[._*~-]){2,}\S")
+def _width(first: np.ndarray) -> np.ndarray:
+    """Bytes of the characters that begin with these bytes."""
+    return 1 + (first >= 0xC0) + (first >= 0xE0).astype(np.int64) + (first >= 0xF0)
 
 
 def suspects(words: texts.Spans) -> list[tuple[int, int]]:
@@ -156,17 +180,26 @@ def suspects(words: texts.Spans) -> list[tuple[int, int]]:
         return []
     sizes = words.ends - words.starts
     letters = texts.sums_between(_LETTER[data], words.starts, words.ends)
-    alike = texts.sums_between(_LOOKALIKE[data], words.starts, words.ends)
+    sign = _LOOKALIKE[data]
+    for wide in _WIDE:
+        here = np.ones(max(0, len(data) - len(wide) + 1), dtype=bool)
+        for k, byte in enumerate(wide):
+            here &= data[k:len(here) + k] == byte
+        at = np.flatnonzero(here)
+        sign[at] = True
+        # its bytes are no letters
+        letters -= len(wide) * np.bincount(np.searchsorted(words.starts, at, "right") - 1, minlength=len(words))
+    alike = texts.sums_between(sign, words.starts, words.ends)
     run = np.zeros(len(data), dtype=bool)
     folded = texts.LOWER[data]
     run[2:] = (folded[2:] == folded[1:-1]) & (folded[1:-1] == folded[:-2]) & _LETTER[data[2:]] & (data[2:] < 128)
     drawn = texts.sums_between(run, words.starts, words.ends) > 0
     marks = texts.sums_between(_MARK[data], words.starts, words.ends - (sizes > 1))
-    odd = (letters > 0) & ((alike > 0) & (letters >= 2) | drawn | (marks >= 2))
-    single = (sizes == 1) & (letters + alike > 0) & (np.isin(data[words.starts], (33, 124, 43)) < 1)
-    # chains: at least three single characters, each one space after the one before, of one text
+    odd = (alike > 0) & (letters + alike >= 2) | (letters > 0) & (drawn | (marks >= 2))
+    single = (sizes == 1) & (letters > 0) | (alike == 1) & (letters == 0) & (sizes == _width(data[words.starts]))
+    # chains: at least three single characters one after the other, of one text
     joined = np.zeros(len(words), dtype=bool)
-    joined[1:] = single[1:] & single[:-1] & (words.starts[1:] == words.ends[:-1] + 1) & (words.rows[1:] == words.rows[:-1])
+    joined[1:] = single[1:] & single[:-1] & (words.rows[1:] == words.rows[:-1])
     head = single & ~joined
     chain = np.cumsum(head) * single
     length = np.bincount(chain, minlength=1)
@@ -192,7 +225,10 @@ class Restorer:
             return np.frombuffer(body, dtype=np.uint8), offsets
         parts, at, grown = [], 0, np.zeros(len(offsets), dtype=np.int64)
         for start, end in found:
-            new = self.token(body[start:end].decode()).encode()
+            token = body[start:end].decode()
+            new = self.token(token)
+            # what has no letters as restored is a number or marks, and stays
+            new = new.encode() if any(c.isalpha() for c in new) else body[start:end]
             parts += [body[at:start], new]
             at = end
             grown[np.searchsorted(offsets, start, "right")] += len(new) - (end - start)

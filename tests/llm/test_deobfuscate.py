@@ -127,3 +127,32 @@ def test_long_chains_and_tokens_are_decoded_in_one_piece(chars):
         out, _ = deobfuscate.Restorer(chars).chunk(*texts.raw(pa.array([text])))
         assert out.tobytes().decode() == deobfuscate.decode(text, chars) and len(out) < len(text)
     assert deobfuscate.decode("st" + "u" * 300 + "pid", chars) == "stupid"
+
+
+def test_spellings_that_need_the_whole_lattice_are_caught(spark):
+    """Few letters, each kind of look-alike, gaps in chains, and words far inside long tokens and chains."""
+    docs, labels = made(spark)
+    scorer = deobfuscate.train(docs, labels, F.lit(True))
+    plain = ["river", "house", "stone", "cloud", "paper", "green", "letter", "winter", "garden"] * 4
+    probe = [
+        "the 1d107 house", "the m*ron house", "the st*pid house", "the (idiot house", "the patheti( house", "the mor0n€ idi€ 1d10t",
+        "the i d ! o t house", "the m * r o n house", "the p a t h e t i ( house", "the s  t  u  p  i  d house",
+        "_".join(".".join(w) for w in [*plain, "stupid", *plain]), "  ".join(" ".join(w) for w in [*plain, "moron", *plain]),
+        "the st" + "u" * 300 + "pid house",
+    ]
+    clean = ["the (river) 100 * house", "12 3.14 2024-01-02 !!!", "_".join(".".join(w) for w in plain), "  ".join(" ".join(w) for w in plain)]
+    asked = spark.createDataFrame(list(enumerate(probe + clean)), "doc_id long, text string")
+    found = [r["score"] for r in deobfuscate.score(asked, scorer).orderBy("doc_id").collect()]
+    assert [p for p, s in zip(probe, found) if s <= 0.5] == []
+    assert [p for p, s in zip(clean, found[len(probe):], strict=True) if s > 0.5] == []
+
+
+def test_numbers_and_marks_stay(chars):
+    text = "ein 12 100 3.14 !!! *** 2024-01-02 haus"
+    out, _ = deobfuscate.Restorer(chars).chunk(*texts.raw(pa.array([text])))
+    assert out.tobytes().decode() == text
+
+
+def test_long_tokens_are_decoded_in_one_piece(chars):
+    word = ".".join("stupid")
+    assert deobfuscate.decode("_".join([word] * 500), chars) == " ".join(["stupid"] * 500)
