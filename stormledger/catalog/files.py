@@ -225,7 +225,7 @@ def sink_csv_quotes(spark, sf):
     """Both CSV writers, read back as a corpus; null and empty text are one there, as in the raw files."""
     rows = _quotes(spark, sf)
     table = sinks.write_csv_table(rows, scratch_path(spark, "quotes"))
-    export = sinks.write_csv_export(rows, scratch_path(spark, "quotes-export"), sep=";")
+    export = sinks.write_csv_export(rows, scratch_path(spark, "quotes-export"), sep=";", single_file=False)
     back = [
         delimited.read_cleaned(spark, path).select("id", "texto", "tipo", F.lit(form).alias("forma"))
         for path, form in ((table, "tabela"), (export, "exporta"))

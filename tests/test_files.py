@@ -177,6 +177,17 @@ def test_quotes_are_doubled(spark, tmp_path):
     assert file.read_text() == 't\n"rua ""A"", casa"\nc:\\x\n'
 
 
+def test_a_whole_table_is_not_exported_by_one_task(spark, monkeypatch):
+    from conftest import SMALL
+    from stormledger import catalog
+
+    def one_part(df):
+        raise AssertionError("all rows in one task")
+
+    monkeypatch.setattr(sinks, "_one_part", one_part)
+    assert catalog.QUERIES["sink_csv_quotes"](spark, SMALL).count() == 2 * spark.read.parquet(f"{SMALL}/events.parquet").count()
+
+
 def test_write_many_skips_empty(spark, tmp_path):
     frames = {"a": spark.range(3), "vazio": spark.range(0), "b": spark.range(2)}
     assert sinks.write_many(frames, str(tmp_path)) == ["a", "b"]
