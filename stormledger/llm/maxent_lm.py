@@ -43,7 +43,7 @@ from stormledger.llm import texts
 
 WORDS = 1 << 14
 HOT = 1 << 17
-CLASSES = 32
+CLASSES = 64
 FREQUENT = 64
 ROUNDS = 2
 BATCH = 8192

@@ -104,3 +104,8 @@ def test_gradient_step_against_differences():
 def test_end_tokens_follow_each_text():
     hashes, ends = maxent_lm.tokens(pa.array(["A b", None, "", "b"]))
     assert ends.tolist() == [2, 3, 4, 6] and (hashes[ends] == maxent_lm.END).all() and hashes[1] == hashes[5]
+
+
+def test_the_class_model_has_64_classes_at_least():
+    counts = maxent_lm.Counts(25_000, 300, texts.mix(np.arange(1, 201, dtype=np.uint64)), np.arange(200, 0, -1))
+    assert len(set(counts.class_of.tolist())) >= 64 and all(w.shape[1] >= 64 for w in maxent_lm.fresh(counts))
