@@ -45,7 +45,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_cube_mix")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balanced mixing of sources."""
-    return cube_mix.mix(table(spark, sf_dir, "documents"))
+    return cube_mix.mix(table(spark, sf_dir, "documents")).drop("digest")
 
 
 @query("op4_deobfuscate")

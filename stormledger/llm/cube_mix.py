@@ -17,8 +17,9 @@ Targets: sources in code point order, null last, weigh `weights` in turn and sha
 the excess goes to the others by weight until none is above.
 
 Defined cases: a null text has size 0; documents of size 0 and sources without
-words are never taken; repeated rows with the same id and text are drawn alike,
-each for itself; an empty table gives an empty result; further columns stay out.
+words are never taken; rows of one id, or without id, are each drawn for
+themselves, and those that agree in id, source and text share what falls to them;
+an empty table gives an empty result; further columns stay out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -50,10 +51,16 @@ def sizes(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     """Words of every text."""
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         n = texts.words(*texts.raw(part.column("text"))).per_row()
-        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(n)], ["doc_id", "source", "size"])
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), part.column("digest"), pa.array(n)], ["doc_id", "source", "digest", "size"])
 
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"), docs[text].alias("text"))
-    return texts.map_texts(rows, work, "doc_id long, source string, size long")
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[source].cast("string").alias("source"), _digest(docs[source], docs[text]).alias("digest"), docs[text].alias("text"))
+    return texts.map_texts(rows, work, "doc_id long, source string, digest long, size long")
+
+
+def _digest(source: Column, text: Column) -> Column:
+    """A hash of source and text, null apart from empty."""
+    source = source.cast("string")
+    return F.xxhash64(source.isNull(), F.coalesce(source, F.lit("")), text.isNull(), F.coalesce(text, F.lit("")))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -142,7 +149,7 @@ def _pool(seed: int, last: bool):
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         # by size, so that those held back are of all sizes
         pdf = pdf.assign(order=-pdf["size"]).sort_values(["order", "mixed", "row"], kind="stable").drop(columns="order")
-        pi = flight(pdf["pi"].to_numpy(), pdf["size"].to_numpy(), _random(pdf["doc_id"].to_numpy(), seed))
+        pi = flight(pdf["pi"].to_numpy(), pdf["size"].to_numpy(), _random(pdf["mixed"].to_numpy(), seed))
         if last:
             pi = land(pi, pdf["size"].to_numpy(), _random(pdf["row"].to_numpy(), seed + 1))
         return pdf.assign(pi=pi)
@@ -162,10 +169,16 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     ratio = F.least(ratio, F.lit(float(max_copies)))
     rows = rows.withColumn("copies", F.floor(ratio + F.lit(1e-12)).cast("long"))
     rows = rows.withColumn("pi", F.greatest(F.lit(0.0), ratio - F.col("copies")))
-    rows = rows.withColumn("mixed", F.xxhash64("doc_id", F.lit(seed))).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    # a pool's hash: id, source and text; also the row's number where very many rows agree in these
+    many = sized.filter("size > 0").groupBy(F.col("doc_id").alias("same_id"), F.col("digest").alias("same")).count().filter(F.col("count") > max(1, pool // 64))
+    many = session.materialize(many.select("same_id", "same"), "many")
+    rows = rows.join(many, rows["doc_id"].eqNullSafe(many["same_id"]) & (rows["digest"] == many["same"]), "left")
+    salt = F.when(F.col("same").isNotNull(), F.col("row")).otherwise(F.lit(0))
+    rows = rows.withColumn("mixed", F.xxhash64("doc_id", "digest", salt, F.lit(seed))).drop("same_id", "same")
     rows = session.materialize(rows, "wanted")
 
-    schema = "row long, doc_id long, source string, size long, pi double, mixed long"
+    schema = "row long, source string, size long, pi double, mixed long"
     schema_cols = [c.split()[0] for c in schema.split(", ")]
     open_ = rows.filter((F.col("pi") > 0) & (F.col("pi") < 1)).select(*schema_cols)
     decided: list[DataFrame] = []
@@ -191,22 +204,30 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         taken = taken.unionByName(part)
     rows = rows.join(taken, F.col("row") == F.col("taken_row"), "left")
     copies = F.col("copies") + F.col("taken_row").isNotNull().cast("long") + (F.col("pi") >= 1).cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select("doc_id", "source", "digest", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def _drop_pool(work):
     return lambda pdf: work(pdf.drop(columns=["pool"]))
 
 
-def take(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+def take(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """Documents as often as the mix takes them; their columns stay.
 
-    A row of a repeated id is taken as often as one row of that id, the first by copies.
+    Rows that agree in id, source and text, null included, share their copies evenly.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    at = f"c{names.index(key)}"
-    chosen = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies")).filter("_copies > 0")
-    rows = plain.join(chosen, F.col(at).cast("long") == F.col("_id"))
-    rows = rows.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    own = [F.col(f"c{names.index(name)}") for name in (key, source, text)]
+    whole = mixed.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_same")).agg(F.sum("copies").alias("_sum"), F.count("*").alias("_n"))
+    whole = whole.filter("_sum > 0").withColumn("_each", F.expr("_sum div _n")).withColumn("_more", F.col("_sum") % F.col("_n"))
+    rows = plain.withColumn("_own", own[0].cast("long")).withColumn("_digest", _digest(own[1], own[2]))
+    rows = rows.join(whole, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_same")))
+    # only rows that agree and cannot all have the same number of copies are numbered
+    even, odd = rows.filter("_more = 0"), rows.filter("_more > 0")
+    odd = odd.withColumn("_at", F.monotonically_increasing_id())
+    at = F.row_number().over(Window.partitionBy("_own", "_digest").orderBy("_at"))
+    odd = odd.withColumn("_each", F.col("_each") + (at <= F.col("_more")).cast("long")).drop("_at")
+    rows = even.unionByName(odd).filter("_each > 0")
+    rows = rows.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_each"))))
     return rows.select(*plain.columns).toDF(*names)

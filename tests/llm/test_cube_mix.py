@@ -91,3 +91,34 @@ def test_odd_texts(odd):
 
 def test_no_rows(none):
     assert cube_mix.mix(none).count() == 0
+
+
+def test_rows_without_id_and_of_one_id_are_taken_as_the_mix_says(spark):
+    rows = [(None if k % 3 else 7, "w " * (1 + k % 50) + ("" if k % 4 else str(k)), ["a", "b", None][k % 5 % 3]) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = cube_mix.mix(docs, pool=100).cache()
+    took = cube_mix.take(docs, mixed).collect()
+    want, found = {}, {}
+    for r in mixed.collect():
+        want[r["source"], r["doc_id"]] = want.get((r["source"], r["doc_id"]), 0) + r["taken"]
+    for r in took:
+        found[r["source"], r["doc_id"]] = found.get((r["source"], r["doc_id"]), 0) + len(WORD.findall(r["text"]))
+    assert found == {k: n for k, n in want.items() if n}
+
+
+def test_rows_of_one_id_spread_over_pools(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    was = cube_mix._pool
+
+    def counted(seed, last):
+        work = was(seed, last)
+
+        def check(pdf):
+            if len(pdf) > 300:
+                seen.add(1)
+            return work(pdf)
+        return check
+
+    monkeypatch.setattr(cube_mix, "_pool", counted)
+    docs = spark.createDataFrame([(5, "same text here", "s") for _ in range(2000)] + [(None, "w " * (k % 90 + 1), "t") for k in range(2000)], "doc_id long, text string, source string")
+    assert cube_mix.mix(docs, pool=200).count() == 4000 and seen.value == 0
