@@ -8,18 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, maxent_lm, order_join, pstable, range_coder, texts, url_gbt
+from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, maxent_lm, order_join, pivots, pstable, range_coder, sql, texts, url_gbt, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, oracle: str | None = None):
     """Register a query under a name."""
     def register(fn):
         QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
+        if oracle is not None:
+            SQL[name] = oracle
         return fn
 
     return register
@@ -97,3 +97,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """URL verdicts."""
     return url_gbt.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op11_vantage_tree", sql.clusters())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the vectors after five rounds."""
+    return vantage.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_pivot_index", sql.largest_products())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest inner products of every 20th vector."""
+    return pivots.search(table(spark, sf_dir, "embeddings"))
