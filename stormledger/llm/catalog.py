@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, maxent_lm, order_join, pivots, pstable, range_coder, sql, texts, url_gbt, vantage
+from stormledger.llm import cube_mix, dawg_bpe, deobfuscate, lang_rank, line_rules, maxent_lm, order_join, pivots, pstable, range_coder, runs, sql, texts, url_gbt, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,6 +105,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vantage.cluster(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_cover_runs", sql.word_runs())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, with some texts made periodic."""
+    docs = table(spark, sf_dir, "documents")
+    return runs.digests(runs.runs(docs, text=runs.planted(docs)))
+
+
 @query("op13_pivot_index", sql.largest_products())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest inner products of every 20th vector."""

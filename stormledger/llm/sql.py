@@ -39,3 +39,29 @@ def largest_products(k: int = 20, every: int = 20, scale: int = 64) -> str:
         FROM kept q, kept o WHERE q.vec_id % {every} = 0 AND o.vec_id <> q.vec_id)
       SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= {k}"""
+
+
+#: crc32 of a decimal number, bit by bit.
+CRC32 = """xor(list_reduce([ord(c) for c in string_split(CAST({x} AS VARCHAR), '')], lambda crc, b: list_reduce(range(8),
+  lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(crc, CAST(b AS BIGINT))), 4294967295), 4294967295)"""
+
+
+def word_runs(least: int = 12) -> str:
+    """Runs as stretches of equal words one period apart, from pairs of equal words."""
+    return f"""WITH base AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {CRC32.format(x='doc_id')} AS h,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+      shape AS (SELECT r, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a, h // 10 AS g FROM base),
+      words AS MATERIALIZED (SELECT r, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS word, n FROM (
+        SELECT r, w, n, a, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM shape)),
+      pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 2 <= x.n),
+      stretches AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM (
+        SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs) GROUP BY r, q, k
+        HAVING count(*) + q >= greatest({least}, 2 * q)),
+      runs AS MATERIALIZED (SELECT r, start, length, min(q) AS period FROM stretches GROUP BY r, start, length),
+      gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+      kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS body FROM words ANTI JOIN gone USING (r, i) GROUP BY r),
+      found AS (SELECT r, count(*) AS n_runs, min([-length, start, period]) AS b,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS shown FROM runs GROUP BY r)
+      SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b[2] AS start, -b[1] AS length, b[3] AS period, -b[1] * 1000 // b[3] AS exponent_milli,
+        sha256(coalesce(shown, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+      FROM shape LEFT JOIN found USING (r) LEFT JOIN kept USING (r)"""
