@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from stormledger.catalog import checks, cleaning, counting, files, profiles  # noqa: F401
+from stormledger.catalog import checks, cleaning, counting, files, loads, profiles  # noqa: F401
 from stormledger.catalog.core import QUERIES, SQL  # noqa: F401

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from stormledger import vocab
 from stormledger.functions.dates import wall_seconds
 from stormledger.operators.aggregates import TOTAL
+from stormledger.operators.series import with_silent_days
 
 
 def month_rain_dimension(df: DataFrame) -> DataFrame:
@@ -23,11 +24,12 @@ def join_month_rain(df: DataFrame, rain: DataFrame | None = None) -> DataFrame:
 
 
 def daily_rain_and_incidents(
-    rain: DataFrame, rain_date: str, rain_mm: str, incidents: DataFrame, date: str
+    rain: DataFrame, rain_date: str, rain_mm: str, incidents: DataFrame, date: str, calendar: bool = False
 ) -> DataFrame:
     """One row per day on either side: rain null where unmeasured, incidents 0 where none.
 
-    Both sides shrink to one row per day before they meet.
+    Both sides shrink to one row per day before they meet. ``calendar`` also gives
+    the days between the first and the last one that neither side has.
     """
     mm = (
         rain.where(F.col(rain_date).isNotNull())
@@ -39,7 +41,8 @@ def daily_rain_and_incidents(
         .groupBy(F.to_date(date).alias("dia"))
         .agg(F.count(F.lit(1)).alias(TOTAL))
     )
-    return mm.join(per_day, "dia", "full").withColumn(TOTAL, F.coalesce(TOTAL, F.lit(0)))
+    days = mm.join(per_day, "dia", "full").withColumn(TOTAL, F.coalesce(TOTAL, F.lit(0)))
+    return with_silent_days(days, "dia").select(*days.columns) if calendar else days
 
 
 def correlation(df: DataFrame, x: str, y: str, *keys: str, threshold: float = 0.5) -> DataFrame:

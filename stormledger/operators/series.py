@@ -7,10 +7,15 @@ the data.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stormledger.operators.aggregates import TOTAL, count_by
 
+# Longest calendar that is laid out for a key; a date far off is an error, not a flood of days.
+MAX_DAYS = 36_600
+
 
 def moving_average(
     df: DataFrame, order: str, value: str = TOTAL, rows: int = 3, out: str = "media_movel_3anos"
@@ -81,6 +86,59 @@ def volume_check(
     })
 
 
+def _last_day(daily: DataFrame, day: str, end: dt.date | None) -> Column:
+    """The given end, else the last day of all keys."""
+    return F.lit(end).cast("date") if end is not None else daily.select(F.max(day)).scalar()
+
+
+def with_silent_days(
+    daily: DataFrame, day: str, value: str = TOTAL, keys: tuple[str, ...] = (),
+    start: dt.date | None = None, end: dt.date | None = None, max_days: int = MAX_DAYS,
+) -> DataFrame:
+    """One row per key and calendar day, ``value`` 0 and other columns null where a day has none.
+
+    ``daily`` holds one row per key and day. A key's days run from its first one,
+    or from ``start``, to the last day of all keys, or to ``end``: a key that stops early
+    goes on. Days outside have no row. More than ``max_days`` of a key are an error.
+    """
+    first = F.lit(start).cast("date") if start is not None else F.min(day)
+    spans = daily.groupBy(*keys).agg(first.alias("_de")).withColumn("_ate", _last_day(daily, day, end))
+    far = F.raise_error(F.format_string(f"more than {max_days} days from %s to %s", F.col("_de").cast("string"), F.col("_ate").cast("string")))
+    days = F.when(F.datediff("_ate", "_de") < max_days, F.sequence("_de", "_ate")).otherwise(far.cast("array<date>"))
+    spine = spans.where(F.col("_de") <= F.col("_ate")).select(*keys, F.explode(days).alias(day))
+    return spine.join(daily, [*keys, day], "left").withColumn(value, F.coalesce(value, F.lit(0)))
+
+
+def volume_check_calendar(
+    df: DataFrame, date: str, keys: tuple[str, ...] = (), min_ratio: float = 0.8, usual_days: int = 7,
+    start: dt.date | None = None, end: dt.date | None = None,
+) -> DataFrame:
+    """Rows of every calendar day against the mean of the last active days before it.
+
+    Unlike ``volume_check`` it also judges days without any row. Silent days do not
+    lower what is usual, so a key that stops fails on each day up to the end.
+    """
+    daily = count_by(df.withColumn("dia", F.to_date(date)), *keys, "dia")
+    recent = Window.partitionBy(*keys).orderBy("dia").rowsBetween(1 - usual_days, 0)
+    known = daily.withColumn("_usual", F.avg(TOTAL).over(recent))
+    before = Window.partitionBy(*keys).orderBy("dia").rowsBetween(Window.unboundedPreceding, -1)
+    usual = F.last("_usual", ignorenulls=True).over(before)
+    return with_silent_days(known, "dia", TOTAL, keys, start, end).select(
+        *keys, "dia", TOTAL, F.round(usual, 4).alias("volume_usual"),
+        (F.col(TOTAL) < min_ratio * usual).alias("volume_baixo"), (F.col(TOTAL) == 0).alias("sem_registro"),
+    )
+
+
+def open_gaps(
+    df: DataFrame, date: str, keys: tuple[str, ...] = (), max_days: int = 2, end: dt.date | None = None
+) -> DataFrame:
+    """Keys silent for more than ``max_days`` up to the last day of all keys, or ``end``; ``gaps`` sees none of these."""
+    daily = df.where(F.col(date).isNotNull()).select(*keys, F.to_date(date).alias("_dia"))
+    last = daily.groupBy(*keys).agg(F.max("_dia").alias("dia_anterior"))
+    until = last.withColumn("ate", _last_day(daily, "_dia", end))
+    return until.withColumn("dias", F.datediff("ate", "dia_anterior")).where(F.col("dias") > max_days)
+
+
 def year_over_year(df: DataFrame, value: str = TOTAL) -> DataFrame:
     """Each year next to the calendar year before; null and not comparable on gaps."""
     w = Window.orderBy("ano")

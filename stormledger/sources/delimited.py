@@ -38,10 +38,11 @@ def file_year(path: Column) -> Column:
     return F.coalesce(name_year(F.element_at(parts, -1)), name_year(F.try_element_at(parts, F.lit(-2))))
 
 
-def _field_count(line: Column, sep: str) -> Column:
+def _field_count(line: Column, sep: str | Column) -> Column:
     # Separators inside quotes do not count.
-    bare = F.regexp_replace(line, r'"[^"]*"', "")
-    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    sep = F.lit(sep) if isinstance(sep, str) else sep
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, r'"[^"]*"', "")).otherwise(line)
+    return F.char_length(bare) - F.char_length(F.replace(bare, sep, F.lit(""))) + 1
 
 
 def read_delimited(
@@ -165,29 +166,103 @@ def readable_path(file_path: str) -> str:
 
 def read_corpus(
     spark: SparkSession, path: str | list[str], canonical: bool = True, cleaned: bool = False,
-    names: str = CSV_FILES, probe: DataFrame | None = None,
+    names: str = CSV_FILES, probe: DataFrame | None = None, keep_path: str | None = None,
 ) -> DataFrame:
     """Read and unite files of any mix of encodings, separators and layouts.
 
-    The probe runs first, unless a stored one of these files is given. Each
-    distinct layout becomes one multi-file scan: of whole folders where all
-    files of a folder agree, and of single files only in mixed folders. The
-    scans unite by column name with nulls for absent columns. Only files with
-    line breaks in quotes lose splitting. ``_arquivo`` and ``_ano_origem`` keep
-    the provenance.
+    The probe runs first, unless a stored one of these files is given; files it
+    does not name are left out. One scan of lines reads all files: each line gets
+    the layout of its file, is parsed by its separator, and its fields go to the
+    columns of that name, with nulls for absent ones. So the plan does not grow with
+    the number of layouts. Only files with line breaks in quotes are scanned apart, layout by
+    layout, and lose splitting. A line that repeats the header of its file's first
+    block is no record. ``_arquivo`` and ``_ano_origem`` keep
+    the provenance, and the column ``keep_path``, if named, the whole path.
     """
     probed = probe_files(spark, path, names) if probe is None else probe
-    paths = scan_paths(*_folder_layouts(probed))
-    if not paths:
+    layouts = sorted(tuple(r) for r in probed.select("encoding", "separador", "cabecalho", "quebras").distinct().collect())
+    if not layouts:
         return schema.empty(probed, f"{FILE_NAME} string, {FILE_YEAR} int")
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_read_layout(spark, k, paths[k], canonical, cleaned, names) for k in sorted(paths)],
+    columns = {layout: _columns(layout, canonical, cleaned) for layout in layouts}
+    frames = []
+    split = {layout: columns[layout] for layout in layouts if not layout[3]}
+    if split:
+        frames.append(_read_lines(spark, path, probed, split, names, keep_path))
+    if len(split) < len(layouts):
+        broken = {k: p for k, p in scan_paths(*_folder_layouts(probed, F.col("quebras"))).items() if k[3]}
+        frames += [_read_layout(spark, k, broken[k], columns[k], names, keep_path) for k in sorted(broken)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _columns(layout: Layout, canonical: bool, cleaned: bool) -> list[str]:
+    headers = header_columns(layout[2], layout[1])
+    return schema.canonical_names(headers, cleaned) if canonical else schema.unique_names(headers)
+
+
+# Files whose layouts are broadcast to the scan: their paths are some tens of megabytes. Beyond, Spark joins them.
+BROADCAST_FILES = 200_000
+
+
+def _read_lines(
+    spark: SparkSession, path: str | list[str], probed: DataFrame, layouts: dict[Layout, list[str]], names: str,
+    keep_path: str | None,
+) -> DataFrame:
+    """All files of the given layouts in one scan of lines."""
+    united: dict[str, str] = {}
+    for columns in layouts.values():
+        for c in columns:
+            united.setdefault(c.lower(), c)
+    wanted = [c for c in united.values() if c != FILE_NAME]
+
+    def places(columns: list[str]) -> list[int | None]:
+        at = {c.lower(): i for i, c in enumerate(columns)}
+        return [at.get(c.lower()) for c in wanted]
+
+    # One row per distinct layout: a bounded broadcast.
+    known = spark.createDataFrame(
+        [(i, *layout[:3], len(columns), places(columns)) for i, (layout, columns) in enumerate(layouts.items())],
+        "_formato int, encoding string, separador string, cabecalho string, _campos int, _lugares array<int>",
+    )
+    files = materialize(
+        probed.where(~F.col("quebras")).join(F.broadcast(known), ["encoding", "separador", "cabecalho"])
+        .select("caminho", "_formato"), "file-layouts",
     )
+    lines = _raw_lines(spark, path, names).select(
+        "value", F.col("_metadata.file_path").alias("caminho"), F.col("_metadata.file_name").alias(FILE_NAME),
+        (F.col("_metadata.file_block_start") == 0).alias("_inicio"),
+    )
+    few = files.count() <= BROADCAST_FILES
+    lines = lines.join(F.broadcast(files) if few else files, "caminho").join(F.broadcast(known), "_formato")
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    lines = lines.withColumn("_linha", F.when(F.col("encoding") == "UTF-8", F.col("value")).otherwise(latin))
+    line, sep, header = F.col("_linha"), F.col("separador"), F.col("cabecalho")
+    is_header = F.col("_inicio") & ((line == header) | (line == F.concat(F.lit("\ufeff"), header)))
+    rows = lines.where(~is_header & line.rlike(r"[^\x00-\x20]") & (_field_count(line, sep) <= F.col("_campos")))
+    width = max(map(len, layouts.values()))
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    parsed = None
+    for one in sorted({layout[1] for layout in layouts}):
+        read = F.from_csv(line, F.lit(fields), {"sep": one, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+        parsed = F.when(sep == one, read) if parsed is None else parsed.when(sep == one, read)
+    # Parsed once, below all the fields that are taken from it.
+    rows = rows.withColumn("_campo", parsed).withColumn("_valores", F.array(*[F.col(f"_campo.c{i}") for i in range(width)]))
+
+    def value(i: int) -> Column:
+        found = F.get("_valores", F.get("_lugares", F.lit(i)))
+        return F.when(~found.isin(vocab.NULL_TEXTS), found)
+
+    out = [value(i).alias(c) for i, c in enumerate(wanted) if c != FILE_YEAR]
+    # A file may already hold a provenance column from an earlier stage.
+    year = file_year(F.col("caminho"))
+    if FILE_YEAR in wanted:
+        at = wanted.index(FILE_YEAR)
+        year = F.when(F.get("_lugares", F.lit(at)).isNotNull(), value(at).cast("int")).otherwise(year)
+    path_column = [F.col("caminho").alias(keep_path)] if keep_path else []
+    return rows.select(*out, FILE_NAME, year.alias(FILE_YEAR), *path_column)
 
 
-def _folder_layouts(probed: DataFrame) -> tuple[dict[str, Layout], dict[str, Layout]]:
-    """Layout of each folder whose files agree and that holds no other folder, and of each file elsewhere."""
+def _folder_layouts(probed: DataFrame, wanted: Column | None = None) -> tuple[dict[str, Layout], dict[str, Layout]]:
+    """Layout of each folder whose files agree and that holds no other folder, and of each (wanted) file elsewhere."""
     layout = F.struct("encoding", "separador", "cabecalho", "quebras")
     files = probed.select(
         F.regexp_extract("caminho", r"^(.*)/[^/]*$", 1).alias("pasta"), "caminho", layout.alias("formato")
@@ -203,6 +278,8 @@ def _folder_layouts(probed: DataFrame) -> tuple[dict[str, Layout], dict[str, Lay
     if not mixed:
         return whole, {}
     spark = probed.sparkSession
+    if wanted is not None:
+        files = probed.where(wanted).select(F.regexp_extract("caminho", r"^(.*)/[^/]*$", 1).alias("pasta"), "caminho", layout.alias("formato"))
     single = files.join(spark.createDataFrame(mixed, "pasta string"), "pasta").select("caminho", "formato")
     return whole, {r["caminho"]: tuple(r["formato"]) for r in single.toLocalIterator()}
 
@@ -215,15 +292,8 @@ def scan_paths(folders: dict[str, Layout], files: dict[str, Layout]) -> dict[Lay
     return {layout: sorted(found) for layout, found in paths.items()}
 
 
-def _read_layout(
-    spark: SparkSession, layout: Layout, paths: list[str], canonical: bool, cleaned: bool, names: str
-) -> DataFrame:
-    encoding, sep, header, breaks = layout
-    headers = header_columns(header, sep)
-    if canonical:
-        columns = schema.canonical_names(headers, cleaned)
-    else:
-        columns = schema.unique_names(headers)
+def _read_layout(spark: SparkSession, layout: Layout, paths: list[str], columns: list[str], names: str, keep_path: str | None) -> DataFrame:
+    encoding, sep, _, breaks = layout
     # A file may already hold a provenance column from an earlier stage.
     kept = [c for c in columns if c not in (FILE_NAME, FILE_YEAR)]
     rows = read_delimited(spark, paths, columns, sep, encoding, multi_line=breaks, names=names)
@@ -231,17 +301,20 @@ def _read_layout(
         *kept, F.col("_metadata.file_name").alias(FILE_NAME),
         F.col(FILE_YEAR).cast("int").alias(FILE_YEAR) if FILE_YEAR in columns
         else file_year(F.col("_metadata.file_path")).alias(FILE_YEAR),
+        *([F.col("_metadata.file_path").alias(keep_path)] if keep_path else []),
     )
 
 
 # A number with a decimal comma, its thousands perhaps parted by points.
 COMMA_NUMBER = r"^[+-]?(\d+|\d{1,3}(\.\d{3})+),\d+$"
+# A whole number whose thousands are parted by several points; one point alone is a decimal point.
+POINTS_NUMBER = r"^[+-]?\d{1,3}(\.\d{3}){2,}$"
 
 
 def number(c: Column) -> Column:
     """Text as a double, with a decimal point or a decimal comma; null if it is neither."""
     plain = F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(c.rlike(COMMA_NUMBER), plain).otherwise(c).try_cast("double")
+    return F.when(c.rlike(COMMA_NUMBER) | c.rlike(POINTS_NUMBER), plain).otherwise(c).try_cast("double")
 
 
 def _raw_measures(df: DataFrame) -> list[str]:
