@@ -96,14 +96,15 @@ def _random(keys: np.ndarray, seed: int) -> np.ndarray:
 def flight(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Move probabilities to 0 or 1, keeping the sums of pi and of pi * size; few stay between.
 
-    These are two at most, and `RESERVE` undecided units from all over the given order.
+    These are two at most, and up to `RESERVE` undecided units from all over the given order, one in eight.
     Three undecided units span a direction that keeps both sums: the null space of
     their two balance equations. A step goes to the first wall either way, with the
     probabilities that keep each expectation.
     """
     pi, eps = pi.astype(np.float64).copy(), 1e-9
     undecided = np.flatnonzero((pi > eps) & (pi < 1 - eps)).tolist()
-    spared = {int(k) for k in np.linspace(0, len(undecided) - 1, RESERVE + 2)[1:-1]} if undecided else set()
+    reserve = min(RESERVE, len(undecided) // 8)
+    spared = {int(k) for k in np.linspace(0, len(undecided) - 1, reserve + 2)[1:-1]} if undecided else set()
     waiting = iter([x for k, x in enumerate(undecided) if k not in spared])
     held = list(itertools.islice(waiting, 3))
     p, s, used = pi.tolist(), size.tolist(), 0
@@ -182,7 +183,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     schema_cols = [c.split()[0] for c in schema.split(", ")]
     open_ = rows.filter((F.col("pi") > 0) & (F.col("pi") < 1)).select(*schema_cols)
     decided: list[DataFrame] = []
-    level = 0
+    level, before = 0, None
     while True:
         counts = open_.groupBy("source").agg(F.count("*").alias("n")).withColumnRenamed("source", "name")
         pooled = open_.join(counts, open_["source"].eqNullSafe(counts["name"])).drop("name")
@@ -191,7 +192,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         biggest = counts.agg(F.max("n")).first()[0]
         if biggest is None:
             break
-        last = biggest <= pool
+        # pools too small to decide anything are landed as they are
+        last = biggest <= pool or biggest == before
+        before = biggest
         done = session.materialize(
             pooled.select(*schema_cols, "pool").groupBy("source", "pool").applyInPandas(_drop_pool(_pool(seed + level, last)), schema), f"pools-{level}")
         is_open = (F.col("pi") > 0) & (F.col("pi") < 1)
