@@ -50,12 +50,12 @@ def _type_of_column(types: dict[str, str]):
     return F.element_at(F.create_map(*pairs), F.col("coluna"))
 
 
-def summarize_census(census: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Rows, nulls, null percent and distinct values per column of a census."""
+def summarize_census(census: DataFrame, keys: tuple[str, ...] = (), more: dict[str, Column] | None = None) -> DataFrame:
+    """Rows, nulls, null percent and distinct values per column of a census, and ``more`` sums of it."""
     out = census.groupBy(*keys, "coluna").agg(
         F.sum("n").alias("linhas"),
         F.coalesce(F.sum(F.when(F.col("valor").isNull(), F.col("n"))), F.lit(0)).alias("nulos"),
-        F.count("valor").alias("valores_unicos"),
+        F.count("valor").alias("valores_unicos"), *[c.alias(name) for name, c in (more or {}).items()],
     )
     pct = F.round(F.lit(100.0) * F.col("nulos") / F.col("linhas"), 2)
     return out.withColumn("pct_nulos", pct)

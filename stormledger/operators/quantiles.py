@@ -132,46 +132,35 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> Qu
     return {c: [interpolate(c, extent[c][0], p) for p in probs] for c in columns}
 
 
-def grouped_quantiles(cells: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+def grouped_quantiles(cells: DataFrame, keys: list[str], probs: list[float], weight: str | None = None) -> DataFrame:
     """(keys, q) of a frame (keys, v) of numbers: exact quantiles of every group at once.
 
-    As ``exact_quantiles``, with the ranges of all groups in a table: a round is
-    one histogram of all groups, and few rounds serve any number of groups.
+    Values are counted (``weight`` holds their counts, if they are already) and dealt
+    once into ranges sorted by group and value, which are stored. The counts of the
+    ranges, a row each, tell which range of a group holds a wanted rank; only these
+    are numbered inside. A range is bounded whatever the size of its group.
     """
-    cells = cells.select(*keys, "v").where(F.abs("v") < F.lit(math.inf))
-    extent = cells.groupBy(*keys).agg(
-        F.count("v").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
+    counted = cells.select(*keys, "v", F.lit(1).alias("n") if weight is None else F.col(weight).alias("n"))
+    counted = counted.where(F.abs("v") < F.lit(math.inf)).groupBy(*keys, "v").agg(F.sum("n").alias("n"))
+    ranged = materialize(counted.repartitionByRange(*keys, "v").withColumn("_faixa", F.spark_partition_id()), "faixas")
+    sizes = ranged.groupBy(*keys, "_faixa").agg(F.sum("n").alias("_n"))
+    up = Window.partitionBy(*keys).orderBy("_faixa")
+    sizes = sizes.withColumns({
+        "_ate": F.sum("_n").over(up), "total": F.sum("_n").over(Window.partitionBy(*keys)),
+    }).withColumn("_antes", F.col("_ate") - F.col("_n"))
     places = F.array_distinct(F.flatten(F.array(*[
         F.array(F.floor((F.col("total") - 1) * p), F.ceil((F.col("total") - 1) * p)) for p in probs
     ])))
-    ranks = extent.withColumn("k", F.explode(places)).withColumn("below", F.lit(0).cast("bigint"))
-    ranks = materialize(ranks, "ranks")
-    shared = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys])
-    while not ranks.where("lo < hi").isEmpty():
-        ranges = ranks.where("lo < hi").select(*keys, "lo", "hi", "below").distinct()
-        half = F.when((F.col("hi") - F.col("lo")) == F.lit(math.inf), 0.5).otherwise(1.0)
-        width = F.col("hi") * half - F.col("lo") * half
-        step = F.floor((F.col("v") * half - F.col("lo") * half) / width * BUCKETS)
-        histogram = (
-            cells.alias("c").join(ranges.alias("r"), shared & F.col("v").between(F.col("lo"), F.col("hi")))
-            .select(*[F.col(f"r.{k}").alias(k) for k in keys], "lo", "below", "v", F.least(step, F.lit(BUCKETS - 1)).alias("b"))
-            .groupBy(*keys, "lo", "below", "b")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("nlo"), F.max("v").alias("nhi"))
-        )
-        upto = Window.partitionBy(*keys, "lo", "below").orderBy("b")
-        histogram = histogram.withColumn("upto", F.sum("n").over(upto) + F.col("below"))
-        both = reduce(lambda a, b: a & b, [
-            F.col(f"o.{k}").eqNullSafe(F.col(f"h.{k}")) for k in [*keys, "lo", "below"]
-        ])
-        inside = (F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))
-        narrowed = ranks.where("lo < hi").alias("o").join(histogram.alias("h"), both & inside).select(
-            *[F.col(f"o.{k}").alias(k) for k in keys], "total", F.col("nlo").alias("lo"), F.col("nhi").alias("hi"),
-            "k", (F.col("upto") - F.col("n")).alias("below"),
-        )
-        ranks = materialize(ranks.where("lo = hi").unionByName(narrowed), "ranks")
+    here = F.filter(places, lambda k: (k >= F.col("_antes")) & (k < F.col("_ate")))
+    wanted = sizes.select(*keys, "_faixa", "_antes", "total", here.alias("_k")).where(F.size("_k") > 0)
+    near = ranged.alias("c").join(wanted.alias("r"), _same(keys + ["_faixa"], "c", "r")).select(
+        *[F.col(f"c.{k}").alias(k) for k in [*keys, "_faixa"]], "v", "n", "_antes", "total", "_k")
+    inside = Window.partitionBy(*keys, "_faixa").orderBy("v")
+    near = near.withColumn("_ate", F.sum("n").over(inside) + F.col("_antes"))
+    held = F.filter("_k", lambda k: (k < F.col("_ate")) & (k >= F.col("_ate") - F.col("n")))
+    ranks = near.select(*keys, "total", "v", F.explode(held).alias("k"))
     values = ranks.groupBy(*keys).agg(
-        F.first("total").alias("total"), F.map_from_entries(F.collect_set(F.struct("k", "lo"))).alias("at")
+        F.first("total").alias("total"), F.map_from_entries(F.collect_set(F.struct("k", "v"))).alias("at")
     )
 
     def quantile(p: float) -> Column:
@@ -182,22 +171,32 @@ def grouped_quantiles(cells: DataFrame, keys: list[str], probs: list[float]) ->
     return values.select(*keys, F.array(*map(quantile, probs)).alias("q"))
 
 
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Equal keys of two named frames, null included."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def grouped_outliers(
     df: DataFrame, columns: list[str], keys: list[str], limit_pct: float = 5, factor: float = 1.5
 ) -> DataFrame:
     """Share of rows outside the fences of their own group, per group and numeric column."""
-    values = df.select(*keys, *[_number(c).alias(c) for c in columns]).unpivot(keys, columns, "coluna", "v")
-    group = [*keys, "coluna"]
-    q = grouped_quantiles(values, group, [0.25, 0.75])
+    cells = df.select(*keys, *[_number(c).alias(c) for c in columns]).unpivot(keys, columns, "coluna", "v")
+    counted = materialize(cells.groupBy(*keys, "coluna", "v").agg(F.count(F.lit(1)).alias("n")), "numbers")
+    return counted_outliers(counted, [*keys, "coluna"], limit_pct, factor)
+
+
+def counted_outliers(counted: DataFrame, group: list[str], limit_pct: float = 5, factor: float = 1.5) -> DataFrame:
+    """The same of (group, v, n): numbers with their counts, null for no number."""
+    q = grouped_quantiles(counted, group, [0.25, 0.75], "n")
     spread = (F.col("q")[1] - F.col("q")[0]) * factor
-    bounds = q.select(*[F.col(k).alias(f"_{k}") for k in group], (F.col("q")[0] - spread).alias("_lo"), (F.col("q")[1] + spread).alias("_hi"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in group])
-    outside = (F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))
+    bounds = q.select(*group, (F.col("q")[0] - spread).alias("_lo"), (F.col("q")[1] + spread).alias("_hi"))
+    joined = counted.alias("c").join(bounds.alias("r"), _same(group, "c", "r"), "left")
+    outside = (F.col("c.v") < F.col("_lo")) | (F.col("c.v") > F.col("_hi"))
     share = F.lit(100.0) * F.col("fora") / F.col("linhas")
-    counted = values.join(bounds, same, "left").groupBy(*group).agg(
-        F.count(F.lit(1)).alias("linhas"), F.count_if(outside).alias("fora")
+    sums = joined.groupBy(*[F.col(f"c.{k}").alias(k) for k in group]).agg(
+        F.sum("n").alias("linhas"), F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("fora")
     )
-    return counted.select(*group, F.round(share, 2).alias("pct_fora"), (share > limit_pct).alias("problema"))
+    return sums.select(*group, F.round(share, 2).alias("pct_fora"), (share > limit_pct).alias("problema"))
 
 
 def approx_quantiles(

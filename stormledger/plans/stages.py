@@ -45,10 +45,10 @@ def diagnose(
 
     Per column: rows, nulls, distinct values, its class, and the five problems:
     too many nulls, no date column, characters outside ASCII, nulls in a key
-    field, outliers; and the most frequent values of categorical columns. One
-    census feeds all but the outliers, which take the histogram rounds of all
-    files at once. With ``approx`` and without keys there is no census: one
-    pass of sketches, with neither top values nor quartile rounds.
+    field, outliers; and the most frequent values of categorical columns. The rows
+    are read once, into a census that holds every value with its count; all
+    figures, quartiles too, come from it. With ``approx`` and without keys there is
+    no census: one pass of sketches, with neither top values nor exact quartiles.
     """
     columns = [c for c in df.columns if c not in keys]
     classes = {f.name: schema.column_class(f) for f in df.schema if f.name in columns}
@@ -57,33 +57,39 @@ def diagnose(
     numeric = [c for c in schema.numeric_columns(df) if c in columns]
     texts = [c for c in schema.text_columns(df) if c in columns]
     no_date = F.lit(not schema.date_columns(df.select(columns)))
+    group = [*keys, "coluna"]
     if approx and not keys:
         out = _sketched(df, columns)
+        # Several scans follow, so the numbers alone become a table first.
+        numbers = materialize(df.select(*numeric), "numbers") if numeric else None
+        outside = quantiles.outliers(numbers, numeric, approx).select("coluna", "pct_fora", "problema") if numeric else None
     else:
         census = materialize(profiling.value_census(df, columns, keys), "census")
-        out = profiling.summarize_census(census, keys)
-        odd = census.where(F.col("coluna").isin(texts) & text.has_non_ascii(F.col("valor")))
-        odd = odd.groupBy(*keys, "coluna").agg(F.sum("n").alias("_fora_do_ascii"))
+        odd = F.when(F.col("coluna").isin(texts) & text.has_non_ascii(F.col("valor")), F.col("n"))
+        out = profiling.summarize_census(census, keys, {"fora_do_ascii": F.coalesce(F.sum(odd), F.lit(0))})
+        out = out.withColumn("fora_do_ascii", F.when(F.col("coluna").isin(texts), F.col("fora_do_ascii")))
         fields = [c for c in schema.CATEGORICAL_FIELDS if c in columns]
         frequent = profiling.top_values(census.where(F.col("coluna").isin(fields)), top, keys)
         listed = F.sort_array(F.collect_list(F.struct("posicao", "valor", "n")))
-        frequent = frequent.groupBy(*keys, "coluna").agg(listed.alias("principais"))
-        out = _same(out, odd, [*keys, "coluna"])
-        out = out.withColumn("fora_do_ascii", F.when(F.col("coluna").isin(texts), F.coalesce("_fora_do_ascii", F.lit(0))))
-        out = _same(out.drop("_fora_do_ascii"), frequent, [*keys, "coluna"])
+        frequent = frequent.groupBy(*group).agg(listed.alias("principais"))
+        out = _same(out, frequent, group)
+        outside = quantiles.counted_outliers(_numbers(census, df, numeric, group), group) if numeric else None
     out = out.withColumns({
         "classe": kind, "muitos_nulos": F.col("pct_nulos") > limit_pct, "sem_data": no_date,
         "campo_chave_nulo": F.col("coluna").isin(schema.KEY_FIELDS) & (F.col("nulos") > 0),
     })
-    if not numeric:
+    if outside is None:
         return out
-    # Several scans follow, so the numbers alone become a table first.
-    numbers = materialize(df.select(*keys, *numeric), "numbers")
-    if keys:
-        outside = quantiles.grouped_outliers(numbers, numeric, list(keys))
-    else:
-        outside = quantiles.outliers(numbers, numeric, approx).select("coluna", "pct_fora", "problema")
-    return _same(out, outside.withColumnRenamed("problema", "outliers"), [*keys, "coluna"])
+    return _same(out, outside.withColumnRenamed("problema", "outliers"), group)
+
+
+def _numbers(census: DataFrame, df: DataFrame, numeric: list[str], group: list[str]) -> DataFrame:
+    """(group, v, n) of the numeric columns of a census; text gives back the number it was made of."""
+    single = [c for c in numeric if dict(df.dtypes)[c] == "float"]
+    valor = F.col("valor")
+    # the shortest text of a float is that float again, but another double
+    v = F.when(F.col("coluna").isin(single), valor.cast("float").cast("double")).otherwise(valor.cast("double"))
+    return census.where(F.col("coluna").isin(numeric)).select(*group, v.alias("v"), "n")
 
 
 def _sketched(df: DataFrame, columns: list[str]) -> DataFrame:

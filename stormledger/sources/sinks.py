@@ -55,10 +55,11 @@ def reload_years(df: DataFrame, path: str, years: list[int], year: str = "ano",
     named = F.col(year)
     strange = F.raise_error(F.concat(F.lit(f"a row of none of the years {sorted(years)}: "), F.coalesce(named.cast("string"), F.lit("null"))))
     checked = df.withColumn(year, F.when(named.isin(years), named).otherwise(strange.cast(df.schema[year].dataType)))
-    # counted by the job that writes
+    # counted by the tasks that write, so that a repeated task counts once
     seen = Observation("years")
-    counted = checked.observe(seen, *[F.count_if(named == y).alias(str(y)) for y in years])
-    write_parquet_by_year(counted, path, year, rebalance)
+    placed = checked.hint("rebalance", year) if rebalance else checked
+    counted = placed.observe(seen, *[F.count_if(named == y).alias(str(y)) for y in years])
+    write_parquet_by_year(counted, path, year, rebalance=False)
     rows = {y: seen.get[str(y)] for y in years}
     for y in (y for y, n in rows.items() if not n):
         df.limit(0).drop(year).write.mode("overwrite").parquet(f"{path}/{year}={y}")
