@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from stormledger import bindings as b
+from stormledger import bindings as b, vocab
 from stormledger.catalog.core import query
 from stormledger.catalog.files import _raw, _write_raw
-from stormledger.operators import joins, quality, series
-from stormledger.plans import publish
-from stormledger.session import scratch_path
-from stormledger.sources import manifest, sinks
+from stormledger.operators import joins, quality, series, sketches
+from stormledger.plans import datasets, publish, refresh, stages
+from stormledger.session import materialize, scratch_path
+from stormledger.sources import buckets, manifest, sinks
 
 ORD, CALLS = f"WITH {b.ORDERS_SQL}", f"WITH {b.CALLS_SQL}"
 
@@ -165,3 +167,97 @@ def ingest_incremental(spark, sf):
         .unionAll(per_load.select(F.lit("arquivos"), "carga", "ano", "linhas", none.cast("bigint")))
         .unionAll(files.select(F.lit("lidos"), "carga", none.cast("int"), "linhas", none.cast("bigint")))
     )
+
+
+# --- kept figures ------------------------------------------------------------
+
+CORRECTED_SQL = f"""WITH {b.INCIDENTS_SQL}, c AS (SELECT * REPLACE (CASE WHEN ano = 1997 AND id_atendimento % 4 = 0 THEN 'CORRIGIDO' ELSE bairro END AS bairro)
+  FROM inc WHERE ano <> 1995 AND NOT (ano = 1997 AND id_atendimento % 5 = 0)), n AS (SELECT count(*) AS n FROM c)"""
+
+
+@query("aggregates_refreshed", f"""{CORRECTED_SQL} SELECT 'ano' AS tipo, CAST(ano AS VARCHAR) AS chave, count(*) AS total_ocorrencias, count(DISTINCT bairro) AS bairros
+  FROM c GROUP BY ano UNION ALL SELECT 'bairro', bairro, count(*), 1 FROM c GROUP BY bairro
+  UNION ALL SELECT 'tudo', NULL, count(*), count(DISTINCT bairro) FROM c""")
+def aggregates_refreshed(spark, sf):
+    """1995 is withdrawn and 1997 corrected; only these two years are counted again."""
+    rows = b.incidents(spark, sf)
+    path, years = scratch_path(spark, "base"), list(range(1992, 2003))
+    refresh.refresh_base(rows, path, years)
+    wrong = (F.col("ano") == 1997) & (F.col("id_atendimento") % 4 == 0)
+    corrected = rows.where("ano <> 1995 AND NOT (ano = 1997 AND id_atendimento % 5 = 0)").withColumn(
+        "bairro", F.when(wrong, F.lit("CORRIGIDO")).otherwise(F.col("bairro")))
+    refresh.refresh_base(corrected, path, [1995, 1997])
+    base = refresh.stored_base(spark, path)
+    total, areas = F.sum(datasets.TOTAL).alias("total_ocorrencias"), F.count_distinct("bairro").alias("bairros")
+    year, area = F.col("ano").cast("string").alias("chave"), F.col("bairro").alias("chave")
+    return (
+        base.groupBy(year).agg(total, areas).withColumn("tipo", F.lit("ano"))
+        .unionByName(base.groupBy(area).agg(total).withColumns({"bairros": F.lit(1).cast("bigint"), "tipo": F.lit("bairro")}))
+        .unionByName(base.agg(total, areas).withColumns({"chave": F.lit(None).cast("string"), "tipo": F.lit("tudo")}))
+    )
+
+
+SKETCHED = ["id_atendimento", "id_solicitante", "tipo_ocorrencia", "grau_de_risco", "quantidade"]
+
+
+@query("profile_merged", f"""{ORD}, o AS (SELECT * REPLACE (CASE WHEN id_atendimento % 3 <> 0 THEN quantidade END AS quantidade) FROM ord) """ + " UNION ALL ".join(
+    f"""SELECT '{c}' AS coluna, count(*) AS linhas, count(*) - count({c}) AS nulos, true AS distintos_no_erro,
+      {"min(" + c + ")::DOUBLE" if c not in ("tipo_ocorrencia", "grau_de_risco") else "NULL::DOUBLE"} AS menor,
+      {"true" if c not in ("tipo_ocorrencia", "grau_de_risco") else "NULL::BOOLEAN"} AS quantis_no_erro FROM o""" for c in SKETCHED))
+def profile_merged(spark, sf):
+    """Sketches of each year, one year of them replaced, united; compared with the exact figures."""
+    rows = b.orders(spark, sf).select("ano", *SKETCHED)
+    rows = rows.withColumn("quantidade", F.when(F.col("id_atendimento") % 3 != 0, F.col("quantidade")))
+    path, years = scratch_path(spark, "sketches"), list(range(1992, 2003))
+    refresh.refresh_sketches(rows.withColumn("quantidade", F.when(F.col("ano") != 1997, F.col("quantidade"))), path, years, SKETCHED)
+    refresh.refresh_sketches(rows, path, [1997], SKETCHED)
+    found = materialize(refresh.merged_profile(spark, path), "merged")
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot([], SKETCHED, "coluna", "exatos")
+    # the share of numbers up to a sketched quartile is its rank
+    quartiles = {r["coluna"]: r["quantis"] for r in found.where("quantis IS NOT NULL").select("coluna", "quantis").collect()}
+    ranks = rows.agg(*[
+        F.array(*[F.abs(F.count_if(F.col(c) <= q) / F.count(c) - p) for q, p in zip(qs, (0.25, 0.5, 0.75), strict=True)]).alias(c)
+        for c, qs in quartiles.items()
+    ]).unpivot([], list(quartiles), "coluna", "_erros")
+    near = F.abs(F.col("valores_unicos") - F.col("exatos")) <= F.ceil(F.col("exatos") * sketches.DISTINCT_ERROR)
+    # a value that many rows share has many ranks
+    inside = F.forall("_erros", lambda e: e <= sketches.RANK_ERROR)
+    return found.join(exact, "coluna").join(ranks, "coluna", "left").select(
+        "coluna", "linhas", "nulos", near.alias("distintos_no_erro"), "menor", inside.alias("quantis_no_erro"))
+
+
+@query("cleaning_observed", f"""WITH {b.DIRTY_SQL}, p AS (SELECT * REPLACE ({b.PARSE_SQL.format(c="data_atendimento")} AS data_atendimento) FROM dirty),
+  k AS (SELECT * FROM p WHERE regional IS NULL OR lower(regional) IN ({', '.join("'" + r + "'" for r in vocab.REGION_SPELLINGS)}))
+  SELECT 'carregado' AS etapa, count(*) AS linhas, CAST(sum(6 - ((id_atendimento IS NOT NULL)::INT + (regional IS NOT NULL)::INT + (bairro IS NOT NULL)::INT
+    + (tipo_ocorrencia IS NOT NULL)::INT + (data_atendimento IS NOT NULL)::INT + (quantidade IS NOT NULL)::INT)) AS BIGINT) AS nulos, count(data_atendimento) AS com_data FROM dirty
+  UNION ALL SELECT 'datas', count(*), 6 * count(*) - count(id_atendimento) - count(regional) - count(bairro) - count(tipo_ocorrencia) - count(data_atendimento) - count(quantidade),
+    count(data_atendimento) FROM p
+  UNION ALL SELECT 'regiao', count(*), 6 * count(*) - count(id_atendimento) - count(regional) - count(bairro) - count(tipo_ocorrencia) - count(data_atendimento) - count(quantidade),
+    count(data_atendimento) FROM k
+  UNION ALL SELECT 'limpo', count(*), 6 * count(*) - count(id_atendimento) - count(regional) - 2 * count(bairro) - 2 * count(tipo_ocorrencia)
+    - 8 * count(data_atendimento) - count(quantidade) + 9 * count(*), count(data_atendimento) FROM k""")
+def cleaning_observed(spark, sf):
+    """Rows, null cells and dates after each step, from the one job that writes the cleaned table."""
+    return stages.clean_and_store(b.dirty(spark, sf), scratch_path(spark, "observed"), vocab.REGION_SPELLINGS)
+
+
+@query("dedup_bucketed", """WITH h AS (SELECT o_orderkey AS id, 1 AS versao, o_totalprice AS valor FROM orders WHERE o_orderkey % 11 <> 3
+  UNION ALL SELECT o_orderkey, 2, o_totalprice * 2 FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 3),
+  n AS (SELECT id, count(*) AS linhas, max(versao) AS versao, round(arg_max(valor, versao), 2) AS valor FROM h GROUP BY id)
+  SELECT id, CAST(versao AS INTEGER) AS versao, valor, linhas > 1 AS repetido, versao = 2 AND linhas = 1 AS novo FROM n""")
+def dedup_bucketed(spark, sf):
+    """History in buckets, a load that corrects and adds, the newest row of each id."""
+    rows = b.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("valor"))
+    history = rows.where("id % 11 <> 3").withColumn("versao", F.lit(1))
+    load = rows.where("id % 7 = 0 OR id % 11 = 3").withColumns({"valor": F.col("valor") * 2, "versao": F.lit(2)})
+    name, path = f"historico_{uuid.uuid4().hex}", scratch_path(spark, "history")
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = buckets.store_bucketed(history, name, path, ["id"], count)
+    # compared before the load joins the history
+    known = materialize(buckets.compare_load(load, stored, ["id"]), "compared")
+    stored = buckets.store_bucketed(load, name, path, ["id"], count, mode="append")
+    newest = buckets.latest_rows(stored, ["id"], [F.col("versao")])
+    repeated = buckets.repeated_keys(stored, ["id"]).select("id", F.lit(True).alias("repetido"))
+    fresh = known.where("no_historico = 0").select("id", F.lit(True).alias("novo"))
+    out = newest.join(repeated, "id", "left").join(fresh, "id", "left")
+    return out.select("id", "versao", F.round("valor", 2).alias("valor"), F.coalesce("repetido", F.lit(False)).alias("repetido"), F.coalesce("novo", F.lit(False)).alias("novo"))

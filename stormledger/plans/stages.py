@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from stormledger import schema
 from stormledger.functions import text
+from stormledger.functions.values import missing
 from stormledger.operators import cleaning, profiling, quantiles
 from stormledger.session import materialize
 
@@ -26,6 +27,11 @@ def clean_and_unify(
     out = cleaning.parse_date_columns(df)
     if regions is not None and "regional" in out.columns:
         out = cleaning.filter_region(out, "regional", regions)
+    return _normalised(out, fill, recover)
+
+
+def _normalised(out: DataFrame, fill: bool, recover: bool) -> DataFrame:
+    """The steps after dates and region."""
     if fill:
         out = cleaning.fill_numeric(cleaning.fill_text(out))
     if "bairro" in out.columns:
@@ -38,6 +44,42 @@ def clean_and_unify(
     return out
 
 
+def _observed(df: DataFrame, name: str, date: str | None) -> tuple[DataFrame, Observation]:
+    """The frame with its rows, null cells and dated rows counted by whatever job reads it."""
+    seen = Observation(name)
+    cells = reduce(lambda a, b: a + b, [missing(df, c).cast("bigint") for c in df.columns])
+    dated = F.count(date) if date else F.lit(0).cast("bigint")
+    counts: list[Column] = [F.count(F.lit(1)).alias("linhas"), F.sum(cells).alias("nulos"), dated.alias("com_data")]
+    return df.observe(seen, *counts), seen
+
+
+def clean_and_store(
+    df: DataFrame, path: str, regions: list[str] | None = None, fill: bool = False, recover: bool = False
+) -> DataFrame:
+    """Clean, write as Parquet, and tell what each step did: (etapa, linhas, nulos, com_data).
+
+    The figures are observed by the job that writes; neither the raw rows nor the
+    cleaned ones are read for them. No step moves rows between tasks, so a repeated
+    task counts once.
+    """
+    steps = []
+
+    def observe(frame: DataFrame, step: str) -> DataFrame:
+        out, seen = _observed(frame, step, schema.main_date_column(frame))
+        steps.append((step, seen))
+        return out
+
+    loaded = observe(df, "carregado")
+    parsed = observe(cleaning.parse_date_columns(loaded), "datas")
+    kept = parsed
+    if regions is not None and "regional" in parsed.columns:
+        kept = observe(cleaning.filter_region(parsed, "regional", regions), "regiao")
+    cleaned = observe(_normalised(kept, fill, recover), "limpo")
+    cleaned.write.mode("overwrite").parquet(path)
+    found = [(step, seen.get["linhas"], seen.get["nulos"] or 0, seen.get["com_data"]) for step, seen in steps]
+    return df.sparkSession.createDataFrame(found, "etapa string, linhas bigint, nulos bigint, com_data bigint")
+
+
 def diagnose(
     df: DataFrame, keys: tuple[str, ...] = (), limit_pct: float = 50, approx: bool = False, top: int = 10
 ) -> DataFrame:
