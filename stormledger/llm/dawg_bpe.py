@@ -330,7 +330,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, text: str = "text") -> DataFrame:
     """The most frequent words of all texts; of those about as frequent as the last, all or none."""
-    parts = docs.select(docs[text].alias("text")).mapInArrow(_word_counts, "word binary, n long")
+    parts = docs.select(docs[text].alias("text")).mapInArrow(texts.tidy(_word_counts), "word binary, n long")
     counts = session.materialize(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
     return texts.top_levels(counts, texts.count_level(F.col("n")), size) if size else counts.limit(0)
 
@@ -407,4 +407,4 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids string, decoded string" * whole
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(work, schema).withColumnRenamed("key", key)
+    return rows.mapInArrow(texts.tidy(work), schema).withColumnRenamed("key", key)

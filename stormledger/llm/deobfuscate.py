@@ -100,7 +100,7 @@ def char_model(docs: DataFrame, text: str = "text") -> CharModel:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["gram", "n"])
 
     counts = np.zeros(CLASSES ** 3)
-    rows = docs.select(docs[text].alias("text")).mapInArrow(work, "gram long, n long")
+    rows = docs.select(docs[text].alias("text")).mapInArrow(texts.tidy(work), "gram long, n long")
     for gram, n in rows.groupBy("gram").agg(F.sum("n")).collect():
         counts[gram] = n
     return CharModel(counts)
@@ -305,7 +305,7 @@ def _counted(rows: DataFrame, chars: CharModel, only: np.ndarray | None) -> Data
             values, first, n = np.unique(found, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(stem[first].view(np.int64)), pa.array(n)], ["feature", "stem", "n"])
 
-    counted = rows.select("text").mapInArrow(work, "feature long, stem long, n long")
+    counted = rows.select("text").mapInArrow(texts.tidy(work), "feature long, stem long, n long")
     return counted.groupBy("feature").agg(F.first("stem").alias("stem"), F.sum("n").alias("n"))
 
 
@@ -372,7 +372,7 @@ def fit(rows: DataFrame, marks: DataFrame, chars: CharModel, sample: int = SAMPL
                 found[a].append(b)
             yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(found, pa.list_(pa.int32()))], ["toxic", "found"])
 
-    held = sorted((r["toxic"], r["found"]) for r in sampled.select("toxic", "text").mapInArrow(work, "toxic int, found array<int>").collect())
+    held = sorted((r["toxic"], r["found"]) for r in sampled.select("toxic", "text").mapInArrow(texts.tidy(work), "toxic int, found array<int>").collect())
     scorer.weights, scorer.bias = _logistic([x[1] for x in held], np.array([x[0] for x in held], dtype=np.float32), len(best), share)
     return scorer
 
@@ -397,7 +397,7 @@ def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(shared.value.scores(part, restorer))], ["key", "score"])
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(work, f"key {kind}, score double").withColumnRenamed("key", key)
+    return rows.mapInArrow(texts.tidy(work), f"key {kind}, score double").withColumnRenamed("key", key)
 
 
 def clean(docs: DataFrame, scorer: Scorer, limit: float = 0.5, text: str = "text") -> DataFrame:
@@ -418,4 +418,4 @@ def restore(docs: DataFrame, chars: CharModel, key: str = "doc_id", text: str =
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(work, f"key {kind}, text string").toDF(key, text)
+    return rows.mapInArrow(texts.tidy(work), f"key {kind}, text string").toDF(key, text)

@@ -126,7 +126,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(rows: DataFrame, lang: str = "lang", text: str = "text", size: int = SIZE) -> Profiles:
     """Profiles from all rows with a language. The driver gets `size` grams of each language."""
     pairs = rows.filter(rows[lang].isNotNull()).select(rows[lang].alias("lang"), rows[text].alias("text"))
-    counts = pairs.mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = pairs.mapInArrow(texts.tidy(_counts), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
     found: dict[str, list[int]] = {}

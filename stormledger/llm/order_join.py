@@ -12,8 +12,12 @@ Work stays in proportion to the prefixes:
 - shingles that one class alone has in its prefix are dropped first;
 - every class of a shingle's group is compared with the group's smallest class,
   its hub; classes that hubs connect, over any groups, need no comparison with
-  each other, as they are in one component anyway. Only classes of a group that
-  are still apart are compared pair by pair, and only such as pass the filters.
+  each other, as they are in one component anyway. Where classes of a group are
+  still apart the next smallest is the hub, as long as that at least halves the
+  pairs that are left; only these are compared pair by pair, and only such as
+  pass the filters;
+- before whole sets move, `BITS` parities of each set bound how much two differ:
+  the parities in which they differ are no more than the shingles in which they do.
 
 Frequencies come from a table of `BUCKETS` counters over all documents; a
 coarse count only costs speed, since any fixed order gives the same pairs.
@@ -47,6 +51,10 @@ ORDERS = 3
 BUCKETS = 1 << 22
 #: Bits of the set of wanted documents, which goes to all tasks; a full one only lets more texts pass.
 WANTED_BITS = 1 << 26
+#: Parities of a set, in 64-bit words.
+BITS = 1024
+#: Classes whose numbers are broadcast, at most; beyond, Spark joins them.
+FEW = 1 << 18
 _PART = 1 << 16
 U64 = texts.U64
 
@@ -130,22 +138,22 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).filter("hub < last").select("token", "hub")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sets are similar enough."""
-    left, right = sets.select(F.col("cls").alias("a"), F.col("own").alias("own_a")), sets.select(F.col("cls").alias("b"), F.col("own").alias("own_b"))
+def parities(own: np.ndarray) -> np.ndarray:
+    """For each of `BITS` cells whether an odd number of shingles fall into it."""
+    at = texts.mix(own ^ U64(0x8BB84B93962EACC9))
+    out = np.zeros(BITS // 64, dtype=U64)
+    np.bitwise_xor.at(out, (at >> U64(6)).astype(np.int64) % len(out), U64(1) << (at & U64(63)))
+    return out.view(np.int64)
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("own_a"), batch.column("own_b"), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), dtype=U64), np.frombuffer(b.as_buffer(), dtype=U64)
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "own_a", "own_b").mapInArrow(verify, "a long, b long")
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the (stored) pairs (a, b), those whose sets are similar enough."""
+    met = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    own = sets.select("cls", "own").join(F.broadcast(met) if met.count() <= FEW else met, "cls", "left_semi")
+    left, right = own.select(F.col("cls").alias("a"), F.col("own").alias("own_a")), own.select(F.col("cls").alias("b"), F.col("own").alias("own_b"))
+    common = F.size(F.array_intersect("own_a", "own_b")).cast("long")
+    similar = common * 100 >= (F.size("own_a").cast("long") + F.size("own_b") - common) * percent
+    return pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b")
 
 
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +179,7 @@ def wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     Keeps most texts from moving in a later join. The driver gets `WANTED_BITS` bits, whatever the input.
     """
-    parts = wanted.select("doc_id").filter("doc_id is not null").mapInArrow(_bitmap, "part int, bits binary")
+    parts = wanted.select("doc_id").filter("doc_id is not null").mapInArrow(texts.tidy(_bitmap), "part int, bits binary")
     some = parts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(lambda pdf: _or_bits(pdf.drop(columns="salt")), "part int, bits binary")
     bits = np.zeros(WANTED_BITS // 8, dtype=np.uint8)
     for row in some.groupBy("part").applyInPandas(_or_bits, "part int, bits binary").collect():
@@ -184,17 +192,21 @@ def wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             at = texts.mix(ids.view(U64)) & U64(WANTED_BITS - 1)
             yield batch.filter(pa.array(shared.value[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8) & 1 == 1))
 
-    return rows.mapInArrow(work, "doc_id long, text string")
+    return rows.mapInArrow(texts.tidy(work), "doc_id long, text string")
 
 
 def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (a, b) that pass the size filter and share a prefix shingle under every further order."""
     def side(name: str) -> DataFrame:
-        return marks.select(F.col("cls").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", *[f"t{k}" for k in range(1, orders)])])
+        return marks.select(F.col("cls").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "bits", *[f"t{k}" for k in range(1, orders)])])
 
     fits = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     for k in range(1, orders):
         fits &= F.arrays_overlap(f"t{k}_a", f"t{k}_b")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x).cast("long")
+    both = F.col("n_a") + F.col("n_b")
+    # the sets differ in `apart` shingles at least: an upper bound of what they have in common
+    fits &= (both - apart) * (100 + percent) >= both * 2 * percent
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b")
 
 
@@ -231,7 +243,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     """(doc_id, cls, n) of every document, and the links (a, b) between classes that join all similar ones."""
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    census = session.materialize(rows.mapInArrow(lambda batches: _census(batches, n), "doc_id long, cls long, n long, part int, counts binary"), "census")
+    census = session.materialize(rows.mapInArrow(texts.tidy(lambda batches: _census(batches, n)), "doc_id long, cls long, n long, part int, counts binary"), "census")
     nodes = census.filter("part is null").select("doc_id", "cls", "n")
     levels = spark.sparkContext.broadcast(frequency_levels(census.filter("part is not null").select("part", "counts")))
 
@@ -252,7 +264,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
             yield pa.RecordBatch.from_arrays(
                 [pa.array(every), pa.array(np.repeat(np.array(owners, dtype=np.int64), [len(t) for t in tokens]))], ["token", "cls"])
 
-    entries = rows.select("text").mapInArrow(first_order, "token long, cls long")
+    entries = rows.select("text").mapInArrow(texts.tidy(first_order), "token long, cls long")
     shared = _shared(entries)
     groups = session.materialize(entries.join(shared, "token").distinct(), "groups")
 
@@ -270,33 +282,47 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
             further = [pa.array([prefix(s, levels.value, k, percent).astype(np.uint32).view(np.int32) for s in sets], pa.list_(pa.int32())) for k in range(1, orders)]
             out = pa.RecordBatch.from_arrays(
                 [batch.column("cls"), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary()), *further],
-                ["cls", "again", "n", "own", *[f"t{k}" for k in range(1, orders)]])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([parities(s) for s in sets], pa.list_(pa.int64())), *further],
+                ["cls", "again", "n", "own", "bits", *[f"t{k}" for k in range(1, orders)]])
             # an id that stands for several texts may bring another one's text, or one text twice
             keep = [a == b and a not in told and not told.add(a) for a, b in zip(out["cls"].to_pylist(), out["again"].to_pylist(), strict=True)]
             yield out.filter(pa.array(keep, pa.bool_())).drop_columns(["again"])
 
-    schema = "cls long, n long, own binary" + "".join(f", t{k} array<int>" for k in range(1, orders))
-    sets = session.materialize(whole.mapInArrow(sets_of, schema), "sets")
+    schema = "cls long, n long, own array<long>, bits array<long>" + "".join(f", t{k} array<int>" for k in range(1, orders))
+    sets = session.materialize(whole.mapInArrow(texts.tidy(sets_of), schema), "sets")
     marks = sets.drop("own")
 
-    stars = groups.filter("cls > hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    stars = session.materialize(_filtered(stars, marks, percent, orders), "star-pairs")
-    near = session.materialize(_linked(stars, sets, percent), "stars")
-    # classes of a group that the hubs of all groups have not brought together yet
-    together = connected(near).select(F.col("node").alias("cls"), "root")
-    members = groups.join(together, "cls", "left").withColumn("at", F.coalesce("root", "cls")).select("token", "hub", "cls", "at")
-    apart = members.groupBy("token").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x < y").select("token")
-    members = members.join(apart, "token", "left_semi").join(marks.select("cls", "n"), "cls")
-    members = session.materialize(members.filter("cls > hub").select("token", "cls", "at", "n"), "members")
-    left, right = (members.select([F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "ab")
+    # a group's hub meets all others; then the next one those that no link has brought to it
+    links, left, round_ = None, None, 0
+    members = groups.join(marks.select("cls", "n"), "cls").select("token", "cls", F.col("cls").alias("at"), "n")
+    while True:
+        members = session.materialize(members, f"members-{round_}")
+        sizes = members.groupBy("token").agg(F.count("*").alias("m"))
+        found = sizes.agg(F.coalesce(F.sum("m"), F.lit(0)).alias("members"), F.coalesce(F.sum(F.expr("m * (m - 1) div 2")), F.lit(0)).alias("pairs")).first()
+        if not found["members"] or round_ and (found["pairs"] <= 2 * found["members"] or found["pairs"] > left // 2):
+            break
+        left = found["pairs"]
+        hubs = members.groupBy("token").agg(F.min(F.struct("cls", "at", "n")).alias("h")).select("token", F.col("h.cls").alias("hub"), F.col("h.at").alias("hub_at"), F.col("h.n").alias("hub_n"))
+        others = members.join(hubs, "token").filter("cls > hub")
+        fits = (F.col("n") * 100 >= F.col("hub_n") * percent) & (F.col("hub_n") * 100 >= F.col("n") * percent)
+        stars = others.filter((F.col("at") != F.col("hub_at")) & fits).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+        stars = session.materialize(_filtered(stars, marks, percent, orders), f"star-pairs-{round_}")
+        near = session.materialize(_linked(stars, sets, percent), f"stars-{round_}")
+        links = near if links is None else links.unionByName(near)
+        together = connected(links).select(F.col("node").alias("cls"), "root")
+        rest = others.select("token", "cls", "n").join(together, "cls", "left").withColumn("at", F.coalesce("root", "cls")).select("token", "cls", "at", "n")
+        apart = rest.groupBy("token").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x < y").select("token")
+        members, round_ = rest.join(apart, "token", "left_semi"), round_ + 1
+    if links is None:
+        return nodes, spark.createDataFrame([], "a long, b long")
+    one, two = (members.select([F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "ab")
     fits = (F.col("token_a") == F.col("token_b")) & (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
     fits &= (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    rest = left.join(right, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    rest = one.join(two, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     # stored, so that Spark knows how few they are when it joins them with the sets
     rest = session.materialize(_filtered(session.materialize(rest, "rest-pairs"), marks, percent, orders), "rest-pairs")
     rest = session.materialize(_linked(rest, sets, percent), "rest")
-    return nodes, near.unionByName(rest)
+    return nodes, links.unionByName(rest)
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:

@@ -7,6 +7,8 @@ the bytes. Hashes are 64 bits: a polynomial over a fixed random table, mixed.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import zlib
 from collections.abc import Callable, Iterator
@@ -201,9 +203,26 @@ def hash_level(*keys: Column | str) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 16))
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the machine; a worker process outlives its tasks."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of batches, with memory given back at a task's end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text") -> DataFrame:
     """Apply a function to chunks of rows, text by text whole."""
-    return df.mapInArrow(lambda batches: (work(part) for part in chunks(batches, text)), schema)
+    return df.mapInArrow(tidy(lambda batches: (work(part) for part in chunks(batches, text))), schema)
 
 
 def keep_texts(df: DataFrame, verdict: Callable[[pa.RecordBatch], np.ndarray], text: str = "text") -> DataFrame:
@@ -220,7 +239,7 @@ def keep_texts(df: DataFrame, verdict: Callable[[pa.RecordBatch], np.ndarray], t
             yield part.filter(pa.array(verdict(part.rename_columns(
                 ["text" if c == at else f"_{c}" for c in part.schema.names]))))
 
-    return plain.mapInArrow(work, plain.schema).toDF(*names)
+    return plain.mapInArrow(tidy(work), plain.schema).toDF(*names)
 
 
 class Memory:
