@@ -329,10 +329,10 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, text: str = "text") -> DataFrame:
-    """The most frequent words of all texts; of those about as frequent as the last, all or none."""
+    """The `size` most frequent words of all texts; among those about as frequent as the last, by hash."""
     parts = docs.select(docs[text].alias("text")).mapInArrow(texts.tidy(_word_counts), "word binary, n long")
     counts = session.materialize(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    return texts.top_levels(counts, texts.count_level(F.col("n")), size) if size else counts.limit(0)
+    return texts.top_rows(counts, texts.count_level(F.col("n")), ["word"], size) if size else counts.limit(0)
 
 
 def build(docs: DataFrame, path: str, size: int = LEXICON_WORDS, text: str = "text") -> bytes:

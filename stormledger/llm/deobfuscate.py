@@ -51,7 +51,7 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou",
 }
 SEPARATORS = " .-_*~"
-COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_MARK, COST_END, COST_CLOSE = 1.0, 0.7, 0.3, 8.0, 0.3
+COST_LOOKALIKE, COST_DROP_REPEAT, COST_DROP_PAIR, COST_DROP_MARK, COST_END, COST_CLOSE = 1.0, 0.7, 5.0, 0.3, 8.0, 0.3
 #: A digit or currency sign as it is, in tokens without letters; a separator unlike the token's usual one, dropped.
 STAYING = "0123456789€£"
 COST_STAY, COST_DROP_UNLIKE = 2.0, 4.0
@@ -125,7 +125,9 @@ def _options(token: str) -> list[list[tuple[str | None, float]]]:
         if c.isalpha():
             found.append((c, 0.0))
             if at and token[at - 1] == c:
-                found.append((None, COST_DROP_REPEAT))
+                # two of a letter are mostly meant, three are not
+                drawn = token[at + 1:at + 2] == c or at > 1 and token[at - 2] == c
+                found.append((None, COST_DROP_REPEAT if drawn else COST_DROP_PAIR))
         else:
             found += [(x, COST_LOOKALIKE) for x in LOOKALIKES.get(c, "")]
             if at and token[at - 1] == c and c in LOOKALIKES:
@@ -241,8 +243,17 @@ _PREFIXES = (4, 5, 7, 9)
 LEVELS = (1, 2, 4)
 
 
+def _single(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with one letter for each run of it: doubled ones may be meant or not."""
+    again = np.zeros(len(data), dtype=bool)
+    again[1:] = (data[1:] == data[:-1]) & _LETTER[data[1:]] & (data[1:] < 128)
+    again[offsets[:-1][offsets[:-1] < len(data)]] = False
+    return data[~again], np.concatenate(([0], np.cumsum(~again)))[offsets]
+
+
 def stems(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and word beginnings of restored texts, with the text of each."""
+    data, offsets = _single(data, offsets)
     words = texts.words(data, offsets, ~_LETTER[data])
     keys, rows = [words.hashes()], [words.rows]
     for n in _PREFIXES:
@@ -333,7 +344,7 @@ def fit(rows: DataFrame, marks: DataFrame, chars: CharModel, sample: int = SAMPL
     spark = rows.sparkSession
     ids = {}
     for label in (0, 1):
-        own = texts.top_levels(marks.filter(F.col("toxic") == label).select("doc_id"), texts.hash_level("doc_id"), sample)
+        own = texts.smallest_hashes(marks.filter(F.col("toxic") == label).select("doc_id"), ["doc_id"], sample)
         ids[label] = [r[0] for r in own.collect()]
     n = {k: len(v) for k, v in ids.items()}
     whole = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
@@ -351,7 +362,7 @@ def fit(rows: DataFrame, marks: DataFrame, chars: CharModel, sample: int = SAMPL
         return sampled.filter(F.col("toxic") == label)
 
     toxic = _counted(drawn(1), chars, None).filter(F.col("n") >= max(2, MIN_SUPPORT * n[1]))
-    top = texts.top_levels(session.materialize(toxic, "features"), texts.count_level(F.col("n")), CANDIDATES).collect()
+    top = texts.top_rows(session.materialize(toxic, "features"), texts.count_level(F.col("n")), ["feature"], CANDIDATES).collect()
     there, stem_of = {r["feature"]: r["n"] for r in top}, {r["feature"]: r["stem"] for r in top}
     keys = np.sort(np.array(list(there), dtype=np.int64).view(texts.U64))
     other = {r["feature"]: r["n"] for r in _counted(drawn(0), chars, keys).collect()}
@@ -403,7 +414,14 @@ def score(docs: DataFrame, scorer: Scorer, key: str = "doc_id", text: str = "tex
 def clean(docs: DataFrame, scorer: Scorer, limit: float = 0.5, text: str = "text") -> DataFrame:
     """Rows that score below the limit; all columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
-    return texts.keep_texts(docs, lambda part: shared.value.scores(part, Restorer(shared.value.chars)) < limit, text)
+    own: list[Restorer] = []  # one for each task, which gets its own copy of the empty list
+
+    def verdict(part: pa.RecordBatch) -> np.ndarray:
+        if not own:
+            own.append(Restorer(shared.value.chars))
+        return shared.value.scores(part, own[0]) < limit
+
+    return texts.keep_texts(docs, verdict, text)
 
 
 def restore(docs: DataFrame, chars: CharModel, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -53,6 +53,8 @@ PRIOR = 50.0
 #: Rows of the tables: word before, two words before, word two before, word three before.
 TABLES = (1 << 13, 1 << 14, 1 << 12, 1 << 11)
 SMOOTH = 0.1
+#: Tokens of a training task, about: each writes one set of weights a round.
+TASK_TOKENS = 1 << 22
 HELD = 400_000
 U64 = texts.U64
 END = U64(0x5E2D58D8B3BCDEF1)
@@ -244,7 +246,7 @@ def gather(rows: DataFrame) -> tuple[DataFrame, Counts]:
     """Counts of all tokens as a table, and the most frequent ones for the tasks."""
     table = session.materialize(rows.select("text").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "tokens")
     whole = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = texts.top_levels(table, texts.count_level(F.col("n")), HOT).toPandas().sort_values(["n", "token"], ascending=[False, True])
+    top = texts.top_rows(table, texts.count_level(F.col("n")), ["token"], HOT).toPandas().sort_values(["n", "token"], ascending=[False, True])
     return table, Counts(int(whole["n"]), int(whole["v"]), top["token"].to_numpy(dtype=np.int64).view(U64), top["n"].to_numpy(dtype=np.int64))
 
 
@@ -278,6 +280,8 @@ def train(rows: DataFrame, counts: Counts, key: str = "doc_id") -> Model:
                 yield _pieces([*own, pairs / total], float(total))
 
         part = rows.filter(F.pmod(F.xxhash64(key), F.lit(ROUNDS)) == round_).select("text")
+        # as many sets of weights as the corpus has tokens for, however many files hold it
+        part = part.coalesce(max(8, counts.tokens // TASK_TOKENS))
         # written first, so that no step of the training runs twice
         pieces = session.materialize(part.mapInArrow(work, "piece int, weight double, body binary"), f"weights-{round_}")
         found = _mean(pieces, [*shapes, pairs.shape])

@@ -14,8 +14,8 @@ Work stays in proportion to the prefixes:
   its hub; classes that hubs connect, over any groups, need no comparison with
   each other, as they are in one component anyway. Where classes of a group are
   still apart the next smallest is the hub, as long as that at least halves the
-  pairs that are left; only these are compared pair by pair, and only such as
-  pass the filters;
+  pairs that are left. What is left is compared in blocks of a group's classes,
+  from which only the pairs come out that pass the filters;
 - before whole sets move, `BITS` parities of each set bound how much two differ:
   the parities in which they differ are no more than the shingles in which they do.
 
@@ -53,6 +53,8 @@ BUCKETS = 1 << 22
 WANTED_BITS = 1 << 26
 #: Parities of a set, in 64-bit words.
 BITS = 1024
+#: Classes of a group that are compared with as many others in one piece of work; groups of up to `SMALL` are joined.
+BLOCK, SMALL = 1024, 4
 #: Classes whose numbers are broadcast, at most; beyond, Spark joins them.
 FEW = 1 << 18
 _PART = 1 << 16
@@ -210,6 +212,61 @@ def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, orders: int) ->
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b")
 
 
+def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Pairs (a, b) of a group's classes (token, cls, at, n) of different components that pass all filters, each once."""
+    sizes = members.groupBy("token").agg(F.count("*").alias("m"))
+    members = members.join(sizes, "token")
+    small = members.filter(F.col("m") <= SMALL)
+    one, two = (small.select([F.col(c).alias(f"{c}_{side}") for c in ("token", "cls", "at", "n")]) for side in "ab")
+    fits = (F.col("token_a") == F.col("token_b")) & (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
+    fits &= (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    pairs = one.join(two, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    few = _filtered(session.materialize(pairs, "small-pairs"), marks, percent, orders)
+
+    large = members.filter(F.col("m") > SMALL)
+    # every part of a group meets every part, itself included
+    parts = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    placed = large.withColumn("part", F.pmod(F.xxhash64("cls"), parts.cast("long")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    placed = placed.select("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cls", "at")
+    groups = large.groupBy("cls").agg(F.collect_list("token").alias("tokens"))
+    prefixes = [f"t{k}" for k in range(1, orders)]
+    placed = placed.join(marks.join(groups, "cls").select("cls", "n", "bits", "tokens", *prefixes), "cls")
+
+    def compare(table: pa.Table) -> pa.Table:
+        found: tuple[list[int], list[int]] = ([], [])
+        token, i, j = (table.column(c)[0].as_py() for c in ("token", "i", "j"))
+        cls, at, n, part = (table.column(c).to_numpy() for c in ("cls", "at", "n", "part"))
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().reshape(len(cls), -1).view(U64)
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        lists = [table.column(c) for c in ("tokens", *prefixes)]
+        sets: dict[int, list[set[int]]] = {}
+
+        def own(row: int) -> list[set[int]]:
+            if row not in sets:
+                sets[row] = [set(x[row].as_py()) for x in lists]
+            return sets[row]
+
+        for first in range(0, len(left), 64):
+            rows = left[first:first + 64]
+            apart = np.bitwise_count(bits[rows][:, None, :] ^ bits[right][None, :, :]).sum(axis=2, dtype=np.int64)
+            x, y = n[rows][:, None], n[right][None, :]
+            fits = ((x + y - apart) * (100 + percent) >= (x + y) * 2 * percent) & (x * 100 >= y * percent) & (y * 100 >= x * percent)
+            fits &= at[rows][:, None] != at[right][None, :]
+            if i == j:
+                fits &= cls[rows][:, None] < cls[right][None, :]
+            for p, q in zip(*(z.tolist() for z in np.nonzero(fits)), strict=True):
+                a, b = own(int(rows[p])), own(int(right[q]))
+                # a pair comes from the first of the groups that it shares
+                if min(a[0] & b[0]) == token and not any(u.isdisjoint(v) for u, v in zip(a[1:], b[1:], strict=True)):
+                    low, high = sorted((int(cls[rows[p]]), int(cls[right[q]])))
+                    found[0].append(low)
+                    found[1].append(high)
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    many = placed.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long")
+    return few.unionByName(many).distinct()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of (a, b) is connected with.
 
@@ -315,12 +372,9 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
         members, round_ = rest.join(apart, "token", "left_semi"), round_ + 1
     if links is None:
         return nodes, spark.createDataFrame([], "a long, b long")
-    one, two = (members.select([F.col(c).alias(f"{c}_{side}") for c in members.columns]) for side in "ab")
-    fits = (F.col("token_a") == F.col("token_b")) & (F.col("cls_a") < F.col("cls_b")) & (F.col("at_a") != F.col("at_b"))
-    fits &= (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    rest = one.join(two, fits).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    rest = _apart(members, marks, percent, orders)
     # stored, so that Spark knows how few they are when it joins them with the sets
-    rest = session.materialize(_filtered(session.materialize(rest, "rest-pairs"), marks, percent, orders), "rest-pairs")
+    rest = session.materialize(rest, "rest-pairs")
     rest = session.materialize(_linked(rest, sets, percent), "rest")
     return nodes, links.unionByName(rest)
 

@@ -177,20 +177,44 @@ def fold_of(key: int, modulus: int) -> int:
     return zlib.crc32(str(key).encode()) % modulus
 
 
-def top_levels(df: DataFrame, level: Column, size: int) -> DataFrame:
-    """Rows of the highest levels that are together at most `size` rows; the highest level stays in any case.
+def top_rows(df: DataFrame, level: Column, tie: list[str], size: int) -> DataFrame:
+    """The `size` rows of the highest levels; of the level that does not fit whole, those of the smallest hashes of `tie`.
 
     level: whole numbers of few distinct values, whose counts reach the driver. Unlike
     a sort with a limit this sends no rows of every partition to one place.
     """
-    counts = df.groupBy(level.cast("long").alias("level")).count().collect()
-    total, least = 0, None
+    counts = df.groupBy(level.cast("long").alias("level")).count().filter("level is not null").collect()
+    total = 0
     for row in sorted(counts, reverse=True):
+        if total + row["count"] > size:
+            above, rest = df.filter(level > row["level"]), df.filter(level == row["level"])
+            return above.unionByName(smallest_hashes(rest, tie, size - total))
         total += row["count"]
-        if least is not None and total > size:
-            break
-        least = row["level"]
-    return df.filter(level >= least) if least is not None else df
+    return df.filter(level.isNotNull())
+
+
+def smallest_hashes(df: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """The `size` rows of the smallest hashes of their keys: a sample in a fixed order, at most so many whatever the input.
+
+    Counts of 16 bits of the hash at a time, 65,536 at most, reach the driver; only
+    rows of one hash, of equal keys that is, are cut off by their number.
+    """
+    hashed, out = F.xxhash64(*keys), df.limit(0)
+    for shift in (48, 32, 16, 0):
+        cell = F.shiftrightunsigned(hashed, shift).bitwiseAND(F.lit(0xFFFF))
+        counts = df.groupBy(cell.alias("cell")).count().collect()
+        room, cut = size, None
+        for row in sorted(counts):
+            if row["count"] > room:
+                cut = row["cell"]
+                break
+            room -= row["count"]
+        if cut is None:
+            return out.unionByName(df)
+        out, df, size = out.unionByName(df.filter(cell < cut)), df.filter(cell == cut), room
+        if not size:
+            return out
+    return out.unionByName(df.limit(size))
 
 
 def count_level(n: Column) -> Column:
@@ -198,11 +222,6 @@ def count_level(n: Column) -> Column:
     return F.floor(F.log2(n) * 64)
 
 
-def hash_level(*keys: Column | str) -> Column:
-    """One of 65,536 levels by the hash of the keys: a sample in a fixed order."""
-    return F.pmod(F.xxhash64(*keys), F.lit(1 << 16))
-
-
 def release() -> None:
     """Give memory that is no longer used back to the machine; a worker process outlives its tasks."""
     _powers.cache_clear()

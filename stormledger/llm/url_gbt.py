@@ -120,7 +120,7 @@ def fit(rows: DataFrame, rules=RULES, sample: int = SAMPLE, trees: int = TREES,
     drawn, there = None, []
     for label in (0.0, 1.0):
         own = labelled.filter(F.col("label") == label)
-        own = texts.top_levels(own, texts.hash_level("url"), sample)
+        own = texts.smallest_hashes(own, ["url"], sample)
         own = session.materialize(own.select("label", *[F.col(c).cast("double").alias(c) for c in NUMBERS]), "urls")
         if not own.isEmpty():
             there.append(label)

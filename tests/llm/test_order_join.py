@@ -107,3 +107,28 @@ def test_one_of_each_group_stays(odd):
     kept = order_join.one_of_each(odd, order_join.components(odd))
     ids = sorted(r[0] for r in kept.collect())
     assert kept.columns == odd.columns and ids == [0, 1, 2, 3, 4, 5, 7, 8, 10, 11, 12]
+
+
+@pytest.mark.parametrize("block, small", [(3, 1), (7, 4), (1000, 1)])
+def test_groups_that_hubs_leave_apart_are_compared_in_blocks(spark, monkeypatch, block, small):
+    """Texts around one long passage: most are not similar to the hub, some to each other."""
+    monkeypatch.setattr(order_join, "BLOCK", block)
+    monkeypatch.setattr(order_join, "SMALL", small)
+    draw = np.random.default_rng(block)
+    passage = [f"p{k}" for k in range(60)]
+    docs = []
+    for g in range(12):
+        own = [f"g{g}x{k}" for k in range(draw.integers(6, 16))]
+        for _ in range(draw.integers(1, 5)):
+            docs.append(" ".join(passage + own))
+            own[draw.integers(0, len(own))] = f"r{draw.integers(0, 10 ** 6)}"
+    table = list(enumerate(draw.permutation(docs).tolist()))
+    assert rows(order_join.components(spark.createDataFrame(table, "doc_id long, text string").repartition(3))) == brute(table)
+
+
+def test_parities_never_tell_more_than_sets_differ_in():
+    draw = np.random.default_rng(1)
+    for _ in range(100):
+        x, y = (np.unique(draw.integers(0, 3000, draw.integers(1, 2500)).astype(np.uint64)) for _ in range(2))
+        told = int(np.bitwise_count((order_join.parities(x) ^ order_join.parities(y)).view(np.uint64)).sum())
+        assert told <= len(np.setxor1d(x, y)) and not (order_join.parities(x) ^ order_join.parities(x)).any()

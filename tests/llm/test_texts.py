@@ -2,6 +2,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from stormledger.llm import texts
 
@@ -48,3 +50,26 @@ def test_fold_is_crc32_of_the_key_as_text(spark):
 def test_keep_texts_keeps_columns_of_any_name(odd):
     out = texts.keep_texts(odd.withColumnRenamed("kept", "a.b"), lambda part: np.array([t is None for t in part.column("text").to_pylist()]))
     assert out.columns == [*odd.columns[:-1], "a.b"] and [r[0] for r in out.collect()] == [0]
+
+
+@pytest.mark.parametrize("size", [0, 1, 10, 999, 5000])
+def test_top_rows_are_no_more_than_asked(spark, size):
+    """All of one level, one hot key, and levels that fit."""
+    once = spark.range(3000).selectExpr("id", "1 AS n")
+    mixed = spark.range(3000).selectExpr("id", "id % 7 AS n")
+    for df in (once, mixed):
+        found = texts.top_rows(df, F.col("n"), ["id"], size)
+        kept = [r["n"] for r in found.collect()]
+        assert len(kept) == min(size, 3000)
+        assert sorted(kept, reverse=True) == sorted((r["n"] for r in df.collect()), reverse=True)[:size]
+
+
+@pytest.mark.parametrize("size", [0, 10, 100, 4000])
+def test_samples_by_hash_are_bounded(spark, size):
+    hot = spark.range(5000).selectExpr("'https://one.example/' AS url")
+    many = hot.unionByName(spark.range(200).selectExpr("concat('https://x.example/', id) AS url"))
+    assert texts.smallest_hashes(hot, ["url"], size).count() == min(size, 5000)
+    assert texts.smallest_hashes(many, ["url"], size).count() == size
+    ids = spark.range(100_000)
+    found = sorted(r[0] for r in texts.smallest_hashes(ids, ["id"], size).collect())
+    assert len(found) == size and found == sorted(r[0] for r in texts.smallest_hashes(ids.repartition(3), ["id"], size).collect())
