@@ -150,7 +150,7 @@ def parities(own: np.ndarray) -> np.ndarray:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the (stored) pairs (a, b), those whose sets are similar enough."""
-    met = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    met = session.materialize(pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct(), "met")
     own = sets.select("cls", "own").join(F.broadcast(met) if met.count() <= FEW else met, "cls", "left_semi")
     left, right = own.select(F.col("cls").alias("a"), F.col("own").alias("own_a")), own.select(F.col("cls").alias("b"), F.col("own").alias("own_b"))
     common = F.size(F.array_intersect("own_a", "own_b")).cast("long")
