@@ -7,7 +7,8 @@ directions that keep two sums, documents and words, until an entry reaches 0 or
 1. It runs on pools of a few thousand documents at once, whatever the size of a
 source; what each pool leaves undecided, two documents at most, is pooled again,
 with some documents of all sizes that the pool holds back. The last ones are landed
-so that the word total is nearest.
+by a linear programme: each keeps its probability, and the word total is as near as
+that allows.
 
 Direction and step come from a hash of the document id, the seed and the round,
 so reruns and retried tasks agree.
@@ -42,8 +43,9 @@ MAX_COPIES = 3
 #: Documents of one pool, and those it holds back for the next or for landing.
 POOL = 2048
 RESERVE = 64
-#: Documents of a source whose landing is the best of all choices.
+#: Documents of a source that are landed by a choice among all their subsets, and the most steps to find it.
 LAST = 12
+STEPS = 2000
 SEED = 20
 
 
@@ -93,17 +95,17 @@ def _random(keys: np.ndarray, seed: int) -> np.ndarray:
     return (mixed >> texts.U64(11)).astype(np.float64) / float(1 << 53)
 
 
-def flight(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
+def flight(pi: np.ndarray, size: np.ndarray, draws: np.ndarray, reserve: int = RESERVE) -> np.ndarray:
     """Move probabilities to 0 or 1, keeping the sums of pi and of pi * size; few stay between.
 
-    These are two at most, and up to `RESERVE` undecided units from all over the given order, one in eight.
+    These are two at most, and up to `reserve` undecided units from all over the given order, one in eight.
     Three undecided units span a direction that keeps both sums: the null space of
     their two balance equations. A step goes to the first wall either way, with the
     probabilities that keep each expectation.
     """
     pi, eps = pi.astype(np.float64).copy(), 1e-9
     undecided = np.flatnonzero((pi > eps) & (pi < 1 - eps)).tolist()
-    reserve = min(RESERVE, len(undecided) // 8)
+    reserve = min(reserve, len(undecided) // 8)
     spared = {int(k) for k in np.linspace(0, len(undecided) - 1, reserve + 2)[1:-1]} if undecided else set()
     waiting = iter([x for k, x in enumerate(undecided) if k not in spared])
     held = list(itertools.islice(waiting, 3))
@@ -126,26 +128,56 @@ def flight(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
 
 
 def land(pi: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Decide the few units left, so that their words come as near as can be to what is expected.
+    """Decide the few units left, each with its own probability, so that their words come near what is expected.
 
-    The largest first, each with the share of the words still wanted among the words
-    still there; the `LAST` smallest by the best of all choices.
+    All but `LAST` of all sizes fly on until two are left; of the rest one of the
+    subsets of `_landings` is drawn.
     """
     out = pi.copy()
     undecided = np.flatnonzero((pi > 0) & (pi < 1))
+    if not len(undecided):
+        return out
     undecided = undecided[np.argsort(-size[undecided], kind="stable")]
-    wanted, rest = float((pi[undecided] * size[undecided]).sum()), float(size[undecided].sum())
-    first, last = undecided[:max(0, len(undecided) - LAST)], undecided[max(0, len(undecided) - LAST):]
-    for k, unit in enumerate(first.tolist()):
-        out[unit] = float(draws[k] * rest < wanted)
-        wanted, rest = wanted - out[unit] * size[unit], rest - size[unit]
-    choices = (np.arange(1 << len(last))[:, None] >> np.arange(len(last))) & 1
-    words = np.abs(choices @ size[last] - wanted)
-    units = np.abs(choices.sum(axis=1) - pi[last].sum())
-    out[last] = choices[np.lexsort((units, np.round(words, 6)))[0]]
+    held = np.unique(np.linspace(0, len(undecided) - 1, min(LAST, len(undecided))).astype(np.int64))
+    first = np.delete(undecided, held)
+    out[first] = flight(pi[first], size[first], draws[:len(first)], reserve=0)
+    rest = undecided[(out[undecided] > 0) & (out[undecided] < 1)]
+    if len(rest):
+        choices, chances = _landings(out[rest], size[rest])
+        at = np.searchsorted(np.cumsum(chances), draws[len(undecided) - 1] * chances.sum(), "right")
+        out[rest] = choices[min(int(at), len(choices) - 1)]
     return out
 
 
+def _landings(pi: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Subsets and their chances: each unit is in one with its probability, and the words are as near as can be.
+
+    The linear programme of the landing phase: among all distributions over subsets
+    with these inclusion probabilities one of the least expected distance from the
+    expected words; the number of units decides between equal ones. It starts from
+    the nested subsets of the most probable units, and each step swaps one subset, so
+    that the probabilities hold wherever it ends.
+    """
+    n = len(pi)
+    subsets = (((np.arange(1 << n)[:, None] >> np.arange(n)) & 1)).astype(np.float64)
+    cost = np.abs(subsets @ size - pi @ size) / max(1.0, float(size.max())) + 1e-3 * np.abs(subsets.sum(axis=1) - pi.sum())
+    columns, wanted = np.hstack((subsets, np.ones((1 << n, 1)))), np.append(pi, 1.0)
+    order = np.argsort(-pi, kind="stable")
+    basis = np.concatenate(([0], np.cumsum(1 << order)))
+    for _ in range(STEPS):
+        matrix = columns[basis].T
+        chances = np.linalg.solve(matrix, wanted)
+        gain = cost - columns @ np.linalg.solve(matrix.T, cost[basis])
+        enters = int(np.argmin(gain))
+        if gain[enters] > -1e-9:
+            break
+        change = np.linalg.solve(matrix, columns[enters])
+        limit = np.where(change > 1e-9, np.maximum(chances, 0.0) / np.where(change > 1e-9, change, 1.0), np.inf)
+        basis[int(np.argmin(limit))] = enters
+    chances = np.maximum(np.linalg.solve(columns[basis].T, wanted), 0.0)
+    return subsets[basis], chances
+
+
 def _pool(seed: int, last: bool):
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         # by size, so that those held back are of all sizes

@@ -81,6 +81,26 @@ def test_each_unit_is_taken_with_its_probability():
     assert np.abs(taken - pi).max() < 0.12
 
 
+@pytest.mark.parametrize("pi, size", [
+    ([0.2] * 12, [5.0] * 12), ([0.2, 0.5, 0.7, 0.5], [9.0, 1.0, 4.0, 4.0]), ([0.3], [7.0]), ([0.1, 0.9], [50.0, 3.0]),
+    ([0.5] * 5 + [0.25] * 9, [900.0, *range(1, 14)]),
+])
+def test_landing_keeps_each_probability(pi, size):
+    pi, size = np.array(pi), np.array(size)
+    subsets, chances = cube_mix._landings(pi, size)
+    assert chances.min() >= 0 and chances.sum() == pytest.approx(1) and chances @ subsets == pytest.approx(pi)
+    taken = np.mean([cube_mix.land(pi, size, np.random.default_rng(s).random(len(pi))) for s in range(600)], axis=0)
+    assert np.abs(taken - pi).max() < 0.1
+
+
+def test_landing_of_many_keeps_each_probability_and_the_words():
+    draw = np.random.default_rng(5)
+    pi, size = draw.uniform(0.1, 0.9, 66), draw.integers(1, 1000, 66).astype(float)
+    landed = np.array([cube_mix.land(pi, size, np.random.default_rng(s).random(66)) for s in range(200)])
+    assert set(np.unique(landed)) == {0.0, 1.0} and np.abs(landed.mean(axis=0) - pi).max() < 0.15
+    assert np.abs(landed @ size - pi @ size).mean() < 20
+
+
 def test_odd_texts(odd):
     found = cube_mix.mix(odd).collect()
     assert len(found) == odd.count()
