@@ -43,10 +43,13 @@ class Rules:
         "all rights reserved", "privacy policy", "terms of service", "terms of use", "cookie policy",
         "accept cookies", "enable javascript", "lorem ipsum", "click here", "subscribe to our",
         "sign up for", "powered by", "copyright (c)", "skip to content",
+        "tous droits réservés", "politique de confidentialité", "mentions légales", "accepter les cookies", "activer javascript",
+        "alle rechte vorbehalten", "datenschutzerklärung", "allgemeine geschäftsbedingungen", "cookies akzeptieren", "zum inhalt springen",
+        "todos los derechos reservados", "política de privacidad", "política de cookies", "aceptar cookies", "saltar al contenido",
     )
     nav_marks: int = 3
     nav_words: int = 4
-    enders: str = ".!?:;\"')]}…”»"
+    enders: str = ".!?:;\"')]}…”»’。！？：；」』）｡।॥؟؛۔።"
     short_words: int = 4
     max_lost_percent: int = 40
 

@@ -67,7 +67,8 @@ def test_clean_removes_failed_lines_alone(spark):
 
 @pytest.mark.parametrize("line, lost", [
     ("Home | About | Contact | News", True), ("### *** ###", True), ("Read our Privacy Policy now, please do.", True),
-    ("Contents", True), ("He left.", False), ("“So it is.”", False), ("A longer heading that has many words", False), ("C# and F# are languages of some note.", False),
+    ("Alle Rechte vorbehalten, auch die der Wiedergabe in Teilen.", True), ("今天天气很好。", False), ("他走了！", False), ("वह चला गया।", False),
+    ("ماذا تريد؟", False), ("目录", True), ("Contents", True), ("He left.", False), ("“So it is.”", False), ("A longer heading that has many words", False), ("C# and F# are languages of some note.", False),
 ])
 def test_rules(line, lost):
     assert bool(brute(line)[8]) == lost
