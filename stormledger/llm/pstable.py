@@ -21,8 +21,10 @@ as the index has them.
 
 Defined cases: null and zero vectors, and those with null or non-finite
 components, take no part; vectors of another length than the most common one of
-the table neither; fewer candidates than `k` give fewer rows; repeated ids are
-one vector if equal; an empty table gives an empty result; other columns stay out.
+the table neither; fewer candidates than `k` give fewer rows; rows without id take no
+part; repeated ids are one vector if equal, else candidates each, and the least of
+them in the order of arrays is the query; an empty table gives an empty result;
+other columns stay out.
 """
 
 from __future__ import annotations
@@ -126,7 +128,13 @@ class Tables:
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    return np.array(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, size)
+    return scaled(np.array(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, size))
+
+
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times a power of two each, so that no square is too large or too small; cosines stay the same to the last bit."""
+    exponents = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1] if vectors.size else 0
+    return np.ldexp(vectors, -exponents)
 
 
 def classes(vectors: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
@@ -147,7 +155,7 @@ def _queries(vectors: DataFrame, key: str, vector: str, size: int, every: int) -
     v = F.col("v")
     asked = vectors.filter(vectors[key].cast("long") % every == 0).select(vectors[key].cast("long").alias("query_id"), vectors[vector].cast("array<double>").alias("v"))
     asked = asked.filter(F.size(v) == size).filter(F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0.0), F.lit(False)))
-    return session.materialize(asked.dropDuplicates(["query_id"]), "asked")
+    return session.materialize(asked.groupBy("query_id").agg(F.min("v").alias("v")), "asked")
 
 
 def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5, every: int = 50, params: Params = Params(),
@@ -185,7 +193,7 @@ def fitted(asked: DataFrame, known: DataFrame, size: int, k: int, params: Params
         worst[r["query_id"]] = min(worst.get(r["query_id"], 2.0), r["score"])
     far = set(sorted(worst, key=lambda q: (worst[q], q))[:(len(worst) + 1) // 2])
     pairs = [r for r in found if r["query_id"] in far]
-    queries, others = (np.array([r[name] for r in pairs], dtype=np.float64) for name in ("v", "near"))
+    queries, others = (scaled(np.array([r[name] for r in pairs], dtype=np.float64)) for name in ("v", "near"))
     for hashes in HASHES:
         tables = Tables(size, dataclasses.replace(params, hashes=hashes))
         visited = tables.visited(*tables.cells(queries)).reshape(len(pairs), params.tables, -1)
@@ -223,7 +231,7 @@ def _in_blocks(asked: DataFrame, known: DataFrame, size: int, k: int, tables: Ta
         if not block:
             return out if out is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
         at = block[-1]["query_id"]
-        ids, queries = np.array([r["query_id"] for r in block], dtype=np.int64), np.array([r["v"] for r in block], dtype=np.float64)
+        ids, queries = np.array([r["query_id"] for r in block], dtype=np.int64), scaled(np.array([r["v"] for r in block], dtype=np.float64))
         probes = None
         if tables is not None:
             visited = tables.visited(*tables.cells(queries))
@@ -238,8 +246,12 @@ def _in_blocks(asked: DataFrame, known: DataFrame, size: int, k: int, tables: Ta
                 for part in (batch.slice(a, 4096) for a in range(0, batch.num_rows, 4096)):
                     rows, names = _matrix(part.column("v"), size), part.column("ids").to_pylist()
                     met = _met(rows, len(ids), tables, *probes) if tables is not None else None
+                    alone = np.array([len(own) == 1 for own in names], dtype=bool)
+                    lowest = np.array([own[0] for own in names], dtype=np.int64)
                     for i, vector in enumerate(queries):
-                        some = np.flatnonzero(met[i]) if met is not None else np.arange(len(rows))
+                        # a class of the query's own id alone is no neighbour
+                        other = ~(alone & (lowest == ids[i]))
+                        some = np.flatnonzero(met[i] & other if met is not None else other)
                         if len(some):
                             near = rows[some]
                             score = cosine(np.broadcast_to(vector, near.shape), near)

@@ -104,3 +104,17 @@ def test_the_index_compares_only_what_it_meets():
     own = tables.buckets(tables.cells(rows)[0])
     assert met.tolist() == [[bool(set(own[r].tolist()) & set(v.tolist())) for r in range(2000)] for v in visited]
     assert 0 < met.mean() < 0.6
+
+
+def test_components_of_any_size(spark):
+    table = [(0, [1e200, 0.0]), (1, [1e-170, 1e-170]), (2, [3e200, 3e200]), (3, [1e-320, 0.0]), (50, [1e-200, -1e-200]), (4, [0.0, 5.0])]
+    found = rows(pstable.search(spark.createDataFrame(table, "vec_id long, embedding array<double>"), k=5))
+    half = math.sqrt(0.5)
+    assert found == [pytest.approx(x) for x in [
+        (0, 1, 3, 1.0), (0, 2, 1, half), (0, 3, 2, half), (0, 4, 50, half), (0, 5, 4, 0.0),
+        (50, 1, 0, half), (50, 2, 3, half), (50, 3, 1, 0.0), (50, 4, 2, 0.0), (50, 5, 4, -half)]]
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    table = [(0, [1.0, 1.0]), (0, [1.0, 0.0]), (None, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0])]
+    assert rows(pstable.search(vectors(spark, table), k=2)) == [pytest.approx((0, 1, 1, 1.0)), pytest.approx((0, 2, 2, 0.0))]
