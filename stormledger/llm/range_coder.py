@@ -5,23 +5,33 @@ the word after it; the byte-level split rule never looks across a word's end, so
 ids of a text are the ids of its units in a row, and each distinct unit of a
 chunk is encoded once.
 
-File format. A row of the table is one block of up to `BLOCK` ids of a shard:
-(shard, block, n_ids, crc32 of the ids as little-endian 32-bit integers, payload).
-Shards follow each other in ascending document id. The payload is a sequence of
-32-bit words of a range coder with 64-bit state. Every block starts anew: it can
-be read alone, given the shard's order-0 table. The row with block -1 of a shard
-holds this table and the (doc_id, n_ids) of its documents, both compressed.
-
-Model of one id. Order 2 and order 1 each remember the last id that followed
-their context, the two ids before or the one before, with a count of how often it
-came true. The counts choose a mixing context, in which adaptive weights give the
-chances that order 2 is right, that order 1 is right, or neither. An id that both
-missed is coded by order 0, the frequencies of the shard. Blocks are coded in
-lockstep, one id of each per step, as array operations.
+File format. A row of the table is one block of up to `BLOCK` ids: (shard, segment,
+block, ids of the shard before it, n_ids, crc32 of the ids as little-endian 32-bit
+integers, payload). Shards follow each other in ascending document id; their number
+follows the size of the texts. A segment holds whole documents, about `LANES` blocks,
+and is what a task holds at a time. The row with block -1 of a segment holds the size
+of the vocabulary and the (doc_id, n_ids) of its documents, compressed; a row with
+segment -1 closes a shard with the number of its ids. The payload is a sequence of
+32-bit words of a range coder with 64-bit state. Every block starts anew and is read
+alone.
+
+Model of one id, the weighted sum of three distributions whose counts all start
+anew with a block. Order 0 takes an id as three digits and counts each digit after
+those before it; older counts are halved in time. Orders 2 and 1 hold the id that
+last followed the two ids or the one id before, with a count of how often it came
+true: this id has the chance that such guesses came true with this count so far, all
+others share the rest as order 0 has them. Weights, for each pair of counts, follow
+the part that each order has in the chance of the ids that came. The coder first
+decides between the two expected ids, each by its chance under the sum, and all
+others, which order 0 then tells apart; what it gives to the expected ids there stays
+unused. All of this is integer arithmetic. Blocks are coded in lockstep, one id of
+each per step, as array operations.
 
 Defined cases: null counts as empty text, which has the end id alone; repeated
-rows are documents of their own; an empty table gives no blocks and an empty
-result; further columns are not read; a payload whose checksum fails raises.
+rows are documents of their own; rows of one id follow each other in an order fixed
+by their texts; documents without id come first, and without id out again; an empty
+table gives no blocks and an empty result; further columns are not read; a payload
+whose checksum fails, and a missing block or segment of a shard that is there, raise.
 """
 
 from __future__ import annotations
@@ -33,8 +43,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,82 +52,146 @@ from stormledger import session
 from stormledger.llm import texts
 
 END_ID = 2
-BLOCK = 4096
+BLOCK = 2048
 #: Blocks coded in lockstep at a time, which bounds a task's memory.
-LANES = 1024
+LANES = 2048
+#: Bytes of text of a shard, and the least for which the session's number of partitions is kept.
+SHARD_BYTES, LEAST_SHARD_BYTES = 256 << 20, 8 << 20
 #: Distinct units that a task remembers.
 HELD = 500_000
 
 U64 = np.uint64
 _TOP = U64(1 << 32)
 _LOW = U64((1 << 32) - 1)
-#: A coded interval is a part of 2 ** 30: 12 bits to decide who is right, 18 bits for an id of order 0.
-_DECIDE_BITS, _ID_BITS = 12, 18
-_DECIDE, _BITS = 1 << _DECIDE_BITS, U64(_DECIDE_BITS + _ID_BITS)
-_SLOTS1, _SLOTS2 = 1 << 9, 1 << 10
-_MAX_COUNT = 7
-_CONTEXTS = 2 * (_MAX_COUNT + 1) ** 2
-_RATE = 5
-#: No id; ids take the low 20 bits of a slot, and how often it came true the bits above.
-_NONE, _ONE = (1 << 20) - 1, 1 << 20
+#: Parts of an interval that decide between the two expected ids and all others.
+_DECIDE_BITS = 14
+_DECIDE = 1 << _DECIDE_BITS
+#: Contexts that orders 2 and 1 of one block hold apart; a slot has 20 bits of an id, 3 of its count, 8 that check the context.
+_SLOTS = (1 << 12, 1 << 11)
+_ID_BITS, _CHECK_BIT, _MAX_COUNT = 20, 23, 7
+_ID = (1 << _ID_BITS) - 1
+#: How fast chances and weights follow what comes, as shifts, and the least weight.
+_RATE, _WEIGHT_RATE, _LEAST = 5, 4, 1 << 10
+#: Order 0: what an id adds to its counts, the sum at which counts are halved, and how much small first digits lead at a start.
+_INCREMENT, _MAX_SUM, _PRIOR = 24, 1 << 13, 64
+_POSITIVE = (1 << 63) - 1
 #: UTF-8 of the blanks of Unicode that do not cut words.
 _OTHER_BLANKS = re.compile(b"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-_ALL = (1 << 64) - 1
 
 
 class Mixer:
-    """Model state of many blocks in lockstep: one row of each table for a block."""
-
-    def __init__(self, lanes: int):
-        lane = np.arange(lanes, dtype=np.int64)
-        self.base1, self.base2, self.base = lane * _SLOTS1, lane * _SLOTS2, lane * _CONTEXTS
-        self.one = np.full(lanes * _SLOTS1, _NONE, dtype=np.int32)
-        self.two = np.full(lanes * _SLOTS2, _NONE, dtype=np.int32)
-        self.right2 = np.full(lanes * _CONTEXTS, 1 << 14, dtype=np.int32)  # chances of 2 ** 16
-        self.right1 = np.full(lanes * _CONTEXTS, 1 << 13, dtype=np.int32)
+    """Model state of many blocks in lockstep: rows of each table for a block, all as new at its start."""
+
+    def __init__(self, lanes: int, size: int):
+        self.radix = next(r for r in range(2, 1 << 7) if r ** 3 >= size)
+        self.lane = np.arange(lanes, dtype=np.int64)
+        #: Last ids that followed a context, and the chances that such an id comes, by its count.
+        self.slots = [np.zeros(lanes * n, dtype=np.int32) for n in _SLOTS]
+        self.chances = [np.full(lanes * (_MAX_COUNT + 1), 1 << 15, dtype=np.int32) for _ in _SLOTS]
+        #: Weights of order 2 and order 1 of 2 ** 16, by both counts; the rest is that of order 0.
+        self.weights = [np.full(lanes * (_MAX_COUNT + 1) ** 2, 21845, dtype=np.int32) for _ in _SLOTS]
+        # order 0: sums of counts of the digits of an id, each digit after those before it
+        width = self.radix + 1
+        even = np.arange(width, dtype=np.uint16)
+        first = np.concatenate(([0], np.cumsum(1 + _PRIOR // np.arange(1, width)))).astype(np.uint16)
+        self.sums = [np.tile(first, (lanes, 1)), *(np.tile(even, (lanes * self.radix ** k, 1)) for k in (1, 2))]
+        self.flat = [table.reshape(-1) for table in self.sums]
+        self.whole_rows = [table.view(np.dtype((np.void, 2 * width))).ravel() for table in self.sums]
+        self.steps = ((np.arange(width)[None, :] > np.arange(self.radix)[:, None]) * _INCREMENT).astype(np.uint16)
         self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids that order 2 and order 1 expect, and the ends of their shares of 2 ** _DECIDE_BITS."""
-        key = self.last * 0x9E3779B1
-        self.at1 = self.base1 + ((key >> 7) & (_SLOTS1 - 1))
-        self.at2 = self.base2 + (((key + self.before * 0x85EBCA6B) >> 9) & (_SLOTS2 - 1))
-        self.held1, self.held2 = self.one.take(self.at1), self.two.take(self.at2)
-        self.id1, self.id2 = self.held1 & _NONE, self.held2 & _NONE
-        self.count1, self.count2 = self.held1 >> 20, self.held2 >> 20
-        same = self.id1 == self.id2
-        self.context = self.base + ((self.count2 * (_MAX_COUNT + 1) + self.count1) * 2 + same)
-        self.chance2, self.chance1 = self.right2.take(self.context), self.right1.take(self.context)
-        # at least one part for each that has an id, and enough left for order 0
-        end2 = ((self.chance2 * 15 >> 8) + 1) * (self.count2 > 0)
-        room = _DECIDE - 64 - end2
-        end1 = end2 + ((self.chance1 >> 4) * room // _DECIDE + 1) * ((self.count1 > 0) & ~same)
-        return self.id2, self.id1, end2, end1
+    def digits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An id as three digits."""
+        upper, low = np.divmod(ids, self.radix)
+        top, middle = np.divmod(upper, self.radix)
+        return top, middle, low
+
+    def row(self, level: int, lane: np.ndarray, upper: np.ndarray | None = None) -> np.ndarray:
+        """Rows of a level's sums for the number that the digits before it form."""
+        return lane if level == 0 else lane * self.radix ** level + upper
+
+    def share(self, level: int, row: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start and width of a digit, and their whole."""
+        at, flat = row * (self.radix + 1), self.flat[level]
+        start = flat.take(at + digit).astype(np.int64)
+        return start, flat.take(at + digit + 1) - start, flat.take(at + self.radix).astype(np.int64)
+
+    def chance0(self, lane: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Chance of ids under order 0, of 2 ** 16."""
+        chance, upper = np.full(len(ids), 1 << 16, dtype=np.int64), None
+        for level, digit in enumerate(self.digits(ids)):
+            _, width, whole = self.share(level, self.row(level, lane, upper), digit)
+            chance = chance * width // whole
+            upper = digit if upper is None else upper * self.radix + digit
+        return chance
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids that order 2 and order 1 expect, and the ends of their shares of 2 ** _DECIDE_BITS, of the first n blocks.
+
+        Each order is a distribution over all ids: orders 2 and 1 give the id they
+        expect its chance and spread the rest as order 0 does. The share of an
+        expected id is its chance under the weighted sum of the three.
+        """
+        lane, self.n = self.lane[:n], n
+        keys = (self.last[:n] * 0x9E3779B1 + self.before[:n] * 0x85EBCA6B + 1, self.last[:n] * 0xC2B2AE35)
+        self.at, self.check, self.held, self.id, self.count, self.spot, self.chance = [], [], [], [], [], [], []
+        for key, slots, size, chances in zip(keys, self.slots, _SLOTS, self.chances, strict=True):
+            key = (key ^ (key >> 15)) * 0x2545F491
+            at, check = lane * size + ((key >> 20) & (size - 1)), (key >> 34) & 0xFF
+            held = slots.take(at)
+            count = np.where(held >> _CHECK_BIT == check, held >> _ID_BITS & _MAX_COUNT, 0)
+            spot = lane * (_MAX_COUNT + 1) + count
+            for store, value in zip((self.at, self.check, self.id, self.count, self.spot, self.chance),
+                                    (at, check, held & _ID, count, spot, chances.take(spot) * (count > 0)), strict=True):
+                store.append(value)
+        (id2, id1), (count2, count1), (chance2, chance1) = self.id, self.count, self.chance
+        self.context = (lane * (_MAX_COUNT + 1) + count2) * (_MAX_COUNT + 1) + count1
+        self.weight2, self.weight1 = (w.take(self.context).astype(np.int64) for w in self.weights)
+        self.rare2, self.rare1 = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        some2, some1 = np.flatnonzero(count2), np.flatnonzero(count1)
+        rare = self.chance0(np.concatenate((some2, some1)), np.concatenate((id2.take(some2), id1.take(some1))))
+        self.rare2[some2], self.rare1[some1] = rare[:len(some2)], rare[len(some2):]
+        same = (id1 == id2) & (count2 > 0)
+        part2, part1 = self.weight2 * chance2 >> 16, self.weight1 * chance1 >> 16
+        spread = (1 << 16) - part2 - part1
+        share2 = part2 + part1 * same + (spread * self.rare2 >> 16)
+        share1 = part1 + (spread * self.rare1 >> 16)
+        # at least one part for each that has an id, and some for all others
+        end2 = ((share2 * (_DECIDE - 34) >> 16) + 1) * (count2 > 0)
+        end1 = end2 + ((share1 * (_DECIDE - 34) >> 16) + 1) * ((count1 > 0) & ~same)
+        return id2, id1, end2, end1
 
     def learn(self, ids: np.ndarray) -> None:
-        """Take in the id that came."""
-        hit2, hit1 = ids == self.id2, ids == self.id1
-        self.right2[self.context] = self.chance2 + (((hit2.astype(np.int32) << 16) - self.chance2) >> _RATE)
-        self.right1[self.context] = self.chance1 + ((((hit1 & ~hit2).astype(np.int32) << 16) - self.chance1) >> _RATE)
-        fresh = ids | _ONE
-        # a right guess gains trust; a wrong one that was often right stays once more, with less of it
-        self.one[self.at1] = np.where(hit1, self.held1 + ((self.count1 < _MAX_COUNT).astype(np.int32) << 20), np.where(self.count1 > 2, self.id1 | (self.count1 >> 1 << 20), fresh))
-        self.two[self.at2] = np.where(hit2, self.held2 + ((self.count2 < _MAX_COUNT).astype(np.int32) << 20), np.where(self.count2 > 2, self.id2 | (self.count2 >> 1 << 20), fresh))
-        self.before, self.last = self.last, ids.astype(np.int64)
-
-
-def order0(ids: np.ndarray, size: int) -> np.ndarray:
-    """Ends of the shares of 2 ** _ID_BITS of all ids; ids that do not occur have none."""
-    counts = np.bincount(ids, minlength=size).astype(np.float64)
-    present = np.flatnonzero(counts)
-    ends = np.zeros(size + 1, dtype=np.int64)
-    if len(present):
-        room = (1 << _ID_BITS) - len(present)
-        share = np.zeros(size, dtype=np.int64)
-        share[present] = 1 + np.floor(counts[present] / counts.sum() * room).astype(np.int64)
-        share[present[np.argmax(counts[present])]] += (1 << _ID_BITS) - share.sum()
-        ends[1:] = np.cumsum(share)
-    return ends
+        """Take in the ids that came to the first n blocks."""
+        n, lane = self.n, self.lane[:self.n]
+        hits = [(ids == found) & (count > 0) for found, count in zip(self.id, self.count, strict=True)]
+        # weights follow the share that each order has in the chance of what came
+        rare = np.where(hits[0], self.rare2, np.where(hits[1], self.rare1, 1 << 16))
+        fits = [w * ((hit * c) + (((1 << 16) - c) * rare >> 16)) for w, hit, c in zip((self.weight2, self.weight1), hits, self.chance, strict=True)]
+        whole = fits[0] + fits[1] + ((1 << 16) - self.weight2 - self.weight1) * rare + 1
+        weight2 = self.weight2 + (((fits[0] << 16) // whole - self.weight2) >> _WEIGHT_RATE)
+        weight1 = self.weight1 + (((fits[1] << 16) // whole - self.weight1) >> _WEIGHT_RATE)
+        weight2 = np.clip(weight2, _LEAST, (1 << 16) - 3 * _LEAST)
+        self.weights[0][self.context] = weight2
+        self.weights[1][self.context] = np.clip(weight1, _LEAST, (1 << 16) - _LEAST - weight2)
+        for k, hit in enumerate(hits):
+            count, chance = self.count[k], self.chances[k].take(self.spot[k])
+            self.chances[k][self.spot[k]] = chance + (((hit.astype(np.int32) << 16) - chance) >> _RATE)
+            # a right guess gains trust; a wrong one that was often right stays once more, with less of it
+            stays = ~hit & (count > 2)
+            trust = np.where(hit, np.minimum(count + 1, _MAX_COUNT), np.where(stays, count >> 1, 1))
+            self.slots[k][self.at[k]] = np.where(stays, self.id[k], ids) | trust << _ID_BITS | self.check[k] << _CHECK_BIT
+        upper = None
+        for level, digit in enumerate(self.digits(ids)):
+            row = self.row(level, lane, upper)
+            sums = self.sums[level].take(row, axis=0)
+            sums += self.steps.take(digit, axis=0)
+            full = np.flatnonzero(sums[:, -1] > _MAX_SUM)
+            if len(full):  # older counts weigh less
+                sums[full, 1:] = np.cumsum((np.diff(sums[full].astype(np.int64), axis=1) + 1) >> 1, axis=1)
+            self.whole_rows[level][row] = sums.view(self.whole_rows[level].dtype).ravel()
+            upper = digit if upper is None else upper * self.radix + digit
+        self.before[:n], self.last[:n] = self.last[:n].copy(), ids
 
 
 class Interval:
@@ -154,8 +228,8 @@ def _in_order(sizes: list[int]) -> tuple[list[int], np.ndarray, list[int]]:
     return order, lengths, np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
 
 
-def encode_blocks(blocks: list[np.ndarray], ends: np.ndarray) -> list[bytes]:
-    """Payloads of blocks, coded in lockstep."""
+def encode_blocks(blocks: list[np.ndarray], size: int) -> list[bytes]:
+    """Payloads of blocks of ids below `size`, coded in lockstep."""
     order, lengths, active = _in_order([len(b) for b in blocks])
     lanes = len(blocks)
     if not lanes:
@@ -163,23 +237,32 @@ def encode_blocks(blocks: list[np.ndarray], ends: np.ndarray) -> list[bytes]:
     grid = np.zeros((len(active), lanes), dtype=np.int32)
     for lane, k in enumerate(order):
         grid[:len(blocks[k]), lane] = blocks[k]
-    mixer, interval, share = Mixer(lanes), Interval(lanes), np.diff(ends)
+    mixer, interval = Mixer(lanes, size), Interval(lanes)
     out_word, out_lane = [], []
+
+    def settle(n: int) -> None:
+        for which, word in interval.settled(n):
+            out_word.append(word.astype(np.uint32))
+            out_lane.append(which)
+
     with np.errstate(over="ignore"):
         for step, n in enumerate(active):
-            ids = grid[step]
-            id2, id1, end2, end1 = mixer.predict()
-            hit2, hit1 = ids == id2, ids == id1
-            rest = _DECIDE - end1
-            start = (end1.astype(np.int64) << _ID_BITS) + ends[ids] * rest
-            width = share[ids] * rest
-            if hit1.any() or hit2.any():
-                start = np.where(hit2, 0, np.where(hit1, end2.astype(np.int64) << _ID_BITS, start))
-                width = np.where(hit2, end2.astype(np.int64) << _ID_BITS, np.where(hit1, (end1 - end2).astype(np.int64) << _ID_BITS, width))
-            interval.narrow(n, interval.span[:n] >> _BITS, start[:n], width[:n])
-            for which, word in interval.settled(n):
-                out_word.append(word.astype(np.uint32))
-                out_lane.append(which)
+            ids = grid[step, :n].astype(np.int64)
+            id2, id1, end2, end1 = mixer.predict(n)
+            hit2 = (ids == id2) & (end2 > 0)
+            hit1 = (ids == id1) & (end1 > end2) & ~hit2
+            hit = hit2 | hit1
+            start = np.where(hit2, 0, np.where(hit1, end2, end1))
+            width = np.where(hit2, end2, np.where(hit1, end1 - end2, _DECIDE - end1))
+            interval.narrow(n, interval.span[:n] >> U64(_DECIDE_BITS), start, width)
+            upper = None
+            for level, digit in enumerate(mixer.digits(ids)):
+                start, width, whole = mixer.share(level, mixer.row(level, mixer.lane[:n], upper), digit)
+                unit = interval.span[:n] // np.where(hit, 1, whole).view(U64)
+                interval.narrow(n, unit, np.where(hit, 0, start), np.where(hit, 1, width))
+                upper = digit if upper is None else upper * mixer.radix + digit
+                if level != 1:
+                    settle(n)
             mixer.learn(ids)
     # 64 bits settle the rest
     for word in (interval.low >> U64(32), interval.low & _LOW):
@@ -194,7 +277,7 @@ def encode_blocks(blocks: list[np.ndarray], ends: np.ndarray) -> list[bytes]:
     return payloads
 
 
-def decode_blocks(payloads: list[bytes], sizes: list[int], ends: np.ndarray) -> list[np.ndarray]:
+def decode_blocks(payloads: list[bytes], sizes: list[int], size: int) -> list[np.ndarray]:
     """Ids of blocks, decoded in lockstep."""
     order, lengths, active = _in_order(sizes)
     lanes = len(payloads)
@@ -207,32 +290,43 @@ def decode_blocks(payloads: list[bytes], sizes: list[int], ends: np.ndarray) ->
     limit = np.concatenate((at[1:], [len(words)])) - 1
     code = (words[at] << U64(32)) | words[at + 1]
     at += 2
-    mixer, interval, share = Mixer(lanes), Interval(lanes), np.diff(ends)
+    mixer, interval = Mixer(lanes, size), Interval(lanes)
     grid = np.zeros((len(active), lanes), dtype=np.int32)
-    # which id holds each point of order 0
-    holder = np.repeat(np.arange(len(share), dtype=np.int32), share)
+
+    def settle(n: int) -> None:
+        for which, _ in interval.settled(n):
+            code[which] = (code[which] << U64(32)) | words[np.minimum(at[which], limit[which])]
+            at[which] += 1
+
+    def point(n: int, unit: np.ndarray, whole: np.ndarray | int) -> np.ndarray:
+        # a block that is damaged may point outside; its checksum tells
+        return np.minimum(((code[:n] - interval.low[:n]) // unit).view(np.int64) & _POSITIVE, whole - 1)
+
     with np.errstate(over="ignore"):
         for step, n in enumerate(active):
-            id2, id1, end2, end1 = mixer.predict()
-            id2, id1, end2, end1 = id2[:n], id1[:n], end2[:n].astype(np.int64) << _ID_BITS, end1[:n].astype(np.int64) << _ID_BITS
-            unit = interval.span[:n] >> _BITS
-            point = ((code[:n] - interval.low[:n]) // unit).view(np.int64)
-            # a block that is damaged may point outside; its checksum tells
-            np.minimum(point, (1 << 30) - 1, out=point)
-            rest = _DECIDE - (end1 >> _ID_BITS)
-            ids = holder[np.maximum(point - end1, 0) // rest]
-            start, width = end1 + ends[ids] * rest, share[ids] * rest
-            hit2, hit1 = point < end2, point < end1
-            if hit1.any():
-                start = np.where(hit2, 0, np.where(hit1, end2, start))
-                width = np.where(hit2, end2, np.where(hit1, end1 - end2, width))
-                ids = np.where(hit2, id2, np.where(hit1, id1, ids))
+            id2, id1, end2, end1 = mixer.predict(n)
+            unit = interval.span[:n] >> U64(_DECIDE_BITS)
+            here = point(n, unit, _DECIDE)
+            hit2, hit = here < end2, here < end1
+            start = np.where(hit2, 0, np.where(hit, end2, end1))
+            width = np.where(hit2, end2, np.where(hit, end1 - end2, _DECIDE - end1))
             interval.narrow(n, unit, start, width)
-            for which, _ in interval.settled(n):
-                code[which] = (code[which] << U64(32)) | words[np.minimum(at[which], limit[which])]
-                at[which] += 1
-            grid[step, :n] = ids
-            mixer.learn(grid[step])
+            found = mixer.digits(np.where(hit2, id2, id1))
+            upper = None
+            for level in range(3):
+                row = mixer.row(level, mixer.lane[:n], upper)
+                sums = mixer.sums[level].take(row, axis=0)
+                whole = np.where(hit, 1, sums[:, -1].astype(np.int64))
+                unit = interval.span[:n] // whole.view(U64)
+                here = point(n, unit, whole)
+                digit = np.where(hit, found[level], (sums[:, 1:] <= here.astype(np.uint16)[:, None]).sum(axis=1))
+                start, width, _ = mixer.share(level, row, digit)
+                interval.narrow(n, unit, np.where(hit, 0, start), np.where(hit, 1, width))
+                upper = digit if upper is None else upper * mixer.radix + digit
+                if level != 1:
+                    settle(n)
+            grid[step, :n] = upper
+            mixer.learn(upper)
     out: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * lanes
     for lane, k in enumerate(order):
         out[k] = grid[:sizes[k], lane].copy()
@@ -317,94 +411,116 @@ class UnitEncoder:
         return out, n
 
 
-_BLOCK_SCHEMA = "shard int, block int, n_ids long, crc long, payload binary"
+_BLOCK_SCHEMA = "shard int, segment int, block int, first long, n_ids long, crc long, payload binary"
+_DIGEST_SCHEMA = "shard int, segment int, doc_id long, before long, n_tokens long, ids_crc32 long"
+
 
+def _table(found: list[tuple], schema: str) -> dict[str, pa.Array]:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = [c.split() for c in schema.split(", ")]
+    return {name: pa.array([row[k] for row in found], kinds[kind]) for k, (name, kind) in enumerate(columns)}
 
-def _write_shard(path: str, end_id: int, block: int):
+
+def _segment(shard: int, segment: int, first: int, ids: np.ndarray, keys: pa.Array, sizes: np.ndarray, size: int, block: int, lanes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one segment: its index, then its blocks."""
+    known = np.asarray(pc.is_valid(keys))
+    columns = (np.asarray(pc.fill_null(keys, 0)).astype("<i8"), sizes.astype("<i8"), known.astype("u1"))
+    packed = [zlib.compress(c.tobytes(), 6) for c in columns]
+    head = size.to_bytes(8, "little") + b"".join(len(p).to_bytes(8, "little") + p for p in packed)
+    yield pa.RecordBatch.from_pydict(_table([(shard, segment, -1, first, len(ids), zlib.crc32(head), head)], _BLOCK_SCHEMA))
+    for start in range(0, len(ids), block * lanes):
+        blocks = [ids[k:k + block].astype(np.int32) for k in range(start, min(start + block * lanes, len(ids)), block)]
+        payloads = encode_blocks(blocks, size)
+        yield pa.RecordBatch.from_pydict(_table([
+            (shard, segment, start // block + k, first + start + k * block, len(b), zlib.crc32(b.astype("<u4").tobytes()), p)
+            for k, (b, p) in enumerate(zip(blocks, payloads, strict=True))], _BLOCK_SCHEMA))
+
+
+def _write_shard(path: str, end_id: int, block: int, lanes: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shard = TaskContext.get().partitionId()
-        encoder, ids, keys, sizes = UnitEncoder(path), [], [], []
-        for part in texts.chunks(batches):
-            got, n = encoder.encode(part.column("text"), end_id)
-            ids.append(got.astype(np.uint16) if encoder.size <= 1 << 16 else got)
-            keys.append(part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
-            sizes.append(n)
-        if not ids:
-            return
-        every = np.concatenate(ids)
-        del ids
-        ends = order0(every, encoder.size)
-        head = {"ends": np.diff(ends).astype("<u4").tobytes(), "keys": np.concatenate(keys).astype("<i8").tobytes(), "sizes": np.concatenate(sizes).astype("<i8").tobytes()}
-        packed = [zlib.compress(v, 6) for v in head.values()]
-        payload = b"".join(len(p).to_bytes(8, "little") + p for p in packed)
-        yield _rows([(shard, -1, len(every), zlib.crc32(payload), payload)])
-        for first in range(0, len(every), block * LANES):
-            blocks = [every[k:k + block].astype(np.int32) for k in range(first, min(first + block * LANES, len(every)), block)]
-            payloads = encode_blocks(blocks, ends)
-            yield _rows([(shard, first // block + k, len(b), zlib.crc32(b.astype("<u4").tobytes()), p) for k, (b, p) in enumerate(zip(blocks, payloads, strict=True))])
+        shard, encoder = TaskContext.get().partitionId(), UnitEncoder(path)
+        ids, keys, sizes, held, segment, first = [], [], [], 0, 0, 0
+        for part in itertools.chain(texts.chunks(batches), [None]):
+            if part is not None:
+                got, n = encoder.encode(part.column("text"), end_id)
+                ids.append(got)
+                keys.append(part.column("doc_id"))
+                sizes.append(n)
+                held += len(got)
+            # a segment ends with a document
+            if held and (part is None or held >= block * lanes):
+                yield from _segment(shard, segment, first, np.concatenate(ids), pa.concat_arrays(keys), np.concatenate(sizes), encoder.size, block, lanes)
+                segment, first = segment + 1, first + held
+                ids, keys, sizes, held = [], [], [], 0
+        if segment:
+            yield pa.RecordBatch.from_pydict(_table([(shard, -1, -1, 0, first, 0, b"")], _BLOCK_SCHEMA))
 
     return work
 
 
-def _rows(found: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], ["shard", "block", "n_ids", "crc", "payload"])
-
-
-def write(docs: DataFrame, path: str, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID, block: int = BLOCK, shards: int | None = None) -> None:
-    """Write the ids of all documents in ascending id order below a folder."""
+def write(docs: DataFrame, path: str, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID, block: int = BLOCK, lanes: int = LANES, shards: int | None = None) -> None:
+    """Write the ids of all documents in ascending id order below a folder; shards: parts of about `SHARD_BYTES` if not given."""
     spark = docs.sparkSession
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    rows.mapInArrow(_write_shard(tokenizer, end_id, block), _BLOCK_SCHEMA).write.parquet(f"{folder}/{path}")
-
-
-def _head(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order-0 table, document ids, and ids of each document."""
-    parts, at = [], 0
+    if shards is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        usual = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // LEAST_SHARD_BYTES))
+        shards = max(1, -(-size // SHARD_BYTES), usual)
+    # rows of one id may lie in several shards, if their texts differ
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    rows = rows.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "mark").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "mark")
+    rows.select("doc_id", "text").mapInArrow(texts.tidy(_write_shard(tokenizer, end_id, block, lanes)), _BLOCK_SCHEMA).write.parquet(f"{folder}/{path}")
+
+
+def _head(payload: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Size of the vocabulary, document ids, ids of each document, and which document ids are known."""
+    parts, at = [], 8
     while at < len(payload):
         size = int.from_bytes(payload[at:at + 8], "little")
         parts.append(zlib.decompress(payload[at + 8:at + 8 + size]))
         at += 8 + size
-    ends = np.concatenate(([0], np.cumsum(np.frombuffer(parts[0], dtype="<u4").astype(np.int64))))
-    return ends, np.frombuffer(parts[1], dtype="<i8"), np.frombuffer(parts[2], dtype="<i8")
-
-
-def _read_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Digests of the documents of one shard, from its blocks."""
-    pdf = pdf.sort_values("block")
-    head = pdf["payload"].iloc[0]
-    if pdf["block"].iloc[0] != -1 or zlib.crc32(head) != pdf["crc"].iloc[0] or pdf["n_ids"].iloc[0] != pdf["n_ids"].iloc[1:].sum():
-        raise ValueError(f"shard {pdf['shard'].iloc[0]}: damaged or incomplete")
-    ends, keys, sizes = _head(head)
-    body, out = pdf.iloc[1:], []
-    for first in range(0, len(body), LANES):
-        own = body.iloc[first:first + LANES]
-        ids = decode_blocks(own["payload"].tolist(), own["n_ids"].tolist(), ends)
-        for got, crc, number in zip(ids, own["crc"], own["block"], strict=True):
-            if zlib.crc32(got.astype("<u4").tobytes()) != crc:
-                raise ValueError(f"shard {pdf['shard'].iloc[0]}, block {number}: checksum")
-        out += [got.astype(np.uint16) if len(ends) <= 1 << 16 else got for got in ids]
-    every = np.concatenate(out)
+    return int.from_bytes(payload[:8], "little"), *(np.frombuffer(p, dtype=kind) for p, kind in zip(parts, ("<i8", "<i8", "u1"), strict=True))
+
+
+def _read_segment(rows: pa.Table) -> pa.Table:
+    """Digests of the documents of one segment, from its blocks."""
+    rows = rows.sort_by("block")
+    found = {name: rows.column(name).to_pylist() for name in ("block", "first", "n_ids", "crc", "payload")}
+    shard, segment, head = rows.column("shard")[0].as_py(), rows.column("segment")[0].as_py(), found["payload"][0]
+    whole = found["block"] == list(range(-1, rows.num_rows - 1)) and found["n_ids"][0] == sum(found["n_ids"][1:])
+    if not whole or zlib.crc32(head) != found["crc"][0]:
+        raise ValueError(f"shard {shard}, segment {segment}: damaged or incomplete")
+    size, keys, sizes, known = _head(head)
+    every, at = np.empty(found["n_ids"][0], dtype="<u4"), 0
+    for start in range(1, rows.num_rows, LANES):
+        own = slice(start, start + LANES)
+        for got, crc, number in zip(decode_blocks(found["payload"][own], found["n_ids"][own], size), found["crc"][own], found["block"][own], strict=True):
+            got = got.astype("<u4")
+            if zlib.crc32(got.tobytes()) != crc:
+                raise ValueError(f"shard {shard}, segment {segment}, block {number}: checksum")
+            every[at:at + len(got)] = got
+            at += len(got)
     cuts = np.concatenate(([0], np.cumsum(sizes)))
-    return pd.DataFrame({
-        "shard": pdf["shard"].iloc[0], "place": np.arange(len(keys), dtype=np.int64), "doc_id": keys, "before": cuts[:-1], "n_tokens": sizes,
-        "ids_crc32": [zlib.crc32(every[a:b].astype("<u4").tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]})
+    n = len(keys)
+    return pa.table({
+        "shard": pa.array([shard] * n, pa.int32()), "segment": pa.array([segment] * n, pa.int32()), "doc_id": pa.array(keys, pa.int64(), mask=known == 0),
+        "before": found["first"][0] + cuts[:-1], "n_tokens": pa.array(sizes, pa.int64()),
+        "ids_crc32": pa.array([zlib.crc32(every[a:b].tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.int64())})
 
 
 def read(spark, folder: str, path: str) -> DataFrame:
     """Start, number and checksum of every document's ids, decoded from the files."""
     blocks = spark.read.parquet(f"{folder}/{path}")
-    totals = blocks.filter("block = -1").select("shard", "n_ids")
+    counted = blocks.filter("block = -1").groupBy("shard").agg(
+        F.sum(F.when(F.col("segment") >= 0, F.col("n_ids"))).alias("n_ids"), F.max(F.when(F.col("segment") < 0, F.col("n_ids"))).alias("whole"))
+    n_ids = F.when(F.col("n_ids") == F.col("whole"), F.col("n_ids")).otherwise(F.raise_error(F.format_string("shard %d: incomplete", "shard")).cast("long"))
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row for each shard
-    offsets = totals.select(F.col("shard").alias("of"), F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("offset"))
-    digests = blocks.groupBy("shard").applyInPandas(
-        _read_shard, "shard int, place long, doc_id long, before long, n_tokens long, ids_crc32 long")
-    return digests.join(offsets, F.col("shard") == F.col("of")).select(
-        "doc_id", (F.col("offset") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    offsets = counted.select("shard", n_ids.alias("n_ids")).select(F.col("shard").alias("of"), F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("offset"), "n_ids")
+    digests = blocks.filter("segment >= 0").groupBy("shard", "segment").applyInArrow(_read_segment, _DIGEST_SCHEMA)
+    start = F.coalesce("offset", F.raise_error(F.lit("incomplete")).cast("long")) + F.col("before")
+    return digests.join(offsets, F.col("shard") == F.col("of"), "left").select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
