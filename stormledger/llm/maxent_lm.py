@@ -1,9 +1,15 @@
 """Scores of texts under a hashed maximum-entropy language model.
 
-Tokens are words with A-Z lower-cased and one end per text. The `WORDS` most
-frequent training tokens are dealt into `CLASSES` - 1 classes of like weight; all
-others, unknown ones among them, are the last class. A token's probability is
-that of its class, times that of the token within its class.
+Tokens are words with A-Z lower-cased and one end per text. The most frequent
+training tokens are dealt into `CLASSES` - 1 classes of like weight; all others,
+unknown ones among them, are the last class. A token's probability is that of its
+class, times that of the token within its class.
+
+How many tokens have classes and how many rows the tables have follows the corpus:
+`WORDS` and `TABLES` times `scale`, which doubles with each fourfold number of
+training tokens, until a set of weights is what one task can hold (`MAX_SCALE`).
+Training tasks grow alike, so that the weights they write stay in proportion to
+the text.
 
 Class: a softmax whose features are the word before, the two words before, the
 word two before and the one three before (skips), each hashed into its own table,
@@ -50,17 +56,29 @@ BATCH = 8192
 STEP = 0.4
 #: Prior tokens of the word model for each last frequent word and class.
 PRIOR = 50.0
-#: Rows of the tables: word before, two words before, word two before, word three before.
+#: Rows of the tables at scale 1: word before, two words before, word two before, word three before.
 TABLES = (1 << 13, 1 << 14, 1 << 12, 1 << 11)
 SMOOTH = 0.1
-#: Tokens of a training task, about: each writes one set of weights a round.
+#: Tokens of a training task at scale 1, about: each writes one set of weights a round.
 TASK_TOKENS = 1 << 22
+#: Training tokens of scale 1, of which scale 2 needs four times as many.
+SCALE_TOKENS = 1 << 24
+#: At this scale weights take about 100 MB.
+MAX_SCALE = 8
 HELD = 400_000
 U64 = texts.U64
 END = U64(0x5E2D58D8B3BCDEF1)
 _PIECE = 1 << 15
 
 
+def scale(tokens: int) -> int:
+    """The largest power of two whose square is at most the corpus in units of `SCALE_TOKENS`."""
+    out = 1
+    while out < MAX_SCALE and 4 * out * out * SCALE_TOKENS <= tokens:
+        out *= 2
+    return out
+
+
 @dataclasses.dataclass
 class Counts:
     """Totals, and the most frequent tokens by descending count: hashes, and counts."""
@@ -73,7 +91,8 @@ class Counts:
     def __post_init__(self):
         self.order = np.argsort(self.hashes)
         self.sorted = self.hashes[self.order]
-        n = self.words = min(WORDS, len(self.hashes))
+        self.scale = scale(self.tokens)
+        n = self.words = min(WORDS * self.scale, len(self.hashes))
         # classes of like sums of square roots, the last one for all other tokens
         weight = np.sqrt(self.counts[:n].astype(np.float64))
         place = np.cumsum(weight) / weight.sum() if n else weight
@@ -128,10 +147,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
-def context(ids: np.ndarray, ends: np.ndarray, words: int) -> tuple[list[np.ndarray], np.ndarray]:
+def context(ids: np.ndarray, ends: np.ndarray, words: int, scale: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
     """Rows of the tables for every token, and the last frequent word before it in its text.
 
     ids: rank of each token, `words` for all others. Before a text's start stands `words` + 1.
+    scale: how many times their least size the tables have.
     """
     n = len(ids)
     starts = np.zeros(n, dtype=np.int64)
@@ -146,7 +166,7 @@ def context(ids: np.ndarray, ends: np.ndarray, words: int) -> tuple[list[np.ndar
     one, two, three = back(1), back(2), back(3)
     spread = U64(0x9E3779B97F4A7C15)
     keys = (one.astype(U64) * spread, (one.astype(U64) * U64(0x1000003) + two.astype(U64) + U64(7)) * spread, (two.astype(U64) + U64(1 << 20)) * spread, (three.astype(U64) + U64(1 << 21)) * spread)
-    rows = [(texts.mix(k) & U64(size - 1)).astype(np.int64) for k, size in zip(keys, TABLES, strict=True)]
+    rows = [(texts.mix(k) & U64(size * scale - 1)).astype(np.int64) for k, size in zip(keys, TABLES, strict=True)]
     seen = np.where(ids < min(FREQUENT, words), at, -1)
     last = np.concatenate(([-1], np.maximum.accumulate(seen)[:-1]))
     passed = np.where(last >= starts, ids[np.maximum(last, 0)], FREQUENT)
@@ -156,7 +176,7 @@ def context(ids: np.ndarray, ends: np.ndarray, words: int) -> tuple[list[np.ndar
 def fresh(counts: Counts) -> list[np.ndarray]:
     """Weights before training: the classes' own shares."""
     share = np.log(np.maximum(counts.class_tokens, 1e-12) / counts.class_tokens.sum()).astype(np.float32)
-    return [*(np.zeros((size, CLASSES), dtype=np.float32) for size in TABLES), np.repeat(share[None, :], FREQUENT + 1, axis=0)]
+    return [*(np.zeros((size * counts.scale, CLASSES), dtype=np.float32) for size in TABLES), np.repeat(share[None, :], FREQUENT + 1, axis=0)]
 
 
 def _sums(weights: list[np.ndarray], rows: list[np.ndarray], passed: np.ndarray) -> np.ndarray:
@@ -180,7 +200,7 @@ def learn(weights: list[np.ndarray], seen: list[np.ndarray], rows: list[np.ndarr
     grad /= (grad @ np.ones(CLASSES, dtype=grad.dtype))[:, None]
     grad[np.arange(len(classes)), classes] -= 1.0
     for table, count, at in zip(weights, seen, [*rows, passed], strict=True):
-        order = np.argsort(at.astype(np.uint16), kind="stable")  # tables have fewer rows than that
+        order = np.argsort(at.astype(np.min_scalar_type(len(table) - 1)), kind="stable")  # short integers sort faster
         sorted_ = at[order]
         first = np.flatnonzero(np.diff(sorted_, prepend=-1))
         found = sorted_[first]
@@ -213,16 +233,16 @@ def _mean(pieces: DataFrame, shapes: list[tuple[int, ...]]) -> tuple[list[np.nda
     schema = "piece int, weight double, body binary"
     # in two steps, so that no task gets the pieces of all others
     some = pieces.withColumn("salt", F.spark_partition_id() % 8).groupBy("piece", "salt").applyInPandas(lambda pdf: _sum_pieces(pdf.drop(columns="salt")), schema)
-    found = sorted(some.groupBy("piece").applyInPandas(_sum_pieces, schema).collect())
+    found = some.groupBy("piece").applyInPandas(_sum_pieces, schema).collect()
     if not found:
         return None
-    body = np.concatenate([np.frombuffer(zlib.decompress(r["body"]), dtype=np.float32) for r in found])
-    out, at = [], 0
-    for shape in shapes:
-        size = int(np.prod(shape))
-        out.append(body[at:at + size].reshape(shape).copy())
-        at += size
-    return out, float(found[0]["weight"])
+    sizes = [int(np.prod(shape)) for shape in shapes]
+    body = np.empty(sum(sizes), dtype=np.float32)
+    for r in found:
+        own = np.frombuffer(zlib.decompress(r["body"]), dtype=np.float32)
+        body[r["piece"] * _PIECE:r["piece"] * _PIECE + len(own)] = own
+    edges = np.cumsum([0, *sizes])
+    return [body[a:b].reshape(shape) for a, b, shape in zip(edges, edges[1:], shapes, strict=False)], float(found[0]["weight"])
 
 
 class Model:
@@ -268,10 +288,11 @@ def train(rows: DataFrame, counts: Counts, key: str = "doc_id") -> Model:
                 hashes, ends = tokens(part.column("text"))
                 ids = counts.numbers(hashes)
                 ids = np.where((ids < 0) | (ids >= counts.words), counts.words, ids)
-                at, passed = context(ids, ends, counts.words)
+                at, passed = context(ids, ends, counts.words, counts.scale)
                 classes = counts.class_of[ids]
                 top = ids < counts.words
-                pairs += np.bincount(passed[top] * counts.words + ids[top], minlength=len(pairs))
+                met, n = np.unique(passed[top] * counts.words + ids[top], return_counts=True)
+                pairs[met] += n
                 for first in range(0, len(ids), BATCH):
                     cut = slice(first, first + BATCH)
                     learn(own, seen, [x[cut] for x in at], passed[cut], classes[cut])
@@ -281,9 +302,10 @@ def train(rows: DataFrame, counts: Counts, key: str = "doc_id") -> Model:
 
         part = rows.filter(F.pmod(F.xxhash64(key), F.lit(ROUNDS)) == round_).select("text")
         # as many sets of weights as the corpus has tokens for, however many files hold it
-        part = part.coalesce(max(8, counts.tokens // TASK_TOKENS))
+        part = part.coalesce(max(8, counts.tokens // (TASK_TOKENS * counts.scale)))
         # written first, so that no step of the training runs twice
         pieces = session.materialize(part.mapInArrow(work, "piece int, weight double, body binary"), f"weights-{round_}")
+        shared.destroy()
         found = _mean(pieces, [*shapes, pairs.shape])
         if found is not None:
             weights = found[0][:-1]
@@ -307,7 +329,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame, key: str = "doc_id",
             hashes, ends = tokens(part.column("text"))
             ranks = counts.numbers(hashes)
             ids = np.where((ranks < 0) | (ranks >= counts.words), counts.words, ranks)
-            at, passed = context(ids, ends, counts.words)
+            at, passed = context(ids, ends, counts.words, counts.scale)
             classes, log = counts.class_of[ids], np.zeros(len(ids))
             for first in range(0, len(ids), BATCH):
                 cut = slice(first, first + BATCH)
@@ -348,6 +370,7 @@ def score(docs: DataFrame, model: Model, table: DataFrame, key: str = "doc_id",
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     held = session.materialize(rows.mapInArrow(
         work, f"row long, key {kind}, n_tokens long, n_known long, base double, score double, token long, n long"), "scores")
+    shared.destroy()
     # the counts of rarer tokens; a token that training lacks counts 0
     far = held.filter("token is not null").select("row", "token", F.col("n").alias("times"))
     log = F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH)) * F.col("times")

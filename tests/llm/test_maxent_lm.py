@@ -109,3 +109,32 @@ def test_end_tokens_follow_each_text():
 def test_the_class_model_has_64_classes_at_least():
     counts = maxent_lm.Counts(25_000, 300, texts.mix(np.arange(1, 201, dtype=np.uint64)), np.arange(200, 0, -1))
     assert len(set(counts.class_of.tolist())) >= 64 and all(w.shape[1] >= 64 for w in maxent_lm.fresh(counts))
+
+
+def test_sizes_follow_the_corpus():
+    """Twice the words and rows for four times the tokens, up to what a task can hold."""
+    unit, many = maxent_lm.SCALE_TOKENS, np.arange(maxent_lm.HOT, 0, -1)
+    assert [maxent_lm.scale(n) for n in (0, 1, unit, 4 * unit - 1, 4 * unit, 16 * unit, 63 * unit, 64 * unit, 10**15)] == [1, 1, 1, 1, 2, 4, 4, 8, 8]
+    for times in (1, 2, 4, 8):
+        counts = maxent_lm.Counts(times * times * unit, 1 << 20, texts.mix(np.arange(1, len(many) + 1, dtype=np.uint64)), many)
+        assert counts.words == times * maxent_lm.WORDS <= maxent_lm.HOT
+        weights = maxent_lm.fresh(counts)
+        assert [len(w) for w in weights[:-1]] == [times * n for n in maxent_lm.TABLES]
+        rows, _ = maxent_lm.context(np.arange(counts.words), np.array([counts.words - 1]), counts.words, counts.scale)
+        assert all(n * times > r.max() >= n * times * 0.9 for n, r in zip(maxent_lm.TABLES, rows, strict=True))
+
+
+def test_a_larger_model_sums_to_one_and_keeps_the_base(odd, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "SCALE_TOKENS", 64)
+    docs = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    found = maxent_lm.fit_and_score(odd, F.lit(True)).collect()
+    check(docs, found, lambda d: True)
+    assert all(r["score"] <= 0 for r in found)
+    _, counts = maxent_lm.gather(odd)
+    assert counts.scale == maxent_lm.MAX_SCALE
+    model = maxent_lm.train(odd, counts)
+    rows, passed = maxent_lm.context(np.arange(counts.words), np.array([counts.words - 1]), counts.words, counts.scale)
+    classes = np.exp(maxent_lm.class_logs(model.weights, rows, passed).astype(np.float64))
+    for at in range(counts.words):
+        total = classes[at, maxent_lm.CLASSES - 1] + (classes[at, counts.class_of[:-1]] * np.exp(model.within[passed[at]])).sum()
+        assert total == pytest.approx(1, abs=1e-3)
