@@ -15,17 +15,22 @@ segment -1 closes a shard with the number of its ids. The payload is a sequence
 32-bit words of a range coder with 64-bit state. Every block starts anew and is read
 alone.
 
-Model of one id, the weighted sum of three distributions whose counts all start
-anew with a block. Order 0 takes an id as three digits and counts each digit after
-those before it; older counts are halved in time. Orders 2 and 1 hold the id that
-last followed the two ids or the one id before, with a count of how often it came
-true: this id has the chance that such guesses came true with this count so far, all
-others share the rest as order 0 has them. Weights, for each pair of counts, follow
-the part that each order has in the chance of the ids that came. The coder first
-decides between the two expected ids, each by its chance under the sum, and all
-others, which order 0 then tells apart; what it gives to the expected ids there stays
-unused. All of this is integer arithmetic. Blocks are coded in lockstep, one id of
-each per step, as array operations.
+Model of one id. Within a block ids are numbered as they first come; the payload
+starts with how many distinct ids there are and these ids, each under a fixed chance that
+falls with the id, as a tokenizer learns frequent tokens first. Numbers are coded under
+the weighted sum of three distributions whose counts all start anew with a block. Order
+0 has an adaptive chance that the next new number comes, and counts the numbers that came
+before as two digits, the second after the first; older counts are halved in time. Orders
+2 and 1 hold the number that last followed the two numbers or the one number before, with
+a count of how often it came true: this number has the chance that such guesses came true
+with this count so far, all others share the rest as order 0 has them. Weights, for each
+pair of counts, follow the part that each order has in the chance of the numbers that
+came. The coder first decides between the two expected numbers, each by its chance under
+the sum, a new one, and all others, which order 0 then tells apart; what it gives to the
+expected numbers there stays unused. Chances are 32-bit floats of which only sums, products and
+quotients are taken, one by one, so that they are the same wherever they are computed;
+intervals are whole numbers. Blocks are coded in lockstep, one id of each per step, as
+array operations.
 
 Defined cases: null counts as empty text, which has the end id alone; repeated
 rows are documents of their own; rows of one id follow each other in an order fixed
@@ -38,7 +43,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -63,135 +67,150 @@ HELD = 500_000
 U64 = np.uint64
 _TOP = U64(1 << 32)
 _LOW = U64((1 << 32) - 1)
-#: Parts of an interval that decide between the two expected ids and all others.
+#: Parts of an interval that decide between the two expected numbers, a new one and all others; those that chances share out.
 _DECIDE_BITS = 14
 _DECIDE = 1 << _DECIDE_BITS
-#: Contexts that orders 2 and 1 of one block hold apart; a slot has 20 bits of an id, 3 of its count, 8 that check the context.
-_SLOTS = (1 << 12, 1 << 11)
+_SHARED = _DECIDE - 36
+#: Numbers that a block of this length or less has room for; twice as many for longer ones, until they have room.
+_NUMBERS = 1 << 11
+#: Contexts that order 2 of one block holds apart; a slot has 20 bits of a number, 3 of its count, 8 that check the context.
+_SLOTS = 1 << 12
 _ID_BITS, _CHECK_BIT, _MAX_COUNT = 20, 23, 7
 _ID = (1 << _ID_BITS) - 1
-#: How fast chances and weights follow what comes, as shifts, and the least weight.
-_RATE, _WEIGHT_RATE, _LEAST = 5, 4, 1 << 10
-#: Order 0: what an id adds to its counts, the sum at which counts are halved, and how much small first digits lead at a start.
-_INCREMENT, _MAX_SUM, _PRIOR = 24, 1 << 13, 64
+_COUNTS = _MAX_COUNT + 1
+#: How fast chances and weights follow what comes, and the least weight.
+_RATE, _WEIGHT_RATE, _LEAST = 1 / 32, 1 / 16, 1 / 64
+#: Order 0: what a number adds to its counts, and the sum at which counts are halved.
+_INCREMENT, _MAX_SUM = 24, 1 << 13
+#: Bits of the chances of first ids, at least, and the id from which on these fall.
+_PRIOR_BITS, _PRIOR = 20, 300
 _POSITIVE = (1 << 63) - 1
-#: UTF-8 of the blanks of Unicode that do not cut words.
-_OTHER_BLANKS = re.compile(b"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: First bytes of the blanks of Unicode that do not cut words.
+_BLANK_LEADS = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3])
+
 
 
 class Mixer:
-    """Model state of many blocks in lockstep: rows of each table for a block, all as new at its start."""
+    """Model state of many blocks in lockstep: rows of each table for a block, all as new at its start.
+
+    size: numbers that a block may have.
+    """
 
     def __init__(self, lanes: int, size: int):
-        self.radix = next(r for r in range(2, 1 << 7) if r ** 3 >= size)
+        assert size <= _ID + 1
+        self.size = size
+        #: Bits of the second digit of a number.
+        self.bits = -(-(size - 1).bit_length() // 2)
         self.lane = np.arange(lanes, dtype=np.int64)
-        #: Last ids that followed a context, and the chances that such an id comes, by its count.
-        self.slots = [np.zeros(lanes * n, dtype=np.int32) for n in _SLOTS]
-        self.chances = [np.full(lanes * (_MAX_COUNT + 1), 1 << 15, dtype=np.int32) for _ in _SLOTS]
-        #: Weights of order 2 and order 1 of 2 ** 16, by both counts; the rest is that of order 0.
-        self.weights = [np.full(lanes * (_MAX_COUNT + 1) ** 2, 21845, dtype=np.int32) for _ in _SLOTS]
-        # order 0: sums of counts of the digits of an id, each digit after those before it
-        width = self.radix + 1
-        even = np.arange(width, dtype=np.uint16)
-        first = np.concatenate(([0], np.cumsum(1 + _PRIOR // np.arange(1, width)))).astype(np.uint16)
-        self.sums = [np.tile(first, (lanes, 1)), *(np.tile(even, (lanes * self.radix ** k, 1)) for k in (1, 2))]
-        self.flat = [table.reshape(-1) for table in self.sums]
-        self.whole_rows = [table.view(np.dtype((np.void, 2 * width))).ravel() for table in self.sums]
-        self.steps = ((np.arange(width)[None, :] > np.arange(self.radix)[:, None]) * _INCREMENT).astype(np.uint16)
-        self.last, self.before = np.zeros(lanes, dtype=np.int64), np.zeros(lanes, dtype=np.int64)
-
-    def digits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """An id as three digits."""
-        upper, low = np.divmod(ids, self.radix)
-        top, middle = np.divmod(upper, self.radix)
-        return top, middle, low
-
-    def row(self, level: int, lane: np.ndarray, upper: np.ndarray | None = None) -> np.ndarray:
-        """Rows of a level's sums for the number that the digits before it form."""
-        return lane if level == 0 else lane * self.radix ** level + upper
+        #: Last numbers that followed a context, and the chances that such a number comes, by its count; none without one.
+        self.slots = [np.zeros(lanes * n, dtype=np.int32) for n in (_SLOTS, size)]
+        self.chances = [np.tile(np.where(np.arange(_COUNTS) > 0, 0.5, 0.0).astype(np.float32), lanes) for _ in self.slots]
+        #: Chances of a new number, by the count of order 1.
+        self.fresh = np.full(lanes * _COUNTS, 0.5, dtype=np.float32)
+        #: Weights of order 2 and order 1, by both counts; the rest is that of order 0.
+        self.weights = [np.full(lanes * _COUNTS ** 2, 1 / 3, dtype=np.float32) for _ in self.slots]
+        # order 0: sums of counts of the digits of a number, the second after the first; number 0 always has one
+        tops = (size - 1 >> self.bits) + 1
+        self.widths = (tops + 1, (1 << self.bits) + 1)
+        self.sums = [np.zeros((rows, width), dtype=np.uint16) for rows, width in zip((lanes, lanes * tops), self.widths, strict=True)]
+        for table, step in zip(self.sums, (1, tops), strict=True):
+            table[::step, 1:] = 1
+        self.tops, self.flat = tops, [table.reshape(-1) for table in self.sums]
+        self.whole_rows = self.sums[1].view(np.dtype((np.void, 2 * self.widths[1]))).ravel()
+        self.steps = [((np.arange(w)[None, :] > np.arange(w - 1)[:, None]) * _INCREMENT).astype(np.uint16) for w in self.widths]
+        self.last, self.before, self.seen = (np.zeros(lanes, dtype=np.int64) for _ in range(3))
 
     def share(self, level: int, row: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and width of a digit, and their whole."""
-        at, flat = row * (self.radix + 1), self.flat[level]
-        start = flat.take(at + digit).astype(np.int64)
-        return start, flat.take(at + digit + 1) - start, flat.take(at + self.radix).astype(np.int64)
-
-    def chance0(self, lane: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Chance of ids under order 0, of 2 ** 16."""
-        chance, upper = np.full(len(ids), 1 << 16, dtype=np.int64), None
-        for level, digit in enumerate(self.digits(ids)):
-            _, width, whole = self.share(level, self.row(level, lane, upper), digit)
-            chance = chance * width // whole
-            upper = digit if upper is None else upper * self.radix + digit
-        return chance
+        at, flat = row * self.widths[level], self.flat[level]
+        own = at + digit
+        start = flat.take(own)
+        return start.astype(np.int64), (flat.take(own + 1) - start).astype(np.int64), flat.take(at + self.widths[level] - 1).astype(np.int64)
+
+    def digits(self, lane: np.ndarray, numbers: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+        """Row and digit on either level."""
+        top = numbers >> self.bits
+        return (lane, top), (lane * self.tops + top, numbers & (1 << self.bits) - 1)
+
+    def chance0(self, lane: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Chance of numbers that came before, among these, under order 0."""
+        chances = []
+        for flat, width, (row, digit) in zip(self.flat, self.widths, self.digits(lane, numbers), strict=True):
+            at = row * width
+            own = at + digit
+            chances.append(np.subtract(flat.take(own + 1), flat.take(own), dtype=np.float32) / flat.take(at + width - 1))
+        return chances[0] * chances[1]
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids that order 2 and order 1 expect, and the ends of their shares of 2 ** _DECIDE_BITS, of the first n blocks.
+        """Numbers that order 2 and order 1 expect, and the ends of their shares of _DECIDE, of the first n blocks.
 
-        Each order is a distribution over all ids: orders 2 and 1 give the id they
-        expect its chance and spread the rest as order 0 does. The share of an
-        expected id is its chance under the weighted sum of the three.
+        Each order is a distribution over all numbers: orders 2 and 1 give the one
+        they expect its chance and spread the rest as order 0 does. The share of an
+        expected number is its chance under the weighted sum of the three. The share
+        of a new number ends at `end_new`.
         """
-        lane, self.n = self.lane[:n], n
-        keys = (self.last[:n] * 0x9E3779B1 + self.before[:n] * 0x85EBCA6B + 1, self.last[:n] * 0xC2B2AE35)
-        self.at, self.check, self.held, self.id, self.count, self.spot, self.chance = [], [], [], [], [], [], []
-        for key, slots, size, chances in zip(keys, self.slots, _SLOTS, self.chances, strict=True):
-            key = (key ^ (key >> 15)) * 0x2545F491
-            at, check = lane * size + ((key >> 20) & (size - 1)), (key >> 34) & 0xFF
-            held = slots.take(at)
-            count = np.where(held >> _CHECK_BIT == check, held >> _ID_BITS & _MAX_COUNT, 0)
-            spot = lane * (_MAX_COUNT + 1) + count
-            for store, value in zip((self.at, self.check, self.id, self.count, self.spot, self.chance),
-                                    (at, check, held & _ID, count, spot, chances.take(spot) * (count > 0)), strict=True):
-                store.append(value)
-        (id2, id1), (count2, count1), (chance2, chance1) = self.id, self.count, self.chance
-        self.context = (lane * (_MAX_COUNT + 1) + count2) * (_MAX_COUNT + 1) + count1
-        self.weight2, self.weight1 = (w.take(self.context).astype(np.int64) for w in self.weights)
-        self.rare2, self.rare1 = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-        some2, some1 = np.flatnonzero(count2), np.flatnonzero(count1)
-        rare = self.chance0(np.concatenate((some2, some1)), np.concatenate((id2.take(some2), id1.take(some1))))
-        self.rare2[some2], self.rare1[some1] = rare[:len(some2)], rare[len(some2):]
-        same = (id1 == id2) & (count2 > 0)
-        part2, part1 = self.weight2 * chance2 >> 16, self.weight1 * chance1 >> 16
-        spread = (1 << 16) - part2 - part1
-        share2 = part2 + part1 * same + (spread * self.rare2 >> 16)
-        share1 = part1 + (spread * self.rare1 >> 16)
-        # at least one part for each that has an id, and some for all others
-        end2 = ((share2 * (_DECIDE - 34) >> 16) + 1) * (count2 > 0)
-        end1 = end2 + ((share1 * (_DECIDE - 34) >> 16) + 1) * ((count1 > 0) & ~same)
+        lane, last, self.n = self.lane[:n], self.last[:n], n
+        key = last * 0x9E3779B1 + self.before[:n] * 0x85EBCA6B + 1
+        key = (key ^ (key >> 15)) * 0x2545F491
+        self.check = (key >> 34 & 0xFF).astype(np.int32)
+        self.at = (lane * _SLOTS + (key >> 20 & _SLOTS - 1), lane * self.size + last)
+        held2, held1 = (slots.take(at) for slots, at in zip(self.slots, self.at, strict=True))
+        count2, count1 = np.where(held2 >> _CHECK_BIT == self.check, held2 >> _ID_BITS & _MAX_COUNT, 0), held1 >> _ID_BITS
+        id2, id1 = held2 & _ID, held1 & _ID
+        self.id, self.count, self.has = (id2, id1), (count2, count1), (count2 > 0, count1 > 0)
+        self.spot = (lane * _COUNTS + count2, lane * _COUNTS + count1)
+        self.chance = tuple(chances.take(spot) for chances, spot in zip(self.chances, self.spot, strict=True))
+        self.context = self.spot[0] * _COUNTS + count1
+        self.weight = tuple(w.take(self.context) for w in self.weights)
+        new = self.fresh.take(self.spot[1])
+        rare = self.chance0(np.concatenate((lane, lane)), np.concatenate(self.id))
+        rare2, rare1 = self.rare = rare[:n] * (1 - new), rare[n:] * (1 - new)
+        alone = self.has[1] & (id1 != id2) | ~self.has[0]
+        part2, part1 = self.weight[0] * self.chance[0], self.weight[1] * self.chance[1]
+        spread = 1 - part2 - part1
+        # at least one part for each that has a number and for a new one, and some for all others
+        end2 = ((part2 + np.where(alone, 0, part1) + spread * rare2) * _SHARED + 1).astype(np.int64) * self.has[0]
+        end1 = end2 + ((part1 + spread * rare1) * _SHARED + 1).astype(np.int64) * (alone & self.has[1])
+        self.end_new = end1 + (spread * new * _SHARED + 1).astype(np.int64)
         return id2, id1, end2, end1
 
-    def learn(self, ids: np.ndarray) -> None:
-        """Take in the ids that came to the first n blocks."""
-        n, lane = self.n, self.lane[:self.n]
-        hits = [(ids == found) & (count > 0) for found, count in zip(self.id, self.count, strict=True)]
+    def learn(self, numbers: np.ndarray) -> None:
+        """Take in the numbers that came to the first n blocks."""
+        n, lane, (weight2, weight1) = self.n, self.lane[:self.n], self.weight
+        new = numbers >= self.seen[:n]
+        self.seen[:n] = np.maximum(self.seen[:n], numbers + 1)
+        numbers = numbers.astype(np.int32)
+        hits = [(numbers == found) & has for found, has in zip(self.id, self.has, strict=True)]
         # weights follow the share that each order has in the chance of what came
-        rare = np.where(hits[0], self.rare2, np.where(hits[1], self.rare1, 1 << 16))
-        fits = [w * ((hit * c) + (((1 << 16) - c) * rare >> 16)) for w, hit, c in zip((self.weight2, self.weight1), hits, self.chance, strict=True)]
-        whole = fits[0] + fits[1] + ((1 << 16) - self.weight2 - self.weight1) * rare + 1
-        weight2 = self.weight2 + (((fits[0] << 16) // whole - self.weight2) >> _WEIGHT_RATE)
-        weight1 = self.weight1 + (((fits[1] << 16) // whole - self.weight1) >> _WEIGHT_RATE)
-        weight2 = np.clip(weight2, _LEAST, (1 << 16) - 3 * _LEAST)
-        self.weights[0][self.context] = weight2
-        self.weights[1][self.context] = np.clip(weight1, _LEAST, (1 << 16) - _LEAST - weight2)
-        for k, hit in enumerate(hits):
-            count, chance = self.count[k], self.chances[k].take(self.spot[k])
-            self.chances[k][self.spot[k]] = chance + (((hit.astype(np.int32) << 16) - chance) >> _RATE)
+        rare = np.where(hits[0], self.rare[0], np.where(hits[1], self.rare[1], 1.0))
+        fits = [w * (hit * c + (1 - c) * rare) for w, hit, c in zip(self.weight, hits, self.chance, strict=True)]
+        whole = fits[0] + fits[1] + (1 - weight2 - weight1) * rare
+        weight2 = np.minimum(np.maximum(weight2 + (fits[0] / whole - weight2) * _WEIGHT_RATE, _LEAST), 1 - 3 * _LEAST)
+        weight1 = np.minimum(np.maximum(weight1 + (fits[1] / whole - weight1) * _WEIGHT_RATE, _LEAST), 1 - _LEAST - weight2)
+        self.weights[0][self.context], self.weights[1][self.context] = weight2, weight1
+        self.fresh[self.spot[1]] += (new - self.fresh.take(self.spot[1])) * _RATE
+        for k, (hit, count, chance) in enumerate(zip(hits, self.count, self.chance, strict=True)):
+            self.chances[k][self.spot[k]] = chance + (hit - chance) * _RATE
             # a right guess gains trust; a wrong one that was often right stays once more, with less of it
-            stays = ~hit & (count > 2)
+            stays = count > 2
             trust = np.where(hit, np.minimum(count + 1, _MAX_COUNT), np.where(stays, count >> 1, 1))
-            self.slots[k][self.at[k]] = np.where(stays, self.id[k], ids) | trust << _ID_BITS | self.check[k] << _CHECK_BIT
-        upper = None
-        for level, digit in enumerate(self.digits(ids)):
-            row = self.row(level, lane, upper)
-            sums = self.sums[level].take(row, axis=0)
-            sums += self.steps.take(digit, axis=0)
-            full = np.flatnonzero(sums[:, -1] > _MAX_SUM)
-            if len(full):  # older counts weigh less
-                sums[full, 1:] = np.cumsum((np.diff(sums[full].astype(np.int64), axis=1) + 1) >> 1, axis=1)
-            self.whole_rows[level][row] = sums.view(self.whole_rows[level].dtype).ravel()
-            upper = digit if upper is None else upper * self.radix + digit
-        self.before[:n], self.last[:n] = self.last[:n].copy(), ids
+            held = np.where(stays, self.id[k], numbers) | trust << _ID_BITS
+            self.slots[k][self.at[k]] = held if k else held | self.check << _CHECK_BIT
+        (_, top), (row, low) = self.digits(lane, numbers)
+        sums = self.sums[0][:n]
+        sums += self.steps[0].take(top, axis=0)
+        self.halve(sums)
+        sums = self.sums[1].take(row, axis=0)
+        sums += self.steps[1].take(low, axis=0)
+        self.halve(sums)
+        self.whole_rows[row] = sums.view(self.whole_rows.dtype).ravel()
+        self.before[:n], self.last[:n] = self.last[:n].copy(), numbers
+
+    def halve(self, sums: np.ndarray) -> None:
+        """Let older counts weigh less in full rows."""
+        full = np.flatnonzero(sums[:, -1] > _MAX_SUM)
+        if len(full):
+            sums[full, 1:] = np.cumsum((np.diff(sums[full].astype(np.int64), axis=1) + 1) >> 1, axis=1)
 
 
 class Interval:
@@ -200,10 +219,10 @@ class Interval:
     def __init__(self, lanes: int):
         self.low, self.span = np.zeros(lanes, dtype=U64), np.full(lanes, (1 << 64) - 1, dtype=U64)
 
-    def narrow(self, n: int, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        """Take a part of the first n intervals."""
-        self.low[:n] += unit * start.view(U64)
-        self.span[:n] = unit * width.view(U64)
+    def narrow(self, which: slice | np.ndarray, unit: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        """Take a part of some intervals."""
+        self.low[which] += unit * start.view(U64)
+        self.span[which] = unit * width.view(U64)
 
     def settled(self, n: int):
         """Blocks whose upper word is settled, again until none is; they move on by one word."""
@@ -220,24 +239,59 @@ class Interval:
             which = which[((own ^ (own + wide)) < _TOP) | (wide < _TOP)]
 
 
-def _in_order(sizes: list[int]) -> tuple[list[int], np.ndarray, list[int]]:
-    """Blocks by descending size, their sizes, and how many are longer than each step."""
-    order = sorted(range(len(sizes)), key=lambda k: -sizes[k])
-    lengths = np.array([sizes[k] for k in order], dtype=np.int64)
-    steps = int(lengths[0]) if len(lengths) else 0
-    return order, lengths, np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+@functools.lru_cache(maxsize=2)
+def _prior(size: int) -> tuple[int, np.ndarray]:
+    """Bits of the chances of first ids, and the bounds of the ids in them."""
+    bits = max(_PRIOR_BITS, size.bit_length() + 2)
+    # in whole numbers, so that the bounds are the same everywhere
+    weights = (1 << 30) // (_PRIOR + np.arange(size, dtype=np.int64))
+    widths = 1 + weights * ((1 << bits) - size) // weights.sum()
+    return bits, np.concatenate(([0], np.cumsum(widths)))
+
+
+def _room(size: int) -> int:
+    """Numbers that a block of `size` ids has room for."""
+    return max(_NUMBERS, 1 << (size - 1).bit_length())
+
+
+def _in_order(sizes: list[int]) -> Iterator[tuple[int, list[int], list[int]]]:
+    """Room, blocks by descending size, and how many are longer than each step, of all blocks with the same room."""
+    rooms: dict[int, list[int]] = {}
+    for k, size in enumerate(sizes):
+        rooms.setdefault(_room(size), []).append(k)
+    for room, own in rooms.items():
+        order = sorted(own, key=lambda k: -sizes[k])
+        lengths = np.array([sizes[k] for k in order], dtype=np.int64)
+        yield room, order, np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left").tolist()
+
+
+def _numbered(block: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids numbered as they first come, and the distinct ids in this order. first: room for one place of each id."""
+    places = np.arange(len(block))
+    first[block[::-1]] = places[::-1]  # the last one written is the first that comes
+    at = first[block]
+    new = at == places
+    return (np.cumsum(new) - 1)[at], block[new]
 
 
 def encode_blocks(blocks: list[np.ndarray], size: int) -> list[bytes]:
     """Payloads of blocks of ids below `size`, coded in lockstep."""
-    order, lengths, active = _in_order([len(b) for b in blocks])
-    lanes = len(blocks)
-    if not lanes:
-        return []
+    payloads = [b""] * len(blocks)
+    first = np.zeros(size, dtype=np.int64)
+    for room, order, active in _in_order([len(b) for b in blocks]):
+        numbers, ids = zip(*(_numbered(blocks[k], first) for k in order), strict=True)
+        for k, distinct, payload in zip(order, ids, _encode(numbers, ids, active, room, size), strict=True):
+            payloads[k] = len(distinct).to_bytes(4, "little") + payload
+    return payloads
+
+
+def _encode(numbers: tuple[np.ndarray, ...], ids: tuple[np.ndarray, ...], active: list[int], room: int, size: int) -> list[bytes]:
+    """Range coded blocks: their distinct ids, then the numbers."""
+    lanes = len(numbers)
     grid = np.zeros((len(active), lanes), dtype=np.int32)
-    for lane, k in enumerate(order):
-        grid[:len(blocks[k]), lane] = blocks[k]
-    mixer, interval = Mixer(lanes, size), Interval(lanes)
+    for lane, own in enumerate(numbers):
+        grid[:len(own), lane] = own
+    mixer, interval = Mixer(lanes, room), Interval(lanes)
     out_word, out_lane = [], []
 
     def settle(n: int) -> None:
@@ -245,25 +299,29 @@ def encode_blocks(blocks: list[np.ndarray], size: int) -> list[bytes]:
             out_word.append(word.astype(np.uint32))
             out_lane.append(which)
 
-    with np.errstate(over="ignore"):
-        for step, n in enumerate(active):
-            ids = grid[step, :n].astype(np.int64)
-            id2, id1, end2, end1 = mixer.predict(n)
-            hit2 = (ids == id2) & (end2 > 0)
-            hit1 = (ids == id1) & (end1 > end2) & ~hit2
-            hit = hit2 | hit1
-            start = np.where(hit2, 0, np.where(hit1, end2, end1))
-            width = np.where(hit2, end2, np.where(hit1, end1 - end2, _DECIDE - end1))
-            interval.narrow(n, interval.span[:n] >> U64(_DECIDE_BITS), start, width)
-            upper = None
-            for level, digit in enumerate(mixer.digits(ids)):
-                start, width, whole = mixer.share(level, mixer.row(level, mixer.lane[:n], upper), digit)
-                unit = interval.span[:n] // np.where(hit, 1, whole).view(U64)
-                interval.narrow(n, unit, np.where(hit, 0, start), np.where(hit, 1, width))
-                upper = digit if upper is None else upper * mixer.radix + digit
-                if level != 1:
-                    settle(n)
-            mixer.learn(ids)
+    distinct = np.array([len(x) for x in ids])
+    bits, bounds = _prior(size)
+    every, starts = np.concatenate(ids), np.cumsum(distinct) - distinct
+    for step in range(int(distinct.max())):
+        which = np.flatnonzero(distinct > step)
+        got = every[starts[which] + step]
+        interval.narrow(which, interval.span[which] >> U64(bits), bounds[got], bounds[got + 1] - bounds[got])
+        settle(lanes)
+    for step, n in enumerate(active):
+        own = grid[step, :n].astype(np.int64)
+        id2, id1, end2, end1 = mixer.predict(n)
+        hit2 = (own == id2) & mixer.has[0]
+        hit1 = (own == id1) & (end1 > end2) & ~hit2
+        new = own >= mixer.seen[:n]
+        start = np.where(hit2, 0, np.where(hit1, end2, np.where(new, end1, mixer.end_new)))
+        end = np.where(hit2, end2, np.where(hit1, end1, np.where(new, mixer.end_new, _DECIDE)))
+        interval.narrow(slice(n), interval.span[:n] >> U64(_DECIDE_BITS), start, end - start)
+        rest = np.flatnonzero(~(hit2 | hit1 | new))
+        for level, (row, digit) in enumerate(mixer.digits(rest, own[rest])):
+            start, width, whole = mixer.share(level, row, digit)
+            interval.narrow(rest, interval.span[rest] // whole.view(U64), start, width)
+            settle(n)
+        mixer.learn(own)
     # 64 bits settle the rest
     for word in (interval.low >> U64(32), interval.low & _LOW):
         out_word.append(word.astype(np.uint32))
@@ -271,66 +329,76 @@ def encode_blocks(blocks: list[np.ndarray], size: int) -> list[bytes]:
     lane_of, words = np.concatenate(out_lane), np.concatenate(out_word)
     words = words[np.argsort(lane_of, kind="stable")].astype("<u4")
     cuts = np.concatenate(([0], np.cumsum(np.bincount(lane_of, minlength=lanes))))
-    payloads: list[bytes] = [b""] * lanes
-    for lane, k in enumerate(order):
-        payloads[k] = words[cuts[lane]:cuts[lane + 1]].tobytes()
-    return payloads
+    return [words[a:b].tobytes() for a, b in itertools.pairwise(cuts.tolist())]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int], size: int) -> list[np.ndarray]:
     """Ids of blocks, decoded in lockstep."""
-    order, lengths, active = _in_order(sizes)
+    out: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * len(payloads)
+    for room, order, active in _in_order(sizes):
+        for k, ids in zip(order, _decode([payloads[k] for k in order], [sizes[k] for k in order], active, room, size), strict=True):
+            out[k] = ids
+    return out
+
+
+def _decode(payloads: list[bytes], sizes: list[int], active: list[int], room: int, size: int) -> Iterator[np.ndarray]:
     lanes = len(payloads)
-    if not lanes:
-        return []
-    # two words of zeros after each payload, as its end may be read ahead
-    parts = [np.concatenate((np.frombuffer(payloads[k], dtype="<u4"), np.zeros(2, dtype="<u4"))) for k in order]
+    # two words of zeros after each payload, as its end may be read ahead; a damaged number of ids stays within bounds, its checksum tells
+    parts = [np.concatenate((np.frombuffer(p, dtype="<u4"), np.zeros(2, dtype="<u4"))) for p in payloads]
+    distinct = np.array([min(max(int(p[0]), 1), n) for p, n in zip(parts, sizes, strict=True)])
     words = np.concatenate(parts).astype(U64)
-    at = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1])).astype(np.int64)
-    limit = np.concatenate((at[1:], [len(words)])) - 1
+    at = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1])).astype(np.int64) + 1
+    limit = np.concatenate((at[1:] - 1, [len(words)])) - 1
     code = (words[at] << U64(32)) | words[at + 1]
     at += 2
-    mixer, interval = Mixer(lanes, size), Interval(lanes)
-    grid = np.zeros((len(active), lanes), dtype=np.int32)
+    mixer, interval = Mixer(lanes, room), Interval(lanes)
 
     def settle(n: int) -> None:
         for which, _ in interval.settled(n):
             code[which] = (code[which] << U64(32)) | words[np.minimum(at[which], limit[which])]
             at[which] += 1
 
-    def point(n: int, unit: np.ndarray, whole: np.ndarray | int) -> np.ndarray:
+    def point(which: slice | np.ndarray, unit: np.ndarray, whole: np.ndarray | int) -> np.ndarray:
         # a block that is damaged may point outside; its checksum tells
-        return np.minimum(((code[:n] - interval.low[:n]) // unit).view(np.int64) & _POSITIVE, whole - 1)
-
-    with np.errstate(over="ignore"):
-        for step, n in enumerate(active):
-            id2, id1, end2, end1 = mixer.predict(n)
-            unit = interval.span[:n] >> U64(_DECIDE_BITS)
-            here = point(n, unit, _DECIDE)
-            hit2, hit = here < end2, here < end1
-            start = np.where(hit2, 0, np.where(hit, end2, end1))
-            width = np.where(hit2, end2, np.where(hit, end1 - end2, _DECIDE - end1))
-            interval.narrow(n, unit, start, width)
-            found = mixer.digits(np.where(hit2, id2, id1))
-            upper = None
-            for level in range(3):
-                row = mixer.row(level, mixer.lane[:n], upper)
-                sums = mixer.sums[level].take(row, axis=0)
-                whole = np.where(hit, 1, sums[:, -1].astype(np.int64))
-                unit = interval.span[:n] // whole.view(U64)
-                here = point(n, unit, whole)
-                digit = np.where(hit, found[level], (sums[:, 1:] <= here.astype(np.uint16)[:, None]).sum(axis=1))
-                start, width, _ = mixer.share(level, row, digit)
-                interval.narrow(n, unit, np.where(hit, 0, start), np.where(hit, 1, width))
-                upper = digit if upper is None else upper * mixer.radix + digit
-                if level != 1:
-                    settle(n)
-            grid[step, :n] = upper
-            mixer.learn(upper)
-    out: list[np.ndarray] = [np.empty(0, dtype=np.int32)] * lanes
-    for lane, k in enumerate(order):
-        out[k] = grid[:sizes[k], lane].copy()
-    return out
+        return np.minimum(((code[which] - interval.low[which]) // unit).view(np.int64) & _POSITIVE, whole - 1)
+
+    bits, bounds = _prior(size)
+    ids = np.zeros((lanes, int(distinct.max())), dtype=np.int32)
+    for step in range(ids.shape[1]):
+        which = np.flatnonzero(distinct > step)
+        unit = interval.span[which] >> U64(bits)
+        got = np.searchsorted(bounds, point(which, unit, int(bounds[-1])), "right") - 1
+        interval.narrow(which, unit, bounds[got], bounds[got + 1] - bounds[got])
+        settle(lanes)
+        ids[which, step] = got
+    grid = np.zeros((len(active), lanes), dtype=np.int32)
+    for step, n in enumerate(active):
+        id2, id1, end2, end1 = mixer.predict(n)
+        end_new = mixer.end_new
+        unit = interval.span[:n] >> U64(_DECIDE_BITS)
+        here = point(slice(n), unit, _DECIDE)
+        hit2, hit, known = here < end2, here < end1, here < end_new
+        start = np.where(hit2, 0, np.where(hit, end2, np.where(known, end1, end_new)))
+        end = np.where(hit2, end2, np.where(hit, end1, np.where(known, end_new, _DECIDE)))
+        interval.narrow(slice(n), unit, start, end - start)
+        own = np.where(hit2, id2, np.where(hit, id1, np.minimum(mixer.seen[:n], room - 1)))
+        rest = np.flatnonzero(~known)
+        row = rest
+        for level in range(2):
+            sums = mixer.sums[level].take(row, axis=0)
+            whole = sums[:, -1].astype(np.int64)
+            unit = interval.span[rest] // whole.view(U64)
+            digit = (sums[:, 1:] <= point(rest, unit, whole).astype(np.uint16)[:, None]).sum(axis=1)
+            start, width, _ = mixer.share(level, row, digit)
+            interval.narrow(rest, unit, start, width)
+            settle(n)
+            if level == 0:
+                top, row = digit, rest * mixer.tops + digit
+        own[rest] = (top << mixer.bits) + digit
+        grid[step, :n] = own
+        mixer.learn(own)
+    for lane, (n, most) in enumerate(zip(sizes, distinct.tolist(), strict=True)):
+        yield ids[lane][np.minimum(grid[:n, lane], most - 1)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -343,6 +411,16 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def other_blanks(data: np.ndarray) -> np.ndarray:
+    """Where the blanks of Unicode that do not cut words stand in UTF-8."""
+    at = np.flatnonzero(_BLANK_LEADS[data])
+    first, second, third = data[at], *(data[np.minimum(at + k, len(data) - 1)] for k in (1, 2))
+    general = (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF)) | (second == 0x81) & (third == 0x9F)
+    found = (first < 0x20) | (first == 0xC2) & ((second == 0x85) | (second == 0xA0)) | (first == 0xE2) & general
+    found |= (first == 0xE1) & (second == 0x9A) & (third == 0x80) | (first == 0xE3) & (second == 0x80) & (third == 0x80)
+    return at[found]
+
+
 class UnitEncoder:
     """Ids of texts by the tokenizers library, each distinct unit once; units are remembered."""
 
@@ -372,8 +450,7 @@ class UnitEncoder:
         rows = np.concatenate((words.rows, more))
         # the split rule joins other blanks of Unicode with those around them: such a text is one unit
         whole = np.zeros(words.n_rows, dtype=bool)
-        for found in _OTHER_BLANKS.finditer(data.tobytes()):
-            whole[np.searchsorted(offsets, found.start(), "right") - 1] = True
+        whole[np.searchsorted(offsets, other_blanks(data), "right") - 1] = True
         if whole.any():
             cut, at = ~whole[rows], np.flatnonzero(whole)
             starts, ends, rows = np.concatenate((starts[cut], offsets[at])), np.concatenate((ends[cut], offsets[at + 1])), np.concatenate((rows[cut], at))

@@ -135,3 +135,22 @@ def test_order_0_adapts_within_a_block():
     few, many = draw.integers(40_000, 40_020, 2000).astype(np.int32), draw.integers(0, 50_000, 2000).astype(np.int32)
     cost = [len(p) * 8 / 2000 for p in range_coder.encode_blocks([few, many], 50_257)]
     assert cost[0] < 6.5 and cost[1] < 20
+
+
+def test_a_block_of_many_ids_is_small_in_memory_and_longer_ones_are_coded_whole():
+    """Tables of a block follow its length, not the vocabulary; blocks of any lengths go together."""
+    held = [sum(x.nbytes for x in range_coder.Mixer(1, range_coder._room(n)).sums) for n in (1, 2048, 20_000)]
+    assert held[0] == held[1] < 10_000 < held[2]
+    draw = np.random.default_rng(5)
+    blocks = [draw.integers(0, 50_257, n).astype(np.int32) for n in (20_000, 3, 2048, 2049)] + [np.zeros(5000, dtype=np.int32)]
+    payloads = range_coder.encode_blocks(blocks, 50_257)
+    for block, payload, got in zip(blocks, payloads, range_coder.decode_blocks(payloads, [len(b) for b in blocks], 50_257), strict=True):
+        assert (got == block).all() and (range_coder.decode_blocks([payload], [len(block)], 50_257)[0] == block).all()
+
+
+def test_blanks_that_do_not_cut_words_are_found_in_bytes():
+    marks = [c for k in range(0x3100) if (c := chr(k)).isspace() and c not in " \t\n\v\f\r"]
+    text = "a".join(marks) + "é“…”‐⁠、" + "â"
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    want = [len(text[:k].encode()) for k, c in enumerate(text) if c in marks]
+    assert range_coder.other_blanks(data).tolist() == want and not len(range_coder.other_blanks(data[:0]))
