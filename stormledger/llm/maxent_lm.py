@@ -69,6 +69,8 @@ HELD = 400_000
 U64 = texts.U64
 END = U64(0x5E2D58D8B3BCDEF1)
 _PIECE = 1 << 15
+#: Rows of a piece whose gradients are summed one after the other.
+_SUMMED = 16
 
 
 def scale(tokens: int) -> int:
@@ -193,6 +195,29 @@ def class_logs(weights: list[np.ndarray], rows: list[np.ndarray], passed: np.nda
     return total - np.log(np.exp(total) @ np.ones(CLASSES, dtype=total.dtype))[:, None]
 
 
+def _row_sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups, and for each of them the sum of its values; group k has the rows order[first[k]:first[k + 1]].
+
+    Groups are summed in pieces of up to `_SUMMED` rows, the next row of all pieces at a time, and then the pieces alike.
+    """
+    sizes = np.diff(first, append=len(order))
+    pieces = -(-sizes // _SUMMED)
+    starts = np.cumsum(pieces) - pieces
+    at = np.repeat(first, pieces) + _SUMMED * (np.arange(int(pieces.sum())) - np.repeat(starts, pieces))
+    own = np.minimum(np.repeat(first + sizes, pieces) - at, _SUMMED)
+    by = np.argsort((_SUMMED - own).astype(np.uint8), kind="stable")  # longest first
+    at, longer = at[by], np.cumsum(np.bincount(own, minlength=_SUMMED + 1)[::-1])[::-1].tolist()
+    out = values.take(order[at], axis=0)
+    for k in range(1, int(own.max(initial=0))):
+        n = longer[k + 1]
+        out[:n] += values.take(order[at[:n] + k], axis=0)
+    if len(out) == len(first):
+        return by, out
+    where = np.empty(len(by), dtype=np.int64)
+    where[by] = np.arange(len(by))
+    return _row_sums(out, where, starts)
+
+
 def learn(weights: list[np.ndarray], seen: list[np.ndarray], rows: list[np.ndarray], passed: np.ndarray, classes: np.ndarray) -> None:
     """One gradient step; a row's steps shrink with the root of how often it was seen."""
     grad = _sums(weights, rows, passed)
@@ -205,7 +230,10 @@ def learn(weights: list[np.ndarray], seen: list[np.ndarray], rows: list[np.ndarr
         first = np.flatnonzero(np.diff(sorted_, prepend=-1))
         found = sorted_[first]
         count[found] += np.diff(first, append=len(at))
-        table[found] -= STEP * np.add.reduceat(grad.take(order, axis=0), first, axis=0) / np.sqrt(20.0 + count[found]).astype(table.dtype)[:, None]
+        by, total = _row_sums(grad, order, first)
+        found = found[by]
+        total *= (STEP / np.sqrt(20.0 + count[found])).astype(table.dtype)[:, None]
+        table[found] = np.subtract(table.take(found, axis=0), total, out=total)
 
 
 def _pieces(arrays: list[np.ndarray], weight: float) -> pa.RecordBatch:
