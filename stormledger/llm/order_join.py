@@ -18,6 +18,8 @@ Work stays in proportion to the prefixes:
   from which only the pairs come out that pass the filters;
 - before whole sets move, `BITS` parities of each set bound how much two differ:
   the parities in which they differ are no more than the shingles in which they do.
+  Classes that meet others by chance in small groups alone, as more do in a larger
+  corpus, are told by sizes and parities, so that their texts are not read again.
 
 Frequencies come from a table of `BUCKETS` counters over all documents; a
 coarse count only costs speed, since any fixed order gives the same pairs.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormledger import session
@@ -98,7 +100,7 @@ def prefix(own: np.ndarray, levels: np.ndarray, order: int, percent: int = PERCE
 
 def _census(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Class and size of every document; counters of shingles once per task, in parts."""
-    names = ["doc_id", "cls", "n", "part", "counts"]
+    names = ["doc_id", "cls", "n", "bits", "part", "counts"]
     total = np.zeros(BUCKETS, dtype=np.uint32)
     for batch in texts.chunks(batches):
         sets = shingle_sets(batch.column("text"), n)
@@ -107,12 +109,12 @@ def _census(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         size = batch.num_rows
         yield pa.RecordBatch.from_arrays([
             batch.column("doc_id"), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-            pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
+            pa.array([parities(s) for s in sets], pa.list_(pa.int64())), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], names)
     for part in range(BUCKETS // _PART):
         own = total[part * _PART:(part + 1) * _PART]
         if own.any():
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()),
+                pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()),
                 pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], names)
 
 
@@ -197,19 +199,42 @@ def wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(texts.tidy(work), "doc_id long, text string")
 
 
+def _sizes_fit(percent: int) -> Column:
+    return (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+
+
+def _parities_fit(percent: int) -> Column:
+    """The sets differ in `apart` shingles at least: an upper bound of what they have in common."""
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x).cast("long")
+    both = F.col("n_a") + F.col("n_b")
+    return (both - apart) * (100 + percent) >= both * 2 * percent
+
+
 def _filtered(pairs: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (a, b) that pass the size filter and share a prefix shingle under every further order."""
     def side(name: str) -> DataFrame:
         return marks.select(F.col("cls").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "bits", *[f"t{k}" for k in range(1, orders)])])
 
-    fits = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    fits = _sizes_fit(percent)
     for k in range(1, orders):
         fits &= F.arrays_overlap(f"t{k}_a", f"t{k}_b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x).cast("long")
-    both = F.col("n_a") + F.col("n_b")
-    # the sets differ in `apart` shingles at least: an upper bound of what they have in common
-    fits &= (both - apart) * (100 + percent) >= both * 2 * percent
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(fits).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(fits & _parities_fit(percent)).select("a", "b")
+
+
+def _not_by_chance(groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows (token, cls) of large groups, and of classes that sizes and parities let be similar to another one of a small group.
+
+    Similar classes pass both, so that none of their pairs is lost.
+    """
+    sized = groups.join(groups.groupBy("token").agg(F.count("*").alias("m")), "token")
+    small = sized.filter(F.col("m") <= SMALL).join(classes.select("cls", "n"), "cls")
+    one, two = (small.select("token", F.col("cls").alias(side), F.col("n").alias(f"n_{side}")) for side in "ab")
+    pairs = one.join(two, "token").filter((F.col("a") < F.col("b")) & _sizes_fit(percent)).select("a", "b", "n_a", "n_b").distinct()
+    for side in "ab":
+        pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("bits").alias(f"bits_{side}")), side)
+    near = session.materialize(pairs.filter(_parities_fit(percent)).select("a", "b"), "near")
+    near = near.select(F.col("a").alias("cls")).unionAll(near.select("b")).distinct()
+    return sized.filter(F.col("m") > SMALL).select("token", "cls").unionByName(sized.filter(F.col("m") <= SMALL).join(near, "cls", "left_semi").select("token", "cls"))
 
 
 def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
@@ -300,7 +325,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     """(doc_id, cls, n) of every document, and the links (a, b) between classes that join all similar ones."""
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    census = session.materialize(rows.mapInArrow(texts.tidy(lambda batches: _census(batches, n)), "doc_id long, cls long, n long, part int, counts binary"), "census")
+    census = session.materialize(rows.mapInArrow(texts.tidy(lambda batches: _census(batches, n)), "doc_id long, cls long, n long, bits array<long>, part int, counts binary"), "census")
     nodes = census.filter("part is null").select("doc_id", "cls", "n")
     levels = spark.sparkContext.broadcast(frequency_levels(census.filter("part is not null").select("part", "counts")))
 
@@ -325,9 +350,13 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
     shared = _shared(entries)
     groups = session.materialize(entries.join(shared, "token").distinct(), "groups")
 
+    classes = census.filter("part is null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = session.materialize(classes, "classes")
+    groups = session.materialize(_not_by_chance(groups, classes, percent), "kept-groups")
+
     # whole sets of the classes that share a prefix shingle, from one document each
     met = groups.select("cls").distinct()
-    of_class = nodes.groupBy("cls").agg(F.min("doc_id").alias("doc_id")).join(met, "cls", "left_semi")
+    of_class = classes.select("cls", "doc_id").join(met, "cls", "left_semi")
     of_class = session.materialize(of_class, "wanted")
     whole = wanted_texts(rows, of_class).join(of_class, "doc_id").select("cls", "text")
 

@@ -132,3 +132,19 @@ def test_parities_never_tell_more_than_sets_differ_in():
         x, y = (np.unique(draw.integers(0, 3000, draw.integers(1, 2500)).astype(np.uint64)) for _ in range(2))
         told = int(np.bitwise_count((order_join.parities(x) ^ order_join.parities(y)).view(np.uint64)).sum())
         assert told <= len(np.setxor1d(x, y)) and not (order_join.parities(x) ^ order_join.parities(x)).any()
+
+
+def test_classes_that_meet_by_chance_are_not_read_again(spark, monkeypatch):
+    """Unlike texts that share a rare passage two by two: their sizes and parities tell."""
+    draw = np.random.default_rng(8)
+    docs = []
+    for k in range(40):
+        shared = [f"s{k}x{j}" for j in range(6)]
+        docs += [" ".join([f"a{k}x{j}" for j in range(60)] + shared), " ".join(shared + [f"b{k}x{j}" for j in range(60)])]
+    docs += [" ".join([f"c{j}" for j in range(70)] + [f"d{k}"]) for k in range(2)]
+    wanted = []
+    kept = order_join.wanted_texts
+    monkeypatch.setattr(order_join, "wanted_texts", lambda rows, ids: (wanted.append(ids.count()), kept(rows, ids))[1])
+    table = list(enumerate(draw.permutation(docs).tolist()))
+    found = rows(order_join.components(spark.createDataFrame(table, "doc_id long, text string")))
+    assert found == brute(table) and wanted == [2]
