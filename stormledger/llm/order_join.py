@@ -57,6 +57,8 @@ WANTED_BITS = 1 << 26
 BITS = 1024
 #: Classes of a group that are compared with as many others in one piece of work; groups of up to `SMALL` are joined.
 BLOCK, SMALL = 1024, 4
+#: Classes of a group whose pairs are all told by sizes and parities before texts are read again; larger ones stay whole.
+CHANCE = 32
 #: Classes whose numbers are broadcast, at most; beyond, Spark joins them.
 FEW = 1 << 18
 _PART = 1 << 16
@@ -227,14 +229,14 @@ def _not_by_chance(groups: DataFrame, classes: DataFrame, percent: int) -> DataF
     Similar classes pass both, so that none of their pairs is lost.
     """
     sized = groups.join(groups.groupBy("token").agg(F.count("*").alias("m")), "token")
-    small = sized.filter(F.col("m") <= SMALL).join(classes.select("cls", "n"), "cls")
+    small = sized.filter(F.col("m") <= CHANCE).join(classes.select("cls", "n"), "cls")
     one, two = (small.select("token", F.col("cls").alias(side), F.col("n").alias(f"n_{side}")) for side in "ab")
     pairs = one.join(two, "token").filter((F.col("a") < F.col("b")) & _sizes_fit(percent)).select("a", "b", "n_a", "n_b").distinct()
     for side in "ab":
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("bits").alias(f"bits_{side}")), side)
     near = session.materialize(pairs.filter(_parities_fit(percent)).select("a", "b"), "near")
     near = near.select(F.col("a").alias("cls")).unionAll(near.select("b")).distinct()
-    return sized.filter(F.col("m") > SMALL).select("token", "cls").unionByName(sized.filter(F.col("m") <= SMALL).join(near, "cls", "left_semi").select("token", "cls"))
+    return sized.filter(F.col("m") > CHANCE).select("token", "cls").unionByName(sized.filter(F.col("m") <= CHANCE).join(near, "cls", "left_semi").select("token", "cls"))
 
 
 def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> DataFrame:
