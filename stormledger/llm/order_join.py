@@ -131,9 +131,9 @@ def _sum_counts(pdf: pd.DataFrame) -> pd.DataFrame:
 def frequency_levels(counts: DataFrame) -> np.ndarray:
     """Counters as levels of a quarter of a power of two. The driver gets `BUCKETS` counters, whatever the input."""
     # summed in two steps, so that no task gets the parts of all others
-    some = counts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(_sum_counts, "part int, counts binary")
+    some = counts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(texts.tidy_groups(_sum_counts), "part int, counts binary")
     out = np.zeros(BUCKETS, dtype=np.uint8)
-    for row in some.groupBy("part").applyInPandas(_sum_counts, "part int, counts binary").collect():
+    for row in some.groupBy("part").applyInPandas(texts.tidy_groups(_sum_counts), "part int, counts binary").collect():
         own = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
         out[row["part"] * _PART:(row["part"] + 1) * _PART] = np.minimum(255, 4 * np.log2(own + 1.0))
     return out
@@ -186,9 +186,9 @@ def wanted_texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     Keeps most texts from moving in a later join. The driver gets `WANTED_BITS` bits, whatever the input.
     """
     parts = wanted.select("doc_id").filter("doc_id is not null").mapInArrow(texts.tidy(_bitmap), "part int, bits binary")
-    some = parts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(lambda pdf: _or_bits(pdf.drop(columns="salt")), "part int, bits binary")
+    some = parts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(texts.tidy_groups(lambda pdf: _or_bits(pdf.drop(columns="salt"))), "part int, bits binary")
     bits = np.zeros(WANTED_BITS // 8, dtype=np.uint8)
-    for row in some.groupBy("part").applyInPandas(_or_bits, "part int, bits binary").collect():
+    for row in some.groupBy("part").applyInPandas(texts.tidy_groups(_or_bits), "part int, bits binary").collect():
         bits[row["part"] * _PART:(row["part"] + 1) * _PART] = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
     shared = rows.sparkSession.sparkContext.broadcast(bits)
 
@@ -290,7 +290,7 @@ def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> D
                     found[1].append(high)
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    many = placed.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long")
+    many = placed.groupBy("token", "i", "j").applyInArrow(texts.tidy_groups(compare), "a long, b long")
     return few.unionByName(many).distinct()
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from conftest import SMALL
-from stormledger.llm import catalog, order_join
+from stormledger.llm import catalog, order_join, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -148,3 +148,18 @@ def test_classes_that_meet_by_chance_are_not_read_again(spark, monkeypatch):
     table = list(enumerate(draw.permutation(docs).tolist()))
     found = rows(order_join.components(spark.createDataFrame(table, "doc_id long, text string")))
     assert found == brute(table) and wanted == [2]
+
+
+def test_functions_of_groups_give_memory_back(spark, monkeypatch):
+    """Workers outlive their tasks: those that compare groups must not keep what they held."""
+    calls, wrapped, keep = [], [], texts.tidy_groups
+    monkeypatch.setattr(texts, "_released", 0.0)
+    monkeypatch.setattr(texts, "release", lambda: calls.append(1))
+    plus = keep(lambda x: x + 1)
+    assert [plus(k) for k in range(1000)] == list(range(1, 1001)) and 1 <= len(calls) < 1000
+    monkeypatch.undo()
+    monkeypatch.setattr(texts, "tidy_groups", lambda work: wrapped.append(work.__name__) or keep(work))
+    base = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(k, f"{base} x{k}") for k in range(6)], "doc_id long, text string")
+    assert {r["component_id"] for r in order_join.components(docs).collect()} == {0}
+    assert {"_sum_counts", "_or_bits", "compare"} <= set(wrapped)
