@@ -51,6 +51,8 @@ PERCENT = 85
 ORDERS = 3
 #: Counters of shingle frequencies; they reach the driver as one byte each.
 BUCKETS = 1 << 22
+#: Bits of a shingle's hash that name it in groups: few enough to move cheaply; shingles of one name only make their group larger.
+TOKEN_BITS = 40
 #: Bits of the set of wanted documents, which goes to all tasks; a full one only lets more texts pass.
 WANTED_BITS = 1 << 26
 #: Parities of a set, in 64-bit words.
@@ -100,6 +102,15 @@ def prefix(own: np.ndarray, levels: np.ndarray, order: int, percent: int = PERCE
     return own[np.argpartition(place, size - 1)[:size]] if size < len(own) else own
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counters, compressed byte by byte of all of them: most have one small byte."""
+    return zlib.compress(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
 def _census(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """Class and size of every document; counters of shingles once per task, in parts."""
     names = ["doc_id", "cls", "n", "bits", "part", "counts"]
@@ -117,15 +128,14 @@ def _census(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         if own.any():
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([part], pa.int32()),
-                pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], names)
+                pa.array([packed_counts(own)], pa.binary())], names)
 
 
 def _sum_counts(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(_PART, dtype=np.uint64)
     for packed in pdf["counts"]:
-        total += np.frombuffer(zlib.decompress(packed), dtype=np.uint32)
-    packed = zlib.compress(np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1)
-    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [packed]})
+        total += unpacked_counts(packed)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [packed_counts(np.minimum(total, 0xFFFFFFFF))]})
 
 
 def frequency_levels(counts: DataFrame) -> np.ndarray:
@@ -134,14 +144,16 @@ def frequency_levels(counts: DataFrame) -> np.ndarray:
     some = counts.withColumn("salt", F.spark_partition_id() % 16).groupBy("part", "salt").applyInPandas(texts.tidy_groups(_sum_counts), "part int, counts binary")
     out = np.zeros(BUCKETS, dtype=np.uint8)
     for row in some.groupBy("part").applyInPandas(texts.tidy_groups(_sum_counts), "part int, counts binary").collect():
-        own = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
+        own = unpacked_counts(row["counts"])
         out[row["part"] * _PART:(row["part"] + 1) * _PART] = np.minimum(255, 4 * np.log2(own + 1.0))
     return out
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Of (token, cls): the tokens of at least two classes, with the smallest."""
-    return rows.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).filter("hub < last").select("token", "hub")
+    """Of (token, cls): each row of a token of at least two classes, once. Rows are read and move once."""
+    of_token = Window.partitionBy("token")
+    told = rows.withColumn("low", F.min("cls").over(of_token)).withColumn("high", F.max("cls").over(of_token))
+    return told.filter("low < high").select("token", "cls").distinct()
 
 
 def parities(own: np.ndarray) -> np.ndarray:
@@ -154,12 +166,15 @@ def parities(own: np.ndarray) -> np.ndarray:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the (stored) pairs (a, b), those whose sets are similar enough."""
-    met = session.materialize(pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct(), "met")
-    own = sets.select("cls", "own").join(F.broadcast(met) if met.count() <= FEW else met, "cls", "left_semi")
-    left, right = own.select(F.col("cls").alias("a"), F.col("own").alias("own_a")), own.select(F.col("cls").alias("b"), F.col("own").alias("own_b"))
+    def whole(side: str) -> DataFrame:
+        met = session.materialize(pairs.select(F.col(side).alias("cls")).distinct(), "met")
+        own = sets.select("cls", "own").join(F.broadcast(met) if met.count() <= FEW else met, "cls", "left_semi")
+        return own.select(F.col("cls").alias(side), F.col("own").alias(f"own_{side}"))
+
     common = F.size(F.array_intersect("own_a", "own_b")).cast("long")
     similar = common * 100 >= (F.size("own_a").cast("long") + F.size("own_b") - common) * percent
-    return pairs.join(left, "a").join(right, "b").filter(similar).select("a", "b")
+    # of the hubs, which are fewer, each set moves once
+    return pairs.join(whole("b"), "b").join(whole("a"), "a").filter(similar).select("a", "b")
 
 
 def _bitmap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,12 +280,12 @@ def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> D
         cls, at, n, part = (table.column(c).to_numpy() for c in ("cls", "at", "n", "part"))
         bits = table.column("bits").combine_chunks().flatten().to_numpy().reshape(len(cls), -1).view(U64)
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        lists = [table.column(c) for c in ("tokens", *prefixes)]
+        lists = [(x.offsets.to_numpy(), x.values.to_numpy()) for x in (table.column(c).combine_chunks() for c in ("tokens", *prefixes))]
         sets: dict[int, list[set[int]]] = {}
 
         def own(row: int) -> list[set[int]]:
             if row not in sets:
-                sets[row] = [set(x[row].as_py()) for x in lists]
+                sets[row] = [set(values[ends[row]:ends[row + 1]].tolist()) for ends, values in lists]
             return sets[row]
 
         for first in range(0, len(left), 64):
@@ -344,13 +359,13 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
                     seen.add(cls)
                     tokens.append(prefix(own, levels.value, 0, percent))
                     owners.append(cls)
-            every = np.concatenate([np.empty(0, dtype=U64), *tokens]).view(np.int64)
+            every = (np.concatenate([np.empty(0, dtype=U64), *tokens]) >> U64(64 - TOKEN_BITS)).view(np.int64)
+            # the name last: its zeros are next to those between rows, which shuffles compress together
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every), pa.array(np.repeat(np.array(owners, dtype=np.int64), [len(t) for t in tokens]))], ["token", "cls"])
+                [pa.array(np.repeat(np.array(owners, dtype=np.int64), [len(t) for t in tokens])), pa.array(every)], ["cls", "token"])
 
-    entries = rows.select("text").mapInArrow(texts.tidy(first_order), "token long, cls long")
-    shared = _shared(entries)
-    groups = session.materialize(entries.join(shared, "token").distinct(), "groups")
+    entries = rows.select("text").mapInArrow(texts.tidy(first_order), "cls long, token long")
+    groups = session.materialize(_shared(entries), "groups")
 
     classes = census.filter("part is null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = session.materialize(classes, "classes")

@@ -163,3 +163,29 @@ def test_functions_of_groups_give_memory_back(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"{base} x{k}") for k in range(6)], "doc_id long, text string")
     assert {r["component_id"] for r in order_join.components(docs).collect()} == {0}
     assert {"_sum_counts", "_or_bits", "compare"} <= set(wrapped)
+
+
+def test_rows_of_prefixes_move_once(spark):
+    """One shuffle finds the shingles of several classes and their rows; copies of a row count once."""
+    table = [(7, 1), (7, 1), (8, 2), (8, 1), (8, 2), (9, -3), (9, 5), (-1, 4), (0, 6), (0, 6)]
+    shared = order_join._shared(spark.createDataFrame(table, "token long, cls long").repartition(3))
+    assert sorted((r["token"], r["cls"]) for r in shared.collect()) == [(8, 1), (8, 2), (9, -3), (9, 5)]
+    read = spark.createDataFrame(table, "token long, cls long").mapInArrow(lambda batches: batches, "token long, cls long")
+    plan = order_join._shared(read)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange") == 1
+
+
+def test_shingles_of_one_name_only_make_groups_larger(spark, monkeypatch):
+    monkeypatch.setattr(order_join, "TOKEN_BITS", 3)
+    draw = np.random.default_rng(3)
+    table = [(k, " ".join(draw.choice(list("abcdefgh"), 25))) for k in range(20)]
+    table += [(20 + k, " ".join([f"w{j}" for j in range(50)] + [f"x{k}"])) for k in range(4)]
+    assert rows(order_join.components(spark.createDataFrame(table, "doc_id long, text string"))) == brute(table)
+
+
+def test_counters_come_back_and_small_ones_are_small():
+    draw = np.random.default_rng(6)
+    counts = draw.poisson(0.5, 1 << 16).astype(np.uint32)
+    counts[:3] = [0xFFFFFFFF, 256, 70_000]
+    packed = order_join.packed_counts(counts)
+    assert (order_join.unpacked_counts(packed) == counts).all() and len(packed) * 8 < 3 * len(counts)
