@@ -61,8 +61,8 @@ BLOCK = 2048
 LANES = 2048
 #: Bytes of text of a shard, and the least for which the session's number of partitions is kept.
 SHARD_BYTES, LEAST_SHARD_BYTES = 256 << 20, 8 << 20
-#: Distinct units that a task remembers.
-HELD = 500_000
+#: Distinct units that a task remembers, and new ones that go to the library as one text.
+HELD, TOGETHER = 500_000, 256
 
 U64 = np.uint64
 _TOP = U64(1 << 32)
@@ -427,9 +427,13 @@ class UnitEncoder:
     def __init__(self, path: str):
         self.tokenizer, self.known = _tokenizer(path), texts.Memory(HELD)
         self.pool, self.ends = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-        added = self.tokenizer.get_added_tokens_decoder().values()
+        added = self.tokenizer.get_added_tokens_decoder()
         #: No blank is in a special token, so none crosses a unit's end; it must not take blanks in either.
-        assert not any(t.lstrip or t.rstrip or t.normalized for t in added)
+        assert not any(t.lstrip or t.rstrip or t.normalized for t in added.values())
+        #: The only special token parts units that are encoded as one text, if it cannot overlap itself.
+        self.mark_id, self.mark = next(((k, t.content) for k, t in added.items() if len(added) == 1 and not t.single_word), (None, ""))
+        if any(self.mark.endswith(self.mark[:k]) for k in range(1, len(self.mark))):
+            self.mark = ""
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def units(self, column: pa.Array) -> texts.Spans:
@@ -457,6 +461,26 @@ class UnitEncoder:
         order = np.argsort(starts, kind="stable")
         return texts.Spans(data, starts[order], ends[order], rows[order], words.n_rows)
 
+    def library(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units (none empty) by the library in a row, and how many each has."""
+        parts, joined = [], []
+        for k in range(0, len(units), TOGETHER):
+            own = units[k:k + TOGETHER]
+            text = self.mark.join(own)
+            # a unit that holds the mark is encoded alone, and those around it
+            together = bool(self.mark) and text.count(self.mark) == len(own) - 1
+            parts += [text] if together else own
+            joined += [True] if together else [False] * len(own)
+        got = [x.ids for x in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        ids = np.fromiter(itertools.chain.from_iterable(got), dtype=np.int32, count=int(sizes.sum()))
+        marks = np.zeros(len(ids), dtype=bool)
+        if self.mark:
+            marks = (ids == self.mark_id) & np.repeat(np.array(joined, dtype=bool), sizes)
+        # a unit ends where a mark or the end of a text is; marks are no ids of units
+        ends = np.sort(np.concatenate((np.flatnonzero(marks), np.cumsum(sizes))))
+        return ids[~marks], np.diff(ends - np.concatenate(([0], np.cumsum(marks)))[ends], prepend=0)
+
     def encode(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text followed by the end id; ids of each text."""
         units = self.units(column)
@@ -470,9 +494,7 @@ class UnitEncoder:
         if len(new):
             body = units.data.tobytes()
             found = [body[a:b].decode() for a, b in zip(units.starts[where[new]].tolist(), units.ends[where[new]].tolist(), strict=True)]
-            got = [x.ids for x in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            ids = np.fromiter(itertools.chain.from_iterable(got), dtype=np.int32, count=int(sizes.sum()))
+            ids, sizes = self.library(found)
             first = len(self.ends) - 1
             self.pool, self.ends = np.concatenate((self.pool, ids)), np.concatenate((self.ends, len(self.pool) + np.cumsum(sizes)))
             self.known.add(keys[new], first + np.arange(len(new)))

@@ -154,3 +154,24 @@ def test_blanks_that_do_not_cut_words_are_found_in_bytes():
     data = np.frombuffer(text.encode(), dtype=np.uint8)
     want = [len(text[:k].encode()) for k, c in enumerate(text) if c in marks]
     assert range_coder.other_blanks(data).tolist() == want and not len(range_coder.other_blanks(data[:0]))
+
+
+def test_new_units_go_to_the_library_together(monkeypatch):
+    """Few texts for many units, with the ids that each unit has alone; units that hold the mark stay alone."""
+    encoder = range_coder.UnitEncoder(PATH)
+    units = [f" w{k}é" for k in range(700)] + ["\n\n", "a", " <|endof", "text|>", "x<|endoftext|>y", "<|endoftext|>", " <|endoftext|", ">"] + [f"\tv{k}" for k in range(300)]
+    calls, tokenizer = [], encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, parts, **how):
+            calls.append(len(parts))
+            return tokenizer.encode_batch_fast(parts, **how)
+
+    encoder.tokenizer = Counted()
+    ids, sizes = encoder.library(units)
+    alone = [tokenizer.encode(u, add_special_tokens=False).ids for u in units]
+    assert sizes.tolist() == [len(x) for x in alone] and ids.tolist() == sum(alone, [])
+    assert sum(calls) <= range_coder.TOGETHER + 3
+    encoder.mark = ""
+    assert [x.tolist() for x in encoder.library(units)] == [ids.tolist(), sizes.tolist()]
+    assert [len(x) for x in encoder.library([])] == [0, 0]
