@@ -309,17 +309,25 @@ def _apart(members: DataFrame, marks: DataFrame, percent: int, orders: int) -> D
     return few.unionByName(many).distinct()
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether every node of the distinct (a, b) has one `a`, which is no other's `b`: then `a` names its component."""
+    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("a").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    others = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1")
+    return not others.agg(F.count("*").alias("n")).first()["n"]
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of (a, b) is connected with.
 
     Each round hangs every node and its neighbours on the smallest of them, in turn
-    among larger and smaller neighbours, until no link changes; paths halve, so
-    rounds grow with the logarithm of their length.
+    among larger and smaller neighbours, until all hang on the smallest of their
+    component; paths halve, so rounds grow with the logarithm of their length.
+    Links that are so already need no round.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = session.materialize(links.select(low.alias("a"), high.alias("b")).filter("a < b").distinct(), "edges")
-    round_ = 0
-    while True:
+    edges, round_ = session.materialize(links.select(low.alias("a"), high.alias("b")).filter("a < b").distinct(), "edges"), 0
+    while not stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: larger neighbours of a node hang on the smallest around it
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -329,17 +337,15 @@ def connected(links: DataFrame) -> DataFrame:
         least = down.groupBy("node").agg(F.min("to").alias("m"))
         joined = down.join(least, "node")
         small = joined.select(F.col("m").alias("a"), F.col("to").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("node").alias("b")))
-        after = session.materialize(small.filter("a < b").distinct(), f"edges-{round_}")
-        same = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if same == after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first():
-            break
-        edges, round_ = after, round_ + 1
-    roots = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
-    return roots
+        edges, round_ = session.materialize(small.filter("a < b").distinct(), f"edges-{round_}"), round_ + 1
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = PERCENT, orders: int = ORDERS) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, cls, n) of every document, and the links (a, b) between classes that join all similar ones."""
+    """(doc_id, cls, n) of every document, and pairs (a, b) of classes that join all similar ones.
+
+    A pair is similar, or `a` is the smallest class that similar ones connect with `b`.
+    """
     spark = docs.sparkSession
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     census = session.materialize(rows.mapInArrow(texts.tidy(lambda batches: _census(batches, n)), "doc_id long, cls long, n long, bits array<long>, part int, counts binary"), "census")
@@ -393,6 +399,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
 
     schema = "cls long, n long, own array<long>, bits array<long>" + "".join(f", t{k} array<int>" for k in range(1, orders))
     sets = session.materialize(whole.mapInArrow(texts.tidy(sets_of), schema), "sets")
+    levels.destroy()
     marks = sets.drop("own")
 
     # a group's hub meets all others; then the next one those that no link has brought to it
@@ -411,9 +418,10 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = W
         stars = others.filter((F.col("at") != F.col("hub_at")) & fits).select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
         stars = session.materialize(_filtered(stars, marks, percent, orders), f"star-pairs-{round_}")
         near = session.materialize(_linked(stars, sets, percent), f"stars-{round_}")
-        links = near if links is None else links.unionByName(near)
-        together = connected(links).select(F.col("node").alias("cls"), "root")
-        rest = others.select("token", "cls", "n").join(together, "cls", "left").withColumn("at", F.coalesce("root", "cls")).select("token", "cls", "at", "n")
+        # what is connected so far goes on as stars, and is not connected anew
+        together = connected(near if links is None else links.unionByName(near))
+        links = together.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        rest = others.select("token", "cls", "n").join(together.withColumnRenamed("node", "cls"), "cls", "left").withColumn("at", F.coalesce("root", "cls")).select("token", "cls", "at", "n")
         apart = rest.groupBy("token").agg(F.min("at").alias("x"), F.max("at").alias("y")).filter("x < y").select("token")
         members, round_ = rest.join(apart, "token", "left_semi"), round_ + 1
     if links is None:

@@ -103,6 +103,33 @@ def test_connected(spark, links):
     assert {k: v for k, v in least.items() if k != v} == {k: v for k, v in found.items() if k != v}
 
 
+def stored(monkeypatch):
+    """Names of the tables that are stored from now on."""
+    names, keep = [], order_join.session.materialize
+    monkeypatch.setattr(order_join.session, "materialize", lambda df, name: (names.append(name), keep(df, name))[1])
+    return names
+
+
+def test_links_that_hang_on_the_smallest_need_no_round(spark, monkeypatch):
+    names = stored(monkeypatch)
+    links = [(1, 2), (1, 3), (4, 1), (5, 6), (6, 5), (7, 7)]
+    found = order_join.connected(spark.createDataFrame(links, "a long, b long"))
+    assert names == ["edges"] and sorted(map(tuple, found.select("node", "root").collect())) == [(2, 1), (3, 1), (4, 1), (6, 5)]
+    for links, alike in (([(1, 2), (1, 3)], True), ([(1, 2), (2, 3)], False), ([(1, 3), (2, 3)], False), ([], True)):
+        assert order_join.stars(spark.createDataFrame(links, "a long, b long")) == alike
+
+
+def test_what_is_connected_is_not_connected_anew(spark, monkeypatch):
+    """Near copies hang on their hubs after the first rounds; the last call finds stars."""
+    names = stored(monkeypatch)
+    docs = [[f"g{g}x{k}" for k in range(60)] for g in range(6)]
+    table = [(10 * g + k, " ".join([*own, f"y{g}x{k}"])) for g, own in enumerate(docs) for k in range(8)]
+    found = rows(order_join.components(spark.createDataFrame(table, "doc_id long, text string").repartition(3)))
+    assert found == brute(table) and len({c for _, _, c in found}) == 6
+    last = len(names) - names[::-1].index("edges")
+    assert names[last:] == [] and names.count("edges") == 2
+
+
 def test_one_of_each_group_stays(odd):
     kept = order_join.one_of_each(odd, order_join.components(odd))
     ids = sorted(r[0] for r in kept.collect())
